@@ -63,12 +63,16 @@ def visa_codes(spark: SparkSession, visa: CodeList = VISA_LIST) -> DataFrame:
 
 
 def build_code_lists(
-    texts: DataFrame, lists: Sequence[CodeList] = CODE_LISTS, *, text_column: str = "value"
+    texts: DataFrame,
+    lists: Sequence[CodeList] = CODE_LISTS,
+    *,
+    text_column: str = "value",
+    by: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """All code lists of a dictionary text plus the constant visa list, each with an id."""
     tables = {
         item.table: extract_code_list(
-            texts, item.section, item.code, item.name, text_column=text_column
+            texts, item.section, item.code, item.name, text_column=text_column, by=by
         )
         for item in lists
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from starmart import schemas as S
 from starmart.functions import quoted, sas_days_to_date, text_to_date
@@ -52,20 +52,22 @@ def clean_arrivals(
     return rename_columns(df.withColumns(dates), names)
 
 
-def _clean_rows(raw: DataFrame, columns: tuple[S.SourceColumn, ...], id_column: str) -> DataFrame:
+def _clean_rows(
+    raw: DataFrame, columns: tuple[S.SourceColumn, ...], id_column: str, bucket: Column | None
+) -> DataFrame:
     df = drop_incomplete(raw, S.required(columns))
     df = distinct_rows(rename_columns(df, S.renames(columns)))
-    return with_surrogate_id(df, id_column, distinct=True)
+    return with_surrogate_id(df, id_column, distinct=True, bucket=bucket)
 
 
-def clean_demographic(raw: DataFrame) -> DataFrame:
-    """City demographics: complete, distinct rows with an ``id``."""
-    return _clean_rows(raw, S.DEMOGRAPHIC, "id")
+def clean_demographic(raw: DataFrame, bucket: Column | None = None) -> DataFrame:
+    """City demographics: complete, distinct rows with an ``id`` (``bucket``: see the id operator)."""
+    return _clean_rows(raw, S.DEMOGRAPHIC, "id", bucket)
 
 
-def clean_temperature(raw: DataFrame) -> DataFrame:
+def clean_temperature(raw: DataFrame, bucket: Column | None = None) -> DataFrame:
     """Temperature series: complete, distinct rows with a ``temp_id``."""
-    return _clean_rows(raw, S.TEMPERATURE, "temp_id")
+    return _clean_rows(raw, S.TEMPERATURE, "temp_id", bucket)
 
 
 def enrich_temperature(temperature: DataFrame, country_codes: DataFrame) -> DataFrame:

@@ -141,8 +141,16 @@ NOT_NULL = {
 }
 
 
+TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+}
+
+
 def struct_type(columns: tuple[SourceColumn, ...]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{c.source}` {c.type}" for c in columns))
+    return T.StructType([T.StructField(c.source, TYPES[c.type]) for c in columns])
 
 
 def fills(columns: tuple[SourceColumn, ...]) -> dict[str, float | str]:

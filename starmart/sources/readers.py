@@ -51,12 +51,11 @@ def read_dictionary(
     Each file is one text; with ``record_separator`` a file may hold many texts and is
     split among tasks.
     """
-    reader = spark.read
     if record_separator is None:
-        reader = reader.option("wholetext", True)
+        texts = spark.read.text(paths, wholetext=True)
     else:
-        reader = reader.option("lineSep", record_separator)
-    return reader.text(paths).select(F.col("_metadata.file_path").alias("source"), "value")
+        texts = spark.read.text(paths, lineSep=record_separator)
+    return texts.select(F.col("_metadata.file_path").alias("source"), "value")
 
 
 def read_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
