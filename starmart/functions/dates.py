@@ -12,17 +12,25 @@ SAS_LAST_DAY = 2936549
 
 
 def sas_days_to_date(days: Column) -> Column:
-    """Days since 1960-01-01 to a date; fractions cut toward zero.
+    """Numeric days since 1960-01-01 to a date; fractions cut toward zero.
 
-    NULL, NaN, infinite, non-numeric or out-of-calendar input gives NULL.
+    NULL, NaN, infinite or out-of-calendar input gives NULL. The range is tested on the
+    number itself, because a failing ``try_cast`` raises and catches an exception per row.
     """
-    whole = days.try_cast("int")
+    days = days.try_cast("double")
     return F.when(
-        whole.between(SAS_FIRST_DAY, SAS_LAST_DAY),
-        F.date_add(F.lit(SAS_EPOCH).cast("date"), whole),
+        (days > SAS_FIRST_DAY - 1) & (days < SAS_LAST_DAY + 1),
+        F.date_add(F.lit(SAS_EPOCH).cast("date"), days.cast("int")),
     )
 
 
 def text_to_date(text: Column, pattern: str) -> Column:
-    """Text to a date by pattern; anything that is not exactly such a date gives NULL."""
-    return F.try_to_date(text, pattern)
+    """Text to a date by pattern; anything that is not exactly such a date gives NULL.
+
+    Text of another length than an all-digit pattern, such as an empty one, is passed
+    over without a parse that would have to fail first.
+    """
+    parsed = F.try_to_date(text, pattern)
+    if set(pattern) <= set("yMd"):
+        return F.when(F.length(text) == len(pattern), parsed)
+    return parsed

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from starmart.functions import quoted
+from starmart.functions import quoted, to_int_or_null
 
 log = logging.getLogger(__name__)
 
@@ -39,12 +39,15 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], *, strict: bool = Fals
 
     A value the target cannot hold becomes NULL, or fails the job if ``strict``.
     """
-    return df.withColumns(
-        {
-            name: quoted(name).cast(target) if strict else quoted(name).try_cast(target)
-            for name, target in types.items()
-        }
-    )
+
+    def cast(name: str, target: str):
+        if strict:
+            return quoted(name).cast(target)
+        if target == "int" and isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            return to_int_or_null(quoted(name))
+        return quoted(name).try_cast(target)
+
+    return df.withColumns({name: cast(name, target) for name, target in types.items()})
 
 
 def fill_and_cast(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import strip
@@ -13,16 +13,28 @@ from starmart.schemas import CODE_LISTS, VISA_LIST, VISA_ROWS, CodeList
 from starmart.sources.readers import literal_table
 
 
-def _section_body(text: Column, section: str) -> Column:
-    """Text from the first mention of the section up to the next semicolon."""
-    text = F.translate(text, "\t", "")
-    start = F.instr(text, section)
-    rest = F.substr(text, start)
-    end = F.instr(rest, ";")
+def _section_bodies(texts: DataFrame, section: str, text_column: str, by: Sequence[str]) -> DataFrame:
+    """Text from the first mention of the section up to the next semicolon, as ``_body``.
+
+    Each step is a column of its own, so that it is computed once per text.
+    """
+    text, rest = F.col("_text"), F.col("_rest")
     return (
-        F.when(start == 0, F.raise_error(F.lit(f"no section {section} in the dictionary text")))
-        .when(end == 0, F.raise_error(F.lit(f"section {section} has no closing semicolon")))
-        .otherwise(F.substr(rest, F.lit(1), end - 1))
+        texts.select(*by, F.replace(F.col(text_column), F.lit("\t"), F.lit("")).alias("_text"))
+        .withColumn("_start", F.instr(text, section))
+        .withColumn(
+            "_rest",
+            F.when(F.col("_start") > 0, F.substr(text, F.col("_start"))).otherwise(
+                F.raise_error(F.lit(f"no section {section} in the dictionary text"))
+            ),
+        )
+        .withColumn("_end", F.instr(rest, ";"))
+        .select(
+            *by,
+            F.when(F.col("_end") > 0, F.substr(rest, F.lit(1), F.col("_end") - 1))
+            .otherwise(F.raise_error(F.lit(f"section {section} has no closing semicolon")))
+            .alias("_body"),
+        )
     )
 
 
@@ -41,9 +53,10 @@ def extract_code_list(
     both sides trimmed, and the last of several lines with the same code wins. A text
     without the section, or without a semicolon closing it, fails the job.
     """
-    body = _section_body(F.col(text_column), section)
-    lines = texts.select(
-        *by, F.posexplode(F.split(F.translate(body, "'", ""), r"\r\n|\r|\n")).alias("_line", "_text")
+    bodies = _section_bodies(texts, section, text_column, by)
+    body = F.replace(F.col("_body"), F.lit("'"), F.lit(""))
+    lines = bodies.select(
+        *by, F.posexplode(F.split(body, r"\r\n|\r|\n")).alias("_line", "_text")
     ).filter("_line > 0")
     pairs = (
         lines.select(*by, "_line", F.split("_text", "=").alias("_sides"))

@@ -6,7 +6,8 @@ Passes over each input:
   reads the input a second time and cleans it on the way.
 * Demographics and temperatures are shuffled, so they are cleaned once into a staged
   Parquet table; checks and publishing read that.
-* Code lists are staged as well, which also tells Spark their size before the join.
+* Code lists are parsed again wherever they are used; their text is one small file, and
+  its size is what Spark goes by when it decides to broadcast them.
 
 Staged tables live in the shared folder of the session under a name derived from the
 output, so a rerun replaces them, and a lost executor costs no more than its own tasks.
@@ -100,8 +101,7 @@ def build_star(spark: SparkSession, config: StarConfig) -> BuildResult:
         write_table(df, f"{stage_root}/{name}")
         return read_table(spark, f"{stage_root}/{name}")
 
-    texts = read_dictionary(spark, config.labels)
-    tables = {name: staged(name, df) for name, df in build_code_lists(texts).items()}
+    tables = build_code_lists(read_dictionary(spark, config.labels))
 
     def fact(raw: DataFrame) -> DataFrame:
         df = clean_arrivals(
