@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmart.functions import quoted
 
 BUCKET_BITS = 20
-COPIES_PER_TASK_ROW = 100_000
+COPIES_PER_SLICE = 100_000
 
 
 def _placed(df: DataFrame, columns: list[str], bucket: Column | None, bits: int) -> DataFrame:
@@ -51,17 +51,18 @@ def with_surrogate_id(
 
     counted = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_copies"))
     before = F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    first = F.shiftleft("_bucket", low) + F.coalesce(before, F.lit(0))
-    slices = _placed(counted, columns, bucket, bits).select(
+    placed = _placed(counted, columns, bucket, bits).select(
         *order,
-        first.alias("_first"),
+        (F.shiftleft("_bucket", low) + F.coalesce(before, F.lit(0))).alias("_first"),
         "_copies",
-        F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(COPIES_PER_TASK_ROW))).alias("_from"),
     )
+    # In a step of its own: Spark would explode before it ranks if both were in one select.
+    starts = F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(COPIES_PER_SLICE))
+    slices = placed.withColumn("_from", F.explode(starts))
     # A stated number of partitions: adaptive execution would size them by the slices,
     # which are small, and not by the rows they turn into.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    upto = F.least(F.col("_from") + (COPIES_PER_TASK_ROW - 1), F.col("_copies") - 1)
+    upto = F.least(F.col("_from") + (COPIES_PER_SLICE - 1), F.col("_copies") - 1)
     return (
         slices.repartition(tasks, "_first", "_from")
         .withColumn("_copy", F.explode(F.sequence("_from", upto)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,8 +58,12 @@ def lookup_codes(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 def conform_codes(
     df: DataFrame, column: str, codes: DataFrame, code: str, other: str = "99"
 ) -> DataFrame:
-    """Replace a missing or unlisted code by ``other``."""
-    valid = codes.select(quoted(code).alias("_valid")).distinct()
+    """Replace a missing or unlisted code by ``other``.
+
+    A list holds each code once; it is not made distinct here, because Spark does not
+    split a hot code in a join whose other side comes straight from an aggregate.
+    """
+    valid = codes.select(quoted(code).alias("_valid"))
     return (
         df.join(valid, quoted(column) == F.col("_valid"), "left")
         .withColumn(column, F.coalesce("_valid", F.lit(other)))
@@ -69,19 +74,24 @@ def conform_codes(
 def unmatched_codes(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Codes a list does not hold, with the number of rows: ``(column_name, code, rows)``.
 
-    Rows are counted per code before the join, so the join sees each code once. A NULL
-    code is unmatched as well.
+    All code columns are counted in one pass, and counted before the join, so a code used
+    by a third of all rows is one row by the time it meets the lists. A NULL code is
+    unmatched as well.
     """
-    report = None
-    for item in lookups:
-        used = df.groupBy(quoted(item.column).cast("string").alias("code")).agg(
-            F.count(F.lit(1)).alias("rows")
-        )
-        known = item.codes.select(quoted(item.code).cast("string").alias("_known"))
-        part = used.join(known, F.col("code") == F.col("_known"), "left_anti").select(
-            F.lit(item.column).alias("column_name"), "code", "rows"
-        )
-        report = part if report is None else report.unionAll(part)
-    if report is None:
-        raise ValueError("no lookups given")
-    return report
+    columns = [quoted(item.column).cast("string").alias(item.column) for item in lookups]
+    used = (
+        df.select(*columns)
+        .unpivot([], [quoted(item.column) for item in lookups], "column_name", "code")
+        .groupBy("column_name", "code")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    known = reduce(
+        DataFrame.unionAll,
+        (
+            item.codes.select(
+                F.lit(item.column).alias("column_name"), quoted(item.code).cast("string").alias("code")
+            )
+            for item in lookups
+        ),
+    )
+    return used.join(known, ["column_name", "code"], "left_anti")

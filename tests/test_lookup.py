@@ -1,0 +1,137 @@
+from collections import Counter
+
+import pytest
+from helpers import DICTIONARY, rows_of
+
+from starmart.operators.labels import build_code_lists
+from starmart.operators.lookup import (
+    Lookup,
+    conform_codes,
+    enrich_by_name,
+    lookup_codes,
+    unmatched_codes,
+)
+from starmart.plans.arrivals import enrich_temperature
+from starmart.sources import literal_table, read_dictionary
+
+
+@pytest.fixture(scope="module")
+def lists(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("labels") / "labels.sas"
+    path.write_text(DICTIONARY)
+    return build_code_lists(read_dictionary(spark, str(path)))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def readings(spark, *countries):
+    rows = [(i, "2000-01-01", 1.0, 0.5, f"city {i}", c, "1N", "1E") for i, c in enumerate(countries)]
+    return spark.createDataFrame(
+        rows,
+        "temp_id long, date string, average_temperature double, average_temperature_uncertainty double, "
+        "city string, country string, latitude string, longitude string",
+    )
+
+
+def test_country_of_a_reading(spark, lists):
+    out = enrich_temperature(
+        readings(spark, "Denmark", "Mexico", "China", None, "Invalid: Stateless"), lists["country_codes"]
+    )
+    assert out.columns == [
+        "temp_id", "date", "average_temperature", "average_temperature_uncertainty", "city",
+        "country_name", "country_code", "latitude", "longitude",
+    ]
+    got = Counter((r.temp_id, r.country_name, r.country_code) for r in out.collect())
+    assert got == Counter(
+        [
+            (0, "DENMARK", "108"), (1, None, None), (2, None, None), (3, None, None),
+            (4, "INVALID: STATELESS", "996"), (4, "INVALID: STATELESS", "997"),
+        ]
+    )
+
+
+def test_parsed_lists_are_broadcast_without_a_hint(spark, lists):
+    out = enrich_temperature(readings(spark, "Denmark"), lists["country_codes"])
+    assert "BroadcastHashJoin" in plan(out) and "ResolvedHint" not in plan(out)
+
+
+def test_lists_too_large_to_broadcast_give_the_same_rows(spark, lists):
+    df = readings(spark, *(["Denmark"] * 50 + ["Japan"] * 20 + ["Nowhere"] * 7))
+    small = rows_of(enrich_temperature(df, lists["country_codes"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = enrich_temperature(df, lists["country_codes"])
+        assert "SortMergeJoin" in plan(out) and "Broadcast" not in plan(out)
+        assert rows_of(out) == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_all_columns_are_kept_without_an_output_list(spark):
+    names = literal_table(spark, [("X", 1)], ["name", "code"])
+    df = spark.createDataFrame([("x",)], "t string")
+    assert rows_of(enrich_by_name(df, "t", names, "name")) == [("x", "X", 1)]
+
+
+def test_codes_are_compared_as_text(spark, lists):
+    fact = spark.createDataFrame([(108, 209, 1), (582, 0, 5), (None, 108, None)], "cit int, res int, visa int")
+    out = lookup_codes(
+        fact,
+        [
+            Lookup("cit", lists["country_codes"], "country_code", "country_name", "cit_name"),
+            Lookup("res", lists["country_codes"], "country_code", "country_name", "res_name"),
+            Lookup("visa", lists["visa_codes"], "visa_code", "visa_category", "visa_category"),
+        ],
+    )
+    assert out.columns == ["cit", "res", "visa", "cit_name", "res_name", "visa_category"]
+    mexico = "MEXICO Air Sea, and Not Reported (no land arrivals)"
+    assert set(map(tuple, out.collect())) == {
+        (108, 209, 1, "DENMARK", "JAPAN", "Business"),
+        (582, 0, 5, mexico, None, None),
+        (None, 108, None, None, "DENMARK", None),
+    }
+    assert "SortMergeJoin" not in plan(out)
+
+
+def test_conform_codes(spark, lists):
+    fact = spark.createDataFrame([(1, "CA"), (2, ""), (3, None), (4, "ZZ"), (5, "99")], "id int, state_code string")
+    out = conform_codes(fact, "state_code", lists["state_codes"], "state_code")
+    assert out.columns == ["id", "state_code"]
+    assert dict(out.collect()) == {1: "CA", 2: "99", 3: "99", 4: "99", 5: "99"}
+
+
+def test_unmatched_codes(spark, lists):
+    fact = spark.createDataFrame(
+        [(108, "CA"), (108, ""), (7, "ZZ"), (7, "ZZ"), (None, None)], "cit int, state string"
+    )
+    out = unmatched_codes(
+        fact,
+        [
+            Lookup("cit", lists["country_codes"], "country_code", "country_name", "n"),
+            Lookup("state", lists["state_codes"], "state_code", "state_name", "n"),
+        ],
+    )
+    assert set(map(tuple, out.collect())) == {
+        ("cit", "7", 2), ("cit", None, 1), ("state", "", 1), ("state", "ZZ", 2), ("state", None, 1),
+    }
+
+
+def test_unmatched_codes_counts_before_a_shuffled_join(spark):
+    """Too large to broadcast: rows meet the lists only after they are counted per code."""
+    fact = spark.range(1000).selectExpr("if(id % 3 = 0, 0, id) as c")
+    codes = spark.range(1, 1000, 2).selectExpr("id as code", "'n' as name")
+    lookups = [Lookup("c", codes, "code", "name", "n")]
+    expected = rows_of(unmatched_codes(fact, lookups))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = unmatched_codes(fact, lookups)
+        text = plan(out)
+        assert text.index("Join") < text.index("HashAggregate")
+        assert rows_of(out) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("c", "0", 334) in expected
