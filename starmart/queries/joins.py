@@ -7,22 +7,26 @@ from starmart.operators.labels import visa_codes
 from starmart.plans import arrivals
 from starmart.queries import shapes
 from starmart.queries.registry import query, table
+from starmart.sources import literal_table
 
 
 @query(
     "enrich_by_name",
     """
     select c_custkey, n_name, n_nationkey
-    from customer left join (select * from nation where n_regionkey <> 3) on c_nationkey = n_nationkey
+    from customer left join nation on c_nationkey + 3 = n_nationkey
     """,
 )
 def enrich_by_name(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey", "concat('Nation_', c_nationkey) as country"
+        "c_custkey", "concat('Nation_', c_nationkey + 3) as country"
     )
-    listed = table(spark, sf_dir, "nation").filter("n_regionkey <> 3")
     return lookup.enrich_by_name(
-        customer, "country", listed, "n_name", ["c_custkey", "n_name", "n_nationkey"]
+        customer,
+        "country",
+        table(spark, sf_dir, "nation"),
+        "n_name",
+        ["c_custkey", "n_name", "n_nationkey"],
     )
 
 
@@ -102,11 +106,11 @@ def unmatched_codes(spark, sf_dir):
         "l_suppkey", "nullif(l_returnflag, 'R') as l_returnflag"
     )
     suppliers = table(spark, sf_dir, "supplier").filter("s_acctbal >= 0")
-    flags = table(spark, sf_dir, "nation").filter("n_nationkey = 0").selectExpr("'A' as flag", "n_name")
+    flags = literal_table(spark, [("A", "accepted")], ["flag", "flag_name"])
     return lookup.unmatched_codes(
         rows,
         [
             lookup.Lookup("l_suppkey", suppliers, "s_suppkey", "s_name", "supplier"),
-            lookup.Lookup("l_returnflag", flags, "flag", "n_name", "flag_name"),
+            lookup.Lookup("l_returnflag", flags, "flag", "flag_name", "flag_name"),
         ],
     )

@@ -1,10 +1,12 @@
 import datetime
+import re
 from pathlib import Path
 
 import pytest
 from helpers import DICTIONARY, arrivals, rows_of
 
 from starmart.operators.quality import QualityError
+from starmart.plans import build
 from starmart.plans.build import StarConfig, build_star, main
 from starmart.sources import read_table
 
@@ -129,3 +131,38 @@ def test_command_line(spark, inputs, capsys):
     main([a for n in names for a in (f"--{n}", getattr(config, n))] + ["--monthly"])
     assert "immigration.checked: 3" in capsys.readouterr().out
     assert (Path(config.output) / "immigration" / "year=2016").is_dir()
+
+
+def test_passes_over_the_inputs(spark, inputs, monkeypatch):
+    """Arrivals: checked columns once, whole rows once. Shuffled inputs: once."""
+    plans = []
+
+    def recorded(name):
+        run = getattr(build, name)
+
+        def wrapper(df, *args, **kwargs):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return run(df, *args, **kwargs)
+
+        monkeypatch.setattr(build, name, wrapper)
+
+    for name in ("write_table", "refresh_partitions", "enforce"):
+        recorded(name)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        config = inputs()
+        build_star(spark, config)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+    scans = [line for plan in plans for line in plan.splitlines() if "FileScan" in line]
+
+    def of(path):
+        return [line for line in scans if f"{path}]" in line or f"{path}," in line]
+
+    checked, whole = sorted((len(re.search("ReadSchema: struct<(.*)>", s)[1].split(",")) for s in of(config.arrivals)))
+    # Six columns are checked; a filled state code cannot be NULL, so it is not even read.
+    assert (checked, whole) == (5, 28)
+    assert len(of(config.demographic)) == len(of(config.temperature)) == 1
+    # Four lists are parsed for the check and for publishing, countries also for the join.
+    assert len(of(config.labels)) == 4 + 4 + 1
