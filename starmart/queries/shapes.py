@@ -51,7 +51,7 @@ def arrivals_raw(orders: DataFrame) -> DataFrame:
 
 def demographic_raw(customer: DataFrame) -> DataFrame:
     """Customers as city demographics; a city's totals repeat, and one segment comes twice."""
-    city = "floor(c_custkey / 4)"
+    city = "(c_custkey div 4)"
     rows = customer.selectExpr(
         f"concat('City ', {city}) as City",
         "concat('State ', c_nationkey) as State",
