@@ -70,10 +70,13 @@ def demographic_raw(customer: DataFrame) -> DataFrame:
 
 
 def temperature_raw(events: DataFrame) -> DataFrame:
-    """Events as temperature readings spread over the year; one event type comes twice."""
+    """Events as temperature readings spread over the year, many of them twice.
+
+    Temperatures are cut to quarters, so that their sums are exact in any order.
+    """
     rows = events.selectExpr(
         "date_add(cast(ts as date), cast(event_id % 365 as int)) as dt",
-        "case when event_type <> 'error' then value end as AverageTemperature",
+        "case when event_type <> 'error' then floor(value * 4) / 4 end as AverageTemperature",
         "case when event_type <> 'signup' then value / 8 end as AverageTemperatureUncertainty",
         "concat('City ', user_id) as City",
         "concat('Nation_', user_id % 28) as Country",
@@ -151,7 +154,7 @@ where c_mktsegment <> 'MACHINERY' and c_acctbal >= 0
 
 TEMPERATURE_SQL = """
 select distinct cast(ts as date) + cast(event_id % 365 as integer) as date,
-       value as average_temperature,
+       floor(value * 4) / 4 as average_temperature,
        value / 8 as average_temperature_uncertainty,
        'City ' || user_id as city,
        'Nation_' || (user_id % 28) as country,

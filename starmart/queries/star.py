@@ -139,7 +139,7 @@ def state_profile_join(spark, sf_dir):
     f"""
     with fact as ({shapes.ARRIVALS_SQL}), countries as ({shapes.COUNTRY_SQL}),
          climate as (select country_code, cast(month(date) as integer) as month,
-                            round(avg(average_temperature), 6) as mean_temperature, count(*) as readings
+                            avg(average_temperature) as mean_temperature, count(*) as readings
                      from ({shapes.TEMPERATURE_SQL}) join countries on upper(country) = country_name group by 1, 2)
     select country_code, month, arrivals, mean_temperature, readings
     from (select cast(residence as varchar) as country_code, month, count(*) as arrivals from fact group by 1, 2)
@@ -149,10 +149,9 @@ def state_profile_join(spark, sf_dir):
 def month_climate_join(spark, sf_dir):
     countries = shapes.country_codes(table(spark, sf_dir, "nation"))
     readings = arrivals.clean_temperature(shapes.temperature_raw(table(spark, sf_dir, "events")))
-    joined = plans.arrivals_and_climate(
+    return plans.arrivals_and_climate(
         _fact(spark, sf_dir), arrivals.enrich_temperature(readings, countries)
     )
-    return joined.withColumn("mean_temperature", F.round("mean_temperature", 6))
 
 
 @query(

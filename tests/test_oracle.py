@@ -1,11 +1,13 @@
 """Every registered query against its SQL, on whole tables."""
 
+import os
+
 import pytest
 from compare import oracle_connection, oracle_side, spark_side
 
 from starmart.queries import ORACLES, QUERIES
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")
