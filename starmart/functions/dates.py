@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ SAS_EPOCH = "1960-01-01"
 SAS_FIRST_DAY = -715509
 SAS_LAST_DAY = 2936549
 
+EIGHT_DIGITS = {"".join(fields) for fields in permutations(("yyyy", "MM", "dd"))}
+
 
 def sas_days_to_date(days: Column) -> Column:
     """Numeric days since 1960-01-01 to a date; fractions cut toward zero.
@@ -27,10 +31,14 @@ def sas_days_to_date(days: Column) -> Column:
 def text_to_date(text: Column, pattern: str) -> Column:
     """Text to a date by pattern; anything that is not exactly such a date gives NULL.
 
-    Text of another length than an all-digit pattern, such as an empty one, is passed
-    over without a parse that would have to fail first.
+    A pattern of eight digits is cut into year, month and day and cast from there.
+    ``try_to_date`` gives the same dates, but raises and catches an exception for each
+    text that is none.
     """
-    parsed = F.try_to_date(text, pattern)
-    if set(pattern) <= set("yMd"):
-        return F.when(F.length(text) == len(pattern), parsed)
-    return parsed
+    if pattern not in EIGHT_DIGITS:
+        return F.try_to_date(text, pattern)
+    year, month, day = (
+        F.substring(text, pattern.index(field) + 1, len(field)) for field in ("yyyy", "MM", "dd")
+    )
+    digits = text.rlike(r"^[0-9]{8}\z") & (year != "0000")
+    return F.when(digits, F.concat_ws("-", year, month, day).try_cast("date"))

@@ -156,8 +156,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--rebalance", action="store_true", help="shuffle by month before writing")
     parser.add_argument("--conform-states", action="store_true")
     parser.add_argument("--warn-only", nargs="*", default=(), metavar="TABLE")
+    parser.add_argument("--largest-shuffle-bytes", type=int, help="size of the largest shuffled input")
     args = parser.parse_args(argv)
-    spark = create_session(packages=args.packages)
+    spark = create_session(packages=args.packages, largest_shuffle_bytes=args.largest_shuffle_bytes)
     result = build_star(
         spark,
         StarConfig(

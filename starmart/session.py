@@ -18,21 +18,38 @@ ADAPTIVE_CONF = {
 }
 
 
+PARTITION_BYTES = 128 << 20
+
+
+def shuffle_partitions(size: int) -> int:
+    """Partitions of about 128 MiB, and never fewer than Spark's own default of 200."""
+    return max(200, -(-size // PARTITION_BYTES))
+
+
 def create_session(
     app_name: str = "starmart",
     *,
     master: str | None = None,
     packages: str | None = None,
     hive: bool = False,
+    largest_shuffle_bytes: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Get or create a session; ``packages`` may name a jar for an extra fact format."""
+    """Get or create a session; ``packages`` may name a jar for an extra fact format.
+
+    ``largest_shuffle_bytes`` is about the size of the largest table that is shuffled. It
+    sets the number of shuffle partitions, so that one fits in a task's memory; adaptive
+    execution merges small partitions again, but does not split large ones of even size.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     if packages:
         builder = builder.config("spark.jars.packages", packages)
-    for key, value in {**ADAPTIVE_CONF, **(conf or {})}.items():
+    settings = dict(ADAPTIVE_CONF)
+    if largest_shuffle_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(largest_shuffle_bytes))
+    for key, value in {**settings, **(conf or {})}.items():
         builder = builder.config(key, value)
     if hive:
         builder = builder.enableHiveSupport()

@@ -22,7 +22,7 @@ def arrivals(spark, *changes):
     )
 
 
-def rows_of(df, *order):
+def rows_of(df):
     """All rows as tuples, in a fixed order."""
     return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, str(v)) for v in r])
 

@@ -135,3 +135,8 @@ def test_only_local_sessions_make_a_folder():
         session.shared_folder(FakeSession("yarn"))
     local = FakeSession("local[2]")
     assert session.shared_folder(local) == session.shared_folder(local)
+
+
+def test_shuffle_partitions_follow_the_size():
+    assert session.shuffle_partitions(0) == 200
+    assert session.shuffle_partitions(10 * 2**40) == 81920
