@@ -68,7 +68,8 @@ def extract_code_list(
             "_line",
         )
     )
-    return pairs.groupBy(*by, code).agg(F.max_by(name, "_line").alias(name))
+    # The name breaks ties between texts that are not told apart by ``by``.
+    return pairs.groupBy(*by, code).agg(F.max_by(name, F.struct("_line", name)).alias(name))
 
 
 def visa_codes(spark: SparkSession, visa: CodeList = VISA_LIST) -> DataFrame:
