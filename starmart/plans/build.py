@@ -2,8 +2,9 @@
 
 Passes over each input:
 
-* The arrivals need no shuffle. Their checks read the checked columns only; the write
-  reads the input a second time and cleans it on the way.
+* The arrivals need no shuffle. From a columnar format their checks read the checked
+  columns only, and the write reads the input a second time and cleans it on the way. A
+  row format would be read in full both times, so it is staged like the others.
 * Demographics and temperatures are shuffled, so they are cleaned once into a staged
   Parquet table; checks and publishing read that.
 * Code lists are parsed again wherever they are used; their text is one small file, and
@@ -17,8 +18,10 @@ from __future__ import annotations
 
 import argparse
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +48,7 @@ from starmart.sources import (
 )
 
 FACT = "immigration"
+COLUMNAR_FORMATS = ("parquet", "orc")
 
 
 @dataclass(frozen=True)
@@ -82,6 +86,13 @@ def star_rules(warn_only: tuple[str, ...] = ()) -> dict[str, Rules]:
     }
 
 
+def _side_by_side(*writes: Callable[[], None]) -> None:
+    """Run independent writes at once, so that small tables do not wait for large ones."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for write in [pool.submit(write) for write in writes]:
+            write.result()
+
+
 def _watched(df: DataFrame, seen: Observation) -> DataFrame:
     return df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
@@ -97,10 +108,6 @@ def build_star(spark: SparkSession, config: StarConfig) -> BuildResult:
     stage_root = f"{shared_folder(spark)}/starmart-stage/{run}"
     seen = {name: Observation() for name in (FACT, "demographic", "temperature")}
 
-    def staged(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, f"{stage_root}/{name}")
-        return read_table(spark, f"{stage_root}/{name}")
-
     tables = build_code_lists(read_dictionary(spark, config.labels))
 
     def fact(raw: DataFrame) -> DataFrame:
@@ -111,33 +118,42 @@ def build_star(spark: SparkSession, config: StarConfig) -> BuildResult:
             df = conform_codes(df, "state_code", tables["state_codes"], "state_code", S.OTHER_STATE)
         return df
 
-    raw_arrivals = read_fact(
-        spark, config.arrivals, config.arrivals_format, **config.arrivals_options
-    )
-    tables[FACT] = fact(raw_arrivals)
-
-    raw = read_delimited(spark, config.demographic, ";", S.DEMOGRAPHIC_SCHEMA)
-    tables["demographic"] = staged(
-        "demographic", clean_demographic(_watched(raw, seen["demographic"]))
-    )
-    raw = read_delimited(spark, config.temperature, ",", S.TEMPERATURE_SCHEMA)
-    readings = clean_temperature(_watched(raw, seen["temperature"]))
-    tables["temperature"] = staged(
-        "temperature", enrich_temperature(readings, tables["country_codes"])
+    arrivals = read_fact(spark, config.arrivals, config.arrivals_format, **config.arrivals_options)
+    watched_fact = fact(_watched(arrivals, seen[FACT]))
+    cities = read_delimited(spark, config.demographic, ";", S.DEMOGRAPHIC_SCHEMA)
+    readings = read_delimited(spark, config.temperature, ",", S.TEMPERATURE_SCHEMA)
+    to_stage = {
+        "demographic": clean_demographic(_watched(cities, seen["demographic"])),
+        "temperature": enrich_temperature(
+            clean_temperature(_watched(readings, seen["temperature"])), tables["country_codes"]
+        ),
+    }
+    columnar = config.arrivals_format in COLUMNAR_FORMATS
+    if not columnar:
+        to_stage[FACT] = watched_fact
+    _side_by_side(
+        *(partial(write_table, df, f"{stage_root}/{name}") for name, df in to_stage.items())
     )
+    tables[FACT] = fact(arrivals)
+    tables |= {name: read_table(spark, f"{stage_root}/{name}") for name in to_stage}
 
     register_views(tables)
     report = enforce(quality_report(tables, star_rules(config.warn_only)))
 
-    for name, df in tables.items():
-        if name != FACT:
-            write_table(df, f"{config.output}/{name}")
-    arrivals = fact(_watched(raw_arrivals, seen[FACT]))
     path = f"{config.output}/{FACT}"
+    to_publish = watched_fact if columnar else tables[FACT]
     if config.monthly:
-        refresh_partitions(arrivals, path, rebalance=config.rebalance)
+        publish_fact = partial(refresh_partitions, to_publish, path, rebalance=config.rebalance)
     else:
-        write_table(arrivals, path)
+        publish_fact = partial(write_table, to_publish, path)
+    _side_by_side(
+        publish_fact,
+        *(
+            partial(write_table, df, f"{config.output}/{name}")
+            for name, df in tables.items()
+            if name != FACT
+        ),
+    )
 
     published = {name: read_table(spark, f"{config.output}/{name}") for name in tables}
     register_views(published)
@@ -151,9 +167,12 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("labels", "arrivals", "demographic", "temperature", "output"):
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--arrivals-format", default="parquet")
+    parser.add_argument("--arrivals-option", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--packages", help="jar of the arrivals format, as Maven coordinates")
     parser.add_argument("--monthly", action="store_true", help="partition by year and month")
     parser.add_argument("--rebalance", action="store_true", help="shuffle by month before writing")
+    parser.add_argument("--missing-departure", choices=("epoch", "null"), default="epoch")
+    parser.add_argument("--rename-visa", action="store_true")
     parser.add_argument("--conform-states", action="store_true")
     parser.add_argument("--warn-only", nargs="*", default=(), metavar="TABLE")
     parser.add_argument("--largest-shuffle-bytes", type=int, help="size of the largest shuffled input")
@@ -168,8 +187,11 @@ def main(argv: list[str] | None = None) -> None:
             temperature=args.temperature,
             output=args.output,
             arrivals_format=args.arrivals_format,
+            arrivals_options=dict(option.split("=", 1) for option in args.arrivals_option),
             monthly=args.monthly,
             rebalance=args.rebalance,
+            missing_departure=args.missing_departure,
+            rename_visa=args.rename_visa,
             conform_states=args.conform_states,
             warn_only=tuple(args.warn_only),
         ),

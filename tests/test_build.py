@@ -1,5 +1,6 @@
 import datetime
 import re
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -133,15 +134,17 @@ def test_command_line(spark, inputs, capsys):
     assert (Path(config.output) / "immigration" / "year=2016").is_dir()
 
 
-def test_passes_over_the_inputs(spark, inputs, monkeypatch):
-    """Arrivals: checked columns once, whole rows once. Shuffled inputs: once."""
-    plans = []
+@pytest.fixture
+def scans(spark, monkeypatch):
+    """The scans of all plans the build runs, as text."""
+    found = []
 
     def recorded(name):
         run = getattr(build, name)
 
         def wrapper(df, *args, **kwargs):
-            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            found.extend(line for line in plan.splitlines() if "FileScan" in line)
             return run(df, *args, **kwargs)
 
         monkeypatch.setattr(build, name, wrapper)
@@ -149,20 +152,31 @@ def test_passes_over_the_inputs(spark, inputs, monkeypatch):
     for name in ("write_table", "refresh_partitions", "enforce"):
         recorded(name)
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    try:
-        config = inputs()
-        build_star(spark, config)
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-
-    scans = [line for plan in plans for line in plan.splitlines() if "FileScan" in line]
+    yield lambda path: [line for line in found if f"{path}]" in line]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
-    def of(path):
-        return [line for line in scans if f"{path}]" in line or f"{path}," in line]
 
-    checked, whole = sorted((len(re.search("ReadSchema: struct<(.*)>", s)[1].split(",")) for s in of(config.arrivals)))
+def test_passes_over_the_inputs(spark, inputs, scans):
+    """Arrivals: checked columns once, whole rows once. Shuffled inputs: once."""
+    config = inputs()
+    build_star(spark, config)
+    checked, whole = sorted(
+        len(re.search("ReadSchema: struct<(.*)>", scan)[1].split(",")) for scan in scans(config.arrivals)
+    )
     # Six columns are checked; a filled state code cannot be NULL, so it is not even read.
     assert (checked, whole) == (5, 28)
-    assert len(of(config.demographic)) == len(of(config.temperature)) == 1
+    assert len(scans(config.demographic)) == len(scans(config.temperature)) == 1
     # Four lists are parsed for the check and for publishing, countries also for the join.
-    assert len(of(config.labels)) == 4 + 4 + 1
+    assert len(scans(config.labels)) == 4 + 4 + 1
+
+
+def test_a_row_format_is_read_once(spark, inputs, scans):
+    config = inputs()
+    expected = rows_of(build_star(spark, config).tables["immigration"])
+    path = config.arrivals + "_csv"
+    spark.read.parquet(config.arrivals).write.csv(path, header=True)
+    config = replace(config, arrivals=path, arrivals_format="csv", arrivals_options={"header": "true"})
+    result = build_star(spark, config)
+    assert len(scans(path)) == 1
+    assert rows_of(result.tables["immigration"]) == expected
+    assert result.counts["immigration.read"] == 3
