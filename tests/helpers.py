@@ -27,6 +27,7 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, str(v)) for v in r])
 
 
+# Lines in the forms such a dictionary has.
 DICTIONARY = """libname library 'somewhere' ;
 /* CIT - codes */
   value i94cntyl
