@@ -12,7 +12,12 @@ SAS_EPOCH = "1960-01-01"
 SAS_FIRST_DAY = -715509
 SAS_LAST_DAY = 2936549
 
-EIGHT_DIGITS = {"".join(fields) for fields in permutations(("yyyy", "MM", "dd"))}
+# What the digits of each field can be, and from that the texts an eight-digit pattern fits.
+FIELDS = {"yyyy": "(?!0000)[0-9]{4}", "MM": "(0[1-9]|1[0-2])", "dd": "(0[1-9]|[12][0-9]|3[01])"}
+EIGHT_DIGITS = {
+    "".join(order): "^" + "".join(FIELDS[field] for field in order) + r"\z"
+    for order in permutations(FIELDS)
+}
 
 
 def sas_days_to_date(days: Column) -> Column:
@@ -31,14 +36,14 @@ def sas_days_to_date(days: Column) -> Column:
 def text_to_date(text: Column, pattern: str) -> Column:
     """Text to a date by pattern; anything that is not exactly such a date gives NULL.
 
-    A pattern of eight digits is cut into year, month and day and cast from there.
-    ``try_to_date`` gives the same dates, but raises and catches an exception for each
-    text that is none.
+    A pattern of eight digits is cut into year, month and day and cast from there, once
+    month and day are in range. ``try_to_date`` gives the same dates, but raises and
+    catches an exception for each text that is none.
     """
     if pattern not in EIGHT_DIGITS:
         return F.try_to_date(text, pattern)
     year, month, day = (
-        F.substring(text, pattern.index(field) + 1, len(field)) for field in ("yyyy", "MM", "dd")
+        F.substring(text, pattern.index(field) + 1, len(field)) for field in FIELDS
     )
-    digits = text.rlike(r"^[0-9]{8}\z") & (year != "0000")
-    return F.when(digits, F.concat_ws("-", year, month, day).try_cast("date"))
+    iso = F.concat_ws("-", year, month, day)
+    return F.when(text.rlike(EIGHT_DIGITS[pattern]), iso.try_cast("date"))
