@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.llm.decontaminate import find_contamination
 from starmart.llm.line_dedup import dedup_lines
 from starmart.llm.quality import judge_quality
 from starmart.llm.sharding import balanced_shards
@@ -58,9 +59,45 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WORDS_SQL = f"""regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"""
+
+
 @query(
-    "op6_quality_rules",
+    "op4_decontaminate",
+    f"""
+    WITH d AS (SELECT doc_id, {WORDS_SQL} AS words FROM documents),
+    i AS (SELECT item_id, {WORDS_SQL} AS words FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, least(len(words), 13) AS n,
+               array_to_string(words[s : s + least(len(words), 13) - 1], ' ') AS w
+        FROM i, LATERAL (SELECT unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS s) WHERE len(words) > 0
+    ), lengths AS (SELECT DISTINCT n FROM windows),
+    runs AS (
+        SELECT doc_id, n, s, array_to_string(words[s : s + n - 1], ' ') AS w
+        FROM d, lengths, LATERAL (SELECT unnest(range(1, len(words) - n + 2)) AS s)
+    ), met AS (SELECT doc_id, n, s, item_id FROM runs JOIN windows USING (n, w)),
+    hit AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT DISTINCT doc_id, n, s FROM met), LATERAL (SELECT unnest(range(s, s + n)) AS p) GROUP BY doc_id
+    ), named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id FROM met) GROUP BY doc_id
+    )
+    SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
 )
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+@query("op6_quality_rules")
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(table(spark, sf_dir, "documents"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -74,7 +111,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 SHARDS_SQL = """
     WITH crc_table AS (
         SELECT list(list_reduce(list_prepend(k, range(8)),
-                   (c, i) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS crc_of
+                   lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS crc_of
         FROM range(256) t(k)
     ), texts AS (
         SELECT doc_id, text AS raw, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS digits FROM documents
@@ -83,8 +120,8 @@ SHARDS_SQL = """
                doc_id IS NOT NULL AS known, length(digits) // 2 + 1 AS size,
                xor(list_reduce(
                    list_prepend(4294967295::BIGINT, list_transform(range(length(digits) // 2),
-                       i -> ('0x' || substr(digits, 2 * i + 1, 2))::BIGINT)),
-                   (c, b) -> xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])
+                       lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::BIGINT)),
+                   lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])
                ), 4294967295::BIGINT) AS text_crc32
         FROM texts, crc_table
     ), summed AS (
