@@ -44,3 +44,13 @@ def staged(df: DataFrame, name: str, *, partition_by: str | None = None) -> Data
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Cut Arrow batches at 16 MiB instead of Spark's 64, so that Python workers stay small.
+
+    A bound that the session sets itself stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # the default
+        spark.conf.set(key, "16m")

@@ -11,6 +11,7 @@ from starmart.llm.decontaminate import find_contamination
 from starmart.llm.line_dedup import dedup_lines
 from starmart.llm.quality import judge_quality
 from starmart.llm.sharding import balanced_shards
+from starmart.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,3 +147,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -1,0 +1,93 @@
+"""SimHash near-dedup against brute force over all pairs."""
+
+import random
+
+import xxhash
+from llm_helpers import documents, find_root
+
+from starmart.llm import simhash
+from starmart.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_fingerprint(text, words_each=3):
+    words = []
+    for c in (text or "").translate(str.maketrans(simhash.UPPER, simhash.LOWER)).replace("\n", " ").split(" "):
+        words += [w for w in c.replace("\t", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if w]
+    if not words:
+        return 0
+    if len(words) < words_each:
+        shingles = [" ".join(words)]
+    else:
+        shingles = [" ".join(words[i : i + words_each]) for i in range(len(words) - words_each + 1)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_force(rows, distance=2):
+    prints = [plain_fingerprint(text) for _, text in rows]
+    distinct = sorted(set(prints))
+    parent = {p: p for p in distinct}
+    for i, a in enumerate(distinct):
+        for b in distinct[i + 1 :]:
+            if (a ^ b).bit_count() <= distance:
+                parent[find_root(parent, a)] = find_root(parent, b)
+    low = {}
+    for (doc, _), p in zip(rows, prints, strict=True):
+        if doc is not None:
+            root = find_root(parent, p)
+            low[root] = min(low.get(root, doc), doc)
+    return sorted(
+        ((doc, f"{p:016x}", low.get(find_root(parent, p))) for (doc, _), p in zip(rows, prints, strict=True)), key=str
+    )
+
+
+def test_query_on_the_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    found = [tuple(r) for r in QUERIES["op10_simhash"](spark, SF).collect()]
+    assert sorted(found, key=str) == brute_force(rows)
+
+
+def test_no_link_is_lost_and_none_is_made_up(spark):
+    rng = random.Random(4)
+    prints = set()
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        prints.add(base)
+        for _ in range(12):
+            near = base
+            for bit in rng.sample(range(64), rng.choice([1, 2, 2, 3])):
+                near ^= 1 << bit
+            prints.add(near)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    expected = {
+        (a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 2
+    }
+    df = spark.createDataFrame([(p,) for p in signed], "fp long")
+    found = simhash.linked_fingerprints(df).collect()
+    assert len(found) == len(expected) and {(r.u, r.v) for r in found} == expected
+
+
+def test_nulls_empty_long_and_repeated_texts(spark):
+    long_text = " ".join(f"w{i % 997}" for i in range(200_000))
+    rows = [
+        (5, None), (3, ""), (9, " \n\t"), (1, "Zwei Worte"), (2, "zwei  worte"), (7, long_text), (6, long_text),
+        (6, long_text), (None, "Zwei Worte"), (None, "nur hier und dort"),
+    ]
+    found = [tuple(r) for r in simhash.near_duplicates(documents(spark, rows)).collect()]
+    assert sorted(found, key=str) == brute_force(rows)
+    kept = simhash.drop_near_duplicates(documents(spark, rows))
+    assert kept.columns == documents(spark, rows).columns
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 3, 6]
+
+
+def test_clashing_names_and_empty_table(spark):
+    df = documents(spark, [(1, "a b c d"), (2, "a b c d")]).selectExpr("*", "1 AS fp", "2 AS component_id")
+    assert {r.component_id for r in simhash.near_duplicates(df).collect()} == {1}
+    assert [r.doc_id for r in simhash.drop_near_duplicates(df).collect()] == [1]
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_budgets_are_shares_of_the_ring():
+    assert simhash.budgets(5, 2) == [0, 0, 1, 1, 2]
