@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.decontaminate import find_contamination
+from starmart.llm.langid import identify_language
 from starmart.llm.line_dedup import dedup_lines
 from starmart.llm.quality import judge_quality
 from starmart.llm.sharding import balanced_shards
@@ -152,3 +153,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_language(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
