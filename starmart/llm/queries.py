@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starmart.llm.decontaminate import find_contamination
 from starmart.llm.langid import identify_language
 from starmart.llm.line_dedup import dedup_lines
+from starmart.llm.packing import pack_documents
 from starmart.llm.quality import judge_quality
 from starmart.llm.sharding import balanced_shards
 from starmart.llm.simhash import near_duplicates
@@ -159,3 +160,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify_language(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))

@@ -1,0 +1,100 @@
+"""Packing: exact round trip of all ids, valid sequences, few of them."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_helpers import documents
+from tokenizers import Tokenizer
+
+from starmart.llm import packing
+from starmart.llm.queries import QUERIES
+from starmart.llm.tokens import WordTokenizer
+
+SF = "/root/testdata/sf0.01"
+ODD = [
+    "", "a", "Hello<|endoftext|>x <|startoftext|>", "<|EndOfText|> HELLO", "İstanbul ΣΑΣ", "é a ̈b ﬁ ǆ",
+    "don't I'M we'll ' 'S'T", "1234 ½² ٣ a\x00b \x7f~!@", "\x1c\x1d a\x85b x　y", "日本語 テスト 😀👍🏽", "ÀB'S 'Été K Å ÷×",
+]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return lambda text: model.encode(text or "", add_special_tokens=False).ids
+
+
+def check_packing(rows, texts, plain, capacity):
+    """``rows`` against the plain tokenizer; ``texts`` by id, several if the id comes again."""
+    expected = []
+    for doc, text in texts:
+        ids = [*plain(text), 0]
+        for n, at in enumerate(range(0, len(ids), capacity)):
+            cut = np.array(ids[at : at + capacity], "<u4").tobytes()
+            expected.append((doc, n, at, len(cut) // 4, zlib.crc32(cut)))
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows), key=key) == sorted(expected, key=key)
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(sequences), -(-sum(r.length for r in rows) // capacity)
+
+
+def test_query_on_the_whole_table(spark, plain):
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    used, least = check_packing(QUERIES["op5_packing"](spark, SF).collect(), texts, plain, 2048)
+    assert used <= least + 1
+
+
+def test_odd_texts_repeated_rows_and_kept_ids(spark, plain):
+    texts = [(i, t) for i, t in enumerate(ODD)] + [(3, ODD[3]), (None, "no id"), (90, None), (91, "wort " * 30_000)]
+    rows = packing.pack_documents(documents(spark, texts), capacity=64, keep_ids=True).collect()
+    used, least = check_packing(rows, texts, plain, 64)
+    assert used <= least + 2
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+
+
+def test_empty_table_and_clashing_names(spark, plain):
+    df = documents(spark, [(1, "x y"), (2, "z")]).selectExpr("*", "1 AS piece", "2 AS sequence_id")
+    check_packing(packing.pack_documents(df).collect(), [(1, "x y"), (2, "z")], plain, 2048)
+    assert packing.pack_documents(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack_documents(df.withColumnRenamed("doc_id", "id").withColumnRenamed("piece", "ids"), id="ids")
+
+
+def test_special_texts_can_be_plain(plain):
+    words = WordTokenizer(special=False)
+    assert len(words.ids(b"a <|endoftext|>")) // 4 > 2
+
+
+def test_evolution_beats_best_fit_where_best_fit_fails():
+    # Triplets that fill a bin exactly: largest first pairs the wrong ones.
+    rng = np.random.default_rng(1)
+    lengths = []
+    for _ in range(20):
+        a, b = int(rng.integers(380, 490)), int(rng.integers(250, 310))
+        lengths += [a, b, 1000 - a - b]
+    plain_bins = packing.first_packing(lengths, 1000, rng, False)
+    elites = [packing.evolve(lengths, 1000, [], seed) for seed in (1, 2)]
+    for epoch in range(6):
+        elites = [packing.evolve(lengths, 1000, elites, epoch * 2 + i) for i in range(2)]
+    assert len(elites[0]) < len(plain_bins)
+    assert sorted(p for b in elites[0] for p in b) == list(range(60))
+    assert all(sum(lengths[p] for p in b) <= 1000 for b in elites[0])
+
+
+def test_a_child_has_every_piece_once():
+    rng = np.random.default_rng(2)
+    lengths = rng.integers(1, 900, 300).tolist()
+    a, b = (packing.first_packing(lengths, 1000, np.random.default_rng(s), True) for s in (1, 2))
+    child = packing.cross(a, b, lengths, 1000, rng)
+    assert sorted(p for x in child for p in x) == list(range(300))
+    assert all(sum(lengths[p] for p in x) <= 1000 for x in child)
