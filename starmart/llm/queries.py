@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starmart.llm.decontaminate import find_contamination
 from starmart.llm.langid import identify_language
 from starmart.llm.line_dedup import dedup_lines
+from starmart.llm.lm import score_documents
 from starmart.llm.packing import pack_documents
 from starmart.llm.quality import judge_quality
 from starmart.llm.sharding import balanced_shards
@@ -165,3 +166,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op7_lm_score")
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
