@@ -12,6 +12,7 @@ from starmart.llm.langid import identify_language
 from starmart.llm.line_dedup import dedup_lines
 from starmart.llm.lm import score_documents
 from starmart.llm.packing import pack_documents
+from starmart.llm.pii import KINDS, find_personal_data
 from starmart.llm.quality import judge_quality
 from starmart.llm.sharding import balanced_shards
 from starmart.llm.simhash import near_duplicates
@@ -171,3 +172,21 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_lm_score")
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents")).select("doc_id", "spans")
+    order = {kind: i for i, kind in enumerate(KINDS)}
+    rank = F.create_map(*(F.lit(x) for pair in order.items() for x in pair))
+    ordered = F.array_sort(
+        F.transform("spans", lambda s: F.struct(rank[s["kind"]].alias("rank"), s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"), s["plain"].alias("plain")))
+    )
+    found = found.select("doc_id", ordered.alias("spans"))
+    plain = F.filter("spans", lambda s: s["plain"])
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["plain"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *(count(k) for k in KINDS), F.sha2(joined(plain), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
