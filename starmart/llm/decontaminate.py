@@ -186,8 +186,11 @@ def find_contamination(
     keyed = docs.select(k1.alias("_llm_k1"), k2.alias("_llm_k2"), whole_text(text).alias("_llm_text"))
     keys = ["_llm_k1", "_llm_k2"]
     worded = keyed.select(*keys, word_list(F.col("_llm_text")).alias("_llm_words"))
+    # The hashes alone are a small table; the words around them are joined to what has met only.
+    hashes = staged(seeds.select("k", "hash").distinct(), "bench-hashes")
     met = (
         fingerprints(worded, keys, "_llm_words", short)
+        .join(hashes, ["k", "hash"], "left_semi")
         .join(seeds, ["k", "hash"])
         .groupBy(*keys)
         .agg(F.collect_set(F.struct("place", "seed")).alias("_llm_hits"))
@@ -197,10 +200,9 @@ def find_contamination(
         keyed.join(met, keys)
         .select(*keys, "_llm_hits", word_list(F.col("_llm_text")).alias("_llm_words"))
         .select(*keys, spans_of("_llm_words", "_llm_hits").alias("_llm_all"))
-        .where(F.size("_llm_all") > 0)
-        .dropDuplicates(keys)
     )
-    spans = staged(spans, "bench-spans")
+    # Staged before it is filtered: pushed below, the filter would split the text anew for every word it compares.
+    spans = staged(spans, "bench-spans").where(F.size("_llm_all") > 0).dropDuplicates(keys)
     ranges = F.array_distinct(F.transform("_llm_all", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))
     places = F.array_distinct(F.flatten(F.transform(ranges, lambda s: F.sequence(s["start"], s["stop"] - 1))))
     items = (
