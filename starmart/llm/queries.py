@@ -16,6 +16,7 @@ from starmart.llm.pii import KINDS, find_personal_data
 from starmart.llm.quality import judge_quality
 from starmart.llm.sharding import balanced_shards
 from starmart.llm.simhash import near_duplicates
+from starmart.llm.token_counts import count_document_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -190,3 +191,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(count(k) for k in KINDS), F.sha2(joined(plain), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_document_tokens(table(spark, sf_dir, "documents"))
+    part = F.regexp_extract("path", r"part-(\d+)", 1).cast("long")
+    return counted.select(part.alias("file"), "document", "start", "n_tokens", "closed")
