@@ -50,6 +50,7 @@ BEFORE = re.compile(r"([^\W\d_]+)[^\w]*\Z")
 CONTEXTS = 64  # buckets for the word before
 FORM_OTHER, FORM_PLAIN, FORM_HIDDEN = 0, 1, 2
 ROUNDS = 12  # of message passing
+AGREEMENT = 4.0  # log potential of equal labels along a skip edge, before training
 TAIL = 8  # numbers with so many last digits in common are kin
 
 
@@ -155,14 +156,23 @@ def places_of(text: str) -> tuple[list[tuple[int, int, int]], list[Place]]:
 
 
 def skip_edges(nodes: list[Place]) -> list[tuple[int, int]]:
-    """From each place to the next of the same kin: distant ones are tied through those between."""
-    last: dict[tuple[str, str], int] = {}
+    """From each place to the next of the same kin, and from those in another form to a plain find of their kin.
+
+    Edges are about as many as places, not as pairs; distant places are tied through those between.
+    """
     edges = set()
-    for i, node in enumerate(nodes):
-        for kin in node.kin:
-            if kin in last:
-                edges.add((last[kin], i))
-            last[kin] = i
+    for order in (range(len(nodes)), reversed(range(len(nodes)))):
+        last: dict[tuple[str, str], int] = {}
+        plain: dict[tuple[str, str], int] = {}
+        for i in order:
+            for kin in nodes[i].kin:
+                if kin in last:
+                    edges.add((min(last[kin], i), max(last[kin], i)))
+                if nodes[i].label is None and kin in plain:
+                    edges.add((min(plain[kin], i), max(plain[kin], i)))
+                last[kin] = i
+                if nodes[i].label is not None:
+                    plain[kin] = i
     return sorted(edges)
 
 
@@ -217,9 +227,16 @@ class SkipChain:
 
 
 def fit(counts: dict[tuple[int, ...], int], *, steps: int = 400, rate: float = 0.5, weight: float = 2e-3) -> SkipChain:
-    """Ascend the pseudo-likelihood of the counted situations, with a quadratic penalty."""
+    """Ascend the pseudo-likelihood of the counted situations, with a quadratic penalty.
+
+    Potentials are drawn to 0, those of equal labels along a skip edge to ``AGREEMENT``: kin agrees unless the
+    documents show otherwise, also for a kind that they never repeat.
+    """
     sizes = {"shape": (len(KINDS), LABELS), "context": (CONTEXTS, LABELS), "form": (3, LABELS)}
     p = {k: np.zeros(v) for k, v in sizes.items()} | {k: np.zeros((LABELS + 1, LABELS)) for k in ("chain", "skip")}
+    drawn_to = {k: np.zeros_like(v) for k, v in p.items()}
+    drawn_to["skip"][:LABELS] = AGREEMENT * np.eye(LABELS)
+    p["skip"] += drawn_to["skip"]
     rows = sorted(counts)
     if rows:
         table = np.array(rows)
@@ -236,7 +253,7 @@ def fit(counts: dict[tuple[int, ...], int], *, steps: int = 400, rate: float = 0
             error /= -error.sum(axis=1, keepdims=True)
             error[np.arange(len(table)), table[:, 7]] += 1
             error *= share[:, None]
-            step = {k: -weight * v for k, v in p.items()}
+            step = {k: weight * (drawn_to[k] - v) for k, v in p.items()}
             for name, c in parts:
                 np.add.at(step[name], table[:, c], error)
             for k in p:
