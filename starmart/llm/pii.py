@@ -50,7 +50,7 @@ BEFORE = re.compile(r"([^\W\d_]+)[^\w]*\Z")
 CONTEXTS = 64  # buckets for the word before
 FORM_OTHER, FORM_PLAIN, FORM_HIDDEN = 0, 1, 2
 ROUNDS = 12  # of message passing
-AGREEMENT = 4.0  # log potential of equal labels along a skip edge, before training
+AGREEMENT = 6.0  # log potential of equal labels along a skip edge, before training
 TAIL = 8  # numbers with so many last digits in common are kin
 
 
@@ -274,7 +274,7 @@ def beliefs(model: SkipChain, text: str, nodes: list[Place]) -> np.ndarray:
     )
     for i, n in enumerate(nodes):
         if n.label is not None:  # a plain find is certain
-            local[i] = -50.0
+            local[i] = -1e6
             local[i, n.label] = 0.0
     skips = skip_edges(nodes)
     chains = [(i, i + 1) for i in range(len(nodes) - 1)]
