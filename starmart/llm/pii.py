@@ -156,23 +156,21 @@ def places_of(text: str) -> tuple[list[tuple[int, int, int]], list[Place]]:
 
 
 def skip_edges(nodes: list[Place]) -> list[tuple[int, int]]:
-    """From each place to the next of the same kin, and from those in another form to a plain find of their kin.
+    """Ties between places of the same kin: to the plain find before, or the first one; to the next place if none is plain.
 
-    Edges are about as many as places, not as pairs; distant places are tied through those between.
+    So there are about as many edges as places, not as pairs, and each place hears a plain find at first hand.
     """
-    edges = set()
-    for order in (range(len(nodes)), reversed(range(len(nodes)))):
-        last: dict[tuple[str, str], int] = {}
-        plain: dict[tuple[str, str], int] = {}
-        for i in order:
-            for kin in nodes[i].kin:
-                if kin in last:
-                    edges.add((min(last[kin], i), max(last[kin], i)))
-                if nodes[i].label is None and kin in plain:
-                    edges.add((min(plain[kin], i), max(plain[kin], i)))
+    first_plain: dict[tuple[str, str], int] = {}
+    for i in reversed(range(len(nodes))):
+        if nodes[i].label is not None:
+            first_plain.update((kin, i) for kin in nodes[i].kin)
+    edges, last = set(), {}
+    for i, node in enumerate(nodes):
+        for kin in node.kin:
+            if (other := last.get(kin, first_plain.get(kin))) not in (None, i):
+                edges.add((min(other, i), max(other, i)))
+            if kin not in first_plain or node.label is not None:
                 last[kin] = i
-                if nodes[i].label is not None:
-                    plain[kin] = i
     return sorted(edges)
 
 
