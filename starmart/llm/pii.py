@@ -166,7 +166,7 @@ def skip_edges(nodes: list[Place]) -> list[tuple[int, int]]:
             first_plain.update((kin, i) for kin in nodes[i].kin)
     edges, last = set(), {}
     for i, node in enumerate(nodes):
-        for kin in node.kin:
+        for kin in [k for k in node.kin if k in first_plain] or node.kin:
             if (other := last.get(kin, first_plain.get(kin))) not in (None, i):
                 edges.add((min(other, i), max(other, i)))
             if kin not in first_plain or node.label is not None:
