@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import bound_batches
+from starmart.llm.common import bound_batches, staged
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -69,6 +69,8 @@ def sample_features(docs: DataFrame, text: str, lang: str, key: Column, per_lang
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     last = docs.select("lang", "key").withColumn("nth", nth).where(F.col("nth") <= per_language)
     last = last.groupBy("lang").agg(F.max("key").alias("last"))
+    # A row a language, staged so that it is found once; the texts are filtered where they are, not shuffled by language.
+    last = F.broadcast(staged(last, "language-samples"))
     chosen = docs.join(last, "lang").where("key <= last").dropDuplicates(["lang", "key"])
 
     def count_subwords(batches):
