@@ -79,13 +79,16 @@ def fingerprints(df: DataFrame, keys: Sequence[str], words: str, short: Sequence
     )
     marks = F.when(F.size("_llm_m6") > 0, least).otherwise(F.array().cast("array<struct<k:int,hash:bigint,place:int>>"))
     for k in short:
-        every = F.transform(
-            f"_llm_g{k}", lambda h, i, k=k: F.struct(F.lit(k).alias("k"), seed_hash(h).alias("hash"), i.alias("place"))
-        )
-        marks = F.concat(marks, every)
+        marks = F.concat(marks, all_marks(k))
     return df.select(*keys, F.explode(marks).alias("mark")).select(*keys, "mark.*")
 
 
+def all_marks(k: int) -> Column:
+    return F.transform(
+        f"_llm_g{k}", lambda h, i: F.struct(F.lit(k).alias("k"), seed_hash(h).alias("hash"), i.alias("place"))
+    )
+
+
 def low_bits(tagged: Column, j: Column) -> Column:
     """How far behind place ``j`` the tagged hash stands: the difference of the places modulo 8."""
     own = tagged.bitwiseAND(F.lit(7).cast("long")).cast("int")

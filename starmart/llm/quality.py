@@ -39,13 +39,13 @@ class Rule:
 
 
 def per_word(measure: str) -> Column:
-    return F.col(measure) / F.col("n_words")
+    return F.try_divide(measure, "n_words")  # null without words
 
 
 def default_rules() -> list[Rule]:
     n_words, length = F.col("n_words"), per_word("word_chars")
     symbols, repeats = per_word("n_symbols"), per_word("n_repeat_words")
-    dup_lines = F.col("n_dup_lines") / F.col("n_word_lines")
+    dup_lines = F.try_divide("n_dup_lines", "n_word_lines")
     return [
         Rule("length", n_words < 50, n_words >= 100),
         Rule("word_length", (length < 2.5) | (length > 12), length.between(3.5, 9)),
