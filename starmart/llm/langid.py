@@ -30,17 +30,20 @@ from starmart.llm.common import bound_batches, staged
 UNKNOWN = "und"
 BUCKETS = 1 << 15
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-KEPT_TOKENS = 200_000  # a task forgets the tokens it knows beyond so many, and starts anew
+KEPT_TOKENS = 400_000  # a task forgets the tokens or words it knows beyond so many, and starts anew
+
+
+def word_subwords(word: str) -> list[int]:
+    """The buckets of a lower-cased word: its runs of 2 to 4 bytes, with marks for both ends."""
+    marked = f"<{word}>".encode()
+    return [
+        zlib.crc32(marked[i : i + n]) & (BUCKETS - 1) for n in (2, 3, 4) for i in range(len(marked) - n + 1)
+    ]
 
 
 def subwords(token: str) -> list[int]:
-    """The buckets of a lower-cased token: its n-grams of 2 to 4 letters, with marks for both ends."""
-    found = []
-    for word in LETTERS.findall(token):
-        marked = f"<{word}>"
-        for n in (2, 3, 4):
-            found += [zlib.crc32(marked[i : i + n].encode()) % BUCKETS for i in range(len(marked) - n + 1)]
-    return found
+    """The buckets of all words of a token."""
+    return [b for word in LETTERS.findall(token) for b in word_subwords(word)]
 
 
 @dataclass(frozen=True)
@@ -173,20 +176,35 @@ def fit_languages(
 def predict_column(model: LanguageModel | None, text: Column, spark) -> Column:
     """A struct of ``lang_pred``, ``score`` and ``rejected``."""
     shared = spark.sparkContext.broadcast(model)  # BUCKETS x languages floats
-    known: dict[str, int] = {}
+    known: dict[str, int] = {}  # token to row
+    words: dict[str, int] = {}  # word to row; "thing" and "thing," share one
     state: dict[str, np.ndarray] = {}
 
-    def row_of(token: str) -> int:
-        row = known.get(token)
-        if row is None:
-            row = known[token] = len(known)
-            if row >= len(state["rows"]):
-                state["rows"] = np.concatenate([state["rows"], np.zeros_like(state["rows"])])
-            buckets = subwords(token)
-            if buckets:
-                state["rows"][row, :-1] = shared.value.scores[buckets].sum(axis=0)
-                state["rows"][row, -1] = len(buckets)
-        return row
+    def learn(tokens: set[str]) -> None:
+        """Give each token a row: summed scores of its subwords, and their number."""
+        starts, buckets = [], []
+        first = row = state["used"]
+        for token in tokens:
+            found = LETTERS.findall(token)
+            name = found[0] if len(found) == 1 else token
+            at = words.get(name)
+            if at is None:
+                own = [b for word in found for b in word_subwords(word)]
+                if not own:  # no letters: row 0
+                    at = 0
+                else:
+                    starts.append(len(buckets))
+                    buckets += own
+                    at, row = row, row + 1
+                words[name] = at
+            known[token] = at
+        if row == first:
+            return
+        while row > len(state["rows"]):
+            state["rows"] = np.concatenate([state["rows"], np.zeros_like(state["rows"])])
+        state["rows"][first:row, :-1] = np.add.reduceat(shared.value.scores[buckets], starts, axis=0)
+        state["rows"][first:row, -1] = np.diff([*starts, len(buckets)])
+        state["used"] = row
 
     @F.arrow_udf("struct<lang_pred: string, score: double, rejected: boolean>")
     def predict(texts: pa.Array) -> pa.Array:
@@ -197,9 +215,13 @@ def predict_column(model: LanguageModel | None, text: Column, spark) -> Column:
             tokens = (value.as_py() or "").lower().split()
             if len(known) > KEPT_TOKENS or "rows" not in state:
                 known.clear()
-                state["rows"] = np.zeros((1024, width), np.float32)
+                words.clear()
+                state.update(rows=np.zeros((1024, width), np.float32), used=1)
             for at in range(0, len(tokens), KEPT_TOKENS):
-                rows = np.fromiter(map(row_of, tokens[at : at + KEPT_TOKENS]), np.int64)
+                part = tokens[at : at + KEPT_TOKENS]
+                if new := set(part).difference(known):
+                    learn(new)
+                rows = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
                 sums[i] += state["rows"][rows].sum(axis=0, dtype=np.float64)
         named = np.full(len(texts), UNKNOWN, object)
         score = np.zeros(len(texts))
