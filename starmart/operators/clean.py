@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions import quoted, to_int_or_null
+from starmart.schemas import MALFORMED
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +33,17 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, float | str | bool]) ->
     skipped = sorted(set(defaults) - set(kept))
     if skipped:
         log.warning("defaults not of the column's type, skipped: %s", ", ".join(skipped))
-    return df.na.fill(kept) if kept else df
+
+
+    def filled(name: str, value: float | str | bool):
+        kind = df.schema[name].dataType
+        column = quoted(name)
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            column = F.when(~F.isnan(column), column)
+        return F.coalesce(column, F.lit(value).cast(kind))
+
+    # Not ``na.fill``, which takes a dot in a name for a path.
+    return df.withColumns({name: filled(name, value) for name, value in kept.items()}) if kept else df
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str], *, strict: bool = False) -> DataFrame:
@@ -72,12 +83,16 @@ def select_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop rows with a NULL (or NaN) in any of the columns.
 
-    Written as plain NULL tests, which unlike ``dropna`` reach the scan.
+    Written as plain NULL tests, which unlike ``dropna`` reach the scan. Of a table read from text, a row
+    stays whose value was there but could not be read: the report counts it.
     """
     for name in columns:
-        df = df.filter(quoted(name).isNotNull())
+        kept = quoted(name).isNotNull()
         if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            df = df.filter(~F.isnan(quoted(name)))
+            kept = kept & ~F.isnan(quoted(name))
+        if MALFORMED in df.columns:
+            kept = kept | F.array_contains(quoted(MALFORMED), name)
+        df = df.filter(kept)
     return df
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import count_null
+from starmart.schemas import MALFORMED
 
 ERROR = "error"
 WARN = "warn"
@@ -30,9 +31,13 @@ class QualityError(ValueError):
 
 @dataclass(frozen=True)
 class Rules:
-    """Checks of one table: a row count it must not have, and columns without NULL."""
+    """Checks of one table: a row count it must not have, columns without NULL, and values that can be read.
+
+    ``malformed`` has (source name, column) pairs; they are checked where a table was read from text.
+    """
 
     not_null: Sequence[str] = ()
+    malformed: Sequence[tuple[str, str]] = ()
     forbidden_rows: int = 0
     severity: str = ERROR
 
@@ -42,9 +47,14 @@ def table_report(name: str, df: DataFrame, rules: Rules) -> DataFrame:
 
     Only the checked columns are read, and all checks share one aggregate.
     """
+    malformed = rules.malformed if MALFORMED in df.columns else ()
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *(count_null(c).alias(f"_null{i}") for i, c in enumerate(rules.not_null)),
+        *(
+            F.count_if(F.array_contains(MALFORMED, source)).alias(f"_malformed{i}")
+            for i, (source, _) in enumerate(malformed)
+        ),
     )
 
     def line(check, column, observed, passed):
@@ -62,6 +72,9 @@ def table_report(name: str, df: DataFrame, rules: Rules) -> DataFrame:
     for i, column in enumerate(rules.not_null):
         nulls = F.col(f"_null{i}")
         lines.append(line("null_count", column, nulls, nulls == 0))
+    for i, (_, column) in enumerate(malformed):
+        values = F.col(f"_malformed{i}")
+        lines.append(line("malformed_count", column, values, values == 0))
     return counts.select(F.inline(F.array(*lines)))
 
 
@@ -85,7 +98,7 @@ def enforce(report: DataFrame) -> list:
 
 def check_row_count(name: str, df: DataFrame, forbidden_rows: int = 0) -> int:
     """Fail if the table has exactly ``forbidden_rows`` rows; give its row count (an action)."""
-    return enforce(table_report(name, df, Rules((), forbidden_rows)))[0]["observed"]
+    return enforce(table_report(name, df, Rules(forbidden_rows=forbidden_rows)))[0]["observed"]
 
 
 def check_nulls(name: str, df: DataFrame, columns: Sequence[str]) -> None:

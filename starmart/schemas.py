@@ -67,15 +67,15 @@ DEMOGRAPHIC = (
     SourceColumn("City", "string", "city"),
     SourceColumn("State", "string", "state_name"),
     SourceColumn("Median Age", "double", "median_age"),
-    SourceColumn("Male Population", "int", "male_population", required=True),
-    SourceColumn("Female Population", "int", "female_population", required=True),
-    SourceColumn("Total Population", "int", "total_population"),
-    SourceColumn("Number of Veterans", "int", "number_of_veterans", required=True),
-    SourceColumn("Foreign-born", "int", "foreign_born", required=True),
+    SourceColumn("Male Population", "long", "male_population", required=True),
+    SourceColumn("Female Population", "long", "female_population", required=True),
+    SourceColumn("Total Population", "long", "total_population"),
+    SourceColumn("Number of Veterans", "long", "number_of_veterans", required=True),
+    SourceColumn("Foreign-born", "long", "foreign_born", required=True),
     SourceColumn("Average Household Size", "double", "average_household_size", required=True),
     SourceColumn("State Code", "string", "state_code"),
     SourceColumn("Race", "string", "race"),
-    SourceColumn("Count", "int", "count"),
+    SourceColumn("Count", "long", "count"),
 )
 
 # Header names, final names and required columns of the temperature series.
@@ -143,12 +143,21 @@ NOT_NULL = {
 
 TYPES = {
     "string": T.StringType(),
-    "int": T.IntegerType(),
+    "long": T.LongType(),
     "double": T.DoubleType(),
     "date": T.DateType(),
 }
 
 
+# Of a table read from text: the source names of the values that could not be read.
+MALFORMED = "_malformed"
+
+
+def typed(columns: tuple[SourceColumn, ...]) -> list[tuple[str, str]]:
+    """Source and final names of the columns that text must be converted for."""
+    return [(c.source, c.final) for c in columns if c.type != "string"]
+
+
 def struct_type(columns: tuple[SourceColumn, ...]) -> T.StructType:
     return T.StructType([T.StructField(c.source, TYPES[c.type]) for c in columns])
 

@@ -2,20 +2,34 @@
 
 from starmart.sources.readers import (
     literal_table,
+    read_by_name,
     read_delimited,
     read_dictionary,
     read_fact,
     read_table,
 )
-from starmart.sources.writers import refresh_partitions, register_views, write_table
+from starmart.sources.writers import (
+    mark_complete,
+    move_folder,
+    refresh_partitions,
+    register_views,
+    remove_folder,
+    subfolders,
+    write_table,
+)
 
 __all__ = [
     "literal_table",
+    "mark_complete",
+    "move_folder",
+    "read_by_name",
     "read_delimited",
     "read_dictionary",
     "read_fact",
     "read_table",
     "refresh_partitions",
     "register_views",
+    "remove_folder",
+    "subfolders",
     "write_table",
 ]

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.schemas import ARRIVALS_SCHEMA
+from starmart.functions import quoted
+from starmart.schemas import ARRIVALS, ARRIVALS_SCHEMA, MALFORMED, SourceColumn
+
+TEXT_FORMATS = ("csv",)
 
 
 def read_fact(
@@ -18,13 +21,65 @@ def read_fact(
     schema: T.StructType | None = ARRIVALS_SCHEMA,
     **options: str,
 ) -> DataFrame:
-    """Scan a fact in any format the session can load; ``schema=None`` takes the file's own."""
+    """Scan a fact in any format the session can load; ``schema=None`` takes the file's own.
+
+    The arrivals' text formats with a header line are read by its names, see :func:`read_by_name`; without
+    one the columns stand in the schema's order.
+    """
+    header = {k.lower(): str(v).lower() for k, v in options.items()}.get("header") == "true"
+    if fmt in TEXT_FORMATS and header and schema is ARRIVALS_SCHEMA:
+        return read_by_name(spark, path, ARRIVALS, fmt, **options)
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
 
 
+def _converted(text: Column, kind: str) -> Column:
+    """The text as a value; NULL where it cannot be one. Ordinary numbers are told by their form, without exceptions."""
+    text = F.trim(text)
+    if kind == "long":
+        whole = F.when(text.rlike(r"^[+-]?[0-9]{1,18}$"), text.try_cast("bigint"))
+        number = F.when(text.rlike(r"^[+-]?[0-9]*\.?[0-9]*([eE][+-]?[0-9]+)?$"), text.try_cast("double"))
+        in_range = (number == F.floor(number)) & (F.abs(number) < 9e18)
+        return F.coalesce(whole, F.when(in_range, number.try_cast("bigint")))
+    return text.try_cast(kind)
+
+
+def read_by_name(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[SourceColumn],
+    fmt: str = "csv",
+    **options: str,
+) -> DataFrame:
+    """Scan text with a header line: columns are found by name in any order, others are left out.
+
+    A column that the header lacks is an error. Values are read as text and converted by form and range, so
+    ``100.0`` and ``3000000000`` are whole numbers. What is there but cannot be converted becomes NULL, and its
+    column is named in the array ``_malformed``, by which cleaning tells it from an empty value and the report
+    counts it.
+    """
+    reader = spark.read.format(fmt).options(**{**options, "header": "true", "inferSchema": "false"})
+    header = reader.load(path).columns
+    missing = [c.source for c in columns if c.source not in header]
+    if missing:
+        raise ValueError(f"columns missing in the header: {', '.join(missing)}")
+    # Every file's header is held against the first one's, so files in another order fail.
+    names = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    raw = reader.option("enforceSchema", "false").schema(names).load(path)
+
+    def value(c: SourceColumn) -> Column:
+        return quoted(c.source) if c.type == "string" else _converted(quoted(c.source), c.type)
+
+    bad = [
+        F.when((F.trim(quoted(c.source)) != "") & value(c).isNull(), F.lit(c.source))
+        for c in columns
+        if c.type != "string"
+    ]
+    return raw.select(*(value(c).alias(c.source) for c in columns), F.array_compact(F.array(*bad)).alias(MALFORMED))
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -34,8 +89,8 @@ def read_delimited(
     """Scan a CSV file with a header line.
 
     With a schema the header is checked against it by name, so swapped columns fail
-    instead of being read into each other. Without one, types are inferred, which
-    reads the file once more.
+    instead of being read into each other, and what a type cannot hold is NULL. Without one,
+    types are inferred, which reads the file once more.
     """
     reader = spark.read.option("header", True).option("sep", sep)
     if schema is None:

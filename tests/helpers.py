@@ -7,9 +7,9 @@ from starmart import schemas as S
 COMPLETE_ARRIVAL = {
     "cicid": 6.0, "i94yr": 2016.0, "i94mon": 4.0, "i94cit": 692.0, "i94res": 692.0, "i94port": "XXX",
     "arrdate": 20573.0, "i94mode": 1.0, "i94addr": "CA", "depdate": 20582.0, "i94bir": 37.0,
-    "i94visa": 2.0, "count": 1.0, "dtadfile": "20160429", "visapost": "QTO", "occup": "STU",
+    "i94visa": 2.0, "count": 1.0, "dtadfile": "20160429", "visapost": "ABC", "occup": "DEF",
     "entdepa": "T", "entdepd": "O", "entdepu": "U", "matflag": "M", "biryear": 1979.0,
-    "dtaddto": "10282016", "gender": "F", "insnum": "1", "airline": "AA", "admnum": 1897628485.0,
+    "dtaddto": "10282016", "gender": "F", "insnum": "1", "airline": "AA", "admnum": 1234567890.0,
     "fltno": "00011", "visatype": "B2",
 }
 

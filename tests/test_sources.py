@@ -23,12 +23,12 @@ def test_demographic_file(spark, tmp_path):
     path.write_text(
         "City;State;Median Age;Male Population;Female Population;Total Population;Number of Veterans;"
         "Foreign-born;Average Household Size;State Code;Race;Count\n"
-        "Silver Spring;Maryland;33.8;40601;41862;82463;1562;30908;2.6;MD;Hispanic or Latino;25924\n"
-        "Quincy;Massachusetts;41.0;;49500;93629;4147;32935;2.39;MA;White;58723\n"
+        "Oneham;Firstland;30.5;1000;1100;2100;50;300;2.5;FL;Group A;900\n"
+        "Twoham;Secondland;40.0;;1200;2200;60;400;2.25;SL;Group B;800\n"
     )
     df = read_delimited(spark, str(path), ";", DEMOGRAPHIC_SCHEMA)
     assert df.schema == DEMOGRAPHIC_SCHEMA
-    assert [r["Male Population"] for r in df.collect()] == [40601, None]
+    assert [r["Male Population"] for r in df.collect()] == [1000, None]
     inferred = read_delimited(spark, str(path), ";")
     assert dict(inferred.dtypes)["Total Population"] == "int"
     assert rows_of(inferred) == rows_of(df)
@@ -63,7 +63,8 @@ def test_fact_in_any_format(spark, tmp_path):
     expected = rows_of(df)
     assert rows_of(read_fact(spark, str(tmp_path / "p"))) == expected
     assert rows_of(read_fact(spark, str(tmp_path / "o"), "orc")) == expected
-    assert rows_of(read_fact(spark, str(tmp_path / "c"), "csv", header="true", sep="|")) == expected
+    text = read_fact(spark, str(tmp_path / "c"), "csv", header="true", sep="|")
+    assert rows_of(text.drop("_malformed")) == expected and text.filter("size(_malformed) > 0").isEmpty()
     assert read_fact(spark, str(tmp_path / "o"), "orc", None).schema == ARRIVALS_SCHEMA
 
 
