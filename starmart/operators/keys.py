@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import quoted
@@ -11,10 +11,9 @@ BUCKET_BITS = 20
 COPIES_PER_SLICE = 100_000
 
 
-def _placed(df: DataFrame, columns: list[str], bucket: Column | None, bits: int) -> DataFrame:
-    if bucket is None:
-        bucket = F.shiftrightunsigned(F.xxhash64(*(quoted(c) for c in columns)), 64 - bits)
-    return df.withColumn("_bucket", bucket.cast("bigint"))
+def _placed(df: DataFrame, columns: list[str], bits: int) -> DataFrame:
+    df = df.withColumn("_hash", F.xxhash64(*(quoted(c) for c in columns)))
+    return df.withColumn("_bucket", F.shiftrightunsigned("_hash", 64 - bits).cast("bigint"))
 
 
 def with_surrogate_id(
@@ -22,7 +21,6 @@ def with_surrogate_id(
     id_column: str = "id",
     *,
     distinct: bool = False,
-    bucket: Column | None = None,
     bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """Add a unique, non-null long id that is the same however the rows are partitioned.
@@ -36,22 +34,21 @@ def with_surrogate_id(
     ``distinct=True`` says that ``df`` holds no two equal rows and saves the step that
     makes equal rows safe: they would share a bucket, so they are counted, placed once,
     and written out again in slices spread over all tasks.
-
-    ``bucket`` replaces the hash by another evenly spread number below ``2 ** bits``.
     """
     columns = df.columns
     low = 63 - bits
     order = [quoted(c) for c in columns]
-    within = Window.partitionBy("_bucket").orderBy(*order)
+    # By the whole hash first: rows are told apart by one number before long texts are compared.
+    within = Window.partitionBy("_bucket").orderBy("_hash", *order)
     if distinct:
         rank = F.row_number().over(within).cast("bigint") - 1
-        return _placed(df, columns, bucket, bits).select(
+        return _placed(df, columns, bits).select(
             *order, (F.shiftleft("_bucket", low) + rank).alias(id_column)
         )
 
     counted = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_copies"))
     before = F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    placed = _placed(counted, columns, bucket, bits).select(
+    placed = _placed(counted, columns, bits).select(
         *order,
         (F.shiftleft("_bucket", low) + F.coalesce(before, F.lit(0))).alias("_first"),
         "_copies",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,82 +13,114 @@ from starmart.schemas import CODE_LISTS, VISA_LIST, VISA_ROWS, CodeList
 from starmart.sources.readers import literal_table
 
 
-def _section_bodies(texts: DataFrame, section: str, text_column: str, by: Sequence[str]) -> DataFrame:
-    """Text from the first mention of the section up to the next semicolon, as ``_body``.
+def parse_sections(
+    texts: DataFrame,
+    sections: Mapping[str, str],
+    *,
+    text_column: str = "value",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Rows ``(list, *by, code, name)`` of all sections, in one pass over the texts.
 
-    Each step is a column of its own, so that it is computed once per text.
+    ``sections`` maps a list's name to its section. A section's text runs from its first mention up to the next
+    semicolon. Lines after the section's first with exactly one ``=`` count; quotes are dropped, both sides
+    trimmed, and the last of several lines with the same code wins. A text without the section, or without a
+    semicolon closing it, fails the job. Each step is a column of its own, so that it is computed once per text.
     """
-    text, rest = F.col("_text"), F.col("_rest")
-    return (
+    wanted = F.array(
+        *(F.struct(F.lit(k).alias("list"), F.lit(v).alias("section")) for k, v in sections.items())
+    )
+    text, rest, section = F.col("_text"), F.col("_rest"), F.col("_section")
+    bodies = (
         texts.select(*by, F.replace(F.col(text_column), F.lit("\t"), F.lit("")).alias("_text"))
-        .withColumn("_start", F.instr(text, section))
+        .select(*by, "_text", F.inline(wanted).alias("list", "_section"))
+        .withColumn("_start", F.position(section, text))
         .withColumn(
             "_rest",
             F.when(F.col("_start") > 0, F.substr(text, F.col("_start"))).otherwise(
-                F.raise_error(F.lit(f"no section {section} in the dictionary text"))
+                F.raise_error(F.concat(F.lit("no section "), section, F.lit(" in the dictionary text")))
             ),
         )
         .withColumn("_end", F.instr(rest, ";"))
         .select(
+            "list",
             *by,
             F.when(F.col("_end") > 0, F.substr(rest, F.lit(1), F.col("_end") - 1))
-            .otherwise(F.raise_error(F.lit(f"section {section} has no closing semicolon")))
+            .otherwise(F.raise_error(F.concat(F.lit("section "), section, F.lit(" has no closing semicolon"))))
             .alias("_body"),
         )
     )
-
-
-def extract_code_list(
-    texts: DataFrame,
-    section: str,
-    code: str = "code",
-    name: str = "name",
-    *,
-    text_column: str = "value",
-    by: Sequence[str] = (),
-) -> DataFrame:
-    """Rows ``(code, name)`` of a section, one list per distinct ``by`` (all texts if empty).
-
-    Lines after the section's first with exactly one ``=`` count; quotes are dropped,
-    both sides trimmed, and the last of several lines with the same code wins. A text
-    without the section, or without a semicolon closing it, fails the job.
-    """
-    bodies = _section_bodies(texts, section, text_column, by)
     body = F.replace(F.col("_body"), F.lit("'"), F.lit(""))
     lines = bodies.select(
-        *by, F.posexplode(F.split(body, r"\r\n|\r|\n")).alias("_line", "_text")
+        "list", *by, F.posexplode(F.split(body, r"\r\n|\r|\n")).alias("_line", "_text")
     ).filter("_line > 0")
     pairs = (
-        lines.select(*by, "_line", F.split("_text", "=").alias("_sides"))
+        lines.select("list", *by, "_line", F.split("_text", "=").alias("_sides"))
         .filter(F.size("_sides") == 2)
         .select(
+            "list",
             *by,
-            strip(F.get("_sides", F.lit(0))).alias(code),
-            strip(F.get("_sides", F.lit(1))).alias(name),
+            strip(F.get("_sides", F.lit(0))).alias("code"),
+            strip(F.get("_sides", F.lit(1))).alias("name"),
             "_line",
         )
     )
     # The name breaks ties between texts that are not told apart by ``by``.
-    return pairs.groupBy(*by, code).agg(F.max_by(name, F.struct("_line", name)).alias(name))
+    return pairs.groupBy("list", *by, "code").agg(F.max_by("name", F.struct("_line", "name")).alias("name"))
+
+
+def extract_code_list(
+    texts: DataFrame,
+    section: str,
+    code: str = "code",
+    name: str = "name",
+    *,
+    text_column: str = "value",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Rows ``(code, name)`` of a section, one list per distinct ``by`` (all texts if empty)."""
+    parsed = parse_sections(texts, {section: section}, text_column=text_column, by=by)
+    return parsed.select(*by, F.col("code").alias(code), F.col("name").alias(name))
 
 
 def visa_codes(spark: SparkSession, visa: CodeList = VISA_LIST) -> DataFrame:
     return literal_table(spark, VISA_ROWS, (visa.code, visa.name))
 
 
-def build_code_lists(
+def parse_code_lists(
     texts: DataFrame,
     lists: Sequence[CodeList] = CODE_LISTS,
     *,
     text_column: str = "value",
     by: Sequence[str] = (),
+) -> DataFrame:
+    """All code lists of a dictionary text as one table ``(list, *by, code, name)``; ``list`` is the table's name."""
+    return parse_sections(texts, {i.table: i.section for i in lists}, text_column=text_column, by=by)
+
+
+def code_list_tables(
+    parsed: DataFrame, lists: Sequence[CodeList] = CODE_LISTS, *, by: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
-    """All code lists of a dictionary text plus the constant visa list, each with an id."""
+    """The parsed lists as tables of their own, plus the constant visa list, each with an id.
+
+    Each table reads ``parsed`` for itself: stage it first if several are used.
+    """
     tables = {
-        item.table: extract_code_list(
-            texts, item.section, item.code, item.name, text_column=text_column, by=by
+        item.table: parsed.filter(F.col("list") == item.table).select(
+            *by, F.col("code").alias(item.code), F.col("name").alias(item.name)
         )
         for item in lists
     }
-    tables[VISA_LIST.table] = visa_codes(texts.sparkSession)
+    tables[VISA_LIST.table] = visa_codes(parsed.sparkSession)
     return {table: with_surrogate_id(df, distinct=True) for table, df in tables.items()}
+
+
+def build_code_lists(
+    texts: DataFrame,
+    lists: Sequence[CodeList] = CODE_LISTS,
+    *,
+    text_column: str = "value",
+    by: Sequence[str] = (),
+) -> dict[str, DataFrame]:
+    """All code lists of a dictionary text plus the constant visa list, each with an id."""
+    return code_list_tables(parse_code_lists(texts, lists, text_column=text_column, by=by), lists, by=by)

@@ -56,14 +56,17 @@ def lookup_codes(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 
 
 def conform_codes(
-    df: DataFrame, column: str, codes: DataFrame, code: str, other: str = "99"
+    df: DataFrame, column: str, codes: DataFrame, code: str, other: str = "99", *, unique: bool = False
 ) -> DataFrame:
     """Replace a missing or unlisted code by ``other``.
 
-    A list holds each code once; it is not made distinct here, because Spark does not
-    split a hot code in a join whose other side comes straight from an aggregate.
+    ``unique`` says that the list holds each code once, as staged lists do. Else it is made so first, and a code
+    that comes twice cannot double rows; but Spark does not split a hot code in a join whose other side comes
+    straight from an aggregate, so a list too large to be broadcast should be staged.
     """
     valid = codes.select(quoted(code).alias("_valid"))
+    if not unique:
+        valid = valid.distinct()
     return (
         df.join(valid, quoted(column) == F.col("_valid"), "left")
         .withColumn(column, F.coalesce("_valid", F.lit(other)))

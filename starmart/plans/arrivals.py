@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from starmart import schemas as S
 from starmart.functions import quoted, sas_days_to_date, text_to_date
@@ -52,26 +52,23 @@ def clean_arrivals(
     return rename_columns(df.withColumns(dates), names)
 
 
-def _clean_rows(
-    raw: DataFrame, columns: tuple[S.SourceColumn, ...], id_column: str, bucket: Column | None
-) -> DataFrame:
+def _clean_rows(raw: DataFrame, columns: tuple[S.SourceColumn, ...], id_column: str) -> DataFrame:
     df = drop_incomplete(raw, S.required(columns))
     df = distinct_rows(rename_columns(df, S.renames(columns)))
-    return with_surrogate_id(df, id_column, distinct=True, bucket=bucket)
+    return with_surrogate_id(df, id_column, distinct=True)
 
 
-def clean_demographic(raw: DataFrame, bucket: Column | None = None) -> DataFrame:
-    """City demographics: complete, distinct rows with an ``id`` (``bucket``: see the id operator)."""
-    return _clean_rows(raw, S.DEMOGRAPHIC, "id", bucket)
+def clean_demographic(raw: DataFrame) -> DataFrame:
+    """City demographics: complete, distinct rows with an ``id``."""
+    return _clean_rows(raw, S.DEMOGRAPHIC, "id")
 
 
-def clean_temperature(raw: DataFrame, bucket: Column | None = None) -> DataFrame:
+def clean_temperature(raw: DataFrame) -> DataFrame:
     """Temperature series: complete, distinct rows with a ``temp_id``."""
-    return _clean_rows(raw, S.TEMPERATURE, "temp_id", bucket)
+    return _clean_rows(raw, S.TEMPERATURE, "temp_id")
 
 
 def enrich_temperature(temperature: DataFrame, country_codes: DataFrame) -> DataFrame:
     """Give each reading its country code; the list's name replaces the reading's own."""
-    return enrich_by_name(
-        temperature, "country", country_codes, "country_name", S.TEMPERATURE_OUTPUT
-    )
+    output = [*S.TEMPERATURE_OUTPUT, *(c for c in temperature.columns if c == S.MALFORMED)]
+    return enrich_by_name(temperature, "country", country_codes, "country_name", output)

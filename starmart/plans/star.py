@@ -11,8 +11,12 @@ from starmart.functions.dates import SAS_EPOCH
 from starmart.operators.lookup import Lookup, lookup_codes, unmatched_codes
 
 
-def star_lookups(tables: Mapping[str, DataFrame], visa_column: str = "i94visa") -> list[Lookup]:
-    """The joins from the fact to its code lists."""
+VISA_COLUMNS = ("i94visa", "visa_code")  # the source's name, and the one of ``rename_visa``
+
+
+def star_lookups(fact: DataFrame, tables: Mapping[str, DataFrame]) -> list[Lookup]:
+    """The joins from the fact to its code lists; the visa column is the one the fact has."""
+    visa_column = next((c for c in VISA_COLUMNS if c in fact.columns), VISA_COLUMNS[0])
     countries = tables["country_codes"]
     return [
         Lookup("citizenship", countries, "country_code", "country_name", "citizenship_name"),
@@ -37,7 +41,10 @@ def arrivals_by(
     fact: DataFrame, tables: Mapping[str, DataFrame], keys: Sequence[str]
 ) -> DataFrame:
     """Arrivals per residence, mode, visa category, port or state, with their names."""
-    return count_by(fact, keys, star_lookups(tables))
+    lost = [k for k in keys if k in VISA_COLUMNS and k not in fact.columns]
+    if lost:
+        raise ValueError(f"the fact names its visa column otherwise than {lost[0]}")
+    return count_by(fact, keys, star_lookups(fact, tables))
 
 
 def state_profile(demographic: DataFrame) -> DataFrame:
@@ -99,4 +106,4 @@ def stay_length(fact: DataFrame) -> DataFrame:
 
 def unmatched(fact: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Codes of the fact that its lists do not hold."""
-    return unmatched_codes(fact, star_lookups(tables))
+    return unmatched_codes(fact, star_lookups(fact, tables))

@@ -6,8 +6,11 @@ import pytest
 from helpers import rows_of
 
 from starmart.operators.clean import distinct_rows
+from starmart.operators.labels import code_list_tables, parse_code_lists
 from starmart.operators.lookup import Lookup, conform_codes, lookup_codes
 from starmart.plans.star import count_by
+from starmart.schemas import CODE_LISTS
+from starmart.sources import read_table, write_table
 
 ROWS = 300_000
 
@@ -53,7 +56,7 @@ def test_lookup_of_a_hot_code_is_split(shuffled_joins, hot, codes):
 
 
 def test_conforming_a_hot_code_is_split(shuffled_joins, hot, codes):
-    out = conform_codes(hot.selectExpr("id", "cast(code as string) as code", "load"), "code", codes, "code")
+    out = conform_codes(hot.selectExpr("id", "cast(code as string) as code", "load"), "code", codes, "code", unique=True)
     assert re.search(r"SortMergeJoin\(skew=true\)", final_plan(out))
     assert out.count() == ROWS and out.filter("code IN ('0', '99')").count() >= ROWS // 3
 
@@ -84,3 +87,25 @@ def test_small_results_match_with_and_without_broadcast(spark, hot, codes, shuff
     broadcast = lookup_codes(hot.filter("id < 2000").drop("load"), lookups)
     assert "BroadcastHashJoin" in final_plan(broadcast)
     assert rows_of(broadcast) == shuffled
+
+
+def test_hot_codes_are_split_against_staged_lists(shuffled_joins, spark, hot, tmp_path):
+    """Lists as the build has them: parsed from a text, and staged."""
+    lines = "".join(f"\n{i}='n{i}'" for i in range(10_000) if i % 10 != 9)
+    text = spark.createDataFrame([(f"value i94addrl{lines};",)], "value string")
+    wanted = [c for c in CODE_LISTS if c.table == "state_codes"]
+    write_table(parse_code_lists(text, wanted).coalesce(1), str(tmp_path / "lists"))
+    staged = code_list_tables(read_table(spark, str(tmp_path / "lists")), wanted)["state_codes"]
+    write_table(staged, str(tmp_path / "states"))
+    states = read_table(spark, str(tmp_path / "states"))
+    rows = hot.selectExpr("id", "cast(code as string) as code", "load")
+    conformed = conform_codes(rows, "code", states, "state_code", unique=True)
+    named = lookup_codes(rows, [Lookup("code", states, "state_code", "state_name", "name")])
+    for out in (conformed, named):
+        assert re.search(r"SortMergeJoin\(skew=true\)", final_plan(out))
+        assert out.count() == ROWS
+
+
+def test_a_code_that_comes_twice_in_a_list_does_not_double_rows(hot, codes):
+    rows = hot.selectExpr("id", "cast(code as string) as code").filter("id < 100")
+    assert conform_codes(rows, "code", codes.unionAll(codes), "code").count() == 100
