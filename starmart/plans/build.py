@@ -7,27 +7,33 @@ Passes over each input:
   row format would be read in full both times, so it is staged like the others.
 * Demographics and temperatures are shuffled, so they are cleaned once into a staged
   Parquet table; checks and publishing read that.
-* Code lists are parsed again wherever they are used; their text is one small file, and
-  its size is what Spark goes by when it decides to broadcast them.
+* The dictionary text is parsed once, all lists in one table, and staged as well.
 
-Staged tables live in the shared folder of the session under a name derived from the
-output, so a rerun replaces them, and a lost executor costs no more than its own tasks.
+Staged tables live below the output under the run's own name, and go at its end, however it ends.
+All tables of a run are written there first; if a write fails, what was published before is untouched. Only then
+do folders change places, and a small file, ``_COMPLETE``, names the run whose tables stand together. It is
+missing while they change.
 """
 
 from __future__ import annotations
 
 import argparse
-import hashlib
-from collections.abc import Callable, Mapping
+import json
+import logging
+import uuid
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import partial
 
+from py4j.protocol import Py4JError
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import schemas as S
-from starmart.operators.labels import build_code_lists
+from starmart.operators.labels import code_list_tables, parse_code_lists
 from starmart.operators.lookup import conform_codes
 from starmart.operators.quality import ERROR, WARN, Rules, enforce, quality_report
 from starmart.plans.arrivals import (
@@ -36,24 +42,35 @@ from starmart.plans.arrivals import (
     clean_temperature,
     enrich_temperature,
 )
-from starmart.session import create_session, shared_folder
+from starmart.session import DEFAULT_PARTITIONS, EXPLICIT_SIZE, create_session, shuffle_partitions
 from starmart.sources import (
+    mark_complete,
+    move_folder,
+    read_by_name,
     read_delimited,
     read_dictionary,
     read_fact,
     read_table,
-    refresh_partitions,
     register_views,
+    remove_folder,
+    subfolders,
     write_table,
 )
 
+log = logging.getLogger(__name__)
 FACT = "immigration"
 COLUMNAR_FORMATS = ("parquet", "orc")
+COMPLETE = "_COMPLETE"
 
 
 @dataclass(frozen=True)
 class StarConfig:
-    """Where the inputs are, where the tables go, and the named departures from the defaults."""
+    """Where the inputs are, where the tables go, and the named departures from the defaults.
+
+    ``infer_types`` lets Spark infer the types of the two CSV inputs instead of converting them by declaration.
+    ``strict`` fails the job on an arrival's number that is too large. ``rebalance`` shuffles the fact by month before it is
+    written; None does so if ``monthly``.
+    """
 
     labels: str
     arrivals: str
@@ -66,7 +83,9 @@ class StarConfig:
     rename_visa: bool = False
     conform_states: bool = False
     monthly: bool = False
-    rebalance: bool = False
+    rebalance: bool | None = None
+    infer_types: bool = False
+    strict: bool = False
     warn_only: tuple[str, ...] = ()
 
 
@@ -80,16 +99,22 @@ class BuildResult:
 
 
 def star_rules(warn_only: tuple[str, ...] = ()) -> dict[str, Rules]:
+    read_as_text = {
+        FACT: S.typed(S.ARRIVALS),
+        "demographic": S.typed(S.DEMOGRAPHIC),
+        "temperature": S.typed(S.TEMPERATURE),
+    }
     return {
-        table: Rules(columns, severity=WARN if table in warn_only else ERROR)
+        table: Rules(columns, read_as_text.get(table, ()), severity=WARN if table in warn_only else ERROR)
         for table, columns in S.NOT_NULL.items()
     }
 
 
-def _side_by_side(*writes: Callable[[], None]) -> None:
+def _side_by_side(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Run independent writes at once, so that small tables do not wait for large ones."""
     with ThreadPoolExecutor(len(writes)) as pool:
-        for write in [pool.submit(write) for write in writes]:
+        # The threads take over the session's pool and job group.
+        for write in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
             write.result()
 
 
@@ -97,6 +122,43 @@ def _watched(df: DataFrame, seen: Observation) -> DataFrame:
     return df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
 
+@contextmanager
+def _metrics_of_empty_stages(spark: SparkSession) -> Iterator[None]:
+    """Keep stages whose rows were all dropped in the plan: adaptive execution would take their row counts along."""
+    key, rule = (
+        "spark.sql.adaptive.optimizer.excludedRules",
+        "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",
+    )
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, f"{before},{rule}" if before else rule)
+    try:
+        yield
+    finally:
+        if before:
+            spark.conf.set(key, before)
+        else:
+            spark.conf.unset(key)
+
+
+def _counts(seen: Mapping[str, Observation]) -> dict[str, int]:
+    """Rows of the inputs, for information: one that Spark did not report is left out, and never fails the build."""
+    counts = {}
+    for name, observation in seen.items():
+        try:
+            counts[f"{name}.read"] = observation.get["rows"]
+        except (Py4JError, KeyError, AssertionError) as error:
+            log.warning("rows read of %s are not known: %s", name, type(error).__name__)
+    return counts
+
+
+def _size_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Shuffle partitions by the inputs' size as Spark's scans know it, unless the session says otherwise."""
+    key = "spark.sql.shuffle.partitions"
+    if spark.conf.get(EXPLICIT_SIZE, None) is None and spark.conf.get(key) == str(DEFAULT_PARTITIONS):
+        sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs]
+        spark.conf.set(key, str(shuffle_partitions(max(sizes))))
+
+
 def build_star(spark: SparkSession, config: StarConfig) -> BuildResult:
     """Run the whole build (an action). Raises ``QualityError`` before anything is published.
 
@@ -104,61 +166,84 @@ def build_star(spark: SparkSession, config: StarConfig) -> BuildResult:
     own. They are for information: Spark counts a task again that it has to repeat. The
     report is exact, and it alone decides.
     """
-    run = hashlib.sha256(config.output.encode()).hexdigest()[:16]
-    stage_root = f"{shared_folder(spark)}/starmart-stage/{run}"
-    seen = {name: Observation() for name in (FACT, "demographic", "temperature")}
+    run = uuid.uuid4().hex
+    stage = f"{config.output}/_stage/{run}"
+    try:
+        return _build(spark, config, run, stage)
+    finally:
+        remove_folder(spark, stage)
+
 
-    tables = build_code_lists(read_dictionary(spark, config.labels))
+def _build(spark: SparkSession, config: StarConfig, run: str, stage: str) -> BuildResult:
+    def read_text(path: str, sep: str, columns: tuple[S.SourceColumn, ...]) -> DataFrame:
+        return read_delimited(spark, path, sep) if config.infer_types else read_by_name(spark, path, columns, sep=sep)
+
+    arrivals = read_fact(spark, config.arrivals, config.arrivals_format, **config.arrivals_options)
+    cities = read_text(config.demographic, ";", S.DEMOGRAPHIC)
+    readings = read_text(config.temperature, ",", S.TEMPERATURE)
+    _size_shuffles(spark, cities, readings)
+
+    write_table(parse_code_lists(read_dictionary(spark, config.labels)).coalesce(1), f"{stage}/labels")
+    tables = code_list_tables(read_table(spark, f"{stage}/labels"))
 
     def fact(raw: DataFrame) -> DataFrame:
         df = clean_arrivals(
-            raw, missing_departure=config.missing_departure, rename_visa=config.rename_visa
+            raw,
+            missing_departure=config.missing_departure,
+            rename_visa=config.rename_visa,
+            strict=config.strict,
         )
         if config.conform_states:
-            df = conform_codes(df, "state_code", tables["state_codes"], "state_code", S.OTHER_STATE)
+            states = read_table(spark, f"{stage}/labels").filter("list = 'state_codes'")
+            df = conform_codes(df, "state_code", states, "code", S.OTHER_STATE, unique=True)
         return df
 
-    arrivals = read_fact(spark, config.arrivals, config.arrivals_format, **config.arrivals_options)
-    watched_fact = fact(_watched(arrivals, seen[FACT]))
-    cities = read_delimited(spark, config.demographic, ";", S.DEMOGRAPHIC_SCHEMA)
-    readings = read_delimited(spark, config.temperature, ",", S.TEMPERATURE_SCHEMA)
+    seen = {name: Observation() for name in ("demographic", "temperature")}
     to_stage = {
         "demographic": clean_demographic(_watched(cities, seen["demographic"])),
         "temperature": enrich_temperature(
             clean_temperature(_watched(readings, seen["temperature"])), tables["country_codes"]
         ),
     }
-    columnar = config.arrivals_format in COLUMNAR_FORMATS
-    if not columnar:
-        to_stage[FACT] = watched_fact
-    _side_by_side(
-        *(partial(write_table, df, f"{stage_root}/{name}") for name, df in to_stage.items())
-    )
+    if config.arrivals_format not in COLUMNAR_FORMATS:
+        to_stage[FACT] = fact(arrivals)
+    with _metrics_of_empty_stages(spark):
+        _side_by_side(spark, *(partial(write_table, df, f"{stage}/{name}") for name, df in to_stage.items()))
+        counts = _counts(seen)
     tables[FACT] = fact(arrivals)
-    tables |= {name: read_table(spark, f"{stage_root}/{name}") for name in to_stage}
+    tables |= {name: read_table(spark, f"{stage}/{name}") for name in to_stage}
 
-    register_views(tables)
     report = enforce(quality_report(tables, star_rules(config.warn_only)))
+    checked = {f"{r['table']}.checked": r["observed"] for r in report if r["check"] == "row_count"}
+    # Cleaning drops no arrival.
+    counts = {f"{FACT}.read": checked[f"{FACT}.checked"], **counts, **checked}
 
-    path = f"{config.output}/{FACT}"
-    to_publish = watched_fact if columnar else tables[FACT]
-    if config.monthly:
-        publish_fact = partial(refresh_partitions, to_publish, path, rebalance=config.rebalance)
-    else:
-        publish_fact = partial(write_table, to_publish, path)
+    months = ("year", "month") if config.monthly else ()
+    rebalance = config.monthly if config.rebalance is None else config.rebalance
+    new = f"{stage}/publish"
     _side_by_side(
-        publish_fact,
+        spark,
         *(
-            partial(write_table, df, f"{config.output}/{name}")
+            partial(
+                write_table,
+                df.drop(S.MALFORMED),
+                f"{new}/{name}",
+                partition_by=months if name == FACT else (),
+                rebalance=rebalance and name == FACT,
+            )
             for name, df in tables.items()
-            if name != FACT
-        ),
+        )
     )
+    remove_folder(spark, f"{config.output}/{COMPLETE}")
+    for name in tables:
+        # A monthly fact changes the months it brings, all other tables as a whole.
+        parts = subfolders(spark, f"{new}/{name}", "year=*/month=*") if name == FACT and config.monthly else [""]
+        for part in parts:
+            move_folder(spark, f"{new}/{name}/{part}".rstrip("/"), f"{config.output}/{name}/{part}".rstrip("/"))
+    mark_complete(spark, f"{config.output}/{COMPLETE}", json.dumps({"run": run, "tables": sorted(tables)}))
 
     published = {name: read_table(spark, f"{config.output}/{name}") for name in tables}
     register_views(published)
-    counts = {f"{name}.read": seen[name].get["rows"] for name in seen}
-    counts |= {f"{r['table']}.checked": r["observed"] for r in report if r["check"] == "row_count"}
     return BuildResult(published, report, counts)
 
 
@@ -170,7 +255,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--arrivals-option", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--packages", help="jar of the arrivals format, as Maven coordinates")
     parser.add_argument("--monthly", action="store_true", help="partition by year and month")
-    parser.add_argument("--rebalance", action="store_true", help="shuffle by month before writing")
+    parser.add_argument(
+        "--rebalance", action=argparse.BooleanOptionalAction, help="shuffle by month before writing; on with --monthly"
+    )
+    parser.add_argument("--infer-types", action="store_true", help="infer the types of the CSV inputs")
+    parser.add_argument("--strict", action="store_true", help="fail on numbers that are too large")
     parser.add_argument("--missing-departure", choices=("epoch", "null"), default="epoch")
     parser.add_argument("--rename-visa", action="store_true")
     parser.add_argument("--conform-states", action="store_true")
@@ -190,6 +279,8 @@ def main(argv: list[str] | None = None) -> None:
             arrivals_options=dict(option.split("=", 1) for option in args.arrivals_option),
             monthly=args.monthly,
             rebalance=args.rebalance,
+            infer_types=args.infer_types,
+            strict=args.strict,
             missing_departure=args.missing_departure,
             rename_visa=args.rename_visa,
             conform_states=args.conform_states,

@@ -19,11 +19,13 @@ ADAPTIVE_CONF = {
 
 
 PARTITION_BYTES = 128 << 20
+DEFAULT_PARTITIONS = 200  # Spark's own
+EXPLICIT_SIZE = "spark.starmart.largestShuffleBytes"  # set where the caller has named a size
 
 
 def shuffle_partitions(size: int) -> int:
     """Partitions of about 128 MiB, and never fewer than Spark's own default of 200."""
-    return max(200, -(-size // PARTITION_BYTES))
+    return max(DEFAULT_PARTITIONS, -(-size // PARTITION_BYTES))
 
 
 def create_session(
@@ -49,6 +51,7 @@ def create_session(
     settings = dict(ADAPTIVE_CONF)
     if largest_shuffle_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(largest_shuffle_bytes))
+        settings[EXPLICIT_SIZE] = str(largest_shuffle_bytes)
     for key, value in {**settings, **(conf or {})}.items():
         builder = builder.config(key, value)
     if hive:

@@ -1,4 +1,5 @@
 import datetime
+import json
 import re
 from dataclasses import replace
 from pathlib import Path
@@ -55,7 +56,9 @@ def inputs(spark, tmp_path):
 def test_all_tables_are_published(spark, inputs):
     config = inputs()
     result = build_star(spark, config)
-    assert sorted(p.name for p in Path(config.output).iterdir()) == sorted(TABLES)
+    assert sorted(p.name for p in Path(config.output).iterdir() if p.name[0] not in "._") == sorted(TABLES)
+    marker = json.loads((Path(config.output) / build.COMPLETE).read_text())
+    assert marker["tables"] == sorted(TABLES)
     counts = {name: read_table(spark, f"{config.output}/{name}").count() for name in TABLES}
     assert counts == {
         "country_codes": 6, "port_codes": 3, "mode_codes": 3, "state_codes": 4, "visa_codes": 3,
@@ -65,7 +68,7 @@ def test_all_tables_are_published(spark, inputs):
     assert result.counts["temperature.read"] == 5
     assert result.counts["immigration.read"] == 3
     assert {k.removesuffix(".checked"): v for k, v in result.counts.items() if k.endswith("checked")} == counts
-    assert len(result.report) == 8 + 16 and all(r["passed"] for r in result.report)
+    assert len(result.report) == 8 + 16 + 8 + 3 and all(r["passed"] for r in result.report)
     assert spark.sql("SELECT COUNT(*) FROM immigration WHERE departure_date = DATE'2016-05-08'").first()[0] == 3
 
 
@@ -79,7 +82,130 @@ def test_nothing_is_published_when_a_check_fails(spark, inputs):
     assert {(f["table"], f["column"]) for f in failure.value.failures} == {
         ("immigration", "cicid"), ("immigration", "year"), ("temperature", "country_code"),
     }
-    assert not Path(config.output).exists()
+    assert published(config) == set()
+
+
+def published(config):
+    return {p.name for p in Path(config.output).iterdir() if p.name[0] not in "._"}
+
+
+def staged(config):
+    return list((Path(config.output) / "_stage").iterdir())
+
+
+def test_a_value_that_cannot_be_read_fails_the_gate(spark, inputs):
+    config = inputs(readings=READINGS + "2002-04-01,n/a,0.5,Aarhus,Denmark,57.05N,10.33E\n")
+    with pytest.raises(QualityError, match=r"temperature\.average_temperature malformed_count = 1"):
+        build_star(spark, config)
+    assert published(config) == set() and staged(config) == []
+    result = build_star(spark, replace(config, warn_only=("temperature",)))
+    kept = result.tables["temperature"].filter("date = DATE'2002-04-01'").first()
+    assert kept.average_temperature is None and "_malformed" not in result.tables["temperature"].columns
+
+
+def test_large_and_fractional_whole_numbers_are_kept(spark, inputs, tmp_path):
+    config = inputs()
+    (tmp_path / "cities.csv").write_text(
+        CITIES.splitlines()[0] + "\nA;B;30.0;100.0;1e2;3000000000;5;20;3.0;CA;White;1\nA;B;30.0;;1;2;5;20;3.0;CA;White;1\n"
+    )
+    only = build_star(spark, config).tables["demographic"].collect()
+    assert [(r.male_population, r.female_population, r.total_population) for r in only] == [(100, 100, 3_000_000_000)]
+    inferred = build_star(spark, replace(config, infer_types=True)).tables["demographic"].first()
+    assert (inferred.male_population, inferred.total_population) == (100.0, 3_000_000_000)
+
+
+@pytest.mark.parametrize("table", ["temperature", "demographic"])
+def test_all_rows_incomplete_is_a_warning_if_asked_for(spark, inputs, tmp_path, table):
+    header, *_ = READINGS.splitlines()
+    readings = f"{header}\n2000-04-01,,0.5,Aarhus,Denmark,57.05N,10.33E\n" if table == "temperature" else READINGS
+    config = inputs(readings=readings, warn_only=(table,))
+    if table == "demographic":
+        (tmp_path / "cities.csv").write_text(CITIES.splitlines()[0] + "\n" + CITIES.splitlines()[-1] + "\n")
+    result = build_star(spark, config)
+    assert result.counts[f"{table}.read"] == 1 and result.counts[f"{table}.checked"] == 0
+    assert read_table(spark, f"{config.output}/{table}").count() == 0
+
+
+def test_a_failed_write_leaves_the_previous_set(spark, inputs, monkeypatch):
+    config = inputs()
+    build_star(spark, config)
+    before = {n: rows_of(read_table(spark, f"{config.output}/{n}")) for n in TABLES}
+    marker = (Path(config.output) / build.COMPLETE).read_text()
+    write = build.write_table
+
+    def failing(df, path, **options):
+        if path.endswith("publish/demographic"):
+            raise OSError("disk full")
+        write(df, path, **options)
+
+    monkeypatch.setattr(build, "write_table", failing)
+    config = inputs(changes=({"cicid": 99.0},))
+    with pytest.raises(OSError, match="disk full"):
+        build_star(spark, config)
+    assert {n: rows_of(read_table(spark, f"{config.output}/{n}")) for n in TABLES} == before
+    assert (Path(config.output) / build.COMPLETE).read_text() == marker and staged(config) == []
+
+
+def test_views_are_named_after_the_gate(spark, inputs):
+    spark.catalog.dropTempView("immigration")
+    with pytest.raises(QualityError):
+        build_star(spark, inputs(changes=({"i94yr": None},)))
+    assert not spark.catalog.tableExists("immigration")
+
+
+def test_strict_stops_at_a_number_that_is_too_large(spark, inputs):
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        build_star(spark, inputs(changes=({"i94bir": 1e12},), strict=True))
+
+
+def test_arrivals_as_text_are_found_by_name(spark, inputs):
+    config = inputs()
+    expected = rows_of(build_star(spark, config).tables["immigration"])
+    raw, path = spark.read.parquet(config.arrivals), config.arrivals + "_other_order"
+    raw.select("visatype", *raw.columns[:-1]).selectExpr("7 as row", "*").write.csv(path, header=True)
+    text = replace(config, arrivals=path, arrivals_format="csv", arrivals_options={"header": "true"})
+    assert rows_of(build_star(spark, text).tables["immigration"]) == expected
+    raw.drop("cicid").write.csv(path + "_less", header=True)
+    with pytest.raises(ValueError, match="missing in the header: cicid"):
+        build_star(spark, replace(text, arrivals=path + "_less"))
+
+
+def test_a_monthly_fact_is_shuffled_by_month_unless_told_otherwise(spark, inputs):
+    many = tuple({"cicid": float(i), "i94mon": float(1 + i % 2)} for i in range(40))
+    files = lambda config: len(list((Path(config.output) / "immigration").glob("year=*/month=*/*.parquet")))
+    config = inputs(changes=many, monthly=True)
+    spread = spark.read.parquet(config.arrivals).repartition(8)
+    spread.write.parquet(config.arrivals + "_spread")
+    config = replace(config, arrivals=config.arrivals + "_spread")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        build_star(spark, config)
+        together = files(config)
+        build_star(spark, replace(config, rebalance=False))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert together == 2 < files(config)
+
+
+def test_shuffles_are_sized_by_the_scans_unless_the_session_is(spark, tmp_path, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    df = spark.range(10)
+    monkeypatch.setattr(build, "shuffle_partitions", lambda size: 1000 + size)
+    try:
+        build._size_shuffles(spark, df)
+        assert spark.conf.get(key) == before  # the session's own figure stays
+        spark.conf.set(key, "200")
+        build._size_shuffles(spark, df)
+        assert int(spark.conf.get(key)) == 1080
+        spark.conf.set(key, "200")
+        spark.conf.set(build.EXPLICIT_SIZE, "1")
+        build._size_shuffles(spark, df)
+        assert spark.conf.get(key) == "200"
+    finally:
+        spark.conf.unset(build.EXPLICIT_SIZE)
+        spark.conf.set(key, before)
 
 
 def test_an_empty_table_fails(spark, inputs):
@@ -149,7 +275,7 @@ def scans(spark, monkeypatch):
 
         monkeypatch.setattr(build, name, wrapper)
 
-    for name in ("write_table", "refresh_partitions", "enforce"):
+    for name in ("write_table", "enforce"):
         recorded(name)
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     yield lambda path: [line for line in found if f"{path}]" in line]
@@ -166,8 +292,8 @@ def test_passes_over_the_inputs(spark, inputs, scans):
     # Six columns are checked; a filled state code cannot be NULL, so it is not even read.
     assert (checked, whole) == (5, 28)
     assert len(scans(config.demographic)) == len(scans(config.temperature)) == 1
-    # Four lists are parsed for the check and for publishing, countries also for the join.
-    assert len(scans(config.labels)) == 4 + 4 + 1
+    # All lists are parsed in one pass.
+    assert len(scans(config.labels)) == 1
 
 
 def test_a_row_format_is_read_once(spark, inputs, scans):
