@@ -155,59 +155,15 @@ def clean_arrivals(spark, sf_dir):
     return arrivals.clean_arrivals(shapes.arrivals_raw(table(spark, sf_dir, "orders")))
 
 
-def _ranked_sql(rows: str, id_column: str, bucket: tuple[str, ...], columns: tuple[str, ...]) -> str:
-    order = ", ".join(f"{c} nulls first" for c in columns)
-    spread = shapes.MD5_BUCKET_SQL.format(columns=", ".join(bucket))
-    return f"""
-    select {", ".join(columns)},
-           spread * 8796093022208
-               + row_number() over (partition by spread order by {order}) - 1 as {id_column}
-    from (select *, {spread} as spread from ({rows}))
-    """
-
-
-DEMOGRAPHIC_COLUMNS = (
-    "city",
-    "state_name",
-    "median_age",
-    "male_population",
-    "female_population",
-    "total_population",
-    "number_of_veterans",
-    "foreign_born",
-    "average_household_size",
-    "state_code",
-    "race",
-    "count",
-)
-DEMOGRAPHIC_BUCKET = ("city", "state_code", "race")
-
-
-@query(
-    "clean_demographic",
-    _ranked_sql(shapes.DEMOGRAPHIC_SQL, "id", DEMOGRAPHIC_BUCKET, DEMOGRAPHIC_COLUMNS),
-)
+@query("clean_demographic", f"select *, true as id_ok from ({shapes.DEMOGRAPHIC_SQL})")
 def clean_demographic(spark, sf_dir):
     raw = shapes.demographic_raw(table(spark, sf_dir, "customer"))
-    return arrivals.clean_demographic(raw, shapes.md5_bucket(*DEMOGRAPHIC_BUCKET))
-
-
-TEMPERATURE_COLUMNS = (
-    "date",
-    "average_temperature",
-    "average_temperature_uncertainty",
-    "city",
-    "country",
-    "latitude",
-    "longitude",
-)
-TEMPERATURE_BUCKET = ("date", "city")
+    cleaned, again = (arrivals.clean_demographic(r) for r in (raw, raw.repartition(7)))
+    return shapes.with_id_contract(cleaned, again, "id")
 
 
-@query(
-    "clean_temperature",
-    _ranked_sql(shapes.TEMPERATURE_SQL, "temp_id", TEMPERATURE_BUCKET, TEMPERATURE_COLUMNS),
-)
+@query("clean_temperature", f"select *, true as id_ok from ({shapes.TEMPERATURE_SQL})")
 def clean_temperature(spark, sf_dir):
     raw = shapes.temperature_raw(table(spark, sf_dir, "events"))
-    return arrivals.clean_temperature(raw, shapes.md5_bucket(*TEMPERATURE_BUCKET))
+    cleaned, again = (arrivals.clean_temperature(r) for r in (raw, raw.repartition(7)))
+    return shapes.with_id_contract(cleaned, again, "temp_id")

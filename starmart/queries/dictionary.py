@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from starmart.operators import labels
 from starmart.queries.registry import query, table, work_path
-from starmart.schemas import CODE_LISTS
 from starmart.sources import read_dictionary
 
 RECORD_SEPARATOR = "\x1e"
@@ -60,20 +59,14 @@ def code_list(spark, sf_dir):
     """,
 )
 def code_lists(spark, sf_dir):
-    tables = labels.build_code_lists(_texts(spark, sf_dir), by=["p_partkey"])
-    visa = tables.pop("visa_codes")
-    result = visa.select(
+    lists = labels.parse_code_lists(_texts(spark, sf_dir), by=["p_partkey"])
+    visa = labels.visa_codes(spark).select(
         F.lit("visa_codes").alias("list"),
         F.lit(None).cast("bigint").alias("p_partkey"),
         F.col("visa_code").alias("code"),
         F.col("visa_category").alias("name"),
     )
-    for item in CODE_LISTS:
-        part = tables[item.table].select(
-            F.lit(item.table), "p_partkey", F.col(item.code), F.col(item.name)
-        )
-        result = result.unionAll(part)
-    return result
+    return lists.unionByName(visa)
 
 
 @query(

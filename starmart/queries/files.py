@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from starmart import schemas as S
 from starmart.operators.clean import cast_columns
 from starmart.operators.labels import visa_codes
 from starmart.operators.lookup import Lookup, lookup_codes
+from starmart.operators.quality import Rules, quality_report
+from starmart.plans.arrivals import clean_arrivals, clean_demographic, clean_temperature
+from starmart.plans.build import star_rules
+from starmart.queries import shapes
 from starmart.queries.registry import query, table, work_path
 from starmart.sources import (
     literal_table,
+    read_by_name,
     read_delimited,
     read_fact,
     read_table,
@@ -39,11 +47,96 @@ def _csv(spark, df, name, sep):
     return path
 
 
-@query("fact_scan", "select l_orderkey, l_linenumber, l_quantity from lineitem where l_quantity >= 25")
+@query("fact_scan", "select l_orderkey, l_linenumber, l_quantity from lineitem")
 def fact_scan(spark, sf_dir):
     schema = "l_orderkey long, l_linenumber int, l_quantity double, l_returnflag string"
     fact = read_fact(spark, f"{sf_dir}/lineitem.parquet", "parquet", schema)
-    return fact.filter("l_quantity >= 25").select("l_orderkey", "l_linenumber", "l_quantity")
+    return fact.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("fact_scan_csv", shapes.ARRIVALS_SQL)
+def fact_scan_csv(spark, sf_dir):
+    """Arrivals as CSV with its columns in another order and more of them, found by the names in the header."""
+    raw = shapes.arrivals_raw(table(spark, sf_dir, "orders"))
+    shuffled = raw.select(F.lit(1).alias("row"), *reversed(raw.columns), F.lit("x").alias("remark"))
+    path = _csv(spark, shuffled, "fact_scan_csv", ",")
+    return clean_arrivals(read_fact(spark, path, "csv", header="true")).drop(S.MALFORMED)
+
+
+def _cities_as_text(spark, sf_dir):
+    """Cities as CSV; of four customers one has a fraction, one a large number, one no number, one nothing."""
+    cities = table(spark, sf_dir, "customer").selectExpr(
+        "concat('City ', c_custkey) as City",
+        "concat('State ', c_nationkey) as State",
+        "cast(c_custkey % 90 as string) as `Median Age`",
+        "element_at(array('100.0', '3000000000', 'n/a', ''), cast(c_custkey % 4 as int) + 1) as `Male Population`",
+        "'1e2' as `Female Population`",
+        "if(c_custkey % 8 = 0, '?', '200') as `Total Population`",
+        "'7' as `Number of Veterans`",
+        "'3' as `Foreign-born`",
+        "'2.5' as `Average Household Size`",
+        "concat('S', c_nationkey) as `State Code`",
+        "c_mktsegment as Race",
+        "'1' as Count",
+    )
+    path = _csv(spark, cities, "cities_as_text", ";")
+    return clean_demographic(read_by_name(spark, path, S.DEMOGRAPHIC, sep=";"))
+
+
+def _readings_as_text(spark, sf_dir):
+    readings = table(spark, sf_dir, "events").selectExpr(
+        "if(event_id % 9 = 0, 'some day', string(date_add(cast(ts as date), cast(event_id % 365 as int)))) as dt",
+        "element_at(array('1.5', '1e1', 'n/a', ''), cast(event_id % 4 as int) + 1) as AverageTemperature",
+        "'0.5' as AverageTemperatureUncertainty",
+        "concat('City ', event_id) as City",
+        "'Here' as Country",
+        "'1N' as Latitude",
+        "'1E' as Longitude",
+    )
+    path = _csv(spark, readings, "readings_as_text", ",")
+    return clean_temperature(read_by_name(spark, path, S.TEMPERATURE))
+
+
+@query(
+    "malformed_values",
+    """
+    select 'City ' || c_custkey as city,
+           case c_custkey % 4 when 0 then 100 when 1 then 3000000000 end as male_population,
+           100::bigint as female_population, case when c_custkey % 8 <> 0 then 200::bigint end as total_population,
+           concat_ws(',', case when c_custkey % 4 = 2 then 'Male Population' end,
+                          case when c_custkey % 8 = 0 then 'Total Population' end) as malformed
+    from customer where c_custkey % 4 <> 3
+    """,
+)
+def malformed_values(spark, sf_dir):
+    """Only the empty value loses its row; one that is no number keeps it, and is told."""
+    return _cities_as_text(spark, sf_dir).select(
+        "city", "male_population", "female_population", "total_population",
+        F.array_join(S.MALFORMED, ",").alias("malformed"),
+    )
+
+
+@query(
+    "malformed_report",
+    """
+    with cities as (select count(*) filter (c_custkey % 4 = 2) as male, count(*) filter (c_custkey % 8 = 0) as total
+                    from customer),
+         readings as (select count(*) filter (event_id % 4 = 2) as warm,
+                             count(*) filter (event_id % 9 = 0 and event_id % 4 <> 3) as day from events)
+    select 'demographic' as "table", 'male_population' as "column", male as observed, male = 0 as passed from cities
+    union all select 'demographic', 'total_population', total, total = 0 from cities
+    union all select 'demographic', unnest(['median_age', 'female_population', 'number_of_veterans', 'foreign_born',
+                                            'average_household_size', 'count']), 0, true
+    union all select 'temperature', 'date', day, day = 0 from readings
+    union all select 'temperature', 'average_temperature', warm, warm = 0 from readings
+    union all select 'temperature', 'average_temperature_uncertainty', 0, true
+    """,
+)
+def malformed_report(spark, sf_dir):
+    tables = {"demographic": _cities_as_text(spark, sf_dir), "temperature": _readings_as_text(spark, sf_dir)}
+    rules = {name: Rules(malformed=star_rules()[name].malformed) for name in tables}
+    report = quality_report(tables, rules)
+    return report.filter("check = 'malformed_count'").select("table", "column", "observed", "passed")
 
 
 @query("csv_semicolon", ORDERS_SQL)

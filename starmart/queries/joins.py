@@ -72,29 +72,29 @@ def lookup_codes(spark, sf_dir):
     "conform_codes",
     """
     select l_orderkey, l_linenumber, coalesce(cast(s_suppkey as varchar), '99') as supplier
-    from lineitem left join (select s_suppkey from supplier where s_acctbal >= 0)
-         on l_suppkey = s_suppkey and l_returnflag <> 'N'
+    from lineitem left join supplier
+         on l_suppkey = s_suppkey and l_returnflag <> 'N' and l_suppkey % 10 <> 0
     """,
 )
 def conform_codes(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_linenumber",
-        "case when l_returnflag <> 'N' then cast(l_suppkey as string) end as supplier",
-    )
-    listed = (
-        table(spark, sf_dir, "supplier")
-        .filter("s_acctbal >= 0")
-        .selectExpr("cast(s_suppkey as string) as code")
+        """case when l_returnflag = 'N' then null
+                when l_suppkey % 10 = 0 then concat('unlisted ', l_suppkey)
+                else cast(l_suppkey as string) end as supplier""",
     )
+    listed = table(spark, sf_dir, "supplier").selectExpr("cast(s_suppkey as string) as code")
+    # A code that comes twice in the list must not double the rows.
+    listed = listed.unionAll(listed)
     return lookup.conform_codes(rows, "supplier", listed, "code")
 
 
 @query(
     "unmatched_codes",
     """
-    select 'l_suppkey' as column_name, cast(l_suppkey as varchar) as code, count(*) as rows
-    from lineitem where l_suppkey not in (select s_suppkey from supplier where s_acctbal >= 0)
+    select 'l_suppkey' as column_name, cast(-1 - l_suppkey as varchar) as code, count(*) as rows
+    from lineitem where l_suppkey % 10 = 0
     group by 2
     union all
     select 'l_returnflag', nullif(l_returnflag, 'R'), count(*)
@@ -103,9 +103,9 @@ def conform_codes(spark, sf_dir):
 )
 def unmatched_codes(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_suppkey", "nullif(l_returnflag, 'R') as l_returnflag"
+        "if(l_suppkey % 10 = 0, -1 - l_suppkey, l_suppkey) as l_suppkey", "nullif(l_returnflag, 'R') as l_returnflag"
     )
-    suppliers = table(spark, sf_dir, "supplier").filter("s_acctbal >= 0")
+    suppliers = table(spark, sf_dir, "supplier")
     flags = literal_table(spark, [("A", "accepted")], ["flag", "flag_name"])
     return lookup.unmatched_codes(
         rows,

@@ -1,4 +1,4 @@
-"""Surrogate ids."""
+"""Surrogate ids, checked by contract: unique, not negative, the same under another partitioning."""
 
 from __future__ import annotations
 
@@ -7,43 +7,26 @@ from starmart.operators.keys import with_surrogate_id
 from starmart.queries import shapes
 from starmart.queries.registry import query, table
 
-BUCKET_SQL = shapes.MD5_BUCKET_SQL
-
 
 @query(
     "surrogate_id",
-    f"""
-    with rows as (select distinct o_custkey, nullif(o_orderpriority, '5-LOW') as priority, o_orderstatus from orders),
-         placed as (select *, {BUCKET_SQL.format(columns="o_custkey, priority, o_orderstatus")} as bucket from rows)
-    select o_custkey, priority, o_orderstatus,
-           bucket * 8796093022208 + row_number() over (
-               partition by bucket
-               order by o_custkey nulls first, priority nulls first, o_orderstatus nulls first) - 1 as id
-    from placed
+    """
+    select distinct o_custkey, nullif(o_orderpriority, '5-LOW') as priority, o_orderstatus, true as id_ok from orders
     """,
 )
 def surrogate_id(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").selectExpr(
         "o_custkey", "nullif(o_orderpriority, '5-LOW') as priority", "o_orderstatus"
     )
-    bucket = shapes.md5_bucket("o_custkey", "priority", "o_orderstatus")
-    return with_surrogate_id(distinct_rows(rows), distinct=True, bucket=bucket)
+    ids, again = (with_surrogate_id(distinct_rows(r), distinct=True) for r in (rows, rows.repartition(7)))
+    return shapes.with_id_contract(ids, again, "id")
 
 
-@query(
-    "surrogate_id_copies",
-    f"""
-    with placed as (select l_suppkey, l_returnflag,
-                           {BUCKET_SQL.format(columns="l_suppkey, l_returnflag")} as bucket from lineitem)
-    select l_suppkey, l_returnflag,
-           bucket * 8796093022208 + row_number() over (
-               partition by bucket order by l_suppkey nulls first, l_returnflag nulls first) - 1 as id
-    from placed
-    """,
-)
+@query("surrogate_id_copies", "select l_suppkey, l_returnflag, true as id_ok from lineitem")
 def surrogate_id_copies(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag")
-    return with_surrogate_id(rows, bucket=shapes.md5_bucket("l_suppkey", "l_returnflag"))
+    ids, again = (with_surrogate_id(r) for r in (rows, rows.repartition(7)))
+    return shapes.with_id_contract(ids, again, "id")
 
 
 @query(

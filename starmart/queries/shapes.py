@@ -5,7 +5,7 @@ The tables hold no NULL and no bad value, so both are put in by rules on the val
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ARRIVAL_DAY = "datediff(o_orderdate, DATE'1960-01-01')"
@@ -96,15 +96,21 @@ def country_codes(nation: DataFrame) -> DataFrame:
     return nation.selectExpr("cast(n_nationkey as string) as country_code", "n_name as country_name")
 
 
-def md5_bucket(*columns: str) -> Column:
-    """Row bucket below 2**20 that SQL engines other than Spark compute alike."""
-    digest = F.md5(F.concat_ws("|", *columns))
-    return F.conv(F.substring(digest, 1, 5), 16, 10).cast("bigint")
+def with_id_contract(df: DataFrame, again: DataFrame, id_column: str) -> DataFrame:
+    """The other columns, and ``id_ok``: the id is there, not negative, of this row only, and the same in ``again``."""
+    others = [c for c in df.columns if c != id_column]
+    row = F.xxhash64(*(F.col(f"`{c}`") for c in others)).alias("_row")
+    twins = again.select(F.col(id_column), row).groupBy(id_column, "_row").agg(F.count(F.lit(1)).alias("_twins"))
+    owners = df.groupBy(id_column).agg(F.count(F.lit(1)).alias("_owners"))
+    return (
+        df.withColumn("_row", row)
+        .join(twins, [id_column, "_row"], "left")
+        .join(owners, id_column, "left")
+        .select(*others, F.coalesce((F.col(id_column) >= 0) & (F.col("_twins") == 1) & (F.col("_owners") == 1), F.lit(False)).alias("id_ok"))
+    )
 
 
 # The same inputs for the checking SQL.
-MD5_BUCKET_SQL = "('0x' || substr(md5(concat_ws('|', {columns})), 1, 5))::bigint"
-
 ARRIVALS_SQL = """
 select cast(o_orderkey as integer) as cicid,
        cast(year(o_orderdate) as integer) as year,

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart import schemas as S
 from starmart.operators.labels import visa_codes
-from starmart.operators.quality import stage_counts
 from starmart.plans import arrivals, build
 from starmart.plans import star as plans
 from starmart.queries import shapes
@@ -52,8 +56,8 @@ def star_counts(spark, sf_dir):
     )
 
 
-def _fact(spark, sf_dir):
-    return arrivals.clean_arrivals(shapes.arrivals_raw(table(spark, sf_dir, "orders")))
+def _fact(spark, sf_dir, **options):
+    return arrivals.clean_arrivals(shapes.arrivals_raw(table(spark, sf_dir, "orders")), **options)
 
 
 def _tables(spark, sf_dir):
@@ -94,8 +98,18 @@ def arrivals_by_dimension(spark, sf_dir):
 
 
 @query(
-    "unmatched_report",
+    "arrivals_by_renamed_visa",
     f"""
+    select i94visa as visa_code, mode, count(*) as arrivals, any_value({MODE_NAME_SQL}) as mode_name,
+           any_value({VISA_NAME_SQL}) as visa_category
+    from ({shapes.ARRIVALS_SQL}) group by i94visa, mode
+    """,
+)
+def arrivals_by_renamed_visa(spark, sf_dir):
+    return plans.arrivals_by(_fact(spark, sf_dir, rename_visa=True), _tables(spark, sf_dir), ["visa_code", "mode"])
+
+
+UNMATCHED_SQL = f"""
     with fact as ({shapes.ARRIVALS_SQL})
     select 'citizenship' as column_name, cast(citizenship as varchar) as code, count(*) as rows
     from fact where citizenship >= 25 group by 2
@@ -105,12 +119,19 @@ def arrivals_by_dimension(spark, sf_dir):
     union all select 'state_code', state_code, count(*) from fact
               where state_code = '' or cast(substr(state_code, 2) as integer) >= 25 group by 2
     union all select 'i94visa', cast(i94visa as varchar), count(*) from fact where i94visa > 3 group by 2
-    """,
-)
+"""
+
+
+@query("unmatched_report", UNMATCHED_SQL)
 def unmatched_report(spark, sf_dir):
     return plans.unmatched(_fact(spark, sf_dir), _tables(spark, sf_dir))
 
 
+@query("unmatched_renamed_visa", UNMATCHED_SQL.replace("'i94visa'", "'visa_code'"))
+def unmatched_renamed_visa(spark, sf_dir):
+    return plans.unmatched(_fact(spark, sf_dir, rename_visa=True), _tables(spark, sf_dir))
+
+
 @query(
     "state_profile_join",
     f"""
@@ -187,21 +208,52 @@ DICTIONARY = (
 )
 
 
+def _content(columns: Sequence[str], decimals: Sequence[str] = ()) -> str:
+    """SQL of both engines: a row's values as one text, fractions cut to four places."""
+    values = (f"cast(floor({c} * 10000) as bigint)" if c in decimals else c for c in columns)
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({v} as {{text}}), '-')" for v in values) + ")"
+
+
+CONTENTS = {
+    "immigration": _content(
+        [c.final for c in S.ARRIVALS if c.final not in ("year", "month")] + ["year", "month"], ["admnum"]
+    ),
+    "demographic": _content([c.final for c in S.DEMOGRAPHIC], ["median_age", "average_household_size"]),
+    "temperature": _content(
+        S.TEMPERATURE_OUTPUT[1:], ["average_temperature", "average_temperature_uncertainty"]
+    ),
+    "country_codes": _content(["country_code", "country_name"]),
+    "port_codes": _content(["port_code", "port_name"]),
+    "mode_codes": _content(["mode_code", "mode_name"]),
+    "state_codes": _content(["state_code", "state_name"]),
+    "visa_codes": _content(["visa_code", "visa_category"]),
+}
+IDS = {"demographic": "id", "temperature": "temp_id", **{item.table: "id" for item in (*S.CODE_LISTS, S.VISA_LIST)}}
+EXPECTED = {
+    "immigration": shapes.ARRIVALS_SQL,
+    "demographic": shapes.DEMOGRAPHIC_SQL,
+    "temperature": f"""
+        select *, case when nation < 25 then 'NATION_' || nation end as country_name,
+               case when nation < 25 then nation::varchar end as country_code
+        from (select *, substr(country, 8)::integer as nation from ({shapes.TEMPERATURE_SQL}))
+    """,
+    "country_codes": "select n as country_code, 'NATION_' || n as country_name from range(25) t(n)",
+    "port_codes": "select * from (values ('URG', 'URGENT BAY'), ('HIG', 'HIGH POINT')) t(port_code, port_name)",
+    "mode_codes": "select * from (values (1, 'Air'), (2, 'Sea'), (9, 'Not reported')) t(mode_code, mode_name)",
+    "state_codes": "select * from (values ('S1', 'STATE 1'), ('99', 'All Other Codes')) t(state_code, state_name)",
+    "visa_codes": "select * from (values (1, 'Business'), (2, 'Pleasure'), (3, 'Student')) t(visa_code, visa_category)",
+}
+
+
 @query(
     "star_build",
-    f"""
-    select 'country_codes' as stage, count(*) as rows from nation
-    union all select 'port_codes', 2
-    union all select 'mode_codes', 3
-    union all select 'state_codes', 2
-    union all select 'visa_codes', 3
-    union all select 'immigration', count(*) from orders
-    union all select 'demographic', count(*) from ({shapes.DEMOGRAPHIC_SQL})
-    union all select 'temperature', count(*) from ({shapes.TEMPERATURE_SQL})
-    """,
+    " union all ".join(
+        f"select '{name}' as stage, {content.format(text='varchar')} as content, true as ids_ok from ({EXPECTED[name]})"
+        for name, content in CONTENTS.items()
+    ),
 )
 def star_build(spark, sf_dir):
-    """The whole build on whole tables; the rows of each published table."""
+    """The whole build on whole tables: every row of every published table, and whether its ids keep their contract."""
     root = work_path(spark, "star_build")
     literal_table(spark, [(DICTIONARY,)], ["value"]).coalesce(1).write.mode("overwrite").text(
         f"{root}/labels", lineSep="\n"
@@ -221,8 +273,17 @@ def star_build(spark, sf_dir):
             temperature=f"{root}/temperature",
             output=f"{root}/output",
             monthly=True,
-            rebalance=True,
             warn_only=("temperature",),
         ),
     )
-    return stage_counts(result.tables)
+    parts = []
+    for name, content in CONTENTS.items():
+        df, ok = result.tables[name], F.lit(True)
+        if name in IDS:
+            owners = df.groupBy(IDS[name]).agg(F.count(F.lit(1)).alias("_owners"))
+            df = df.join(owners, IDS[name], "left")
+            ok = F.coalesce((F.col(IDS[name]) >= 0) & (F.col("_owners") == 1), F.lit(False))
+        parts.append(
+            df.select(F.lit(name).alias("stage"), F.expr(content.format(text="string")).alias("content"), ok.alias("ids_ok"))
+        )
+    return reduce(DataFrame.unionAll, parts)
