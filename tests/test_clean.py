@@ -161,6 +161,7 @@ def test_complete_arrival(spark):
 
 def test_arrival_columns_keep_their_order_and_types(spark):
     out = clean_arrivals(arrivals(spark, {}))
+    # Final column names in order.
     assert out.columns == [
         "cicid", "year", "month", "citizenship", "residence", "port", "arrival_date", "mode",
         "state_code", "departure_date", "age", "i94visa", "count", "dtadfile", "visapost", "occup",
@@ -185,8 +186,10 @@ def test_missing_values_of_an_arrival(spark):
 
 
 def test_values_without_a_default_stay_missing(spark):
+    # Source names.
     names = "cicid i94yr i94mon i94port arrdate i94visa count admnum visatype".split()
     row = clean_arrivals(arrivals(spark, dict.fromkeys(names))).first()
+    # Final names of the source columns above.
     finals = "cicid year month port arrival_date i94visa count admnum visa_type".split()
     assert [row[c] for c in finals] == [None] * 9
 
@@ -217,6 +220,7 @@ def test_demographic(spark):
     for i in (3, 4, 6, 7, 8):
         rows.append(full[:i] + (None,) + full[i + 1 :])
     out = clean_demographic(spark.createDataFrame(rows, DEMOGRAPHIC_SCHEMA))
+    # Final column names in order.
     assert out.columns == [
         "city", "state_name", "median_age", "male_population", "female_population", "total_population",
         "number_of_veterans", "foreign_born", "average_household_size", "state_code", "race", "count", "id",
@@ -231,6 +235,7 @@ def test_temperature(spark):
     full = (D(2000, 1, 1), 3.5, 0.5, "Aarhus", "Denmark", "57.05N", "10.33E")
     rows = [full, full, full[:1] + (None,) + full[2:], full[:2] + (None,) + full[3:], full[:4] + (None,) + full[5:]]
     out = clean_temperature(spark.createDataFrame(rows, TEMPERATURE_SCHEMA))
+    # Final column names in order.
     assert out.columns == [
         "date", "average_temperature", "average_temperature_uncertainty", "city", "country", "latitude",
         "longitude", "temp_id",

@@ -39,6 +39,7 @@ def test_country_of_a_reading(spark, lists):
     out = enrich_temperature(
         readings(spark, "Denmark", "Mexico", "China", None, "Invalid: Stateless"), lists["country_codes"]
     )
+    # Column order of the published table.
     assert out.columns == [
         "temp_id", "date", "average_temperature", "average_temperature_uncertainty", "city",
         "country_name", "country_code", "latitude", "longitude",

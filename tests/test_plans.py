@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from starmart.plans.arrivals import clean_arrivals
+from starmart.plans.arrivals import clean_arrivals, clean_demographic, clean_temperature
 from starmart.queries import QUERIES, shapes
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -53,3 +53,16 @@ def test_top_rows_are_not_sorted_whole(plans):
 def test_items_are_counted_before_every_join(plans):
     plan = plans["star_counts"]
     assert plan.count("partial_count(1)") == 1 and plan.count("partial_sum(items") == 2
+
+
+@pytest.mark.parametrize("name", ["customer", "events"])
+def test_cleaning_shuffles_twice_at_most(spark, name):
+    """Once to find equal rows, once to place the ids."""
+    raw = {"customer": shapes.demographic_raw, "events": shapes.temperature_raw}[name]
+    clean = {"customer": clean_demographic, "events": clean_temperature}[name]
+    plan = clean(raw(spark.read.parquet(f"{SF_DIR}/{name}.parquet")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange") == 2
+
+
+def test_all_code_lists_come_from_one_scan(plans):
+    assert plans["code_lists"].count("FileScan") == 1
