@@ -77,7 +77,7 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """The most frequent words in order, and what the others add up to. Bounded by FREQUENT and CLASSES."""
+    """The most frequent words in order, at most FREQUENT, and what the others add up to."""
 
     words: list[bytes]
     counts: np.ndarray
@@ -98,7 +98,18 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = counts.where("word = ''").agg(F.sum("count")).first()[0] or 0
-    top = counts.where("word <> ''").orderBy(F.desc("count"), "word").limit(FREQUENT).collect()
+    # Counts in steps of about a hundredth: a few thousand rows, which tell from which count on words are few enough
+    # to be collected. An ordering with a limit would have every task send FREQUENT words.
+    step = F.floor(F.log2("count") * 64).cast("int").alias("step")
+    sizes = sorted(counts.where("word <> ''").groupBy(step).count().collect(), reverse=True)
+    taken, lowest = 0, None
+    for size in sizes:
+        taken += size["count"]
+        if taken > FREQUENT:
+            break
+        lowest = size["step"]
+    top = [] if lowest is None else counts.where((F.col("word") != "") & (step >= lowest)).collect()
+    top.sort(key=lambda r: (-r["count"], r.word))
     words, numbers = [r.word.encode() for r in top], np.array([r["count"] for r in top], np.int64)
     suffix = F.crc32(F.right("word", F.lit(2)).cast("binary")) % SHARED
     # All words by shared class; those with a class of their own are taken out again.
