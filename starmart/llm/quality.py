@@ -45,11 +45,15 @@ def per_word(measure: str) -> Column:
 def default_rules() -> list[Rule]:
     n_words, length = F.col("n_words"), per_word("word_chars")
     symbols, repeats = per_word("n_symbols"), per_word("n_repeat_words")
+    share = F.try_divide("n_symbols", "word_chars")
     dup_lines = F.try_divide("n_dup_lines", "n_word_lines")
     return [
         Rule("length", n_words < 50, n_words >= 100),
         Rule("word_length", (length < 2.5) | (length > 12), length.between(3.5, 9)),
+        # Three looks at the same defect: one rule alone cannot outvote the others.
         Rule("symbols", symbols > 0.1, symbols < 0.02),
+        Rule("many_symbols", symbols > 0.3, symbols < 0.05),
+        Rule("symbol_share", share > 0.05, share < 0.01),
         Rule("lines", dup_lines > 0.3, dup_lines < 0.1),
         Rule("repeats", repeats > 0.5, repeats < 0.2),
         Rule("capitals", per_word("n_capitals") > 2, per_word("n_capitals") < 0.7),

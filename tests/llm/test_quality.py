@@ -33,11 +33,12 @@ def plain_votes(m):
     w, lines = m["n_words"], m["n_word_lines"]
     out = [vote(w < 50, w >= 100)]
     if not w:
-        return (*out, *[0] * 6)
+        return (*out, *[0] * 8)
     length, dup = m["word_chars"] / w, m["n_dup_lines"] / lines
     symbols, repeats, capitals, digits = (m[k] / w for k in ("n_symbols", "n_repeat_words", "n_capitals", "n_digits"))
     return (
-        *out, vote(length < 2.5 or length > 12, 3.5 <= length <= 9), vote(symbols > 0.1, symbols < 0.02), vote(dup > 0.3, dup < 0.1),
+        *out, vote(length < 2.5 or length > 12, 3.5 <= length <= 9), vote(symbols > 0.1, symbols < 0.02),
+        vote(symbols > 0.3, symbols < 0.05), vote((s := m["n_symbols"] / m["word_chars"]) > 0.05, s < 0.01), vote(dup > 0.3, dup < 0.1),
         vote(repeats > 0.5, repeats < 0.2), vote(capitals > 2, capitals < 0.7), vote(digits > 1, digits < 0.1),
     )
 
