@@ -201,13 +201,14 @@ class LabelModel:
         return right / (right + wrong)
 
 
-def fit_votes(patterns: dict[tuple[int, ...], int], *, rounds: int = 50, smoothing: float = 1.0) -> LabelModel:
+def fit_votes(
+    patterns: dict[tuple[int, ...], int], rules: int, *, rounds: int = 50, smoothing: float = 1.0
+) -> LabelModel:
     """Expectation-maximisation over the counts of vote patterns.
 
     Starts from the majority of the votes, so that ``good`` keeps its meaning. Without any
     document the model is undecided: prior one half, all rates alike.
     """
-    rules = len(next(iter(patterns), ()))
     order = sorted(patterns)
     good = {v: (1 + 2 * v.count(GOOD)) / (2 + 2 * v.count(GOOD) + 4 * v.count(BAD)) for v in order}
     model = LabelModel(0.5, [{v: (1 / 3, 1 / 3) for v in (ABSTAIN, GOOD, BAD)} for _ in range(rules)])
@@ -245,7 +246,7 @@ def judge_quality(
     votes = [f"_llm_vote_{i}" for i in range(len(rules))]
     voted = measured.withColumns({v: rule.vote() for v, rule in zip(votes, rules, strict=True)})
     patterns = voted.groupBy(*votes).count().collect()  # three to the power of the rules at most
-    model = fit_votes({tuple(r[v] for v in votes): r["count"] for r in patterns})
+    model = fit_votes({tuple(r[v] for v in votes): r["count"] for r in patterns}, len(rules))
     odds = F.lit(math.log(model.prior / (1 - model.prior)))
     for v, rate in zip(votes, model.rates, strict=True):
         weight = {k: math.log(good / bad) for k, (bad, good) in rate.items()}

@@ -46,7 +46,7 @@ def plain_votes(m):
 def plain_judgement(texts):
     measured = [plain_measures(t) for t in texts]
     votes = [plain_votes(m) for m in measured]
-    model = quality.fit_votes(dict(Counter(votes)))
+    model = quality.fit_votes(dict(Counter(votes)), 9)
     return [(m, model.log_odds(v) >= 0) for m, v in zip(measured, votes, strict=True)]
 
 
@@ -90,7 +90,7 @@ def test_accuracies_are_found_from_votes_alone():
     for _ in range(20_000):
         good = rng.random() < 0.7
         votes[tuple(0 if rng.random() < 0.3 else 1 if (rng.random() < a) == good else 2 for a in accuracy)] += 1
-    model = quality.fit_votes(dict(votes), rounds=200)
+    model = quality.fit_votes(dict(votes), 4, rounds=200)
     assert abs(model.prior - 0.7) < 0.05
     assert all(abs(model.accuracy(i) - a) < 0.05 for i, a in enumerate(accuracy))
-    assert quality.fit_votes({}).prior == 0.5
+    assert quality.fit_votes({}, 4).prior == 0.5
