@@ -33,11 +33,13 @@ class QualityError(ValueError):
 class Rules:
     """Checks of one table: a row count it must not have, columns without NULL, and values that can be read.
 
-    ``malformed`` has (source name, column) pairs; they are checked where a table was read from text.
+    ``malformed`` has (source name, column) pairs; they are checked where a table was read from text. NULL in a
+    ``watched`` column is counted and never more than a warning.
     """
 
     not_null: Sequence[str] = ()
     malformed: Sequence[tuple[str, str]] = ()
+    watched: Sequence[str] = ()
     forbidden_rows: int = 0
     severity: str = ERROR
 
@@ -50,28 +52,29 @@ def table_report(name: str, df: DataFrame, rules: Rules) -> DataFrame:
     malformed = rules.malformed if MALFORMED in df.columns else ()
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *(count_null(c).alias(f"_null{i}") for i, c in enumerate(rules.not_null)),
+        *(count_null(c).alias(f"_null{i}") for i, c in enumerate((*rules.not_null, *rules.watched))),
         *(
             F.count_if(F.array_contains(MALFORMED, source)).alias(f"_malformed{i}")
             for i, (source, _) in enumerate(malformed)
         ),
     )
 
-    def line(check, column, observed, passed):
+    def line(check, column, observed, passed, severity=rules.severity):
         return F.struct(
             F.lit(name).alias("table"),
             F.lit(check).alias("check"),
             F.lit(column).cast("string").alias("column"),
             observed.alias("observed"),
-            F.lit(rules.severity).alias("severity"),
+            F.lit(severity).alias("severity"),
             passed.alias("passed"),
         )
 
     rows = F.col("_rows")
     lines = [line("row_count", None, rows, rows != rules.forbidden_rows)]
-    for i, column in enumerate(rules.not_null):
+    for i, column in enumerate((*rules.not_null, *rules.watched)):
         nulls = F.col(f"_null{i}")
-        lines.append(line("null_count", column, nulls, nulls == 0))
+        severity = rules.severity if i < len(rules.not_null) else WARN
+        lines.append(line("null_count", column, nulls, nulls == 0, severity))
     for i, (_, column) in enumerate(malformed):
         values = F.col(f"_malformed{i}")
         lines.append(line("malformed_count", column, values, values == 0))

@@ -105,7 +105,12 @@ def star_rules(warn_only: tuple[str, ...] = ()) -> dict[str, Rules]:
         "temperature": S.typed(S.TEMPERATURE),
     }
     return {
-        table: Rules(columns, read_as_text.get(table, ()), severity=WARN if table in warn_only else ERROR)
+        table: Rules(
+            columns,
+            read_as_text.get(table, ()),
+            S.WATCHED.get(table, ()),
+            severity=WARN if table in warn_only else ERROR,
+        )
         for table, columns in S.NOT_NULL.items()
     }
 

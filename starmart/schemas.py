@@ -140,6 +140,9 @@ NOT_NULL = {
     "temperature": ("temp_id", "country_code"),
 }
 
+# Columns of the arrivals that are filled and then made whole numbers: NULL is a number that was too large.
+WATCHED = {"immigration": ("mode", "age", "birth_year")}
+
 
 TYPES = {
     "string": T.StringType(),

@@ -68,7 +68,7 @@ def test_all_tables_are_published(spark, inputs):
     assert result.counts["temperature.read"] == 5
     assert result.counts["immigration.read"] == 3
     assert {k.removesuffix(".checked"): v for k, v in result.counts.items() if k.endswith("checked")} == counts
-    assert len(result.report) == 8 + 16 + 8 + 3 and all(r["passed"] for r in result.report)
+    assert len(result.report) == 8 + 16 + 8 + 3 + 3 and all(r["passed"] for r in result.report)
     assert spark.sql("SELECT COUNT(*) FROM immigration WHERE departure_date = DATE'2016-05-08'").first()[0] == 3
 
 
@@ -153,6 +153,11 @@ def test_views_are_named_after_the_gate(spark, inputs):
     assert not spark.catalog.tableExists("immigration")
 
 
+def test_numbers_too_large_are_counted(spark, inputs):
+    report = build_star(spark, inputs(changes=({"i94bir": 1e12}, {}))).report
+    assert [(r["column"], r["observed"]) for r in report if not r["passed"]] == [("age", 1)]
+
+
 def test_strict_stops_at_a_number_that_is_too_large(spark, inputs):
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         build_star(spark, inputs(changes=({"i94bir": 1e12},), strict=True))
@@ -289,8 +294,8 @@ def test_passes_over_the_inputs(spark, inputs, scans):
     checked, whole = sorted(
         len(re.search("ReadSchema: struct<(.*)>", scan)[1].split(",")) for scan in scans(config.arrivals)
     )
-    # Six columns are checked; a filled state code cannot be NULL, so it is not even read.
-    assert (checked, whole) == (5, 28)
+    # Nine columns are checked; a filled state code cannot be NULL, so it is not even read.
+    assert (checked, whole) == (8, 28)
     assert len(scans(config.demographic)) == len(scans(config.temperature)) == 1
     # All lists are parsed in one pass.
     assert len(scans(config.labels)) == 1
