@@ -176,7 +176,9 @@ def find_contamination(
     * Every row is a document, equal rows get equal results. Empty tables: nothing is hit, or an empty result.
     * Input columns named like a result are replaced.
     """
-    named = benchmark.select(quoted(item_id).cast("string").alias("item_id"), word_list(whole_text(item_text)).alias("words"))
+    named = benchmark.select(
+        quoted(item_id).cast("string").alias("item_id"), word_list(whole_text(item_text)).alias("words")
+    )
     named = named.where(F.size("words") > 0).select(
         "item_id", "words", F.xxhash64("words").alias("i1"), F.xxhash64(F.lit(5), "words").alias("i2")
     )
@@ -206,7 +208,9 @@ def find_contamination(
     )
     # Staged before it is filtered: pushed below, the filter would split the text anew for every word it compares.
     spans = staged(spans, "bench-spans").where(F.size("_llm_all") > 0).dropDuplicates(keys)
-    ranges = F.array_distinct(F.transform("_llm_all", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))
+    ranges = F.array_distinct(
+        F.transform("_llm_all", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    )
     places = F.array_distinct(F.flatten(F.transform(ranges, lambda s: F.sequence(s["start"], s["stop"] - 1))))
     items = (
         spans.select(
@@ -218,13 +222,23 @@ def find_contamination(
         .select(*keys, "item.*")
         .join(named.select("i1", "i2", "item_id").distinct(), ["i1", "i2"])
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_set("item_id")).alias("_llm_ids"), F.max(F.col("item_id").isNull().cast("int")).alias("_llm_unnamed"))
+        .agg(
+            F.array_sort(F.collect_set("item_id")).alias("_llm_ids"),
+            F.max(F.col("item_id").isNull().cast("int")).alias("_llm_unnamed"),
+        )
     )
-    found = spans.select(*keys, F.size(places).cast("long").alias("_llm_n_hit"), F.array_sort(ranges).alias("_llm_spans")).join(items, keys)
+    found = spans.select(
+        *keys, F.size(places).cast("long").alias("_llm_n_hit"), F.array_sort(ranges).alias("_llm_spans")
+    ).join(items, keys)
     names = [c for c in docs.columns if c not in RESULT]
     hit = F.coalesce("_llm_n_hit", F.lit(0)).cast("long")
     return (
-        docs.select(*(quoted(c) for c in names), F.size(word_list(whole_text(text))).cast("long").alias("n_words"), k1.alias("_llm_k1"), k2.alias("_llm_k2"))
+        docs.select(
+            *(quoted(c) for c in names),
+            F.size(word_list(whole_text(text))).cast("long").alias("n_words"),
+            k1.alias("_llm_k1"),
+            k2.alias("_llm_k2"),
+        )
         .join(found, keys, "left")
         .select(
             *(quoted(c) for c in names),

@@ -181,12 +181,23 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = {kind: i for i, kind in enumerate(KINDS)}
     rank = F.create_map(*(F.lit(x) for pair in order.items() for x in pair))
     ordered = F.array_sort(
-        F.transform("spans", lambda s: F.struct(rank[s["kind"]].alias("rank"), s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"), s["plain"].alias("plain")))
+        F.transform(
+            "spans",
+            lambda s: F.struct(
+                rank[s["kind"]].alias("rank"), *(s[n].alias(n) for n in ("start", "stop", "kind", "plain"))
+            ),
+        )
     )
     found = found.select("doc_id", ordered.alias("spans"))
     plain = F.filter("spans", lambda s: s["plain"])
-    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
-    count = lambda kind: F.size(F.filter("spans", lambda s: s["plain"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def count(kind):
+        of_kind = F.filter("spans", lambda s: s["plain"] & (s["kind"] == kind))
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id", *(count(k) for k in KINDS), F.sha2(joined(plain), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),

@@ -27,7 +27,13 @@ KINDS = {2: "<u2", 4: "<u4"}
 
 
 def write_token_files(
-    docs: DataFrame, path: str, *, text: str = "text", tokenizer: str = TOKENIZER, end: int = END_OF_DOCUMENT, width: int = 2
+    docs: DataFrame,
+    path: str,
+    *,
+    text: str = "text",
+    tokenizer: str = TOKENIZER,
+    end: int = END_OF_DOCUMENT,
+    width: int = 2,
 ) -> str:
     """Write every text's ids and ``end`` to flat files below ``path``, one a task, in the order of the rows.
 
@@ -39,7 +45,8 @@ def write_token_files(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokenizer(tokenizer, special=False)
         for batch in batches:
-            ids = [np.frombuffer(tokens.ids(v.as_py() or b""), "<u4").astype(KINDS[width]).tobytes() for v in batch.column(0)]
+            wide = (np.frombuffer(tokens.ids(v.as_py() or b""), "<u4") for v in batch.column(0))
+            ids = [w.astype(KINDS[width]).tobytes() for w in wide]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     encoded = docs.select(quoted(text).cast("binary")).mapInArrow(encode, "ids binary")
@@ -55,9 +62,8 @@ def scan_blocks(files: DataFrame, end: int, width: int, block_bytes: int) -> Dat
     """(path, first, tokens, ends) of every block of the (path, length) files; ``ends`` counts from the block's start."""
     if block_bytes % width:
         raise ValueError("a block must hold whole tokens")
-    blocks = files.where("length > 0").select(
-        "path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(block_bytes).cast("long"))).alias("at")
-    )
+    starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(block_bytes).cast("long"))
+    blocks = files.where("length > 0").select("path", "length", F.explode(starts).alias("at"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -116,7 +122,11 @@ def count_tokens(
         ),
     )
     found = scanned.select("path", F.explode(closed).alias("d")).select(
-        "path", "d.document", "d.start", (F.col("d.stop") - F.col("d.start")).alias("n_tokens"), F.lit(True).alias("closed")
+        "path",
+        "d.document",
+        "d.start",
+        (F.col("d.stop") - F.col("d.start")).alias("n_tokens"),
+        F.lit(True).alias("closed"),
     )
     totals = blocks.groupBy("path").agg(
         F.sum(F.size("ends").cast("long")).alias("document"),

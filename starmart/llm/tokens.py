@@ -32,9 +32,9 @@ class WordTokenizer:
     """Ids of a text, word by word, for a tokenizer that drops white space and lower-cases.
 
     Such a tokenizer never merges across white space, so a text's ids are those of its words in a row.
-    Words met before are looked up; of new ones the pieces are. A word with other than
-    ASCII and Latin letters is given to the tokenizer as it is. What is kept is bounded by bytes. With ``special`` false the texts of special
-    tokens are plain text.
+    Words met before are looked up; of new ones the pieces are. A word with other than ASCII and Latin letters
+    is given to the tokenizer as it is. What is kept is bounded by bytes. With ``special`` false the texts of
+    special tokens are plain text.
     """
 
     def __init__(self, name: str = TOKENIZER, *, special: bool = True) -> None:
