@@ -106,7 +106,12 @@ def with_id_contract(df: DataFrame, again: DataFrame, id_column: str) -> DataFra
         df.withColumn("_row", row)
         .join(twins, [id_column, "_row"], "left")
         .join(owners, id_column, "left")
-        .select(*others, F.coalesce((F.col(id_column) >= 0) & (F.col("_twins") == 1) & (F.col("_owners") == 1), F.lit(False)).alias("id_ok"))
+        .select(
+            *others,
+            F.coalesce(
+                (F.col(id_column) >= 0) & (F.col("_twins") == 1) & (F.col("_owners") == 1), F.lit(False)
+            ).alias("id_ok"),
+        )
     )
 
 

@@ -284,6 +284,10 @@ def star_build(spark, sf_dir):
             df = df.join(owners, IDS[name], "left")
             ok = F.coalesce((F.col(IDS[name]) >= 0) & (F.col("_owners") == 1), F.lit(False))
         parts.append(
-            df.select(F.lit(name).alias("stage"), F.expr(content.format(text="string")).alias("content"), ok.alias("ids_ok"))
+            df.select(
+                F.lit(name).alias("stage"),
+                F.expr(content.format(text="string")).alias("content"),
+                ok.alias("ids_ok"),
+            )
         )
     return reduce(DataFrame.unionAll, parts)
