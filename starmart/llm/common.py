@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import starmart
 from starmart.functions.columns import quoted
 from starmart.session import shared_folder
 
@@ -46,11 +49,17 @@ def staged(df: DataFrame, name: str, *, partition_by: str | None = None) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Cut Arrow batches at 16 MiB instead of Spark's 64, so that Python workers stay small.
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package and get small batches; called before a Python function is used.
 
-    A bound that the session sets itself stays.
+    Workers look where the driver found the package; on a cluster it must be installed or shipped there. Arrow
+    batches are cut at 16 MiB instead of Spark's 64; a bound that the session sets itself stays.
     """
+    root = str(Path(starmart.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == "67108864b":  # the default
         spark.conf.set(key, "16m")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import bound_batches, staged
+from starmart.llm.common import prepare_workers, staged
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -155,12 +155,13 @@ def calibrate(languages, scores, bias, examples, rejected_share: float) -> tuple
 
 def fit_languages(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang",
-    per_language: int = 400, lines_each: int = 6, rejected_share: float = 0.002,
+    per_language: int = 400, lines_each: int = 6, rejected_share: float = 0.0005,
 ) -> LanguageModel | None:
     """Train on at most ``per_language`` documents of each language, not held out, with a text and a language.
 
     None if there is no such document with a letter.
     """
+    prepare_workers(docs.sparkSession)
     key = F.xxhash64(quoted(id), quoted(text))
     sample = sample_features(docs.where(in_training(id)), text, lang, key, per_language, lines_each)
     rows = sorted((r.lang, r.key, r.buckets, r.counts) for r in sample.collect())  # bounded by the parameters
@@ -254,7 +255,7 @@ def identify_language(
     * Input columns named like a result are replaced.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     model = model or fit_languages(docs, id=id, text=text, lang=lang, **fit)
     names = [c for c in docs.columns if c not in RESULT]
     found = predict_column(model, quoted(text), spark)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import LOWER, UPPER, bound_batches, staged
+from starmart.llm.common import LOWER, UPPER, prepare_workers, staged
 
 END = 0  # the class of the end of a document; its word is the empty one
 OWN = 4096
@@ -342,7 +342,7 @@ def score_documents(
     * Other input columns are not kept, so their names cannot clash.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     held_out = F.crc32(F.coalesce(quoted(id).cast("string"), F.lit("")).cast("binary")) % folds == fold
     counts = staged(count_words(docs.where(~held_out), text), "word-counts")
     known = vocabulary(counts)

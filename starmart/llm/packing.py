@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import bound_batches, staged
+from starmart.llm.common import prepare_workers, staged
 from starmart.llm.tokens import TOKENIZER, WordTokenizer
 
 DISTRICT = 1000
@@ -249,7 +249,7 @@ def pack_documents(
     """
     if id in ("piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"):
         raise ValueError(f"the id column cannot be named {id}")
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     pieces = staged(
         tokenized(docs, id, text, capacity, tokenizer, keep_ids).withColumn("number", F.monotonically_increasing_id()),
         "pieces",

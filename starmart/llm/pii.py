@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import bound_batches
+from starmart.llm.common import prepare_workers
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)  # the label of what is no personal data
@@ -313,6 +313,7 @@ def find_spans(model: SkipChain, text: str) -> list[tuple[int, int, int, bool]]:
 
 def train(docs: DataFrame, text: str = "text") -> SkipChain:
     """Count the situations of all documents, and fit the potentials to them."""
+    prepare_workers(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[tuple[int, ...]] = Counter()
@@ -354,7 +355,7 @@ def find_personal_data(docs: DataFrame, *, text: str = "text", model: SkipChain
     * Texts are judged one by one: rows that come again get equal spans. An empty table gives an empty one.
     * An input column named ``spans`` is replaced.
     """
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     model = model or train(docs, text)
     names = [c for c in docs.columns if c != "spans"]
     return docs.select(*(quoted(c) for c in names), span_column(model, quoted(text)).alias("spans"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import LOWER, UPPER, bound_batches, row_key, staged
+from starmart.llm.common import LOWER, UPPER, prepare_workers, row_key, staged
 from starmart.llm.components import components
 
 BITS = 64
@@ -139,7 +139,7 @@ def linked_fingerprints(prints: DataFrame, *, segments: int = 5, distance: int =
 
 def _classes(docs: DataFrame, id: str, text: str, words_each: int, segments: int, distance: int):
     """Per row: id, fp, content key. Per fingerprint in a component of several: its root."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     k1, k2 = row_key(id, text)
     rows = staged(
         docs.select(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import bound_batches, stage_path, staged
+from starmart.llm.common import prepare_workers, stage_path, staged
 from starmart.llm.tokens import TOKENIZER, WordTokenizer
 
 BLOCK_BYTES = 4 << 20
@@ -40,7 +40,7 @@ def write_token_files(
     A null text is an empty one: ``end`` alone. The texts of special tokens are plain text, so ``end`` stands only
     between documents.
     """
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokenizer(tokenizer, special=False)
@@ -101,6 +101,7 @@ def count_tokens(
       that is not ``closed``; every file is closed by itself, and an empty one has no documents.
     * A file whose length is no multiple of ``width`` is an error.
     """
+    prepare_workers(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "length")  # contents are not read here
     blocks = staged(scan_blocks(files, end, width, block_bytes), "token-blocks")
     before = Window.partitionBy("path").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
