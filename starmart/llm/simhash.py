@@ -189,7 +189,11 @@ def drop_near_duplicates(
         .agg(F.min("best").alias("best"))
         .select("best._llm_k1", "best._llm_k2")
     )
-    stay = staged(stay, "near-duplicates-stay")
+    return keep_best(docs, staged(stay, "near-duplicates-stay"), id, text)
+
+
+def keep_best(docs: DataFrame, stay: DataFrame, id: str, text: str) -> DataFrame:
+    """One row of ``docs`` for each key (_llm_k1, _llm_k2) in ``stay``."""
     keys = ["_llm_k1", "_llm_k2"]
     k1, k2 = row_key(id, text)
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
