@@ -17,6 +17,7 @@ from starmart.llm.quality import judge_quality
 from starmart.llm.sharding import balanced_shards
 from starmart.llm.simhash import near_duplicates
 from starmart.llm.token_counts import count_document_tokens
+from starmart.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -209,3 +210,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_document_tokens(table(spark, sf_dir, "documents"))
     part = F.regexp_extract("path", r"part-(\d+)", 1).cast("long")
     return counted.select(part.alias("file"), "document", "start", "n_tokens", "closed")
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.col("deviation").cast("long"))

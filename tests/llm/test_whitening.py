@@ -1,0 +1,127 @@
+"""Whitening against plain linear algebra."""
+
+import math
+
+import numpy as np
+import pytest
+
+from starmart.llm.queries import QUERIES
+from starmart.llm.whitening import leading_eigenvectors, squared_deviation, sturm_counts, tridiagonal, whiten
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def frame(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema)
+
+
+def sound(rows):
+    return [
+        (r[0], r[1]) for r in rows if r[1] is not None and all(c is not None and math.isfinite(c) for c in r[1]) and r[1]
+    ]
+
+
+def check(found, rows, components=8):
+    """``found`` rows against an eigendecomposition of all of ``rows`` (id, vector)."""
+    x = np.array([[math.floor(1024 * float(np.float32(c))) + 100000 for c in v] for _, v in rows], object)
+    n, sums = len(x), x.sum(axis=0)
+    centred = (x * n - sums).astype(float) / n
+    matrix = centred.T @ centred / n
+    values, axes = np.linalg.eigh(matrix)
+    values, axes = values[::-1], axes[:, ::-1]
+    kept = min(components, int((values > 1e-9 * values[0]).sum()))
+    assert len(found) == n * kept
+    deviation = ((x * n - sums) ** 2).sum(axis=1)
+    by_row = {}
+    for r in found:
+        by_row.setdefault(r.component, []).append(r)
+    assert sorted(by_row) == list(range(1, kept + 1))
+    assert len({r.identity_error for r in found}) == 1 and found[0].identity_error < 1e-9
+    for c in range(kept):
+        assert all(abs(r.explained - values[c] / np.trace(matrix)) < 1e-9 * r.explained for r in by_row[c + 1])
+        assert all(r.n == n for r in by_row[c + 1])
+        assert sorted((str(r.vec_id), int(r.deviation)) for r in by_row[c + 1]) == sorted(
+            (str(rows[i][0]), int(deviation[i])) for i in range(n)
+        )
+        gaps = [abs(values[c] - values[o]) for o in range(len(values)) if o != c]
+        if min(gaps, default=1) > 1e-6 * values[0]:  # else the component is not one direction
+            want = centred @ axes[:, c] / math.sqrt(values[c])
+            got = {r.vec_id: r.whitened for r in by_row[c + 1]}
+            got = np.array([got[rows[i][0]] for i in range(n)])
+            sign = 1 if (got * want).sum() > 0 else -1
+            assert np.abs(sign * got - want).max() < 1e-7
+    return by_row
+
+
+def test_the_given_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = sound([(r.vec_id, r.embedding) for r in table.collect()])
+    check(QUERIES["op13_whitening"](spark, "/root/testdata/sf0.01").collect(), rows)
+
+
+def test_unsound_vectors_ties_and_repeats(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(c)) for c in rng.standard_normal(4) * (3, 1, 0.5, 0.1)], 0) for i in range(60)]
+    rows += [(60, None, 1), (61, [1.0, None, 0.0, 0.0], 1), (62, [float("nan"), 0.0, 0.0, 0.0], 1)]
+    rows += [(63, [float("inf"), 0.0, 0.0, 0.0], 1), (64, [], 1), (65, [1.0, 2.0], 1), (66, [-1e38, 0.0, 0.0, 0.0], 1)]
+    kept = [(r[0], r[1]) for r in rows[:60]]
+    check(whiten(frame(spark, rows)).collect(), kept)
+    # Repeated rows are vectors of their own.
+    doubled = whiten(frame(spark, rows + rows[:60])).collect()
+    assert len(doubled) == 120 * 4 and {r.n for r in doubled} == {120}
+
+
+def test_equal_eigenvalues_and_no_variance(spark):
+    # The corners of a cross: all components share one eigenvalue.
+    rows = [(2 * i + s, [(1.0 if s else -1.0) if j == i else 0.0 for j in range(5)], 0) for i in range(5) for s in (0, 1)]
+    found = check(whiten(frame(spark, rows)).collect(), [(r[0], r[1]) for r in rows])
+    assert len(found) == 5
+    same = [(i, [0.5, 0.25], 0) for i in range(4)]
+    assert whiten(frame(spark, same)).count() == 0
+    assert whiten(frame(spark, same[:1])).count() == 0
+    flat = [(i, [float(i), 2.0 * i, 0.0], 0) for i in range(6)]
+    assert {r.component for r in whiten(frame(spark, flat)).collect()} == {1}
+
+
+def test_empty_tables_and_clashing_names(spark):
+    empty = whiten(frame(spark, []))
+    assert empty.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    assert empty.count() == 0
+    odd = spark.createDataFrame(
+        [(i, [float(i), float(i * i)], 1, 2.0) for i in range(5)], "`a.b` long, Whitened array<double>, n int, component double"
+    )
+    assert whiten(odd, id="a.b", vector="Whitened").count() == 10
+    nameless = spark.createDataFrame([(None, [float(i), 1.0]) for i in range(3)], "vec_id long, embedding array<float>")
+    assert [r.vec_id for r in whiten(nameless).collect()] == [None] * 3
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 8, 40])
+def test_eigenvectors(size):
+    rng = np.random.default_rng(size)
+    a = rng.standard_normal((size, size))
+    for matrix in (a @ a.T, np.eye(size) * 7, np.diag(np.arange(1.0, size + 1)), np.ones((size, size))):
+        values, vectors = leading_eigenvectors(matrix, 8)
+        want = np.linalg.eigvalsh(matrix)[::-1][: len(values)]
+        assert np.allclose(values, want, rtol=1e-12, atol=1e-12 * want[0])
+        assert np.abs(vectors @ vectors.T - np.eye(len(values))).max() < 1e-12
+        assert np.abs(matrix @ vectors.T - vectors.T * values).max() < 1e-11 * want[0]
+
+
+def test_tridiagonal_and_sturm_counts():
+    rng = np.random.default_rng(1)
+    a = rng.standard_normal((12, 12))
+    matrix = a + a.T
+    diagonal, side, _ = tridiagonal(matrix)
+    full = np.diag(diagonal) + np.diag(side, 1) + np.diag(side, -1)
+    values = np.linalg.eigvalsh(matrix)
+    assert np.allclose(np.linalg.eigvalsh(full), values)
+    at = np.linspace(values[0] - 1, values[-1] + 1, 50)
+    assert (sturm_counts(diagonal, side, at) == [(values < x).sum() for x in at]).all()
+
+
+def test_deviation_beyond_a_long():
+    rows = np.array([[100000 + 5 * 10**8, 100000], [100000, 99000]], np.int64)
+    n = 10**9
+    sums = np.array([n * 100000 + 7, n * 99500], np.int64)
+    want = [sum((n * int(x) - int(s)) ** 2 for x, s in zip(row, sums, strict=True)) for row in rows]
+    assert max(want) > 2**63 and [int(v) for v in squared_deviation(rows, n, sums).to_pylist()] == want
