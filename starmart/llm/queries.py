@@ -215,4 +215,4 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     whitened = whiten(table(spark, sf_dir, "embeddings"))
-    return whitened.withColumn("deviation", F.col("deviation").cast("long"))
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
