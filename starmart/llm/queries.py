@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.llm.alignment import aligned_documents, with_corpus_links
 from starmart.llm.decontaminate import find_contamination
 from starmart.llm.langid import identify_language
 from starmart.llm.line_dedup import dedup_lines
@@ -212,6 +213,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(part.alias("file"), "document", "start", "n_tokens", "closed")
 
 
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = aligned_documents(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return with_corpus_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     whitened = whiten(table(spark, sf_dir, "embeddings"))
