@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.alignment import aligned_documents, with_corpus_links
 from starmart.llm.decontaminate import find_contamination
+from starmart.llm.html_text import extract_text
 from starmart.llm.langid import identify_language
 from starmart.llm.line_dedup import dedup_lines
 from starmart.llm.lm import score_documents
@@ -220,6 +221,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_corpus_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
 
 
+@query("op12_html_text")
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     whitened = whiten(table(spark, sf_dir, "embeddings"))

@@ -1,0 +1,173 @@
+"""Main text of pages: the reader and the network against plain versions, and held-out accuracy."""
+
+import html
+import re
+
+import numpy as np
+import pytest
+
+from starmart.llm.html_blocks import Inventor, invented_page, read_blocks
+from starmart.llm.html_text import Features, Labeller, extract_text, fit_labeller, named_parts, train, training_pages
+from starmart.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+SCHEMA = "page_id long, url string, html string"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return fit_labeller(spark.read.parquet(f"{SF_DIR}/pages.parquet"))
+
+
+def plain_text(page):
+    """The article of a page of the given tables' layout."""
+    inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
+    parts = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in re.split(r"</?(?:p|h1)>", inner))
+    return "\n".join(p for p in parts if p)
+
+
+def test_every_page_of_the_given_table(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    found = QUERIES["op12_html_text"](spark, SF_DIR).collect()
+    assert sorted(r.page_id for r in found) == sorted(pages)
+    for r in found:
+        assert r.text == plain_text(pages[r.page_id].html) and r.url == pages[r.page_id].url
+        assert r.n_chars == len(r.text)
+
+
+def test_held_out_layouts(model):
+    prose = [" ".join(f"wo{i * j % 17}rd" for i in range(1, 4 + j % 40)) for j in range(1, 60)]
+    inventor = Inventor(4711, prose)
+    pages = [p for p in (invented_page(inventor) for _ in range(300)) if p[0]]
+    found = model.label([blocks for blocks, _ in pages])
+    wrong = sum(int((f != np.array(labels)).sum()) for f, (_, labels) in zip(found, pages, strict=True))
+    assert wrong < 0.02 * sum(len(labels) for _, labels in pages)
+
+
+TEXTS = [
+    "Eine längere Zeile, die zum Text der Seite gehört und mehr als nur ein paar Wörter hat.",
+    "A second paragraph of the story, with commas, a number like 42 and an end.",
+    "The third one is about as long as the first; nobody would take it for a menu.",
+    "What a reader wrote below the story is no part of it, however long it may be.",
+]
+
+
+def test_pages_by_other_hands(spark, model):
+    a, b, c, d = TEXTS
+    pages = [
+        f"""<body class="single"><header id="masthead" class="site-header"><a href="/">My site</a></header>
+        <nav class="main-navigation"><ul><li><a>Home</a><li><a>Blog</a></ul></nav><div id="content"><main class="site-main">
+        <article class="post"><header class="entry-header"><h1>Title</h1></header><div class="entry-content"><p>{a}</p>
+        <p>{b}<ul><li>One</li><li>Two</ul></div></article><div id="comments" class="comments-area"><ol><li class="comment">
+        <p>{d}</p></li></ol><form class="comment-form"><label>Name</label></form></div></main></div>
+        <footer id="colophon"><p>{c}</p></footer>""",
+        f"""<html><body><div class="cookie-notice">{d}</div><table><tr><td class="content"><h1>Title</h1><p>{a}<p>{b}
+        <ul><li>One</li><li>Two</li></ul></td></tr></table><div class="comments"><div class="comment"><p>{d}</p></div></div>
+        <div id="footer">&copy; me</div></body></html>""",
+        f"""<body><header><nav><a>a</a></nav></header><div role="main"><section class="story"><h1>Title</h1><p>{a}</p><p>{b}</p>
+        <ul><li>One<li>Two</ul></section></div><section id="reader-comments"><h2>Comments</h2><p>{d}</p></section>
+        <div class="advert">{c}</div><form action="/s">Search</form></body>""",
+    ]
+    want = "\n".join(["Title", a, b, "One", "Two"])
+    frame = spark.createDataFrame([(i, None, p) for i, p in enumerate(pages)], SCHEMA)
+    found = extract_text(frame, model=model).collect()
+    assert [r.text for r in sorted(found)] == [want] * 3
+
+
+def test_reader():
+    page = """<!doctype html><html><head><title>No</title><style>p{}</style><script>var a = "</p><p>no";</script></head>
+    <body>loose&nbsp;text<p>one<b> bold <i>it</b>alic <br>next &amp; &lt;p&gt; &#228; &am <!-- <p>no</p> --><p>two
+    <div class="A-big boxOne">three<ul><li>four<li>five</ul>six</div><noscript>no</noscript><td>seven"""
+    assert [b.text for b in read_blocks(page)] == [
+        "loose text", "one bold italic next & <p> ä &am", "two", "three", "four", "five", "six", "seven",
+    ]
+    by_text = {b.text: b.path for b in read_blocks(page)}
+    assert by_text["four"] == ("html", "body", "div a big box one", "ul", "li")
+    assert by_text["six"] == ("html", "body", "div a big box one")
+    assert [b.in_links for b in read_blocks('<p>ab <a href="x">cde</a></p>')] == [3]
+    for broken in (None, "", "<", "</p", "<p", "&", "<!--", "<script>no", "<![CDATA[", "<!", "<?x", "<p a='"):
+        assert all("no" not in b.text for b in read_blocks(broken))
+    assert len(read_blocks("<div>" * 3000 + "deep")[0].path) == 512
+
+
+def test_named_parts():
+    blocks = read_blocks("<nav>n</nav><article><p>a</p><aside>s</aside></article><p>x</p>")
+    assert named_parts(blocks) == [0, 1, 0, 0]
+    assert named_parts(read_blocks("<p>x</p>")) is None
+
+
+def plain_labels(model, blocks):
+    """The network, block by block, in plain recursion."""
+    w = {k: v.astype(float) for k, v in model.weights.items()}
+    f = Features(blocks)
+    x = [np.tanh(f.paths[f.path[i]] @ w["path"] + f.words[i] @ w["word"] + f.measures[i] @ w["measure"]) for i in range(len(blocks))]
+    size = len(w["state0"])
+    states = []
+    for d in (0, 1):
+        h, c, out = np.zeros(size), np.zeros(size), {}
+        for i in range(len(blocks)) if d == 0 else reversed(range(len(blocks))):
+            z = x[i] @ w[f"in{d}"] + h @ w[f"state{d}"] + w[f"bias{d}"]
+            gate = 1 / (1 + np.exp(-z[: 3 * size]))
+            c = gate[size : 2 * size] * c + gate[:size] * np.tanh(z[3 * size :])
+            h = gate[2 * size :] * np.tanh(c)
+            out[i] = h
+        states.append(out)
+    return [float(np.concatenate([states[0][i], states[1][i]]) @ w["out"][:, 0] + w["out_bias"][0]) > 0 for i in range(len(blocks))]
+
+
+def test_labels_against_plain_recursion(model):
+    inventor = Inventor(5, TEXTS)
+    pages = [invented_page(inventor)[0] for _ in range(20)]
+    pages.append(read_blocks("".join(f"<p>Line {i} of a long page.</p>" for i in range(400))))
+    for blocks, labels in zip(pages, model.label(pages), strict=True):
+        assert labels.tolist() == plain_labels(model, blocks)
+
+
+def test_gradients_against_differences():
+    inventor = Inventor(6, TEXTS)
+    pages = [invented_page(inventor) for _ in range(3)]
+    ready = [(Features(blocks), np.array(labels, np.float32)) for blocks, labels in pages if blocks]
+    model = Labeller(1)
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    _, found = model.gradients(ready)
+    rng = np.random.default_rng(0)
+    for name, weight in model.weights.items():
+        flat, gradient = weight.reshape(-1), found[name].reshape(-1)
+        live = np.flatnonzero(np.abs(gradient) > 1e-3 * np.abs(gradient).max())
+        for i in rng.choice(live, min(3, len(live)), replace=False):
+            kept, step = flat[i], 1e-2
+            flat[i] = kept + step
+            up = model.gradients(ready)[0]
+            flat[i] = kept - step
+            down = model.gradients(ready)[0]
+            flat[i] = kept
+            assert abs((up - down) / (2 * step) - gradient[i]) < 0.05 * abs(gradient[i]) + 1e-4, name
+
+
+def test_nulls_long_pages_repeats_and_clashing_names(spark, model):
+    long = "<article>" + "".join(f"<p>Paragraph {i} of a very long page, as the others are.</p>" for i in range(20_000)) + "</article>"
+    rows = [(0, "u", None), (1, "u", ""), (2, None, "<p>"), (3, "u", long), (None, "u", "<article><p>Some text here.</p></article>")]
+    frame = spark.createDataFrame(rows + rows[-1:], SCHEMA).selectExpr("*", "1 AS Text", "url AS N_CHARS", "2 AS `a.b`")
+    found = extract_text(frame, model=model)
+    assert found.columns == ["page_id", "url", "html", "a.b", "text", "n_chars"]
+    by_id = {}
+    for r in found.collect():
+        by_id.setdefault(r.page_id, []).append((r.text, r.n_chars))
+    assert by_id[0] == by_id[1] == by_id[2] == [("", 0)]
+    assert by_id[3][0][0].count("\n") == 19_999
+    assert by_id[None] == [("Some text here.", 15)] * 2
+
+
+def test_tables_without_named_parts(spark):
+    assert extract_text(spark.createDataFrame([], SCHEMA), steps=2).count() == 0
+    frame = spark.createDataFrame([(1, None, "<div class='post'><p>Words.</p></div>")], SCHEMA)
+    assert extract_text(frame, steps=2).count() == 1
+
+
+def test_training_learns_and_repeats():
+    pages = training_pages([], invented=60)
+    first, second = train(pages, steps=20), train(pages, steps=20)
+    assert all((first.weights[k] == second.weights[k]).all() for k in first.weights)
+    ready = [(Features(b), np.array(x, np.float32)) for b, x in pages if b]
+    assert first.gradients(ready)[0] < 0.6 * Labeller().gradients(ready)[0]
+    assert train([], steps=1).label([[]])[0].tolist() == []
