@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 LONG_PIECE = 80  # characters; longer pieces of a text are not kept
-KEPT_BYTES = 96 << 20  # of pieces a task keeps
-PIECE_COST = 500  # of a kept piece, besides its text and pairs
+KEPT_BYTES = 112 << 20  # of pieces a task keeps
+PIECE_COST = 380  # of a kept piece, besides its texts
 CHUNK_PAIRS = 1 << 20  # pairs of the documents of a chunk
 CROSS_AT_ONCE = 1 << 12  # links of a group that are written out one by one
 
@@ -100,34 +101,34 @@ class Pieces:
     def __init__(self, first: str, second: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
         self.a, self.b = Vocabulary(first), Vocabulary(second)
+        # Ids as text, with each sign that may follow.
+        self.shown_a = {end: np.array([f"{i}{end}" for i in range(len(self.a.lengths))], object) for end in ",|"}
+        self.shown_b = {end: np.array([f"{i}{end}" for i in range(len(self.b.lengths))], object) for end in ",;"}
         self.places: dict[str, int] = {}
-        self.size = 0
         self._clear()
 
     def _clear(self) -> None:
         self.places.clear()
-        self.groups: list[str | None] = []  # None: the bytes differ
-        self.pairs: list[np.ndarray] = []  # packed ids, each pair once
-        self.times: list[np.ndarray] = []
-        self.counts: list[tuple[int, int, int, int]] = []  # tokens of A, of B, groups, links
+        self.groups: list[str | None] = []  # each with a ; at its end; None: the bytes differ
+        self.counts = _Rows(np.zeros((0, 4), np.int64))  # tokens of A, of B, groups, links
+        self.spans = _Rows(np.zeros((0, 2), np.int64))  # where a piece's pairs stand
+        self.pairs = _Rows(np.zeros((0, 2), np.int64))  # packed ids, each pair once, and how often it is linked
         self.size = 0
 
     def of(self, texts: list[list[str]]) -> list[list[int]]:
         """For the pieces of each text, their places in the lists of this object; valid until the next call."""
         if self.size > KEPT_BYTES:
             self._clear()
-        wanted = dict.fromkeys(p for pieces in texts for p in pieces)
-        new = [p for p in wanted if p not in self.places]
+        new = list({p for pieces in texts for p in pieces}.difference(self.places))
         long = {}
         if new:
             at = len(self.groups)
             self._align(new)
-            for i, piece in enumerate(new, at):
-                if len(piece) > LONG_PIECE:
-                    long[piece] = i
-                else:
-                    self.places[piece] = i
-            self.size += sum(len(p) for p in new)
+            if max(map(len, new)) <= LONG_PIECE:
+                self.places.update(zip(new, range(at, at + len(new)), strict=True))
+            else:
+                for i, piece in enumerate(new, at):
+                    (long if len(piece) > LONG_PIECE else self.places)[piece] = i
         if not long:
             return [list(map(self.places.__getitem__, pieces)) for pieces in texts]
         return [[long[p] if p in long else self.places[p] for p in pieces] for pieces in texts]
@@ -135,50 +136,93 @@ class Pieces:
     def _align(self, pieces: list[str]) -> None:
         """Tokenize and group new pieces, all at once, as if they were one text."""
         ids_a, ids_b = self.a.encode(pieces), self.b.encode(pieces)
-        sound = [
-            self.a.joined(a) == b" " + p.encode() == self.b.joined(b)
-            for p, a, b in zip(pieces, ids_a, ids_b, strict=True)
-        ]
-        kept = [i for i, s in enumerate(sound) if s]
-        flat_a = np.array([t for i in kept for t in ids_a[i]], np.int64)
-        flat_b = np.array([t for i in kept for t in ids_b[i]], np.int64)
+        texts = [b" " + p.encode() for p in pieces]
+        if not (self._give_back(self.a, ids_a, texts) and self._give_back(self.b, ids_b, texts)):
+            sound = [
+                self.a.joined(a) == text == self.b.joined(b) for text, a, b in zip(texts, ids_a, ids_b, strict=True)
+            ]
+            ids_a = [a if s else [] for a, s in zip(ids_a, sound, strict=True)]
+            ids_b = [b if s else [] for b, s in zip(ids_b, sound, strict=True)]
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
+        flat_a = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum())
+        flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64, n_b.sum())
         label = farthest_tokens(np.cumsum(self.a.lengths[flat_a]), np.cumsum(self.b.lengths[flat_b]))
         # Tokens lie in order, so groups are runs; the label is the last token of A in each.
-        stops_a = np.unique(label[: len(flat_a)]) + 1
-        stops_b = np.searchsorted(label[len(flat_a) :], stops_a - 1, "right")
-        list_a, list_b = flat_a.tolist(), flat_b.tolist()
-        stop_a, stop_b = stops_a.tolist(), stops_b.tolist()
-        group = done_a = done_b = 0
-        for i, is_sound in enumerate(sound):
-            if not is_sound:
-                self.groups.append(None)
-                self.pairs.append(np.zeros(0, np.int64))
-                self.times.append(np.zeros(0, np.int64))
-                self.counts.append((0, 0, 0, 0))
-                continue
-            end_a, end_b = done_a + len(ids_a[i]), done_b + len(ids_b[i])
-            n_a, n_b, first = end_a - done_a, end_b - done_b, group
-            shown, links = [], []
-            n_links = 0
-            wide: list[tuple[np.ndarray, np.ndarray]] = []
-            while done_a < end_a:
-                a, b = list_a[done_a : stop_a[group]], list_b[done_b : stop_b[group]]
-                done_a, done_b = stop_a[group], stop_b[group]
-                group += 1
-                shown.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
-                n_links += len(a) * len(b)
-                if len(a) * len(b) <= CROSS_AT_ONCE:
-                    links += [x << 32 | y for x in a for y in b]
-                else:
-                    wide.append(_distinct_links(np.array(a), np.array(b)))
-            pairs, times = np.unique(np.array(links, np.int64), return_counts=True)
-            for more, often in wide:
-                pairs, times = _summed(np.concatenate([pairs, more]), np.concatenate([times, often]))
-            self.groups.append(";".join(shown))
-            self.pairs.append(pairs)
-            self.times.append(times)
-            self.counts.append((n_a, n_b, group - first, n_links))
-            self.size += PIECE_COST + len(self.groups[-1]) + 16 * len(pairs)
+        last, group = np.unique(label, return_inverse=True)
+        group_a, group_b = group[: len(flat_a)], group[len(flat_a) :]
+        in_a, in_b = np.bincount(group_a, minlength=len(last)), np.bincount(group_b, minlength=len(last))
+        piece_of = np.repeat(np.arange(len(pieces)), n_a)[last] if len(last) else np.zeros(0, np.int64)
+
+        self._keep_groups(flat_a, flat_b, group_a, group_b, in_a, in_b, n_a, n_b)
+        links = np.bincount(piece_of, in_a * in_b, len(pieces)).astype(np.int64)
+        self.counts.add(np.stack([n_a, n_b, np.bincount(piece_of, minlength=len(pieces)), links], axis=1))
+        self._keep_pairs(flat_a, flat_b, in_a, in_b, piece_of, len(pieces))
+        self.size += PIECE_COST * len(pieces) + sum(map(len, texts)) + 7 * (len(flat_a) + len(flat_b))
+
+    @staticmethod
+    def _give_back(vocabulary: Vocabulary, ids: list[list[int]], texts: list[bytes]) -> bool:
+        """Whether every piece's tokens give its bytes."""
+        flat = list(chain.from_iterable(ids))
+        ends = np.append(0, np.cumsum(vocabulary.lengths[flat]))[np.cumsum(list(map(len, ids)))]
+        return vocabulary.joined(flat) == b"".join(texts) and bool((ends == np.cumsum(list(map(len, texts)))).all())
+
+    def _keep_groups(self, flat_a, flat_b, group_a, group_b, in_a, in_b, n_a, n_b) -> None:  # noqa: ANN001
+        """The text of every piece's groups: ids of A in a group, then of B, each with the sign that follows it."""
+        shown = np.empty(len(flat_a) + len(flat_b), object)
+        both = np.cumsum(in_a + in_b) - in_a - in_b  # tokens of the groups before
+        for flat, group, inside, start, signs in (
+            (flat_a, group_a, in_a, both, self.shown_a),
+            (flat_b, group_b, in_b, both + in_a, self.shown_b),
+        ):
+            nth = np.arange(len(flat)) - (np.cumsum(inside) - inside)[group]
+            between, after = signs.values()
+            shown[start[group] + nth] = np.where(nth == inside[group] - 1, after[flat], between[flat])
+        parts, at = shown.tolist(), 0
+        for n in (n_a + n_b).tolist():
+            self.groups.append("".join(parts[at : at + n]) if n else None)
+            at += n
+
+    def _keep_pairs(self, flat_a, flat_b, in_a, in_b, piece_of, n_pieces) -> None:  # noqa: ANN001
+        """Every piece's distinct pairs and how often they are linked."""
+        start_a, start_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        links = in_a * in_b
+        usual = links <= CROSS_AT_ONCE
+        # All links of the usual groups: the nth of a group has token n // b of A and n % b of B.
+        groups = np.repeat(np.flatnonzero(usual), links[usual])
+        nth = np.arange(len(groups)) - np.repeat(np.cumsum(links[usual]) - links[usual], links[usual])
+        a = flat_a[start_a[groups] + nth // in_b[groups]] if len(groups) else np.zeros(0, np.int64)
+        b = flat_b[start_b[groups] + nth % in_b[groups]] if len(groups) else np.zeros(0, np.int64)
+        piece, pairs, times = piece_of[groups], a << 32 | b, np.ones(len(groups), np.int64)
+        for g in np.flatnonzero(~usual).tolist():
+            more, often = _distinct_links(
+                flat_a[start_a[g] : start_a[g] + in_a[g]], flat_b[start_b[g] : start_b[g] + in_b[g]]
+            )
+            piece = np.append(piece, np.full(len(more), piece_of[g]))
+            pairs, times = np.append(pairs, more), np.append(times, often)
+        order = np.lexsort((pairs, piece))
+        piece, pairs, times = piece[order], pairs[order], times[order]
+        new = np.ones(len(pairs), bool)
+        new[1:] = (pairs[1:] != pairs[:-1]) | (piece[1:] != piece[:-1])
+        first = np.flatnonzero(new)
+        total = np.add.reduceat(times, first) if len(first) else times
+        at = self.pairs.n + np.searchsorted(piece[first], np.arange(n_pieces + 1))
+        self.spans.add(np.stack([at[:-1], at[1:]], axis=1))
+        self.pairs.add(np.stack([pairs[first], total], axis=1))
+
+
+class _Rows:
+    """Rows of numbers that more are added to."""
+
+    def __init__(self, empty: np.ndarray) -> None:
+        self.held, self.n = empty, 0
+
+    def add(self, rows: np.ndarray) -> None:
+        if self.n + len(rows) > len(self.held):
+            larger = np.empty((max(2 * len(self.held), self.n + len(rows)), self.held.shape[1]), np.int64)
+            larger[: self.n] = self.held[: self.n]
+            self.held = larger
+        self.held[self.n : self.n + len(rows)] = rows
+        self.n += len(rows)
 
 
 def _distinct_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,13 +231,6 @@ def _distinct_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (a[:, None] << 32 | b).ravel(), (n_a[:, None] * n_b).ravel()
 
 
-def _summed(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, place = np.unique(pairs, return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, place, times)
-    return distinct, total
-
-
 def _binary(values: np.ndarray, kind: str) -> bytes:
     return values.astype(kind).tobytes()
 
@@ -272,11 +309,15 @@ def _document(known: Pieces, places: list[int]) -> tuple[tuple, np.ndarray, np.n
     if not groups or None in groups:
         return (0, 0, 0, 0, ""), np.zeros(0, np.int64), np.zeros(0, np.int64)
     distinct, often = np.unique(np.array(places, np.int64), return_counts=True)
-    counts = often @ np.array([known.counts[p] for p in distinct.tolist()], np.int64)
-    pairs = [known.pairs[p] for p in distinct.tolist()]
-    times = np.concatenate([known.times[p] for p in distinct.tolist()])
-    times = times * np.repeat(often, [len(p) for p in pairs])
-    return (*counts.tolist(), ";".join(groups)), *_summed(np.concatenate(pairs), times)
+    counts = often @ known.counts.held[distinct]
+    start, stop = known.spans.held[distinct].T
+    size = stop - start
+    rows = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+    pairs, times = known.pairs.held[rows].T
+    order = np.argsort(pairs, kind="stable")
+    pairs, times = pairs[order], (times * np.repeat(often, size))[order]
+    first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+    return (*counts.tolist(), "".join(groups)[:-1]), pairs[first], np.add.reduceat(times, first)
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:
