@@ -41,7 +41,7 @@ def _bucket(token: str, buckets: int) -> int:
 @lru_cache(maxsize=1 << 14)
 def path_buckets(path: tuple[str, ...]) -> tuple[int, ...]:
     """Buckets of a path's elements and names; those of the innermost elements count again by their place."""
-    found = set()
+    found = {0}  # never empty
     for depth, element in enumerate(reversed(path)):
         tag, *names = element.split(" ")
         for name in names:
@@ -63,9 +63,11 @@ class Features:
     def __init__(self, blocks: Sequence[Block]) -> None:
         paths: dict[tuple[str, ...], int] = {}
         self.path = np.array([paths.setdefault(b.path, len(paths)) for b in blocks], np.int64)
-        self.paths = np.zeros((len(paths), PATH_BUCKETS), np.float32)
-        for path, i in paths.items():
-            self.paths[i, list(path_buckets(path))] = 1
+        # Buckets of all distinct paths, one after the other, and where each begins.
+        self.buckets = np.array([b for path in paths for b in path_buckets(path)], np.int64)
+        sizes = np.array([len(path_buckets(path)) for path in paths], np.int64)
+        self.starts = np.cumsum(sizes) - sizes
+        self.bucket_path = np.repeat(np.arange(len(paths)), sizes)
         self.words = np.zeros((len(blocks), WORD_BUCKETS), np.float32)
         self.measures = np.zeros((len(blocks), MEASURES), np.float32)
         for i, block in enumerate(blocks):
@@ -93,7 +95,7 @@ class Labeller:
             return (rng.standard_normal(shape) / math.sqrt(shape[0])).astype(np.float32)
 
         self.weights = {
-            "path": start(PATH_BUCKETS, EMBEDDED) * 8, "word": start(WORD_BUCKETS, EMBEDDED), "measure": start(MEASURES, EMBEDDED),
+            "path": start(PATH_BUCKETS, EMBEDDED) * 16, "word": start(WORD_BUCKETS, EMBEDDED), "measure": start(MEASURES, EMBEDDED),
             "out": start(2 * HIDDEN, 1), "out_bias": np.zeros(1, np.float32),
         }
         for d in (0, 1):
@@ -105,7 +107,7 @@ class Labeller:
 
     def embed(self, features: Features) -> np.ndarray:
         w = self.weights
-        paths = features.paths @ w["path"]
+        paths = np.add.reduceat(w["path"][features.buckets], features.starts, axis=0)
         return np.tanh(paths[features.path] + features.words @ w["word"] + features.measures @ w["measure"])
 
     def run(self, x: np.ndarray, mask: np.ndarray, d: int, keep: list | None = None) -> np.ndarray:
@@ -193,9 +195,9 @@ class Labeller:
             d_x += (flat @ w[f"in{d}"].T).reshape(x.shape)
         for p, (features, labels) in enumerate(pages):
             d_e = d_x[: len(labels), p] * (1 - embedded[p] ** 2)
-            by_path = np.zeros((len(features.paths), EMBEDDED), np.float32)
+            by_path = np.zeros((len(features.starts), EMBEDDED), d_e.dtype)
             np.add.at(by_path, features.path, d_e)
-            found["path"] += features.paths.T @ by_path
+            np.add.at(found["path"], features.buckets, by_path[features.bucket_path])
             found["word"] += features.words.T @ d_e
             found["measure"] += features.measures.T @ d_e
         return loss, found

@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 
 from starmart.llm.html_blocks import Inventor, invented_page, read_blocks
-from starmart.llm.html_text import Features, Labeller, extract_text, fit_labeller, named_parts, train, training_pages
+from starmart.llm.html_text import (
+    Features, Labeller, extract_text, fit_labeller, named_parts, path_buckets, train, training_pages,
+)
 from starmart.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -100,7 +102,10 @@ def plain_labels(model, blocks):
     """The network, block by block, in plain recursion."""
     w = {k: v.astype(float) for k, v in model.weights.items()}
     f = Features(blocks)
-    x = [np.tanh(f.paths[f.path[i]] @ w["path"] + f.words[i] @ w["word"] + f.measures[i] @ w["measure"]) for i in range(len(blocks))]
+    x = []
+    for i, block in enumerate(blocks):
+        path = sum(w["path"][b] for b in path_buckets(block.path))
+        x.append(np.tanh(path + f.words[i] @ w["word"] + f.measures[i] @ w["measure"]))
     size = len(w["state0"])
     states = []
     for d in (0, 1):
@@ -112,7 +117,8 @@ def plain_labels(model, blocks):
             h = gate[2 * size :] * np.tanh(c)
             out[i] = h
         states.append(out)
-    return [float(np.concatenate([states[0][i], states[1][i]]) @ w["out"][:, 0] + w["out_bias"][0]) > 0 for i in range(len(blocks))]
+    both = [np.concatenate([states[0][i], states[1][i]]) for i in range(len(blocks))]
+    return [float(h @ w["out"][:, 0] + w["out_bias"][0]) > 0 for h in both]
 
 
 def test_labels_against_plain_recursion(model):
