@@ -13,8 +13,8 @@ from starmart.llm.common import stage_path
 from starmart.llm.decontaminate import find_contamination
 from starmart.llm.langid import identify_language
 from starmart.llm.line_dedup import dedup_lines
-from starmart.llm.near_copies import drop_near_copies
 from starmart.llm.packing import pack_documents
+from starmart.llm.simhash import drop_near_duplicates
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word runs, Jaccard 0.8) stays, that with the smallest id."""
-    return drop_near_copies(docs)
+    """One document of each group of linked fingerprints (3-word shingles, 2 bits) stays, that with the smallest id."""
+    return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
