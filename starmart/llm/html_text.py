@@ -264,7 +264,11 @@ def fit_labeller(pages: DataFrame, *, html: str = "html", sample: int = SAMPLE_P
     """Train on at most ``sample`` pages of at most SAMPLE_CHARS characters, chosen by a hash of their content."""
     source = quoted(html)
     named = pages.where(F.length(source) <= SAMPLE_CHARS).where(F.lower(source).rlike("<(article|main)[ >]"))
-    chosen = named.select(source.alias("html")).orderBy(F.xxhash64("html"), "html").limit(sample)
+    keyed = named.select(source.alias("html"), F.pmod(F.xxhash64(source), F.lit(1 << 30)).alias("key"))
+    # About twice as many as wanted, so that few come from each task; of equal pages one.
+    share = min(1.0, 2 * (sample + 20) / max(1, named.count()))
+    few = keyed.where(F.col("key") < int(share * (1 << 30))).dropDuplicates(["key"])
+    chosen = few.orderBy("key", "html").limit(sample)
     return train(training_pages([r.html for r in chosen.collect()]), steps=steps)
 
 
