@@ -9,21 +9,20 @@ Passes over each input:
   Parquet table; checks and publishing read that.
 * The dictionary text is parsed once, all lists in one table, and staged as well.
 
-Staged tables live below the output under the run's own name, and go at its end, however it ends.
-All tables of a run are written there first; if a write fails, what was published before is untouched. Only then
-do folders change places, and a small file, ``_COMPLETE``, names the run whose tables stand together. It is
-missing while they change.
+Staged tables live below the output under the run's own name, and go at its end, however it ends. Tables are published
+by ``sources.publish``: each run writes folders of its own, and a manifest that is put down last makes them live, all
+at once. Whatever step fails, readers find the set of the last run that succeeded. ``read_star`` gives that set.
+
+The build works in a session of its own that has the caller's settings, so what it sets does not show elsewhere.
 """
 
 from __future__ import annotations
 
 import argparse
-import json
 import logging
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -44,8 +43,10 @@ from starmart.plans.arrivals import (
 )
 from starmart.session import DEFAULT_PARTITIONS, EXPLICIT_SIZE, create_session, shuffle_partitions
 from starmart.sources import (
-    mark_complete,
-    move_folder,
+    PERIODS,
+    REPLACE,
+    Publication,
+    published_tables,
     read_by_name,
     read_delimited,
     read_dictionary,
@@ -53,14 +54,12 @@ from starmart.sources import (
     read_table,
     register_views,
     remove_folder,
-    subfolders,
     write_table,
 )
 
 log = logging.getLogger(__name__)
 FACT = "immigration"
 COLUMNAR_FORMATS = ("parquet", "orc")
-COMPLETE = "_COMPLETE"
 
 
 @dataclass(frozen=True)
@@ -127,22 +126,20 @@ def _watched(df: DataFrame, seen: Observation) -> DataFrame:
     return df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
 
-@contextmanager
-def _metrics_of_empty_stages(spark: SparkSession) -> Iterator[None]:
-    """Keep stages whose rows were all dropped in the plan: adaptive execution would take their row counts along."""
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of the caller's, which may be changed without a trace there."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.") and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    # Keep stages whose rows were all dropped in the plan: adaptive execution would take their row counts along.
     key, rule = (
         "spark.sql.adaptive.optimizer.excludedRules",
         "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",
     )
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, f"{before},{rule}" if before else rule)
-    try:
-        yield
-    finally:
-        if before:
-            spark.conf.set(key, before)
-        else:
-            spark.conf.unset(key)
+    before = session.conf.get(key, None)
+    session.conf.set(key, f"{before},{rule}" if before else rule)
+    return session
 
 
 def _counts(seen: Mapping[str, Observation]) -> dict[str, int]:
@@ -157,7 +154,7 @@ def _counts(seen: Mapping[str, Observation]) -> dict[str, int]:
 
 
 def _size_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
-    """Shuffle partitions by the inputs' size as Spark's scans know it, unless the session says otherwise."""
+    """Shuffle partitions by the shuffled inputs' size as Spark's scans know it, unless the session says otherwise."""
     key = "spark.sql.shuffle.partitions"
     if spark.conf.get(EXPLICIT_SIZE, None) is None and spark.conf.get(key) == str(DEFAULT_PARTITIONS):
         sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs]
@@ -174,19 +171,28 @@ def build_star(spark: SparkSession, config: StarConfig) -> BuildResult:
     run = uuid.uuid4().hex
     stage = f"{config.output}/_stage/{run}"
     try:
-        return _build(spark, config, run, stage)
+        report, counts = _build(_own_session(spark), config, stage)
     finally:
         remove_folder(spark, stage)
+    published = read_star(spark, config.output)
+    register_views(published)
+    return BuildResult(published, report, counts)
+
+
+def read_star(spark: SparkSession, output: str) -> dict[str, DataFrame]:
+    """The tables of the last run that succeeded."""
+    return published_tables(spark, output)
 
 
-def _build(spark: SparkSession, config: StarConfig, run: str, stage: str) -> BuildResult:
+def _build(spark: SparkSession, config: StarConfig, stage: str) -> tuple[list[Row], dict[str, int]]:
     def read_text(path: str, sep: str, columns: tuple[S.SourceColumn, ...]) -> DataFrame:
         return read_delimited(spark, path, sep) if config.infer_types else read_by_name(spark, path, columns, sep=sep)
 
     arrivals = read_fact(spark, config.arrivals, config.arrivals_format, **config.arrivals_options)
     cities = read_text(config.demographic, ";", S.DEMOGRAPHIC)
     readings = read_text(config.temperature, ",", S.TEMPERATURE)
-    _size_shuffles(spark, cities, readings)
+    rebalance = config.monthly if config.rebalance is None else config.rebalance
+    _size_shuffles(spark, cities, readings, *([arrivals] if rebalance else []))
 
     write_table(parse_code_lists(read_dictionary(spark, config.labels)).coalesce(1), f"{stage}/labels")
     tables = code_list_tables(read_table(spark, f"{stage}/labels"))
@@ -212,9 +218,8 @@ def _build(spark: SparkSession, config: StarConfig, run: str, stage: str) -> Bui
     }
     if config.arrivals_format not in COLUMNAR_FORMATS:
         to_stage[FACT] = fact(arrivals)
-    with _metrics_of_empty_stages(spark):
-        _side_by_side(spark, *(partial(write_table, df, f"{stage}/{name}") for name, df in to_stage.items()))
-        counts = _counts(seen)
+    _side_by_side(spark, *(partial(write_table, df, f"{stage}/{name}") for name, df in to_stage.items()))
+    counts = _counts(seen)
     tables[FACT] = fact(arrivals)
     tables |= {name: read_table(spark, f"{stage}/{name}") for name in to_stage}
 
@@ -223,33 +228,28 @@ def _build(spark: SparkSession, config: StarConfig, run: str, stage: str) -> Bui
     # Cleaning drops no arrival.
     counts = {f"{FACT}.read": checked[f"{FACT}.checked"], **counts, **checked}
 
-    months = ("year", "month") if config.monthly else ()
-    rebalance = config.monthly if config.rebalance is None else config.rebalance
-    new = f"{stage}/publish"
-    _side_by_side(
-        spark,
-        *(
-            partial(
-                write_table,
-                df.drop(S.MALFORMED),
-                f"{new}/{name}",
-                partition_by=months if name == FACT else (),
-                rebalance=rebalance and name == FACT,
+    periods = {FACT: ("year", "month")} if config.monthly else {}
+    publish = {name: df.drop(S.MALFORMED) for name, df in tables.items()}
+    with Publication(spark, config.output) as new:
+        _side_by_side(
+            spark,
+            *(
+                partial(
+                    write_table,
+                    df,
+                    new.folder(name),
+                    partition_by=periods.get(name, ()),
+                    rebalance=rebalance and name == FACT,
+                )
+                for name, df in publish.items()
             )
-            for name, df in tables.items()
         )
-    )
-    remove_folder(spark, f"{config.output}/{COMPLETE}")
-    for name in tables:
-        # A monthly fact changes the months it brings, all other tables as a whole.
-        parts = subfolders(spark, f"{new}/{name}", "year=*/month=*") if name == FACT and config.monthly else [""]
-        for part in parts:
-            move_folder(spark, f"{new}/{name}/{part}".rstrip("/"), f"{config.output}/{name}/{part}".rstrip("/"))
-    mark_complete(spark, f"{config.output}/{COMPLETE}", json.dumps({"run": run, "tables": sorted(tables)}))
-
-    published = {name: read_table(spark, f"{config.output}/{name}") for name in tables}
-    register_views(published)
-    return BuildResult(published, report, counts)
+        for name, df in publish.items():
+            # A monthly fact changes the months it brings, all other tables as a whole.
+            mode = PERIODS if name in periods else REPLACE
+            new.add(name, df.schema, partition_by=periods.get(name, ()), mode=mode)
+        new.complete()
+    return report, counts
 
 
 def main(argv: list[str] | None = None) -> None:

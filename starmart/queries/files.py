@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from starmart import schemas as S
@@ -14,10 +16,14 @@ from starmart.plans.build import star_rules
 from starmart.queries import shapes
 from starmart.queries.registry import query, table, work_path
 from starmart.sources import (
+    APPEND,
+    PERIODS,
+    Publication,
     literal_table,
     read_by_name,
     read_delimited,
     read_fact,
+    read_published,
     read_table,
     refresh_partitions,
     register_views,
@@ -209,6 +215,52 @@ def monthly_refresh(spark, sf_dir):
     return read_table(spark, path)
 
 
+@query(
+    "versioned_publish",
+    """
+    with months as (
+        select o_orderkey, o_totalprice, cast(year(o_orderdate) as integer) as year,
+               cast(month(o_orderdate) as integer) as month from orders
+    )
+    select 'live' as published, o_orderkey,
+           case when year = 1998 and month in (3, 4) then o_totalprice * 2 else o_totalprice end as o_totalprice, year, month
+    from months
+    union all
+    select 'before', * from months
+    union all
+    select 'notes', count(*), null, null, null from months group by year, month
+    """,
+)
+def versioned_publish(spark, sf_dir):
+    """All months published, two of them delivered again, and a table that is added to; both manifests' rows."""
+    output = f"{work_path(spark, 'versioned_publish')}/{uuid.uuid4().hex}"
+    months = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_totalprice", "year(o_orderdate) as year", "month(o_orderdate) as month"
+    )
+    again = months.filter("year = 1998 and month in (3, 4)").withColumn("o_totalprice", F.expr("o_totalprice * 2"))
+    manifests = []
+    for delivered in (months, again):
+        # Notes are taken of the months that are new.
+        known = read_published(spark, output, "months") if manifests else months.limit(0)
+        notes = delivered.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
+        notes = notes.join(known.select("year", "month").distinct(), ["year", "month"], "left_anti")
+        with Publication(spark, output) as new:
+            write_table(delivered, new.folder("months"), partition_by=["year", "month"], rebalance=True)
+            new.add("months", delivered.schema, partition_by=["year", "month"], mode=PERIODS)
+            write_table(notes, new.folder("notes"))
+            new.add("notes", notes.schema, mode=APPEND)
+            manifests.append(new.complete())
+    live, before = (read_published(spark, output, "months", manifest=m) for m in reversed(manifests))
+    notes = read_published(spark, output, "notes").selectExpr(
+        "'notes' as published", "rows as o_orderkey", "null as o_totalprice", "null as year", "null as month"
+    )
+    return (
+        live.withColumn("published", F.lit("live"))
+        .unionByName(before.withColumn("published", F.lit("before")))
+        .unionByName(notes)
+    )
+
+
 @query("view_select_all", "select * from supplier")
 def view_select_all(spark, sf_dir):
     register_views({"supplier": table(spark, sf_dir, "supplier")}, prefix="starmart_")

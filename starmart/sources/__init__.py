@@ -1,5 +1,17 @@
 """Reading and writing tables."""
 
+from starmart.sources.publish import (
+    APPEND,
+    PERIODS,
+    REPLACE,
+    Publication,
+    PublishConflictError,
+    published_tables,
+    read_manifest,
+    read_published,
+    register_published,
+    remove_abandoned,
+)
 from starmart.sources.readers import (
     literal_table,
     read_by_name,
@@ -9,8 +21,6 @@ from starmart.sources.readers import (
     read_table,
 )
 from starmart.sources.writers import (
-    mark_complete,
-    move_folder,
     refresh_partitions,
     register_views,
     remove_folder,
@@ -19,16 +29,24 @@ from starmart.sources.writers import (
 )
 
 __all__ = [
+    "APPEND",
+    "PERIODS",
+    "REPLACE",
+    "Publication",
+    "PublishConflictError",
     "literal_table",
-    "mark_complete",
-    "move_folder",
+    "published_tables",
     "read_by_name",
     "read_delimited",
     "read_dictionary",
     "read_fact",
+    "read_manifest",
+    "read_published",
     "read_table",
     "refresh_partitions",
+    "register_published",
     "register_views",
+    "remove_abandoned",
     "remove_folder",
     "subfolders",
     "write_table",

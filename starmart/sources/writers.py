@@ -44,38 +44,27 @@ def refresh_partitions(
     write_table(df, path, partition_by=partition_by, only_present_partitions=True, **options)
 
 
-def _place(spark: SparkSession, path: str):
+def file_place(spark: SparkSession, path: str):
     """The file system of a path, and the path, as Hadoop has them: any store that Spark can write to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put a written folder in the place of another, which goes."""
-    files, source_place = _place(spark, source)
-    _, place = _place(spark, target)
-    files.mkdirs(place.getParent())
-    if files.exists(place):
-        files.delete(place, True)
-    if not files.rename(source_place, place):
-        raise OSError(f"could not move {source} to {target}")
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
-    files, place = _place(spark, path)
+    files, place = file_place(spark, path)
     files.delete(place, True)
 
 
 def subfolders(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Folders below ``path`` that match, relative to it."""
-    files, place = _place(spark, f"{path}/{pattern}")
+    files, place = file_place(spark, f"{path}/{pattern}")
     depth = pattern.count("/") + 1
     return ["/".join(f.getPath().toString().rsplit("/", depth)[1:]) for f in files.globStatus(place) or []]
 
 
-def mark_complete(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file that says what is complete."""
-    files, place = _place(spark, path)
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file from the driver."""
+    files, place = file_place(spark, path)
     stream = files.create(place, True)
     try:
         stream.write(bytearray(text, "utf-8"))
@@ -83,6 +72,16 @@ def mark_complete(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def read_text_file(spark: SparkSession, path: str) -> str:
+    """A small file, to the driver."""
+    files, place = file_place(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
     """Name each table for SQL."""
     for name, df in tables.items():

@@ -1,5 +1,4 @@
 import datetime
-import json
 import re
 from dataclasses import replace
 from pathlib import Path
@@ -9,8 +8,8 @@ from helpers import DICTIONARY, arrivals, rows_of
 
 from starmart.operators.quality import QualityError
 from starmart.plans import build
-from starmart.plans.build import StarConfig, build_star, main
-from starmart.sources import read_table
+from starmart.plans.build import StarConfig, build_star, main, read_star
+from starmart.sources import PublishConflictError, read_manifest, read_published
 
 CITIES = (
     "City;State;Median Age;Male Population;Female Population;Total Population;Number of Veterans;"
@@ -56,10 +55,8 @@ def inputs(spark, tmp_path):
 def test_all_tables_are_published(spark, inputs):
     config = inputs()
     result = build_star(spark, config)
-    assert sorted(p.name for p in Path(config.output).iterdir() if p.name[0] not in "._") == sorted(TABLES)
-    marker = json.loads((Path(config.output) / build.COMPLETE).read_text())
-    assert marker["tables"] == sorted(TABLES)
-    counts = {name: read_table(spark, f"{config.output}/{name}").count() for name in TABLES}
+    assert published(config) == set(read_manifest(spark, config.output).tables) == set(TABLES)
+    counts = {name: df.count() for name, df in read_star(spark, config.output).items()}
     assert counts == {
         "country_codes": 6, "port_codes": 3, "mode_codes": 3, "state_codes": 4, "visa_codes": 3,
         "immigration": 3, "demographic": 2, "temperature": 3,
@@ -86,7 +83,8 @@ def test_nothing_is_published_when_a_check_fails(spark, inputs):
 
 
 def published(config):
-    return {p.name for p in Path(config.output).iterdir() if p.name[0] not in "._"}
+    """Tables that have any folder of a run."""
+    return {p.parent.name for p in (Path(config.output) / "_data").glob("*/published_run=*")}
 
 
 def staged(config):
@@ -123,27 +121,57 @@ def test_all_rows_incomplete_is_a_warning_if_asked_for(spark, inputs, tmp_path,
         (tmp_path / "cities.csv").write_text(CITIES.splitlines()[0] + "\n" + CITIES.splitlines()[-1] + "\n")
     result = build_star(spark, config)
     assert result.counts[f"{table}.read"] == 1 and result.counts[f"{table}.checked"] == 0
-    assert read_table(spark, f"{config.output}/{table}").count() == 0
+    assert read_published(spark, config.output, table).count() == 0
 
 
-def test_a_failed_write_leaves_the_previous_set(spark, inputs, monkeypatch):
+def content(spark, config):
+    return {n: rows_of(df) for n, df in read_star(spark, config.output).items()}
+
+
+@pytest.mark.parametrize("table", TABLES)
+def test_a_failed_write_leaves_the_previous_set(spark, inputs, monkeypatch, table):
     config = inputs()
     build_star(spark, config)
-    before = {n: rows_of(read_table(spark, f"{config.output}/{n}")) for n in TABLES}
-    marker = (Path(config.output) / build.COMPLETE).read_text()
+    before, manifest = content(spark, config), read_manifest(spark, config.output)
     write = build.write_table
 
     def failing(df, path, **options):
-        if path.endswith("publish/demographic"):
-            raise OSError("disk full")
         write(df, path, **options)
+        if f"/_data/{table}/" in path:
+            raise OSError("disk full")
 
     monkeypatch.setattr(build, "write_table", failing)
     config = inputs(changes=({"cicid": 99.0},))
     with pytest.raises(OSError, match="disk full"):
         build_star(spark, config)
-    assert {n: rows_of(read_table(spark, f"{config.output}/{n}")) for n in TABLES} == before
-    assert (Path(config.output) / build.COMPLETE).read_text() == marker and staged(config) == []
+    assert content(spark, config) == before
+    assert read_manifest(spark, config.output) == manifest and staged(config) == []
+    assert len(list((Path(config.output) / "_data").glob("*/*"))) == len(TABLES)  # nothing of the failed run is left
+
+
+def test_two_builds_at_once_do_not_mix(spark, inputs, monkeypatch):
+    config = inputs(monthly=True)
+    build_star(spark, config)
+    write = build.write_table
+    once = []
+
+    def overtaken(df, path, **options):
+        write(df, path, **options)
+        if "/_data/immigration/" in path and not once:
+            once.append(path)
+            build_star(spark, inputs(changes=({"cicid": 55.0},), monthly=True))
+
+    monkeypatch.setattr(build, "write_table", overtaken)
+    with pytest.raises(PublishConflictError):
+        build_star(spark, inputs(changes=({"cicid": 44.0, "i94mon": 3.0},), monthly=True))
+    fact = read_star(spark, config.output)["immigration"]
+    assert rows_of(fact.select("month", "cicid")) == [(3, 6), (4, 55)]
+
+
+def test_the_callers_session_stays_as_it_is(spark, inputs):
+    before = dict(spark.conf.getAll)
+    build_star(spark, inputs(monthly=True))
+    assert dict(spark.conf.getAll) == before
 
 
 def test_views_are_named_after_the_gate(spark, inputs):
@@ -177,7 +205,11 @@ def test_arrivals_as_text_are_found_by_name(spark, inputs):
 
 def test_a_monthly_fact_is_shuffled_by_month_unless_told_otherwise(spark, inputs):
     many = tuple({"cicid": float(i), "i94mon": float(1 + i % 2)} for i in range(40))
-    files = lambda config: len(list((Path(config.output) / "immigration").glob("year=*/month=*/*.parquet")))
+
+    def files(config):
+        folders = read_manifest(spark, config.output).tables["immigration"].folders
+        return sum(len(list((Path(config.output) / f).glob("*.parquet"))) for f in folders)
+
     config = inputs(changes=many, monthly=True)
     spread = spark.read.parquet(config.arrivals).repartition(8)
     spread.write.parquet(config.arrivals + "_spread")
@@ -262,7 +294,8 @@ def test_command_line(spark, inputs, capsys):
     names = ("labels", "arrivals", "demographic", "temperature", "output")
     main([a for n in names for a in (f"--{n}", getattr(config, n))] + ["--monthly"])
     assert "immigration.checked: 3" in capsys.readouterr().out
-    assert (Path(config.output) / "immigration" / "year=2016").is_dir()
+    folders = read_manifest(spark, config.output).tables["immigration"].folders
+    assert {f.split("/", 3)[3] for f in folders} == {"year=2016/month=3", "year=2016/month=4"}
 
 
 @pytest.fixture

@@ -1,0 +1,189 @@
+"""Publishing behind a manifest: one whole set at any time, whatever fails."""
+
+import json
+from contextlib import nullcontext
+from pathlib import Path
+
+import pytest
+from helpers import rows_of
+
+from starmart.sources import (
+    APPEND,
+    PERIODS,
+    Publication,
+    PublishConflictError,
+    published_tables,
+    read_manifest,
+    read_published,
+    register_published,
+    remove_abandoned,
+    write_table,
+)
+from starmart.sources import publish as module
+
+MONTHS = "v string, year int, month int"
+
+
+def publish(spark, output, tables, *, partition_by=None, modes=None):
+    partition_by, modes = partition_by or {}, modes or {}
+    with Publication(spark, output) as new:
+        for name, df in tables.items():
+            write_table(df, new.folder(name), partition_by=partition_by.get(name, ()))
+            new.add(name, df.schema, partition_by=partition_by.get(name, ()), mode=modes.get(name, "replace"))
+        return new.complete()
+
+
+def months(spark, *rows):
+    return spark.createDataFrame(list(rows), MONTHS)
+
+
+def publish_months(spark, output, mark, rows):
+    """A fact by month and a small table, both marked by the run."""
+    tables = {"fact": months(spark, *rows), "list": spark.createDataFrame([(mark,)], "mark string")}
+    return publish(spark, output, tables, partition_by={"fact": ("year", "month")}, modes={"fact": PERIODS})
+
+
+def content(spark, output):
+    return {name: rows_of(df) for name, df in published_tables(spark, output).items()}
+
+
+@pytest.fixture
+def output(tmp_path):
+    return str(tmp_path / "out")
+
+
+def test_periods_that_stay_are_listed_by_reference(spark, output):
+    first = publish_months(spark, output, "a", [("a", 2016, 3), ("a", 2016, 4), ("a", 2017, 4)])
+    files = {p: p.stat().st_mtime_ns for p in Path(output).rglob("*.parquet")}
+    second = publish_months(spark, output, "b", [("b", 2016, 4), ("b", 2016, 5)])
+    assert content(spark, output) == {
+        "fact": [("a", 2016, 3), ("a", 2017, 4), ("b", 2016, 4), ("b", 2016, 5)], "list": [("b",)],
+    }
+    kept = set(first.tables["fact"].folders) & set(second.tables["fact"].folders)
+    assert {f.split("/", 3)[3] for f in kept} == {"year=2016/month=3", "year=2017/month=4"}
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
+    fact = read_published(spark, output, "fact")
+    assert fact.columns == ["v", "year", "month"] and dict(fact.dtypes)["year"] == "int"
+    plan = fact.filter("year = 2016 and month = 4")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_the_set_before_stays_readable_until_the_next_success(spark, output):
+    publish_months(spark, output, "a", [("a", 2016, 3), ("a", 2016, 4)])
+    old = read_manifest(spark, output)
+    publish_months(spark, output, "b", [("b", 2016, 4)])
+    assert rows_of(read_published(spark, output, "fact", manifest=old)) == [("a", 2016, 3), ("a", 2016, 4)]
+    publish_months(spark, output, "c", [("c", 2016, 4)])
+    left = {p.parent.relative_to(output).as_posix().split("=", 1)[1][33:] for p in Path(output).rglob("fact/*/*/*/*.parquet")}
+    assert left == {"/year=2016/month=3", "/year=2016/month=4"}
+    # Month 4 of the first run is gone, its month 3 is still listed.
+    assert len(list(Path(output).rglob("fact/*/*/month=4/*.parquet"))) == 2
+    assert rows_of(read_published(spark, output, "fact")) == [("a", 2016, 3), ("c", 2016, 4)]
+    assert len(list((Path(output) / "_manifest").glob("*.json"))) == 2
+    publish_months(spark, output, "d", [("d", 2016, 3), ("d", 2016, 4)])
+    publish_months(spark, output, "e", [("e", 2016, 3), ("e", 2016, 4)])
+    runs = {p.name for p in (Path(output) / "_data" / "fact").iterdir()}
+    assert len(runs) == 2  # run folders go as a whole
+
+
+def test_tables_may_be_added_to_or_left_alone(spark, output):
+    publish(spark, output, {"log": spark.createDataFrame([(1,)], "n int"), "other": spark.range(2)})
+    publish(spark, output, {"log": spark.createDataFrame([(2,)], "n int")}, modes={"log": APPEND})
+    assert content(spark, output) == {"log": [(1,), (2,)], "other": [(0,), (1,)]}
+    publish(spark, output, {"log": spark.createDataFrame([(3,)], "n int")})
+    assert content(spark, output)["log"] == [(3,)]
+
+
+def test_empty_tables_and_new_columns(spark, output):
+    publish_months(spark, output, "a", [])
+    assert content(spark, output) == {"fact": [], "list": [("a",)]}
+    publish_months(spark, output, "b", [("b", 2016, 3)])
+    wider = spark.createDataFrame([("c", 7, 2016, 4)], "v string, extra int, year int, month int")
+    publish(spark, output, {"fact": wider}, partition_by={"fact": ("year", "month")}, modes={"fact": PERIODS})
+    assert content(spark, output)["fact"] == [("b", None, 2016, 3), ("c", 7, 2016, 4)]
+    odd = spark.createDataFrame([(1, None)], "`a.b` int, `sp ace` string")
+    publish(spark, output, {"odd": odd})
+    assert read_published(spark, output, "odd").columns == ["a.b", "sp ace"]
+
+
+STEPS = ("write_table fact", "write_table list", "subfolders", "write_text_file", "rename_new", "read_manifest")
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("done", [False, True])
+def test_a_step_that_fails_leaves_one_whole_set(spark, output, monkeypatch, step, done):
+    """Each step fails before, or right after, it has done its work; readers find the first set or the second."""
+    before = {"fact": [("a", 2016, 3), ("a", 2016, 4)], "list": [("a",)]}
+    after = {"fact": [("a", 2016, 3), ("b", 2016, 4)], "list": [("b",)]}
+    publish_months(spark, output, "a", before["fact"])
+    name, _, table = step.partition(" ")
+    place = globals() if name == "write_table" else vars(module)
+    run = place[name]
+
+    def failing(*args, **options):
+        if table and f"/{table}/" not in args[1]:
+            return run(*args, **options)
+        if done:
+            run(*args, **options)
+        raise OSError("no answer")
+
+    with monkeypatch.context() as patched:
+        patched.setitem(place, name, failing)
+        # A rename whose answer was lost is found to be done.
+        lost = step == "rename_new" and done
+        with nullcontext() if lost else pytest.raises(OSError, match="no answer"):
+            publish_months(spark, output, "b", [("b", 2016, 4)])
+    found = content(spark, output)
+    assert found == (after if lost else before)
+    publish_months(spark, output, "c", [("c", 2016, 5)])
+    assert content(spark, output)["fact"] == [*found["fact"], ("c", 2016, 5)]
+
+
+def test_cleaning_up_that_fails_does_not_unpublish(spark, output, monkeypatch):
+    for mark in "ab":
+        publish_months(spark, output, mark, [(mark, 2016, 3)])
+    with monkeypatch.context() as patched:
+        patched.setattr(module, "remove_superseded", lambda *a: (_ for _ in ()).throw(OSError("no answer")))
+        publish_months(spark, output, "c", [("c", 2016, 3)])
+    assert content(spark, output)["fact"] == [("c", 2016, 3)]
+    publish_months(spark, output, "d", [("d", 2016, 3)])
+    # The next success removes what was left.
+    assert len(list((Path(output) / "_data" / "fact").iterdir())) == 2
+
+
+def test_of_two_runs_at_once_one_fails(spark, output):
+    publish_months(spark, output, "a", [("a", 2016, 3)])
+    with pytest.raises(PublishConflictError), Publication(spark, output) as slow:
+        df = spark.createDataFrame([("slow",)], "mark string")
+        write_table(df, slow.folder("list"))
+        slow.add("list", df.schema)
+        publish_months(spark, output, "b", [("b", 2016, 4)])
+        slow.complete()
+    assert content(spark, output) == {"fact": [("a", 2016, 3), ("b", 2016, 4)], "list": [("b",)]}
+    assert len(list((Path(output) / "_data" / "list").iterdir())) == 2  # of the first two runs
+
+
+def test_folders_of_lost_runs_are_removed_after_a_while(spark, output):
+    publish_months(spark, output, "a", [("a", 2016, 3)])
+    lost = Publication(spark, output).__enter__()  # its driver never comes back
+    write_table(spark.range(3), lost.folder("list"))
+    assert remove_abandoned(spark, output) == []
+    assert remove_abandoned(spark, output, older_than_hours=-1) == [f"list/published_run={lost.run}"]
+    assert content(spark, output) == {"fact": [("a", 2016, 3)], "list": [("a",)]}
+
+
+def test_views_and_manifest(spark, output):
+    assert read_manifest(spark, output) is None and published_tables(spark, output) == {}
+    with pytest.raises(ValueError, match="list is not published"):
+        read_published(spark, output, "list")
+    publish_months(spark, output, "a", [("a", 2016, 3)])
+    register_published(spark, output, "published_")
+    assert spark.sql("SELECT v FROM published_fact").first()[0] == "a"
+    written = json.loads((Path(output) / "_manifest" / "0000000001.json").read_text())
+    assert written["number"] == 1 and set(written["tables"]) == {"fact", "list"}
+    with pytest.raises(ValueError, match="begun but not added: list"), Publication(spark, output) as new:
+        new.folder("list")
+        new.complete()
+    with pytest.raises(ValueError, match="is published by"), Publication(spark, output) as new:
+        write_table(spark.range(1), new.folder("fact"))
+        new.add("fact", spark.range(1).schema, mode=PERIODS)
