@@ -1,4 +1,5 @@
 import random
+import uuid
 from collections import Counter
 
 import pytest
@@ -81,3 +82,66 @@ def test_odd_column_names(spark):
     df = spark.createDataFrame([(1, 2), (1, 3)], "`Median Age` int, `a.b` int")
     assert with_surrogate_id(df).columns == ["Median Age", "a.b", "id"]
     assert with_surrogate_id(df, distinct=True).count() == 2
+
+
+def refresh(spark, folder, known, df, *, distinct=False, **options):
+    """(rows with ids, key map) of a refresh; the map is what the one before gave and what is new."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    keys.assign_kept_ids(df, known, distinct=distinct, **options).write.parquet(path)
+    assigned = spark.read.parquet(path)
+    added = keys.new_keys(assigned)
+    ids = keys.rows_with_kept_ids(assigned, distinct=distinct)
+    return ids, added if known is None else known.union(added)
+
+
+def some_rows(spark, numbers, partitions=4):
+    rows = [(None if i % 5 == 0 else i, f"name {i}" if i % 7 else None, float(i % 3)) for i in numbers]
+    return spark.createDataFrame(rows, "a int, b string, c double").repartition(partitions)
+
+
+@pytest.mark.parametrize("bits", [2, 20])
+def test_known_rows_keep_their_ids_whatever_comes_and_goes(spark, tmp_path, bits):
+    known, given = None, {}
+    for n, numbers in enumerate((range(40), range(20, 90), [], range(0, 90, 3), range(120))):
+        ids, known = refresh(spark, tmp_path, known, some_rows(spark, numbers, 1 + n), distinct=True, bits=bits)
+        rows = {tuple(r[:-1]): r.id for r in ids.collect()}
+        assert len(rows) == len(set(rows.values())) == len(some_rows(spark, numbers).distinct().collect())
+        assert all(given.get(row, id_) == id_ for row, id_ in rows.items())
+        # An id is never given to another row, also not that of a row that is gone.
+        assert not {i for r, i in given.items() if r not in rows} & set(rows.values())
+        given |= rows
+    assert min(given.values()) >= 0 and known.count() == len(given)
+
+
+def test_copies_keep_their_ids(spark, tmp_path):
+    frame = lambda counts: spark.createDataFrame([(v,) for v, n in counts.items() for _ in range(n)], "v string")
+    known, seen = None, {}
+    for counts in ({"x": 3, "y": 1}, {"x": 5, "z": 2}, {"x": 2, "y": 4, "z": 2}, {"x": 9, "y": 4}):
+        ids, known = refresh(spark, tmp_path, known, frame(counts), bits=1)
+        got = {}
+        for r in ids.collect():
+            got.setdefault(r.v, set()).add(r.id)
+        assert {v: len(i) for v, i in got.items()} == counts
+        assert len(set().union(*got.values())) == sum(counts.values())
+        for v, ids_now in got.items():
+            before = seen.get(v, set())
+            assert ids_now <= before or before <= ids_now
+            seen[v] = before | ids_now
+    assert sum(len(i) for i in seen.values()) == 9 + 4 + 2
+
+
+def test_rows_that_differ_in_what_is_null_are_not_one(spark, tmp_path):
+    df = spark.createDataFrame([("a", None), (None, "a"), (None, None), ("", None), ("a", "")], "x string, y string")
+    ids, known = refresh(spark, tmp_path, None, df, distinct=True)
+    assert len({r.id for r in ids.collect()}) == 5 and known.count() == 5
+    again, _ = refresh(spark, tmp_path, known, df, distinct=True)
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in ids.collect()}
+
+
+def test_kept_ids_take_one_shuffle(spark, tmp_path):
+    _, known = refresh(spark, tmp_path, None, some_rows(spark, range(50)), distinct=True)
+    path = str(tmp_path / "known")
+    known.write.parquet(path)
+    more = spark.range(100).selectExpr("cast(id as int) as a", "string(id) as b", "double(id) as c")
+    plan = keys.assign_kept_ids(more, spark.read.parquet(path), distinct=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and "Join" not in plan and "Python" not in plan
