@@ -5,7 +5,8 @@ both end. Groups are labelled by pointer jumping: every token points to the over
 the right, and the successors are doubled, all tokens at once, until each points to the last token of its group.
 
 Neither tokenizer has a token across a space between two other characters that are not white space, so such spaces
-always part groups. Texts are cut there, and equal pieces are tokenized and grouped once per task.
+always part groups. Texts are cut there, and equal pieces are tokenized and grouped once, as long as a worker
+keeps them.
 
 The documents of a task are dealt into chunks of bounded size. A chunk tells once how many of its documents hold each
 pair of ids linked; the corpus-wide counts are joined back to the chunks' pairs, and then meet the documents of the chunk,
@@ -17,6 +18,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -34,9 +36,9 @@ BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 LONG_PIECE = 80  # characters; longer pieces of a text are not kept
-KEPT_BYTES = 112 << 20  # of pieces a task keeps
+KEPT_BYTES = 80 << 20  # of pieces a worker keeps
 PIECE_COST = 380  # of a kept piece, besides its texts
-CHUNK_PAIRS = 1 << 20  # pairs of the documents of a chunk
+CHUNK_PAIRS = 1 << 19  # pairs of the documents of a chunk
 CROSS_AT_ONCE = 1 << 12  # links of a group that are written out one by one
 
 
@@ -210,6 +212,12 @@ class Pieces:
         self.pairs.add(np.stack([pairs[first], total], axis=1))
 
 
+@lru_cache(maxsize=1)
+def pieces_of_worker(first: str, second: str) -> Pieces:
+    """What a Python worker knows; it goes from task to task."""
+    return Pieces(first, second)
+
+
 class _Rows:
     """Rows of numbers that more are added to."""
 
@@ -254,7 +262,7 @@ def aligned_documents(
     names = ["_llm_id", *COUNTS, "groups", *WORKING_COLUMNS]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Pieces(first, second)
+        known = pieces_of_worker(first, second)
         part, chunk = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         held_pairs = 0
