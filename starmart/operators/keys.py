@@ -103,10 +103,11 @@ def assign_kept_ids(
         allowMissingColumns=True,
     ).withColumn("_bucket", F.shiftrightunsigned("_h1", 64 - bits).cast("bigint"))
 
+    # Dealt by bucket once; then the windows one after the other, the finest first, so that one sort serves them all.
+    merged = merged.repartition("_bucket")
     same_row = Window.partitionBy("_bucket", "_h1", "_h2")
     bucket = Window.partitionBy("_bucket")
     before = bucket.orderBy("_h1", "_h2").rowsBetween(Window.unboundedPreceding, -1)
-    # The windows one after the other, the finest first: then one sort serves them all.
     merged = merged.withColumn("_kept", F.collect_list("_given").over(same_row))
     merged = merged.withColumn("_next", F.max(F.col("_given.first") + F.col("_given.copies")).over(bucket))
     had = F.reduce("_kept", F.lit(0).cast("long"), lambda n, given: n + given["copies"])
