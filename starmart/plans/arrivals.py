@@ -15,6 +15,7 @@ from starmart.operators.clean import (
 )
 from starmart.operators.keys import with_surrogate_id
 from starmart.operators.lookup import enrich_by_name
+from starmart.operators.names import enrich_by_similar_name
 
 
 def clean_arrivals(
@@ -52,10 +53,14 @@ def clean_arrivals(
     return rename_columns(df.withColumns(dates), names)
 
 
-def _clean_rows(raw: DataFrame, columns: tuple[S.SourceColumn, ...], id_column: str) -> DataFrame:
+def complete_rows(raw: DataFrame, columns: tuple[S.SourceColumn, ...]) -> DataFrame:
+    """Complete, distinct rows under their cleaned names, without an id."""
     df = drop_incomplete(raw, S.required(columns))
-    df = distinct_rows(rename_columns(df, S.renames(columns)))
-    return with_surrogate_id(df, id_column, distinct=True)
+    return distinct_rows(rename_columns(df, S.renames(columns)))
+
+
+def _clean_rows(raw: DataFrame, columns: tuple[S.SourceColumn, ...], id_column: str) -> DataFrame:
+    return with_surrogate_id(complete_rows(raw, columns), id_column, distinct=True)
 
 
 def clean_demographic(raw: DataFrame) -> DataFrame:
@@ -68,7 +73,15 @@ def clean_temperature(raw: DataFrame) -> DataFrame:
     return _clean_rows(raw, S.TEMPERATURE, "temp_id")
 
 
-def enrich_temperature(temperature: DataFrame, country_codes: DataFrame) -> DataFrame:
-    """Give each reading its country code; the list's name replaces the reading's own."""
+def enrich_temperature(
+    temperature: DataFrame, country_codes: DataFrame, *, similar: float | None = None
+) -> DataFrame:
+    """Give each reading its country code; the list's name replaces the reading's own.
+
+    With ``similar`` a country that equals no name takes the one list row that holds at least that share of its words
+    and fits best; several that fit alike leave it without a code.
+    """
     output = [*S.TEMPERATURE_OUTPUT, *(c for c in temperature.columns if c == S.MALFORMED)]
-    return enrich_by_name(temperature, "country", country_codes, "country_name", output)
+    if similar is None:
+        return enrich_by_name(temperature, "country", country_codes, "country_name", output)
+    return enrich_by_similar_name(temperature, "country", country_codes, "country_name", output, least=similar)

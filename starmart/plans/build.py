@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import schemas as S
+from starmart.operators.keys import assign_kept_ids, new_keys, rows_with_kept_ids
 from starmart.operators.labels import code_list_tables, parse_code_lists
 from starmart.operators.lookup import conform_codes
 from starmart.operators.quality import ERROR, WARN, Rules, enforce, quality_report
@@ -39,10 +40,12 @@ from starmart.plans.arrivals import (
     clean_arrivals,
     clean_demographic,
     clean_temperature,
+    complete_rows,
     enrich_temperature,
 )
 from starmart.session import DEFAULT_PARTITIONS, EXPLICIT_SIZE, create_session, shuffle_partitions
 from starmart.sources import (
+    APPEND,
     PERIODS,
     REPLACE,
     Publication,
@@ -51,6 +54,7 @@ from starmart.sources import (
     read_delimited,
     read_dictionary,
     read_fact,
+    read_published,
     read_table,
     register_views,
     remove_folder,
@@ -67,7 +71,9 @@ class StarConfig:
     """Where the inputs are, where the tables go, and the named departures from the defaults.
 
     ``infer_types`` lets Spark infer the types of the two CSV inputs instead of converting them by declaration.
-    ``strict`` fails the job on an arrival's number that is too large. ``rebalance`` shuffles the fact by month before it is
+    ``strict`` fails the job on an arrival's number that is too large. ``keep_ids`` gives cities and readings the ids they had
+    in the runs before, by key maps that are published with the tables. ``similar_countries`` lets a reading's country that
+    equals no name of the list take the one row that holds at least this share of its words. ``rebalance`` shuffles the fact by month before it is
     written; None does so if ``monthly``.
     """
 
@@ -85,6 +91,8 @@ class StarConfig:
     rebalance: bool | None = None
     infer_types: bool = False
     strict: bool = False
+    keep_ids: bool = False
+    similar_countries: float | None = None
     warn_only: tuple[str, ...] = ()
 
 
@@ -171,7 +179,9 @@ def build_star(spark: SparkSession, config: StarConfig) -> BuildResult:
     run = uuid.uuid4().hex
     stage = f"{config.output}/_stage/{run}"
     try:
-        report, counts = _build(_own_session(spark), config, stage)
+        own = _own_session(spark)
+        with Publication(own, config.output) as new:
+            report, counts = _build(own, config, stage, new)
     finally:
         remove_folder(spark, stage)
     published = read_star(spark, config.output)
@@ -184,7 +194,23 @@ def read_star(spark: SparkSession, output: str) -> dict[str, DataFrame]:
     return published_tables(spark, output)
 
 
-def _build(spark: SparkSession, config: StarConfig, stage: str) -> tuple[list[Row], dict[str, int]]:
+# Tables whose rows may keep their ids: columns of the source, and the id's name.
+KEPT = {"demographic": (S.DEMOGRAPHIC, "id"), "temperature": (S.TEMPERATURE, "temp_id")}
+
+
+def _key_map(name: str) -> str:
+    return f"{name}_keys"
+
+
+def _assigned(new: Publication, name: str, raw: DataFrame) -> DataFrame:
+    """Cleaned rows with the ids they had, or get; the key map is that of the run this one follows."""
+    known = None
+    if new.before and _key_map(name) in new.before.tables:
+        known = read_published(new.spark, new.output, _key_map(name), manifest=new.before)
+    return assign_kept_ids(complete_rows(raw, KEPT[name][0]), known, distinct=True)
+
+
+def _build(spark: SparkSession, config: StarConfig, stage: str, new: Publication) -> tuple[list[Row], dict[str, int]]:
     def read_text(path: str, sep: str, columns: tuple[S.SourceColumn, ...]) -> DataFrame:
         return read_delimited(spark, path, sep) if config.infer_types else read_by_name(spark, path, columns, sep=sep)
 
@@ -210,18 +236,31 @@ def _build(spark: SparkSession, config: StarConfig, stage: str) -> tuple[list[Ro
         return df
 
     seen = {name: Observation() for name in ("demographic", "temperature")}
-    to_stage = {
-        "demographic": clean_demographic(_watched(cities, seen["demographic"])),
-        "temperature": enrich_temperature(
-            clean_temperature(_watched(readings, seen["temperature"])), tables["country_codes"]
-        ),
+    watched = {
+        "demographic": _watched(cities, seen["demographic"]),
+        "temperature": _watched(readings, seen["temperature"]),
     }
+    if config.keep_ids:
+        to_stage = {name: _assigned(new, name, df) for name, df in watched.items()}
+    else:
+        cleaned = clean_temperature(watched["temperature"])
+        to_stage = {
+            "demographic": clean_demographic(watched["demographic"]),
+            "temperature": enrich_temperature(cleaned, tables["country_codes"], similar=config.similar_countries),
+        }
     if config.arrivals_format not in COLUMNAR_FORMATS:
         to_stage[FACT] = fact(arrivals)
     _side_by_side(spark, *(partial(write_table, df, f"{stage}/{name}") for name, df in to_stage.items()))
     counts = _counts(seen)
-    tables[FACT] = fact(arrivals)
-    tables |= {name: read_table(spark, f"{stage}/{name}") for name in to_stage}
+    staged = {name: read_table(spark, f"{stage}/{name}") for name in to_stage}
+    keys = {}
+    if config.keep_ids:
+        keys = {_key_map(name): new_keys(staged[name]) for name in KEPT}
+        staged |= {name: rows_with_kept_ids(staged[name], id_, distinct=True) for name, (_, id_) in KEPT.items()}
+        staged["temperature"] = enrich_temperature(
+            staged["temperature"], tables["country_codes"], similar=config.similar_countries
+        )
+    tables = {**tables, FACT: fact(arrivals), **staged}
 
     report = enforce(quality_report(tables, star_rules(config.warn_only)))
     checked = {f"{r['table']}.checked": r["observed"] for r in report if r["check"] == "row_count"}
@@ -229,26 +268,25 @@ def _build(spark: SparkSession, config: StarConfig, stage: str) -> tuple[list[Ro
     counts = {f"{FACT}.read": checked[f"{FACT}.checked"], **counts, **checked}
 
     periods = {FACT: ("year", "month")} if config.monthly else {}
-    publish = {name: df.drop(S.MALFORMED) for name, df in tables.items()}
-    with Publication(spark, config.output) as new:
-        _side_by_side(
-            spark,
-            *(
-                partial(
-                    write_table,
-                    df,
-                    new.folder(name),
-                    partition_by=periods.get(name, ()),
-                    rebalance=rebalance and name == FACT,
-                )
-                for name, df in publish.items()
+    publish = {name: df.drop(S.MALFORMED) for name, df in tables.items()} | keys
+    _side_by_side(
+        spark,
+        *(
+            partial(
+                write_table,
+                df,
+                new.folder(name),
+                partition_by=periods.get(name, ()),
+                rebalance=rebalance and name == FACT,
             )
+            for name, df in publish.items()
         )
-        for name, df in publish.items():
-            # A monthly fact changes the months it brings, all other tables as a whole.
-            mode = PERIODS if name in periods else REPLACE
-            new.add(name, df.schema, partition_by=periods.get(name, ()), mode=mode)
-        new.complete()
+    )
+    for name, df in publish.items():
+        # A monthly fact changes the months it brings, all other tables as a whole.
+        mode = PERIODS if name in periods else APPEND if name in keys else REPLACE
+        new.add(name, df.schema, partition_by=periods.get(name, ()), mode=mode)
+    new.complete()
     return report, counts
 
 
@@ -265,6 +303,10 @@ def main(argv: list[str] | None = None) -> None:
     )
     parser.add_argument("--infer-types", action="store_true", help="infer the types of the CSV inputs")
     parser.add_argument("--strict", action="store_true", help="fail on numbers that are too large")
+    parser.add_argument("--keep-ids", action="store_true", help="ids as in the runs before")
+    parser.add_argument(
+        "--similar-countries", type=float, metavar="SHARE", help="match countries by this share of their words"
+    )
     parser.add_argument("--missing-departure", choices=("epoch", "null"), default="epoch")
     parser.add_argument("--rename-visa", action="store_true")
     parser.add_argument("--conform-states", action="store_true")
@@ -286,6 +328,8 @@ def main(argv: list[str] | None = None) -> None:
             rebalance=args.rebalance,
             infer_types=args.infer_types,
             strict=args.strict,
+            keep_ids=args.keep_ids,
+            similar_countries=args.similar_countries,
             missing_departure=args.missing_departure,
             rename_visa=args.rename_visa,
             conform_states=args.conform_states,

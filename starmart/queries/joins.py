@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from starmart.operators import lookup
 from starmart.operators.labels import visa_codes
+from starmart.operators.names import enrich_by_similar_name, match_names
 from starmart.plans import arrivals
 from starmart.queries import shapes
 from starmart.queries.registry import query, table
@@ -114,3 +117,83 @@ def unmatched_codes(spark, sf_dir):
             lookup.Lookup("l_returnflag", flags, "flag", "flag_name", "flag_name"),
         ],
     )
+
+
+# Names as readers write them, and labels as lists do: a nation, one of many of a region, one with a word too much,
+# and none at all.
+NAMES_SQL = """
+    select c_custkey, case c_custkey % 5
+               when 0 then concat('Nation ', c_nationkey)
+               when 1 then concat('the nation, ', lower(r_name))
+               when 2 then concat('Nation_', c_nationkey, ' of Nowhere')
+               when 3 then concat('Atlantis ', c_nationkey + 100)
+               else concat('NATION_', c_nationkey, ' (', r_name, ')') end as country
+    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+"""
+LABELS_SQL = """
+    select n_nationkey as code, concat(n_name, ' (', r_name, ')') as label
+    from nation join region on n_regionkey = r_regionkey
+    union all
+    select n_nationkey + 50, concat('INVALID: ', n_name, ' THE OLD ONE') from nation where n_nationkey % 3 = 0
+"""
+WORDS_SQL = """list_distinct(list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda w: w <> ''))"""
+# Every name beside every label: what the operator finds without that.
+SIMILAR_SQL = f"""
+    names as ({NAMES_SQL}), labels as ({LABELS_SQL}),
+    sets as (select distinct country, {WORDS_SQL.format("country")} as own from names),
+    listed as (select distinct code, label, {WORDS_SQL.format("label")} as words from labels),
+    pairs as (
+        select country, code, label, len(list_intersect(own, words)) as shared, len(words) as size
+        from sets, listed where len(list_intersect(own, words)) >= 0.6 * len(own)
+    ),
+    ranked as (
+        select *, rank() over (partition by country order by shared desc, size) as nth from pairs
+    ),
+    best as (
+        select country, max(shared) as shared, count(*) as n_best, min(code) as code, min(label) as label
+        from ranked where nth = 1 group by country
+    )
+"""
+
+
+def _names_and_labels(spark, sf_dir):
+    for name in ("customer", "nation", "region"):
+        table(spark, sf_dir, name).createOrReplaceTempView(f"starmart_{name}")
+    as_views = lambda sql: spark.sql(
+        sql.replace("customer join", "starmart_customer join")
+        .replace("from nation", "from starmart_nation")
+        .replace("join nation", "join starmart_nation")
+        .replace("join region", "join starmart_region")
+    )
+    return as_views(NAMES_SQL), as_views(LABELS_SQL)
+
+
+@query(
+    "match_names",
+    f"""
+    with {SIMILAR_SQL}
+    select country, case when n_best = 1 then 'similar' when n_best > 1 then 'tie' else 'none' end as status,
+           cast(coalesce(shared, 0) as integer) as shared, coalesce(n_best, 0) as n_best,
+           case when n_best = 1 then code end as code, case when n_best = 1 then label end as label
+    from sets left join best using (country)
+    """,
+)
+def names_matched(spark, sf_dir):
+    """Distinct names against a list that writes them otherwise: unique best matches, ties, and none."""
+    names, labels = _names_and_labels(spark, sf_dir)
+    found = match_names(names, "country", labels, "label", least=0.6)
+    return found.select("country", "status", "shared", "n_best", "match.code", "match.label")
+
+
+@query(
+    "enrich_by_similar_name",
+    f"""
+    with {SIMILAR_SQL}
+    select c_custkey, country, coalesce(l.code, case when n_best = 1 then best.code end) as code
+    from names left join labels l on upper(country) = l.label left join best using (country)
+    """,
+)
+def similar_names(spark, sf_dir):
+    """All rows with the code of their name: the equal one, else the one that is most similar."""
+    names, labels = _names_and_labels(spark, sf_dir)
+    return enrich_by_similar_name(names, "country", labels, "label", ["c_custkey", "country", "code"], least=0.6)

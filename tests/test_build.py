@@ -7,7 +7,7 @@ import pytest
 from helpers import DICTIONARY, arrivals, rows_of
 
 from starmart.operators.quality import QualityError
-from starmart.plans import build
+from starmart.plans import build, star
 from starmart.plans.build import StarConfig, build_star, main, read_star
 from starmart.sources import PublishConflictError, read_manifest, read_published
 
@@ -289,6 +289,49 @@ def test_a_second_run_gives_the_same_rows(spark, inputs):
     assert first == second
 
 
+def test_countries_that_the_list_writes_otherwise(spark, inputs):
+    """A label with more words than the country's name gives its code, and so its climate."""
+    config = inputs(
+        changes=({"i94res": 582.0}, {"i94res": 108.0}),
+        readings=READINGS + "2001-04-01,20.0,0.5,Acapulco,Mexico,16.87N,100.08W\n",
+        similar_countries=1.0,
+    )
+    tables = build_star(spark, config).tables
+    found = tables["temperature"].filter("city = 'Acapulco'").first()
+    assert (found.country_code, found.country_name[:10]) == ("582", "MEXICO Air")
+    climate = star.arrivals_and_climate(tables["immigration"], tables["temperature"])
+    assert climate.filter("country_code = '582'").first().mean_temperature == 20.0
+
+
+def test_ids_that_are_kept(spark, inputs):
+    config = inputs(keep_ids=True)
+    first = build_star(spark, config).tables
+    more = READINGS + "".join(f"2002-0{m}-01,{m}.0,0.5,Aarhus,Denmark,57.05N,10.33E\n" for m in range(1, 10))
+    gone = more.replace("2000-04-01", "1999-04-01")
+    ids = lambda df: {(r.date, r.average_temperature, r.city): r.temp_id for r in df.collect()}
+    runs = [ids(first["temperature"])]
+    for readings in (more, gone, more):
+        runs.append(ids(build_star(spark, inputs(readings=readings, keep_ids=True)).tables["temperature"]))
+    assert [len(r) for r in runs] == [3, 12, 12, 12]
+    given = {}
+    for run in runs:
+        assert len(set(run.values())) == len(run) and all(given.get(k, v) == v for k, v in run.items())
+        given |= run
+    assert len(set(given.values())) == 13
+    assert runs[1] == runs[3]  # a row that returns finds its id
+    assert read_published(spark, config.output, "temperature_keys").count() == 13
+    assert read_published(spark, config.output, "demographic_keys").count() == 2
+
+
+def test_a_run_that_fails_gives_no_id_away(spark, inputs):
+    config = inputs(keep_ids=True)
+    build_star(spark, config)
+    before = rows_of(read_published(spark, config.output, "temperature_keys"))
+    with pytest.raises(QualityError):
+        build_star(spark, inputs(readings=READINGS + "2003-01-01,1.0,0.5,A,Atlantis,1N,1E\n", keep_ids=True))
+    assert rows_of(read_published(spark, config.output, "temperature_keys")) == before
+
+
 def test_command_line(spark, inputs, capsys):
     config = inputs()
     names = ("labels", "arrivals", "demographic", "temperature", "output")

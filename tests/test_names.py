@@ -1,0 +1,94 @@
+import math
+import random
+import re
+import unicodedata
+
+import pytest
+from helpers import rows_of
+
+from starmart.operators.names import enrich_by_similar_name, match_names, name_words
+
+LIST = [
+    ("1", "CHINA, PRC"), ("2", "MEXICO Air Sea, and Not Reported (no land arrivals)"), ("3", "GUINEA"), ("4", "EQUATORIAL GUINEA"),
+    ("5", "GUINEA-BISSAU"), ("6", "NORTH KOREA"), ("7", "SOUTH KOREA"), ("8", "INVALID: STATELESS"), ("9", "IVORY COAST (COTE D'IVOIRE)"),
+    ("10", "SAMOA"), ("11", "SAMOA"), ("12", None),
+]
+
+
+def matched(spark, names, listed=LIST, **options):
+    names = spark.createDataFrame([(n,) for n in names], "country string")
+    listed = spark.createDataFrame(listed, "code string, label string")
+    found = match_names(names, "country", listed, "label", **options).collect()
+    return {r.country: (r.status, r.match and r.match.code, r.n_best) for r in found}
+
+
+def test_plain_names_meet_long_labels(spark):
+    names = ["China", "Mexico", "Guinea", "Guinea Bissau", "Korea", "Côte D'Ivoire", "Atlantis", "Stateless", "Samoa", "", "...", None]
+    assert matched(spark, names + names) == {
+        "China": ("similar", "1", 1), "Mexico": ("similar", "2", 1), "Guinea": ("similar", "3", 1),
+        "Guinea Bissau": ("similar", "5", 1), "Korea": ("tie", None, 2), "Côte D'Ivoire": ("similar", "9", 1),
+        "Atlantis": ("none", None, 0), "Stateless": ("similar", "8", 1),
+        "Samoa": ("tie", None, 2),  # one label, two codes
+        "": ("none", None, 0), "...": ("none", None, 0),
+    }
+
+
+def test_a_share_of_the_words_may_be_enough(spark):
+    assert matched(spark, ["Republic of Guinea"], least=1.0)["Republic of Guinea"][0] == "none"
+    assert matched(spark, ["Republic of Guinea"], least=0.3)["Republic of Guinea"] == ("similar", "3", 1)
+    with pytest.raises(ValueError):
+        matched(spark, ["x"], least=0)
+
+
+def plain_words(text):
+    text = "".join(unicodedata.normalize("NFD", c)[0] for c in text.lower())
+    return set(re.findall(r"[^\W_]+", text))
+
+
+@pytest.mark.parametrize("least", [0.34, 0.5, 2 / 3, 1.0])
+def test_against_all_pairs(spark, least):
+    rng = random.Random(int(least * 100))
+    vocabulary = [f"w{i}" for i in range(12)] + ["of", "the"] * 4  # some words stand in most labels
+    phrase = lambda: " ".join(rng.choices(vocabulary, k=rng.randint(1, 5)))
+    listed = [(str(i), phrase()) for i in range(80)]
+    names = {phrase() for _ in range(200)}
+    want = {}
+    for name in names:
+        own = plain_words(name)
+        scored = [(len(own & plain_words(label)), -len(plain_words(label)), code) for code, label in listed]
+        scored = sorted((s for s in scored if s[0] >= math.ceil(least * len(own) - 1e-9)), reverse=True)
+        best = [s for s in scored if s[:2] == scored[0][:2]]
+        status = "none" if not best else "similar" if len(best) == 1 else "tie"
+        want[name] = (status, best[0][2] if len(best) == 1 else None, len(best))
+    assert matched(spark, names, listed, least=least) == want
+
+
+def test_enriching_keeps_exact_matches_and_all_rows(spark):
+    rows = [(1, "China"), (2, "samoa"), (3, "Korea"), (4, None), (5, "Guinea"), (6, "China"), (7, "Nowhere")]
+    df = spark.createDataFrame(rows, "id int, country string")
+    listed = spark.createDataFrame(LIST, "code string, label string")
+    got = enrich_by_similar_name(df, "country", listed, "label")
+    assert got.columns == ["id", "country", "code", "label"]
+    assert rows_of(got.select("id", "code")) == [
+        (1, "1"), (2, "10"), (2, "11"), (3, None), (4, None), (5, "3"), (6, "1"), (7, None),
+    ]
+    empty = enrich_by_similar_name(df, "country", listed.limit(0), "label", ["id", "code"])
+    assert empty.where("code IS NULL").count() == 7
+
+
+def test_names_meet_labels_by_their_rarest_words_only(spark):
+    """A word that all labels and names hold is no reason to meet."""
+    listed = spark.range(400).selectExpr("id as code", "concat('republic of land', id) as label")
+    names = spark.range(400).selectExpr("concat('Land', id, ' of, Republic') as country")
+    found = match_names(names, "country", listed, "label")
+    assert found.where("status = 'similar'").count() == 400
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("CartesianProduct|NestedLoop", plan)
+
+
+def test_words(spark):
+    texts = ["Saint-Barthélemy (FR)", "ÅLAND  Åland", "中国 2", None, "_a_"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(name_words(df.t)).collect()]
+    assert got == [["saint", "barthelemy", "fr"], ["aland"], ["中国", "2"], None, ["a"]]
