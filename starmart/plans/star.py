@@ -15,16 +15,16 @@ VISA_COLUMNS = ("i94visa", "visa_code")  # the source's name, and the one of ``r
 
 
 def star_lookups(fact: DataFrame, tables: Mapping[str, DataFrame]) -> list[Lookup]:
-    """The joins from the fact to its code lists; the visa column is the one the fact has."""
+    """The joins from the fact to its code lists, which hold each code once; the visa column is the one the fact has."""
     visa_column = next((c for c in VISA_COLUMNS if c in fact.columns), VISA_COLUMNS[0])
     countries = tables["country_codes"]
     return [
-        Lookup("citizenship", countries, "country_code", "country_name", "citizenship_name"),
-        Lookup("residence", countries, "country_code", "country_name", "residence_name"),
-        Lookup("port", tables["port_codes"], "port_code", "port_name", "port_name"),
-        Lookup("mode", tables["mode_codes"], "mode_code", "mode_name", "mode_name"),
-        Lookup("state_code", tables["state_codes"], "state_code", "state_name", "state_name"),
-        Lookup(visa_column, tables["visa_codes"], "visa_code", "visa_category", "visa_category"),
+        Lookup("citizenship", countries, "country_code", "country_name", "citizenship_name", unique=True),
+        Lookup("residence", countries, "country_code", "country_name", "residence_name", unique=True),
+        Lookup("port", tables["port_codes"], "port_code", "port_name", "port_name", unique=True),
+        Lookup("mode", tables["mode_codes"], "mode_code", "mode_name", "mode_name", unique=True),
+        Lookup("state_code", tables["state_codes"], "state_code", "state_name", "state_name", unique=True),
+        Lookup(visa_column, tables["visa_codes"], "visa_code", "visa_category", "visa_category", unique=True),
     ]
 
 

@@ -71,6 +71,70 @@ def lookup_codes(spark, sf_dir):
     return named.select("cicid", "citizenship_name", "residence_name", "visa_category")
 
 
+HOT_SQL = """
+    with rows as (
+        select l_orderkey, l_linenumber,
+               case when l_orderkey % 3 = 0 then '7' when l_orderkey % 11 = 0 then null else cast(l_suppkey as varchar) end as code
+        from lineitem
+    ), listed as (
+        select cast(s_suppkey as varchar) as code, max(name) as name
+        from (select s_suppkey, s_name as name from supplier
+              union all select s_suppkey, concat('also ', s_name) from supplier where s_suppkey % 2 = 0)
+        where s_suppkey % 10 <> 3 group by 1
+    )
+"""
+
+
+def _hot_rows(spark, sf_dir):
+    """A third of all rows with one code, some with none; and a list that holds every second code twice."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        """case when l_orderkey % 3 = 0 then '7' when l_orderkey % 11 = 0 then null
+                else cast(l_suppkey as string) end as code""",
+    )
+    suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey % 10 <> 3")
+    also = suppliers.filter("s_suppkey % 2 = 0").selectExpr("s_suppkey", "concat('also ', s_name) as s_name")
+    return rows, suppliers.select("s_suppkey", "s_name").unionAll(also)
+
+
+@query(
+    "lookup_doubled_list",
+    f"""
+    {HOT_SQL} select l_orderkey, l_linenumber, rows.code, name from rows left join listed using (code)
+    """,
+)
+def lookup_doubled_list(spark, sf_dir):
+    """A list that holds codes twice does not multiply rows."""
+    rows, suppliers = _hot_rows(spark, sf_dir)
+    return lookup.lookup_codes(rows, [lookup.Lookup("code", suppliers, "s_suppkey", "s_name", "name")])
+
+
+@query(
+    "lookup_hot_codes",
+    f"""
+    {HOT_SQL} select l_orderkey, l_linenumber, rows.code, name from rows left join listed using (code)
+    """,
+)
+def lookup_hot_codes(spark, sf_dir):
+    """The same with hot codes cut into slices, against a list that comes straight from an aggregate."""
+    rows, suppliers = _hot_rows(spark, sf_dir)
+    lookups = [lookup.Lookup("code", suppliers, "s_suppkey", "s_name", "name")]
+    return lookup.lookup_codes(rows, lookups, spread=True)
+
+
+@query(
+    "conform_hot_codes",
+    f"""
+    {HOT_SQL} select l_orderkey, l_linenumber, coalesce(listed.code, '99') as code from rows left join listed using (code)
+    """,
+)
+def conform_hot_codes(spark, sf_dir):
+    rows, suppliers = _hot_rows(spark, sf_dir)
+    listed = suppliers.selectExpr("cast(s_suppkey as string) as s_suppkey")
+    return lookup.conform_codes(rows, "code", listed, "s_suppkey", spread=True)
+
+
 @query(
     "conform_codes",
     """

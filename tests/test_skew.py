@@ -4,10 +4,11 @@ import re
 
 import pytest
 from helpers import rows_of
+from pyspark.sql import functions as F
 
 from starmart.operators.clean import distinct_rows
 from starmart.operators.labels import code_list_tables, parse_code_lists
-from starmart.operators.lookup import Lookup, conform_codes, lookup_codes
+from starmart.operators.lookup import Lookup, conform_codes, hot_codes, lookup_codes, spread_join
 from starmart.plans.star import count_by
 from starmart.schemas import CODE_LISTS
 from starmart.sources import read_table, write_table
@@ -49,7 +50,7 @@ def final_plan(df):
 
 
 def test_lookup_of_a_hot_code_is_split(shuffled_joins, hot, codes):
-    out = lookup_codes(hot, [Lookup("code", codes, "code", "name", "name")])
+    out = lookup_codes(hot, [Lookup("code", codes, "code", "name", "name", unique=True)])
     assert re.search(r"SortMergeJoin\(skew=true\)", final_plan(out))
     wrong = out.filter("NOT (name <=> if(code % 10 = 9, null, concat('n', code)))")
     assert wrong.count() == 0 and out.count() == ROWS
@@ -62,7 +63,7 @@ def test_conforming_a_hot_code_is_split(shuffled_joins, hot, codes):
 
 
 def test_counts_of_a_hot_code_are_combined_before_the_shuffle(shuffled_joins, hot, codes):
-    out = count_by(hot, ["code"], [Lookup("code", codes, "code", "name", "name")])
+    out = count_by(hot, ["code"], [Lookup("code", codes, "code", "name", "name", unique=True)])
     text = out._jdf.queryExecution().executedPlan().toString()
     assert text.index("Join") < text.index("HashAggregate") < text.index("partial_count")
     got = {r.code: r.arrivals for r in out.collect()}
@@ -80,7 +81,7 @@ def test_copies_collapse_before_the_shuffle(spark):
 
 
 def test_small_results_match_with_and_without_broadcast(spark, hot, codes, shuffled_joins):
-    lookups = [Lookup("code", codes, "code", "name", "name")]
+    lookups = [Lookup("code", codes, "code", "name", "name", unique=True)]
     shuffled = rows_of(lookup_codes(hot.filter("id < 2000").drop("load"), lookups))
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -100,7 +101,7 @@ def test_hot_codes_are_split_against_staged_lists(shuffled_joins, spark, hot, tm
     states = read_table(spark, str(tmp_path / "states"))
     rows = hot.selectExpr("id", "cast(code as string) as code", "load")
     conformed = conform_codes(rows, "code", states, "state_code", unique=True)
-    named = lookup_codes(rows, [Lookup("code", states, "state_code", "state_name", "name")])
+    named = lookup_codes(rows, [Lookup("code", states, "state_code", "state_name", "name", unique=True)])
     for out in (conformed, named):
         assert re.search(r"SortMergeJoin\(skew=true\)", final_plan(out))
         assert out.count() == ROWS
@@ -109,3 +110,62 @@ def test_hot_codes_are_split_against_staged_lists(shuffled_joins, spark, hot, tm
 def test_a_code_that_comes_twice_in_a_list_does_not_double_rows(hot, codes):
     rows = hot.selectExpr("id", "cast(code as string) as code").filter("id < 100")
     assert conform_codes(rows, "code", codes.unionAll(codes), "code").count() == 100
+
+
+@pytest.fixture
+def aggregated(codes):
+    """A list straight from an aggregate, which Spark cannot join a split partition to."""
+    return codes.unionAll(codes).groupBy("code").agg({"name": "max"}).withColumnRenamed("max(name)", "name")
+
+
+def rows_by_task(df):
+    """Rows of each of the join's tasks."""
+    counts = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("rows"), F.count("name")).collect()
+    return sorted(r["rows"] for r in counts)
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_hot_codes_against_a_list_from_an_aggregate(shuffled_joins, spark, hot, aggregated, spread):
+    rows = hot.selectExpr("id", "cast(code as string) as code", "load")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        if spread:
+            out = spread_join(rows, rows.code, aggregated.withColumnRenamed("code", "listed"), "listed")
+        else:
+            out = rows.join(aggregated.withColumnRenamed("code", "listed"), F.col("code") == F.col("listed"), "left")
+        by_task = rows_by_task(out)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(by_task) == ROWS
+    if spread:
+        assert by_task[-1] <= 2 * by_task[len(by_task) // 2]
+    else:
+        assert by_task[-1] >= ROWS // 3  # what the slices are for
+
+
+def test_spread_lookups_give_the_same_rows(shuffled_joins, hot, aggregated, codes):
+    rows = hot.selectExpr("id", "cast(code as string) as code").filter("id < 30000")
+    lookups = [Lookup("code", aggregated, "code", "name", "name")]
+    plain = lookup_codes(rows, lookups)
+    spread = lookup_codes(rows, lookups, spread=True)
+    assert spread.columns == plain.columns and spread.exceptAll(plain).isEmpty() and spread.count() == 30000
+    doubled = codes.unionAll(codes.selectExpr("code", "concat('m', code)"))
+    named = lookup_codes(rows, [Lookup("code", doubled, "code", "name", "name")], spread=True)
+    assert named.exceptAll(plain).isEmpty() and named.count() == 30000
+    conformed = conform_codes(rows, "code", aggregated, "code", spread=True)
+    assert conformed.exceptAll(conform_codes(rows, "code", aggregated, "code")).isEmpty()
+
+
+def test_only_hot_codes_are_cut(spark, hot):
+    assert set(hot_codes(hot, hot.code, 8)) in ({"0"}, {None})
+    assert hot_codes(spark.range(1000), F.col("id"), 8) == {} == hot_codes(spark.range(0), F.col("id"), 8)
+    empty = spread_join(spark.range(0), F.col("id"), spark.range(5).withColumnRenamed("id", "key"), "key")
+    assert empty.columns == ["id", "key"] and empty.count() == 0
+
+
+def test_a_doubled_list_does_not_double_rows(spark, hot, codes):
+    rows = hot.selectExpr("id", "cast(code as string) as code").filter("id < 100")
+    named = lookup_codes(rows, [Lookup("code", codes.unionAll(codes), "code", "name", "name")])
+    assert named.count() == 100
