@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Collection
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,15 @@ def whole_text(name: str) -> Column:
     return F.coalesce(quoted(name), F.lit(""))
 
 
+def other_columns(df: DataFrame, results: Collection[str]) -> list[str]:
+    """Columns of ``df`` that stay beside an operator's results: Spark does not tell names apart by case.
+
+    Names that begin with ``_llm_`` are the operators' own.
+    """
+    taken = {name.lower() for name in results}
+    return [c for c in df.columns if c.lower() not in taken and not c.lower().startswith("_llm_")]
+
+
 def row_key(*names: str) -> list[Column]:
     """128 bits of the named columns. Equal rows share it, and so share whatever follows from the row."""
     columns = [quoted(n) for n in names]

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import prepare_workers, staged
+from starmart.llm.common import other_columns, prepare_workers, staged
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -69,19 +69,24 @@ def sample_features(docs: DataFrame, text: str, lang: str, key: Column, per_lang
     """Of each language the documents with the least keys, as counted buckets: (lang, key, buckets, counts)."""
     docs = docs.select(quoted(lang).alias("lang"), quoted(text).alias("text"), key.alias("key"))
     docs = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    last = docs.select("lang", "key").withColumn("nth", nth).where(F.col("nth") <= per_language)
-    last = last.groupBy("lang").agg(F.max("key").alias("last"))
+    # Candidates by key alone: about twice as many of each language as are taken, however many documents and tasks there are.
+    share = F.least(F.lit(1.0), (2 * per_language + 40) / F.count(F.lit(1)))
+    some = staged(docs.groupBy("lang").agg(share.alias("share")), "language-shares")
+    candidates = docs.select("lang", "key").join(F.broadcast(some), "lang")
+    candidates = candidates.where(F.pmod("key", F.lit(1 << 40)) < F.col("share") * (1 << 40)).select("lang", "key").distinct()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 40)), "key"))
+    chosen = candidates.withColumn("nth", nth).where(F.col("nth") <= per_language)
+    last = chosen.groupBy("lang").agg(F.max(F.pmod("key", F.lit(1 << 40))).alias("last"))
     # A row a language, staged so that it is found once; the texts are filtered where they are, not shuffled by language.
     last = F.broadcast(staged(last, "language-samples"))
-    chosen = docs.join(last, "lang").where("key <= last").dropDuplicates(["lang", "key"])
+    chosen = docs.join(last, "lang").where(F.pmod("key", F.lit(1 << 40)) <= F.col("last")).dropDuplicates(["lang", "key"])
 
     def count_subwords(batches):
         for batch in batches:
             rows = []
             for lang_, key_, text_ in zip(*(batch.column(c).to_pylist() for c in ("lang", "key", "text")), strict=True):
                 lines = [x for x in text_.split("\n") if len(x) > 20]
-                step = max(1, len(lines) // lines_each)
+                step = max(1, len(lines) // max(1, lines_each))
                 for part in [text_, *lines[::step][:lines_each]]:
                     counted = Counter()
                     for token, times in Counter(part.lower().split()).items():
@@ -153,6 +158,14 @@ def calibrate(languages, scores, bias, examples, rejected_share: float) -> tuple
     return float(temperature), float(min(reached, 0.5))
 
 
+def held_back_keys(documents: list[tuple[str, int]]) -> set[tuple[str, int]]:
+    """Every fifth document of each language, by key; a language of fewer than five is learned from as a whole."""
+    by_language: dict[str, list[int]] = {}
+    for lang, key in sorted(set(documents)):
+        by_language.setdefault(lang, []).append(key)
+    return {(lang, key) for lang, keys in by_language.items() for key in keys[4::5]}
+
+
 def fit_languages(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang",
     per_language: int = 400, lines_each: int = 6, rejected_share: float = 0.0005,
@@ -165,11 +178,12 @@ def fit_languages(
     key = F.xxhash64(quoted(id), quoted(text))
     sample = sample_features(docs.where(in_training(id)), text, lang, key, per_language, lines_each)
     rows = sorted((r.lang, r.key, r.buckets, r.counts) for r in sample.collect())  # bounded by the parameters
-    examples = [(la, np.frombuffer(b, "<i4"), np.frombuffer(c, "<i4"), k % 5 == 0) for la, k, b, c in rows]
+    held = held_back_keys([(la, k) for la, k, _, _ in rows])
+    examples = [(la, np.frombuffer(b, "<i4"), np.frombuffer(c, "<i4"), (la, k) in held) for la, k, b, c in rows]
     if not examples:
         return None
-    languages, scores, bias = train([e for e in examples if not e[3]] or examples)
-    held_back = [e for e in examples if e[3] and e[0] in languages]
+    languages, scores, bias = train([e for e in examples if not e[3]])
+    held_back = [e for e in examples if e[3]]
     temperature, reject_below = calibrate(languages, scores, bias, held_back, rejected_share)
     return LanguageModel(languages, scores.astype(np.float32), bias, temperature, reject_below)
 
@@ -252,12 +266,12 @@ def identify_language(
     * A null text or one without letters is ``und`` with score 0, and rejected.
     * Documents without a language are predicted, not learned from. If none has one, all are ``und``.
     * Every row is predicted by its text alone, equal texts alike. An empty table gives an empty one.
-    * Input columns named like a result are replaced.
+    * Input columns named like a result, in any case, are replaced. The text column may be one of them.
     """
     spark = docs.sparkSession
     prepare_workers(spark)
     model = model or fit_languages(docs, id=id, text=text, lang=lang, **fit)
-    names = [c for c in docs.columns if c not in RESULT]
+    names = other_columns(docs, RESULT)
     found = predict_column(model, quoted(text), spark)
     return docs.select(
         *(quoted(c) for c in names), (~in_training(id)).alias("held_out"), found.alias("_llm_found")

@@ -66,3 +66,49 @@ def test_predictions_do_not_depend_on_what_a_task_remembers(spark, model, monkey
     few = langid.identify_language(df, model=model).collect()
     for a, b in zip(whole, few, strict=True):
         assert a.lang_pred == b.lang_pred and abs(a.score - b.score) < 1e-6
+
+
+def test_a_language_of_few_documents_is_learned(spark):
+    rows = [(i, f"das ist der text nummer {i} und nicht mehr", "de") for i in range(200)]
+    rows += [(1000, "le texte est dans la maison avec les autres", "fr")]
+    df = documents(spark, rows)
+    model = langid.fit_languages(df)
+    assert model.languages == ["de", "fr"]
+    found = langid.identify_language(documents(spark, [(1, "les autres dans la maison"), (2, "das ist nicht der text")]), model=model)
+    assert {r.doc_id: r.lang_pred for r in found.collect()} == {1: "fr", 2: "de"}
+
+
+def test_every_fifth_document_of_a_language_is_held_back():
+    documents_ = [("a", k) for k in range(23)] + [("b", k) for k in range(4)] + [("c", 7)] * 9
+    held = langid.held_back_keys(documents_)
+    assert held == {("a", k) for k in (4, 9, 14, 19)}
+
+
+def test_scores_against_plain_computation(spark, model):
+    """Mean of the subwords' language scores, softmax at the model's temperature: by plain loops over whole texts."""
+    import math
+
+    import regex
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").limit(150).collect()
+    found = {r.doc_id: r for r in langid.identify_language(spark.read.parquet(f"{SF}/documents.parquet"), model=model).collect()}
+    for row in rows:
+        sums, n = [0.0] * len(model.languages), 0
+        for word in regex.findall(r"\p{L}[\p{L}\p{M}]*", (row.text or "").lower()):
+            marked = ("<" + word + ">").encode()
+            for size in (2, 3, 4):
+                for at in range(len(marked) - size + 1):
+                    bucket = zlib.crc32(marked[at : at + size]) % 32768
+                    n += 1
+                    for i in range(len(sums)):
+                        sums[i] += float(model.scores[bucket][i])
+        got = found[row.doc_id]
+        if not n:
+            assert (got.lang_pred, got.score) == ("und", 0.0)
+            continue
+        z = [(s / n + float(b)) / model.temperature for s, b in zip(sums, model.bias, strict=True)]
+        p = [math.exp(v - max(z)) for v in z]
+        best = max(range(len(p)), key=p.__getitem__)
+        assert abs(got.score - p[best] / sum(p)) < 1e-4
+        assert got.lang_pred == model.languages[best] or abs(sorted(p)[-1] - sorted(p)[-2]) < 1e-4
+        assert got.rejected == (got.score < model.reject_below)
