@@ -95,20 +95,41 @@ class Vocabulary:
         return out
 
 
+def frequent_words(counts: DataFrame) -> list:
+    """The FREQUENT words of greatest count, of equal ones those of least hash; all words if there are fewer.
+
+    An ordering with a limit would have every task send so many words. Instead sizes tell how far down to go: first of
+    counts in steps of about a hundredth, a few thousand rows; then, in the step that is not taken as a whole, of its
+    counts; then, of the words of one count, a share that holds about twice as many as are needed.
+    """
+
+    def whole_groups(group, rows: DataFrame, room: int):
+        """(least group that is taken with all above it, the next one, its size, room left)."""
+        lowest = None
+        for size in sorted(rows.groupBy(group.alias("g")).count().collect(), reverse=True):
+            if size["count"] > room:
+                return lowest, size["g"], size["count"], room
+            lowest, room = size["g"], room - size["count"]
+        return lowest, None, 0, room
+
+    step, count = F.floor(F.log2("count") * 64).cast("int"), F.col("count")
+    lowest, last_step, _, room = whole_groups(step, counts, FREQUENT)
+    top = [] if lowest is None else counts.where(step >= lowest).collect()
+    if last_step is not None:
+        within = counts.where(step == last_step)
+        lowest, last_count, size, room = whole_groups(count, within, room)
+        top += [] if lowest is None else within.where(count >= lowest).collect()
+        if last_count is not None and room:
+            order = F.pmod(F.xxhash64("word"), F.lit(1 << 40))
+            few = within.where(count == last_count).where(order < int(min(1.0, (2 * room + 40) / size) * (1 << 40)))
+            top += few.orderBy(order, "word").limit(room).collect()
+    return top
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = counts.where("word = ''").agg(F.sum("count")).first()[0] or 0
-    # Counts in steps of about a hundredth: a few thousand rows, which tell from which count on words are few enough
-    # to be collected. An ordering with a limit would have every task send FREQUENT words.
-    step = F.floor(F.log2("count") * 64).cast("int").alias("step")
-    sizes = sorted(counts.where("word <> ''").groupBy(step).count().collect(), reverse=True)
-    taken, lowest = 0, None
-    for size in sizes:
-        taken += size["count"]
-        if taken > FREQUENT:
-            break
-        lowest = size["step"]
-    top = [] if lowest is None else counts.where((F.col("word") != "") & (step >= lowest)).collect()
+    top = frequent_words(counts.where("word <> ''"))
     top.sort(key=lambda r: (-r["count"], r.word))
     words, numbers = [r.word.encode() for r in top], np.array([r["count"] for r in top], np.int64)
     suffix = F.crc32(F.right("word", F.lit(2)).cast("binary")) % SHARED

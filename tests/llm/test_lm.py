@@ -119,3 +119,17 @@ def test_nulls_long_repeated_texts_and_empty_tables(spark, monkeypatch):
     assert lm.score_documents(df.limit(0), rounds=1).count() == 0
     alone = lm.score_documents(df.where("doc_id = 3"), folds=1, fold=0, rounds=1).first()
     assert (alone.train_tokens, alone.n_known, alone.base_score) == (0, 0, 0.0)
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 5, 8, 10, 12, 13, 40])
+def test_ties_do_not_empty_the_vocabulary(spark, monkeypatch, limit):
+    """Ten words of one count, two of greater ones, one of a lesser: the limit may fall anywhere."""
+    rows = [(f"w{i}", 5) for i in range(10)] + [("often", 900), ("also", 901), ("rare", 1), ("", 7)]
+    monkeypatch.setattr(lm, "FREQUENT", limit)
+    known = lm.vocabulary(spark.createDataFrame(rows, "word string, count long"))
+    assert len(known.words) == min(limit, 13)
+    counts = dict(rows)
+    taken = sorted((counts[w.decode()] for w in known.words), reverse=True)
+    assert taken == sorted((n for w, n in rows if w), reverse=True)[:limit]
+    again = lm.vocabulary(spark.createDataFrame(rows[::-1], "word string, count long").repartition(5))
+    assert again.words == known.words
