@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import ascii_lower, row_key, staged, whole_text
+from starmart.llm.common import ascii_lower, other_columns, row_key, staged, whole_text
 
 WINDOW = 13
 SEED = 8
@@ -174,7 +174,7 @@ def find_contamination(
     * A null text has no words. A null item has no window; an item without an id is counted in ``n_items``
       but not named. Items that come again count once.
     * Every row is a document, equal rows get equal results. Empty tables: nothing is hit, or an empty result.
-    * Input columns named like a result are replaced.
+    * Input columns named like a result, in any case, are replaced.
     """
     named = benchmark.select(
         quoted(item_id).cast("string").alias("item_id"), word_list(whole_text(item_text)).alias("words")
@@ -230,7 +230,7 @@ def find_contamination(
     found = spans.select(
         *keys, F.size(places).cast("long").alias("_llm_n_hit"), F.array_sort(ranges).alias("_llm_spans")
     ).join(items, keys)
-    names = [c for c in docs.columns if c not in RESULT]
+    names = other_columns(docs, RESULT)
     hit = F.coalesce("_llm_n_hit", F.lit(0)).cast("long")
     return (
         docs.select(

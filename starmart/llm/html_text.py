@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import prepare_workers
+from starmart.llm.common import other_columns, prepare_workers
 from starmart.llm.html_blocks import Block, Inventor, invented_page, read_blocks
 
 SAMPLE_PAGES = 240  # pages to learn from, at most; all are read
@@ -332,7 +332,7 @@ def extract_text(pages: DataFrame, *, html: str = "html", model: Labeller | None
     """
     prepare_workers(pages.sparkSession)
     model = model or fit_labeller(pages, html=html, **fit)
-    names = [c for c in pages.columns if c.lower() not in ("text", "n_chars")]
+    names = other_columns(pages, ("text", "n_chars"))
     found = text_column(model, quoted(html), pages.sparkSession)
     extracted = pages.select(*(quoted(c) for c in names), found.alias("text"))
     return extracted.withColumn("n_chars", F.length("text").cast("long"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import prepare_workers
+from starmart.llm.common import other_columns, prepare_workers
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)  # the label of what is no personal data
@@ -353,9 +353,9 @@ def find_personal_data(docs: DataFrame, *, text: str = "text", model: SkipChain
 
     * A null or empty text has no spans. Spans of a kind are apart; those of different kinds may overlap.
     * Texts are judged one by one: rows that come again get equal spans. An empty table gives an empty one.
-    * An input column named ``spans`` is replaced.
+    * An input column named ``spans``, in any case, is replaced.
     """
     prepare_workers(docs.sparkSession)
     model = model or train(docs, text)
-    names = [c for c in docs.columns if c != "spans"]
+    names = other_columns(docs, ["spans"])
     return docs.select(*(quoted(c) for c in names), span_column(model, quoted(text)).alias("spans"))

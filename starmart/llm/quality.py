@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.columns import quoted
-from starmart.llm.common import BLANK_CLASS, BLANKS, staged, whole_text
+from starmart.llm.common import BLANKS, BLANK_CLASS, other_columns, staged, whole_text
 
 SYMBOLS = "#*$%&|<>"
 GOOD, BAD, ABSTAIN = 1, 2, 0
@@ -69,7 +69,7 @@ def measures(docs: DataFrame, *, text: str = "text") -> DataFrame:
     in three-word windows that the text holds twice or more, the first included),
     ``n_capitals`` and ``n_digits`` (A-Z, 0-9).
     """
-    names = [c for c in docs.columns if c != text and c not in MEASURES]
+    names = [c for c in other_columns(docs, MEASURES) if c != text]
     whole = F.col("_llm_text")
     without = lambda chars: F.length(F.translate(whole, chars, ""))
     hashes = F.transform(
@@ -239,7 +239,7 @@ def judge_quality(
 
     * A null or empty text has no words; its ratios are unknown, so most rules abstain.
     * Equal rows are judged alike, each counting for the estimation. An empty table gives an empty one.
-    * Input columns named like a result are replaced.
+    * Input columns named like a result, in any case, are replaced.
     """
     rules = list(rules or default_rules())
     measured = staged(measures(docs, text=text), "quality-measures")
@@ -255,7 +255,7 @@ def judge_quality(
         )
     quality = 1 / (1 + F.exp(-odds))
     named = F.create_map(*(x for v, rule in zip(votes, rules, strict=True) for x in (F.lit(rule.name), F.col(v))))
-    names = [c for c in measured.columns if c not in ("votes", "quality", "kept")]
+    names = other_columns(measured, ("votes", "quality", "kept"))
     return voted.select(
         *(quoted(c) for c in names),
         named.alias("votes"),
