@@ -13,6 +13,7 @@ from starmart.operators.lookup import Lookup, lookup_codes
 from starmart.operators.quality import Rules, quality_report
 from starmart.plans.arrivals import clean_arrivals, clean_demographic, clean_temperature
 from starmart.plans.build import star_rules
+from starmart.plans.incoming import take_arrivals
 from starmart.queries import shapes
 from starmart.queries.registry import query, table, work_path
 from starmart.sources import (
@@ -261,6 +262,27 @@ def versioned_publish(spark, sf_dir):
     )
 
 
+@query(
+    "arriving_files",
+    f"""
+    with fact as ({shapes.ARRIVALS_SQL}) select cicid, year, month, arrival_date, state_code from fact
+    union all
+    select -cicid, year, month, arrival_date, state_code from fact where month = 2
+    """,
+)
+def arriving_files(spark, sf_dir):
+    """Arrivals brought as files in two goes, then February's once more under other ids; each file is taken once."""
+    root = f"{work_path(spark, 'arriving_files')}/{uuid.uuid4().hex}"
+    raw = shapes.arrivals_raw(table(spark, sf_dir, "orders"))
+    again = raw.filter("i94mon = 2").withColumn("cicid", F.expr("-cicid"))
+    for part in (raw.filter("i94mon < 7"), raw.filter("i94mon >= 7"), again):
+        part.write.mode("append").parquet(f"{root}/incoming")
+        for _ in range(2):  # the second time there is nothing new
+            take_arrivals(spark, f"{root}/incoming", f"{root}/output", checkpoint=f"{root}/log", add=True)
+    fact = read_published(spark, f"{root}/output", "immigration")
+    return fact.select("cicid", "year", "month", "arrival_date", "state_code")
+
+
 @query("view_select_all", "select * from supplier")
 def view_select_all(spark, sf_dir):
     register_views({"supplier": table(spark, sf_dir, "supplier")}, prefix="starmart_")

@@ -47,11 +47,12 @@ class PublishedTable:
 
 @dataclass(frozen=True)
 class Manifest:
-    """What is live: ``number`` counts the runs that succeeded."""
+    """What is live: ``number`` counts the runs that succeeded. ``marks`` say up to where each source has been taken."""
 
     number: int
     run: str
     tables: Mapping[str, PublishedTable]
+    marks: Mapping[str, int] = field(default_factory=dict)
 
     def folders(self) -> set[str]:
         return {folder for table in self.tables.values() for folder in table.folders}
@@ -61,7 +62,8 @@ class Manifest:
             name: {"folders": t.folders, "partition_by": t.partition_by, "schema": t.schema.jsonValue()}
             for name, t in self.tables.items()
         }
-        return json.dumps({"number": self.number, "run": self.run, "tables": tables}, indent=1)
+        value = {"number": self.number, "run": self.run, "tables": tables, "marks": dict(self.marks)}
+        return json.dumps(value, indent=1)
 
     @staticmethod
     def from_json(text: str) -> Manifest:
@@ -70,7 +72,7 @@ class Manifest:
             name: PublishedTable(tuple(t["folders"]), StructType.fromJson(t["schema"]), tuple(t["partition_by"]))
             for name, t in value["tables"].items()
         }
-        return Manifest(value["number"], value["run"], tables)
+        return Manifest(value["number"], value["run"], tables, value.get("marks", {}))
 
 
 def _manifest_path(output: str, number: int) -> str:
@@ -191,14 +193,18 @@ class Publication:
         fields += [schema[c] for c in partition_by]
         self._tables[name] = PublishedTable((*kept, *new), StructType(fields), tuple(partition_by))
 
-    def complete(self) -> Manifest:
-        """Put down the manifest: from here on the run is live. Then remove what only manifests before the last two list."""
+    def complete(self, marks: Mapping[str, int] | None = None) -> Manifest:
+        """Put down the manifest: from here on the run is live. Then remove what only manifests before the last two list.
+
+        ``marks`` become live with the tables; those of other sources stay.
+        """
         missing = self._begun - set(self._tables)
         if missing:
             raise ValueError(f"begun but not added: {', '.join(sorted(missing))}")
         number = self.before.number + 1 if self.before else 1
         kept = {n: t for n, t in self.before.tables.items() if n not in self._tables} if self.before else {}
-        manifest = Manifest(number, self.run, {**kept, **self._tables})
+        marked = {**(self.before.marks if self.before else {}), **(marks or {})}
+        manifest = Manifest(number, self.run, {**kept, **self._tables}, marked)
         self._put_down(manifest)
         try:
             remove_superseded(self.spark, self.output, manifest)
