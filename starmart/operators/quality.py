@@ -1,4 +1,4 @@
-"""Data-quality report and gate: one aggregate per table, every failure at once."""
+"""Data-quality report and gate: one aggregate per table, every failure at once; keys and references on request."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import count_null
+from starmart.functions import count_null, quoted
+from starmart.operators.lookup import Lookup, unmatched_codes
 from starmart.schemas import MALFORMED
 
 ERROR = "error"
@@ -116,3 +117,63 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
         for stage, df in stages.items()
     ]
     return reduce(DataFrame.unionAll, parts)
+
+
+@dataclass(frozen=True)
+class Integrity:
+    """What must hold between rows: each combination of ``unique`` columns stands once, and each code of ``references``
+    stands in its list. A NULL code refers to nothing; it is left to the null checks."""
+
+    unique: Sequence[Sequence[str]] = ()
+    references: Sequence[Lookup] = ()
+    severity: str = ERROR
+    reference_severity: str = WARN
+
+
+def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How many rows come after the first of their key, as one row ``(observed)``; keys with a NULL are keys as well.
+
+    In two levels. First each key's 64-bit hash is counted, each task adding up its own: what is shuffled is a number a
+    key, whatever the key is made of. Only keys whose hash comes again are then compared in full, so that two keys that share
+    a hash are not taken for one. No row is shuffled.
+    """
+    key = [quoted(c) for c in columns]
+    hashed = df.select(F.xxhash64(*key).alias("_hash"), F.struct(*key).alias("_key"))
+    again = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_hash")
+    met = hashed.join(again, "_hash", "left_semi").groupBy("_hash", "_key").agg(F.count(F.lit(1)).alias("_rows"))
+    return met.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).cast("long").alias("observed"))
+
+
+def unmatched_references(df: DataFrame, references: Sequence[Lookup]) -> DataFrame:
+    """Rows whose code its list does not hold, ``(column, observed)`` for every column of ``references``.
+
+    Codes are counted before they meet the lists, all columns in one pass (``unmatched_codes``).
+    """
+    lost = unmatched_codes(df, references).where("code IS NOT NULL")
+    counts = lost.groupBy("column_name").agg(F.sum("rows").alias("_rows"))
+    columns = F.explode(F.array(*(F.lit(item.column) for item in references))).alias("column")
+    named = df.sparkSession.range(1).select(columns)
+    return named.join(counts, F.col("column") == F.col("column_name"), "left").select(
+        "column", F.coalesce("_rows", F.lit(0)).cast("long").alias("observed")
+    )
+
+
+def integrity_report(tables: Mapping[str, DataFrame], rules: Mapping[str, Integrity]) -> DataFrame:
+    """Checks of keys and references as rows of the one report: ``(table, check, column, observed, severity, passed)``."""
+    parts = []
+    for name, rule in rules.items():
+        found = [
+            (duplicate_keys(tables[name], key).withColumn("column", F.lit(", ".join(key))), "duplicate_count", rule.severity)
+            for key in rule.unique
+        ]
+        if rule.references:
+            lost = unmatched_references(tables[name], rule.references)
+            found.append((lost, "unmatched_count", rule.reference_severity))
+        parts += [
+            df.select(
+                F.lit(name).alias("table"), F.lit(check).alias("check"), "column", "observed",
+                F.lit(severity).alias("severity"), (F.col("observed") == 0).alias("passed"),
+            )
+            for df, check, severity in found
+        ]
+    return reduce(DataFrame.unionAll, parts)

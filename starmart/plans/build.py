@@ -35,7 +35,7 @@ from starmart import schemas as S
 from starmart.operators.keys import assign_kept_ids, new_keys, rows_with_kept_ids
 from starmart.operators.labels import code_list_tables, parse_code_lists
 from starmart.operators.lookup import conform_codes
-from starmart.operators.quality import ERROR, WARN, Rules, enforce, quality_report
+from starmart.operators.quality import ERROR, WARN, Integrity, Rules, enforce, integrity_report, quality_report
 from starmart.plans.arrivals import (
     clean_arrivals,
     clean_demographic,
@@ -43,6 +43,7 @@ from starmart.plans.arrivals import (
     complete_rows,
     enrich_temperature,
 )
+from starmart.plans.star import star_lookups
 from starmart.session import DEFAULT_PARTITIONS, EXPLICIT_SIZE, create_session, shuffle_partitions
 from starmart.sources import (
     APPEND,
@@ -64,6 +65,8 @@ from starmart.sources import (
 log = logging.getLogger(__name__)
 FACT = "immigration"
 COLUMNAR_FORMATS = ("parquet", "orc")
+# Tables whose rows may keep their ids: columns of the source, and the id's name.
+KEPT = {"demographic": (S.DEMOGRAPHIC, "id"), "temperature": (S.TEMPERATURE, "temp_id")}
 
 
 @dataclass(frozen=True)
@@ -72,7 +75,8 @@ class StarConfig:
 
     ``infer_types`` lets Spark infer the types of the two CSV inputs instead of converting them by declaration.
     ``strict`` fails the job on an arrival's number that is too large. ``keep_ids`` gives cities and readings the ids they had
-    in the runs before, by key maps that are published with the tables. ``similar_countries`` lets a reading's country that
+    in the runs before, by key maps that are published with the tables. ``check_integrity`` adds
+    unique ids and codes, and codes that their lists lack (as warnings), to the report. ``similar_countries`` lets a reading's country that
     equals no name of the list take the one row that holds at least this share of its words. ``rebalance`` shuffles the fact by month before it is
     written; None does so if ``monthly``.
     """
@@ -92,6 +96,7 @@ class StarConfig:
     infer_types: bool = False
     strict: bool = False
     keep_ids: bool = False
+    check_integrity: bool = False
     similar_countries: float | None = None
     warn_only: tuple[str, ...] = ()
 
@@ -122,6 +127,16 @@ def star_rules(warn_only: tuple[str, ...] = ()) -> dict[str, Rules]:
     }
 
 
+def star_integrity(tables: Mapping[str, DataFrame], warn_only: tuple[str, ...] = ()) -> dict[str, Integrity]:
+    """Each id and each code of a list stands once; codes of the fact that a list lacks are a warning."""
+    keys = {name: [(id_,)] for name, (_, id_) in KEPT.items()}
+    keys |= {item.table: [(item.code,)] for item in (*S.CODE_LISTS, S.VISA_LIST)}
+    rules = {
+        name: Integrity(unique, severity=WARN if name in warn_only else ERROR) for name, unique in keys.items()
+    }
+    return {**rules, FACT: Integrity(references=star_lookups(tables[FACT], tables))}
+
+
 def _side_by_side(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Run independent writes at once, so that small tables do not wait for large ones."""
     with ThreadPoolExecutor(len(writes)) as pool:
@@ -194,10 +209,6 @@ def read_star(spark: SparkSession, output: str) -> dict[str, DataFrame]:
     return published_tables(spark, output)
 
 
-# Tables whose rows may keep their ids: columns of the source, and the id's name.
-KEPT = {"demographic": (S.DEMOGRAPHIC, "id"), "temperature": (S.TEMPERATURE, "temp_id")}
-
-
 def _key_map(name: str) -> str:
     return f"{name}_keys"
 
@@ -262,7 +273,10 @@ def _build(spark: SparkSession, config: StarConfig, stage: str, new: Publication
         )
     tables = {**tables, FACT: fact(arrivals), **staged}
 
-    report = enforce(quality_report(tables, star_rules(config.warn_only)))
+    report = quality_report(tables, star_rules(config.warn_only))
+    if config.check_integrity:
+        report = report.unionAll(integrity_report(tables, star_integrity(tables, config.warn_only)))
+    report = enforce(report)
     checked = {f"{r['table']}.checked": r["observed"] for r in report if r["check"] == "row_count"}
     # Cleaning drops no arrival.
     counts = {f"{FACT}.read": checked[f"{FACT}.checked"], **counts, **checked}
@@ -303,6 +317,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     parser.add_argument("--infer-types", action="store_true", help="infer the types of the CSV inputs")
     parser.add_argument("--strict", action="store_true", help="fail on numbers that are too large")
+    parser.add_argument("--check-integrity", action="store_true", help="check keys and references as well")
     parser.add_argument("--keep-ids", action="store_true", help="ids as in the runs before")
     parser.add_argument(
         "--similar-countries", type=float, metavar="SHARE", help="match countries by this share of their words"
@@ -329,6 +344,7 @@ def main(argv: list[str] | None = None) -> None:
             infer_types=args.infer_types,
             strict=args.strict,
             keep_ids=args.keep_ids,
+            check_integrity=args.check_integrity,
             similar_countries=args.similar_countries,
             missing_departure=args.missing_departure,
             rename_visa=args.rename_visa,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from starmart.operators.quality import Rules, quality_report, stage_counts, table_report
+from starmart.operators.lookup import Lookup
+from starmart.operators.quality import Integrity, Rules, integrity_report, quality_report, stage_counts, table_report
 from starmart.plans import arrivals
 from starmart.queries import shapes
 from starmart.queries.registry import query, table
@@ -81,3 +82,45 @@ def report(spark, sf_dir):
 def counts(spark, sf_dir):
     raw = shapes.demographic_raw(table(spark, sf_dir, "customer"))
     return stage_counts({"read": raw, "cleaned": arrivals.clean_demographic(raw)})
+
+
+@query(
+    "integrity_report",
+    """
+    with lines as (
+        select l_orderkey, l_linenumber, nullif(l_suppkey, 5) as l_suppkey, l_returnflag from lineitem
+        union all
+        select l_orderkey, l_linenumber, null, null from lineitem where l_orderkey % 40 = 0
+    ), found as (
+        select 'lines' as "table", 'duplicate_count' as "check", 'l_orderkey, l_linenumber' as "column",
+               count(*) - count(distinct (l_orderkey, l_linenumber)) as observed, 'error' as severity from lines
+        union all
+        select 'lines', 'duplicate_count', 'l_returnflag', count(*) - (select count(*) from (select distinct l_returnflag from lines)),
+               'error' from lines
+        union all
+        select 'lines', 'unmatched_count', 'l_suppkey', count(*) filter (l_suppkey % 10 = 3), 'warn' from lines
+        union all
+        select 'lines', 'unmatched_count', 'l_returnflag', 0, 'warn'
+        union all
+        select 'orders', 'duplicate_count', 'o_orderkey', 0, 'error'
+    )
+    select *, observed = 0 as passed from found
+    """,
+)
+def integrity(spark, sf_dir):
+    """Keys that come again, some put in, and codes that a list lacks; a key of whole rows and one of few values."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "nullif(l_suppkey, 5) as l_suppkey", "l_returnflag"
+    )
+    again = lines.filter("l_orderkey % 40 = 0").selectExpr("l_orderkey", "l_linenumber", "null as l_suppkey", "null as l_returnflag")
+    suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey % 10 <> 3")
+    flags = table(spark, sf_dir, "lineitem").select("l_returnflag").distinct().selectExpr("l_returnflag as flag", "1 as one")
+    references = [
+        Lookup("l_suppkey", suppliers, "s_suppkey", "s_name", "supplier"),
+        Lookup("l_returnflag", flags, "flag", "one", "flag"),
+    ]
+    rules = {
+        "lines": Integrity([("l_orderkey", "l_linenumber"), ("l_returnflag",)], references),
+        "orders": Integrity([("o_orderkey",)]),
+    }
+    return integrity_report({"lines": lines.unionAll(again), "orders": table(spark, sf_dir, "orders")}, rules)

@@ -303,6 +303,14 @@ def test_countries_that_the_list_writes_otherwise(spark, inputs):
     assert climate.filter("country_code = '582'").first().mean_temperature == 20.0
 
 
+def test_keys_and_references_are_checked_on_request(spark, inputs):
+    report = build_star(spark, inputs(changes=({"i94addr": "ZZ"}, {}), check_integrity=True)).report
+    found = {(r["table"], r["check"], r["column"]): r["observed"] for r in report}
+    assert len(report) == 8 + 16 + 8 + 3 + 3 + 7 + 6
+    assert found["immigration", "unmatched_count", "state_code"] == 1
+    assert found["temperature", "duplicate_count", "temp_id"] == 0
+
+
 def test_ids_that_are_kept(spark, inputs):
     config = inputs(keep_ids=True)
     first = build_star(spark, config).tables

@@ -1,12 +1,16 @@
 import pytest
 from helpers import rows_of
 
+from starmart.operators.lookup import Lookup
 from starmart.operators.quality import (
+    Integrity,
     QualityError,
     Rules,
     check_nulls,
     check_row_count,
+    duplicate_keys,
     enforce,
+    integrity_report,
     quality_report,
     stage_counts,
     table_report,
@@ -79,3 +83,35 @@ def test_rules_of_the_star():
 def test_stage_counts(spark, people):
     out = stage_counts({"read": people, "cleaned": people.dropna(subset=["name"])})
     assert rows_of(out) == [("cleaned", 2), ("read", 3)]
+
+
+def test_duplicate_keys_are_counted_exactly(spark):
+    rows = [(1, "a"), (1, "b"), (1, "a"), (2, None), (2, None), (None, "a"), ("1", None)]
+    df = spark.createDataFrame([(None if a is None else str(a), b) for a, b in rows], "a string, b string")
+    assert duplicate_keys(df, ["a", "b"]).first()[0] == 2
+    assert duplicate_keys(df, ["a"]).first()[0] == 4
+    assert duplicate_keys(df.limit(0), ["a"]).first()[0] == 0
+
+
+def test_keys_that_share_a_hash_are_not_taken_for_one(spark):
+    # Spark's hash passes over NULLs, so these two have the same one.
+    df = spark.createDataFrame([("x", None), (None, "x")], "a string, b string")
+    assert df.selectExpr("xxhash64(a, b) as h").distinct().count() == 1
+    assert duplicate_keys(df, ["a", "b"]).first()[0] == 0
+
+
+def test_integrity_shuffles_numbers_not_rows(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(1000).selectExpr("id", "repeat('x', 100) as load", "id % 7 as code").write.parquet(path)
+    df = spark.read.parquet(path)
+    codes = spark.createDataFrame([(n, "n") for n in range(5)], "code long, name string")
+    rules = {"wide": Integrity([("id",)], [Lookup("code", codes, "code", "name", "name")])}
+    report = integrity_report({"wide": df}, rules)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "load" not in plan and "NestedLoop" not in plan
+    assert rows_of(report.select("check", "column", "observed", "passed")) == [
+        ("duplicate_count", "id", 0, True), ("unmatched_count", "code", 285, False),
+    ]
+    assert len(enforce(report)) == 2  # a lost reference is a warning
+    with pytest.raises(QualityError, match="wide.code duplicate_count = 993"):
+        enforce(integrity_report({"wide": df}, {"wide": Integrity([("code",)])}))
