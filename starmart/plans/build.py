@@ -43,7 +43,7 @@ from starmart.plans.arrivals import (
     complete_rows,
     enrich_temperature,
 )
-from starmart.plans.star import star_lookups
+from starmart.plans.star import star_lookups, stay_sketches
 from starmart.session import DEFAULT_PARTITIONS, EXPLICIT_SIZE, create_session, shuffle_partitions
 from starmart.sources import (
     APPEND,
@@ -64,6 +64,7 @@ from starmart.sources import (
 
 log = logging.getLogger(__name__)
 FACT = "immigration"
+SKETCHES = "stay_sketches"
 COLUMNAR_FORMATS = ("parquet", "orc")
 # Tables whose rows may keep their ids: columns of the source, and the id's name.
 KEPT = {"demographic": (S.DEMOGRAPHIC, "id"), "temperature": (S.TEMPERATURE, "temp_id")}
@@ -76,7 +77,8 @@ class StarConfig:
     ``infer_types`` lets Spark infer the types of the two CSV inputs instead of converting them by declaration.
     ``strict`` fails the job on an arrival's number that is too large. ``keep_ids`` gives cities and readings the ids they had
     in the runs before, by key maps that are published with the tables. ``check_integrity`` adds
-    unique ids and codes, and codes that their lists lack (as warnings), to the report. ``similar_countries`` lets a reading's country that
+    unique ids and codes, and codes that their lists lack (as warnings), to the report. ``stay_sketches`` publishes
+    ``stay_sketches`` beside the fact, by month if that is. ``similar_countries`` lets a reading's country that
     equals no name of the list take the one row that holds at least this share of its words. ``rebalance`` shuffles the fact by month before it is
     written; None does so if ``monthly``.
     """
@@ -97,6 +99,7 @@ class StarConfig:
     strict: bool = False
     keep_ids: bool = False
     check_integrity: bool = False
+    stay_sketches: bool = False
     similar_countries: float | None = None
     warn_only: tuple[str, ...] = ()
 
@@ -300,6 +303,12 @@ def _build(spark: SparkSession, config: StarConfig, stage: str, new: Publication
         # A monthly fact changes the months it brings, all other tables as a whole.
         mode = PERIODS if name in periods else APPEND if name in keys else REPLACE
         new.add(name, df.schema, partition_by=periods.get(name, ()), mode=mode)
+    if config.stay_sketches:
+        # From what was just written: three columns, already clean.
+        sketches = stay_sketches(read_table(spark, new.folder(FACT)))
+        by_month = periods.get(FACT, ())
+        write_table(sketches, new.folder(SKETCHES), partition_by=by_month, rebalance=bool(by_month))
+        new.add(SKETCHES, sketches.schema, partition_by=by_month, mode=PERIODS if by_month else REPLACE)
     new.complete()
     return report, counts
 
@@ -318,6 +327,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--infer-types", action="store_true", help="infer the types of the CSV inputs")
     parser.add_argument("--strict", action="store_true", help="fail on numbers that are too large")
     parser.add_argument("--check-integrity", action="store_true", help="check keys and references as well")
+    parser.add_argument("--stay-sketches", action="store_true", help="publish quantile sketches of the length of stay")
     parser.add_argument("--keep-ids", action="store_true", help="ids as in the runs before")
     parser.add_argument(
         "--similar-countries", type=float, metavar="SHARE", help="match countries by this share of their words"
@@ -345,6 +355,7 @@ def main(argv: list[str] | None = None) -> None:
             strict=args.strict,
             keep_ids=args.keep_ids,
             check_integrity=args.check_integrity,
+            stay_sketches=args.stay_sketches,
             similar_countries=args.similar_countries,
             missing_departure=args.missing_departure,
             rename_visa=args.rename_visa,

@@ -47,6 +47,25 @@ def arrivals_by(
     return count_by(fact, keys, star_lookups(fact, tables))
 
 
+def arrivals_margins(
+    fact: DataFrame,
+    tables: Mapping[str, DataFrame],
+    keys: Sequence[str],
+    sets: Sequence[Sequence[str]] | None = None,
+) -> DataFrame:
+    """Arrivals by several groupings at once, with names: by each of ``keys`` alone and in all, unless ``sets`` says otherwise.
+
+    ``grouping`` is SQL's grouping id: a bit for each of ``keys``, the first one highest, set where a row is not grouped by it.
+    The fact is read once and counted by all keys; what is repeated for each grouping are those counts, not its rows.
+    """
+    groupings = [[k] for k in keys] + [[]] if sets is None else [list(s) for s in sets]
+    counts = count_by(fact, keys)
+    margins = counts.groupingSets([[F.col(k) for k in s] for s in groupings], *keys).agg(
+        F.sum("arrivals").alias("arrivals"), F.grouping_id().alias("grouping")
+    )
+    return lookup_codes(margins, [item for item in star_lookups(fact, tables) if item.column in keys])
+
+
 def state_profile(demographic: DataFrame) -> DataFrame:
     """Population per state.
 
@@ -104,6 +123,38 @@ def stay_length(fact: DataFrame) -> DataFrame:
     )
 
 
+SKETCH_SIZE = 400  # ranks read from such a sketch are off by less than SKETCH_ERROR, but for one case in a hundred
+SKETCH_ERROR = 0.0085
+
+
+def _stays(fact: DataFrame) -> DataFrame:
+    """Rows with a length of stay, ``days``; the stand-in for a missing departure is left out."""
+    stayed = fact.filter((F.col("departure_date") != F.lit(SAS_EPOCH).cast("date")) & F.col("arrival_date").isNotNull())
+    return stayed.withColumn("days", F.date_diff("departure_date", "arrival_date").cast("bigint"))
+
+
+def stay_sketches(fact: DataFrame, keys: Sequence[str] = ("residence", "year", "month")) -> DataFrame:
+    """Stays of each group and a quantile sketch of their lengths: ``(*keys, stays, sketch)``.
+
+    A sketch is some kilobytes whatever it has seen, each task makes its own, and sketches add up: those of a month
+    are published with it and serve all later questions without the fact.
+    """
+    return _stays(fact).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("stays"), F.kll_sketch_agg_bigint("days", F.lit(SKETCH_SIZE)).alias("sketch")
+    )
+
+
+def stay_quantiles(
+    sketches: DataFrame, keys: Sequence[str] = ("residence",), at: Sequence[float] = (0.25, 0.5, 0.75, 0.95)
+) -> DataFrame:
+    """Lengths of stay at the ranks ``at`` for coarser groups, from sketches alone: ``(*keys, stays, days)``, an array."""
+    merged = sketches.groupBy(*keys).agg(
+        F.sum("stays").alias("stays"), F.kll_merge_agg_bigint("sketch", F.lit(SKETCH_SIZE)).alias("_sketch")
+    )
+    ranks = F.array(*(F.lit(float(p)) for p in at))
+    return merged.select(*keys, "stays", F.kll_sketch_get_quantile_bigint("_sketch", ranks).alias("days"))
+
+
 def unmatched(fact: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Codes of the fact that its lists do not hold."""
     return unmatched_codes(fact, star_lookups(fact, tables))

@@ -74,6 +74,19 @@ def value_range(spark, sf_dir):
     return profile.value_range(shipped, "shipped")
 
 
+@query(
+    "footer_profile",
+    " union all ".join(
+        f"""select '{c}' as column_name, count(*) as rows, cast(min({c}) as varchar) as min_value,
+                   cast(max({c}) as varchar) as max_value from lineitem"""
+        for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag")
+    ),
+)
+def footer_profile(spark, sf_dir):
+    columns = ["l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag"]
+    return profile.footer_profile(spark, f"{sf_dir}/lineitem.parquet", columns)
+
+
 @query(
     "filter_equals",
     "select c_custkey, c_name, c_nationkey from customer where c_mktsegment = 'BUILDING'",

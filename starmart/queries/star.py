@@ -198,6 +198,63 @@ def stay_length(spark, sf_dir):
     return plans.stay_length(stays)
 
 
+@query(
+    "stay_quantiles",
+    """
+    with stays as (
+        select o_custkey % 30 as residence, cast(shipped as date) - cast(o_orderdate as date) as days
+        from orders join (select l_orderkey, max(l_shipdate) as shipped from lineitem group by 1)
+             on l_orderkey = o_orderkey
+    )
+    select cast(residence as integer) as residence, count(*) as stays, p as rank, true as near from stays, (values (0.1::double), (0.5), (0.9)) t(p)
+    group by residence, p
+    """,
+)
+def stay_quantiles(spark, sf_dir):
+    """Quantiles by residence from sketches by residence and month; the exact rank of each lies within the bound."""
+    last = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("shipped"))
+    stays = table(spark, sf_dir, "orders").join(last, F.col("o_orderkey") == F.col("l_orderkey")).selectExpr(
+        "cast(o_custkey % 30 as int) as residence", "year(o_orderdate) as year", "month(o_orderdate) as month",
+        "cast(o_orderdate as date) as arrival_date", "cast(shipped as date) as departure_date",
+    )
+    at = (0.1, 0.5, 0.9)
+    found = plans.stay_quantiles(plans.stay_sketches(stays), at=at)
+    ranks = found.select("residence", "stays", F.posexplode("days").alias("n", "found"))
+    ranks = ranks.withColumn("rank", F.array(*map(F.lit, at))[F.col("n")])
+    lengths = stays.groupBy("residence", F.date_diff("departure_date", "arrival_date").alias("days")).count()
+    exact = (
+        ranks.join(lengths, "residence")
+        .groupBy("residence", "stays", "rank")
+        .agg(
+            F.sum(F.when(F.col("days") < F.col("found"), F.col("count")).otherwise(0)).alias("below"),
+            F.sum(F.when(F.col("days") <= F.col("found"), F.col("count")).otherwise(0)).alias("upto"),
+        )
+    )
+    near = (F.col("below") <= (F.col("rank") + 0.02) * F.col("stays")) & (F.col("upto") >= (F.col("rank") - 0.02) * F.col("stays"))
+    return exact.select("residence", "stays", "rank", near.alias("near"))
+
+
+@query(
+    "arrivals_margins",
+    f"""
+    with fact as ({shapes.ARRIVALS_SQL}), margins as (
+        select residence, mode, i94visa, port, state_code, count(*) as arrivals,
+               grouping(residence, mode, i94visa, port, state_code) as grouping
+        from fact group by grouping sets ((residence), (mode), (i94visa), (port), (state_code), ())
+    )
+    select residence, mode, i94visa, port, state_code, arrivals, cast(grouping as bigint) as grouping,
+           country_name as residence_name, {PORT_NAME_SQL} as port_name, {MODE_NAME_SQL} as mode_name,
+           {VISA_NAME_SQL} as visa_category,
+           case when try_cast(substr(state_code, 2) as integer) < 25 then 'STATE ' || substr(state_code, 2) end as state_name
+    from margins left join ({shapes.COUNTRY_SQL}) on cast(residence as varchar) = country_code
+    """,
+)
+def arrivals_margins(spark, sf_dir):
+    """Arrivals by each dimension alone, and in all, from one pass over the fact."""
+    keys = ["residence", "mode", "i94visa", "port", "state_code"]
+    return plans.arrivals_margins(_fact(spark, sf_dir), _tables(spark, sf_dir), keys)
+
+
 DICTIONARY = (
     "value i94cntyl\n"
     + "\n".join(f"   {n} =  'NATION_{n}'" for n in range(25))

@@ -311,6 +311,15 @@ def test_keys_and_references_are_checked_on_request(spark, inputs):
     assert found["temperature", "duplicate_count", "temp_id"] == 0
 
 
+def test_sketches_are_published_by_month(spark, inputs):
+    config = inputs(monthly=True, stay_sketches=True)
+    build_star(spark, config)
+    later = inputs(changes=({"i94mon": 5.0, "depdate": 20575.0},) * 3, monthly=True, stay_sketches=True)
+    sketches = build_star(spark, later).tables["stay_sketches"]
+    assert rows_of(sketches.select("month", "stays")) == [(3, 1), (4, 2), (5, 3)]
+    assert rows_of(star.stay_quantiles(sketches, ["year"], [0.0, 1.0])) == [(2016, 6, [2, 9])]
+
+
 def test_ids_that_are_kept(spark, inputs):
     config = inputs(keep_ids=True)
     first = build_star(spark, config).tables

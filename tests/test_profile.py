@@ -59,3 +59,22 @@ def test_profiles_read_once(df, tmp_path):
         profile.value_range(again, "x"),
     ):
         assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_footers_answer_without_reading_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(1000).selectExpr(
+        "id", "cast(if(id % 4 = 0, null, id % 7) as int) as n", "date_add(DATE'2000-01-01', cast(id as int)) as d",
+        "cast(id as string) as s", "if(id = 5, double('NaN'), id / 2) as x",
+    )
+    rows.repartition(3).write.parquet(path)
+    found = profile.footer_profile(spark, path, ["id", "n", "d"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(id), MIN(n), MIN(d), MAX(id), MAX(n), MAX(d)]" in plan
+    assert rows_of(found) == [("d", 1000, "2000-01-01", "2002-09-26"), ("id", 1000, "0", "999"), ("n", 1000, "0", "6")]
+    both = profile.footer_profile(spark, path, ["id", "s", "x"])
+    assert rows_of(both) == [("id", 1000, "0", "999"), ("s", 1000, "0", "999"), ("x", 1000, "0.0", "NaN")]
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id)]" in plan and "PushedAggregation: []" in plan
+    # The caller's own reads go on as they did.
+    assert "PushedAggregation" not in spark.read.parquet(path).agg({"id": "max"})._jdf.queryExecution().executedPlan().toString()

@@ -71,3 +71,57 @@ def test_unmatched(fact, tables):
     got = set(map(tuple, star.unmatched(fact, tables).collect()))
     assert {("citizenship", "692", 4), ("residence", "999", 1), ("i94visa", "7", 1), ("state_code", "", 1)} <= got
     assert not [r for r in got if r[0] == "mode"]
+
+
+def test_margins_count_the_fact_once(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = spark.range(3000).selectExpr(
+        "cast(id % 3 as int) as residence", "cast(id % 2 as int) as mode", "cast(null as string) as port", "1 as i94visa",
+        "concat('S', id % 5) as state_code", "id as cicid",
+    )
+    rows.write.parquet(path)
+    fact = spark.read.parquet(path)
+    lists = {
+        "country_codes": spark.createDataFrame([("0", "ZERO")], "country_code string, country_name string"),
+        **{
+            f"{n}_codes": spark.createDataFrame([], f"{n}_code string, {m} string")
+            for n, m in (("port", "port_name"), ("mode", "mode_name"), ("state", "state_name"), ("visa", "visa_category"))
+        },
+    }
+    keys = ["residence", "mode", "port", "state_code"]
+    out = star.arrivals_margins(fact, lists, keys)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    # What is repeated for each grouping are the counts: the Expand stands above the first aggregation.
+    assert plan.index("Expand") < plan.index("partial_count(1)")
+    got = {(r.grouping, r.residence, r["mode"], r.port, r.state_code): r.arrivals for r in out.collect()}
+    assert got[15, None, None, None, None] == 3000 and got[13, None, None, None, None] == 3000  # all; and by port, all NULL
+    assert [got[7, n, None, None, None] for n in range(3)] == [1000] * 3
+    assert got[14, None, None, None, "S4"] == 600 and len(got) == 3 + 2 + 1 + 5 + 1
+    pairs = star.arrivals_margins(fact, lists, keys, [["residence", "mode"], ["port"]])
+    assert pairs.count() == 7
+
+
+def test_sketches_of_months_add_up(spark):
+    """Quantiles over a year from twelve months' sketches, against all lengths; a third of the rows have one length."""
+    days = "if(id % 3 = 0, 14, cast(pow(id % 997, 2) / 900 as int))"
+    fact = spark.range(200_000).selectExpr(
+        "cast(id % 2 as int) as residence", "2016 as year", "cast(id % 12 + 1 as int) as month",
+        "DATE'2016-01-01' as arrival_date", f"date_add(DATE'2016-01-01', {days}) as departure_date",
+    )
+    sketches = star.stay_sketches(fact)
+    assert sketches.count() == 12  # a month has one parity
+    assert sketches.selectExpr("max(length(sketch))").first()[0] < 10_000
+    at = [0.05, 0.25, 0.5, 0.75, 0.95]
+    exact = {}
+    for r in fact.selectExpr("residence", "date_diff(departure_date, arrival_date) as days").collect():
+        exact.setdefault(r.residence, []).append(r.days)
+    for row in star.stay_quantiles(sketches, at=at).collect():
+        lengths = exact[row.residence]
+        assert row.stays == len(lengths)
+        for rank, found in zip(at, row.days, strict=True):
+            below, upto = sum(d < found for d in lengths), sum(d <= found for d in lengths)
+            error = 2 * star.SKETCH_ERROR
+            assert below / len(lengths) - error <= rank <= upto / len(lengths) + error
+    odd = fact.limit(2).selectExpr("residence", "year", "month", "arrival_date", "DATE'1960-01-01' as departure_date")
+    assert star.stay_sketches(odd).count() == 0
