@@ -209,9 +209,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = count_document_tokens(table(spark, sf_dir, "documents"))
-    part = F.regexp_extract("path", r"part-(\d+)", 1).cast("long")
-    return counted.select(part.alias("file"), "document", "start", "n_tokens", "closed")
+    return count_document_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens")
 
 
 @query("op11_alignment")

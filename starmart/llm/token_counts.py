@@ -10,10 +10,12 @@ documents; one that spans many blocks is stitched together by the scan alone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,32 +32,50 @@ def write_token_files(
     docs: DataFrame,
     path: str,
     *,
+    id: str = "doc_id",
     text: str = "text",
     tokenizer: str = TOKENIZER,
     end: int = END_OF_DOCUMENT,
     width: int = 2,
-) -> str:
+) -> DataFrame:
     """Write every text's ids and ``end`` to flat files below ``path``, one a task, in the order of the rows.
 
+    Gives (file, document, id): the name of the file a row went to, its place there, and its id. Only files that are named
+    belong to the table: a task that is repeated writes a new one, and one that was lost may leave its own behind.
+
     A null text is an empty one: ``end`` alone. The texts of special tokens are plain text, so ``end`` stands only
     between documents.
     """
     prepare_workers(docs.sparkSession)
+    rows = docs.select(quoted(id).alias("id"), quoted(text).cast("binary").alias("text"))
+    separator = int(end).to_bytes(width, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokenizer(tokenizer, special=False)
-        for batch in batches:
-            wide = (np.frombuffer(tokens.ids(v.as_py() or b""), "<u4") for v in batch.column(0))
-            ids = [w.astype(KINDS[width]).tobytes() for w in wide]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
+        from pyarrow import fs
 
-    encoded = docs.select(quoted(text).cast("binary")).mapInArrow(encode, "ids binary")
-    # Spark's text files put their separator after each row, and take bytes as they are: just such a flat file.
-    separator = int(end).to_bytes(width, "little").decode("iso-8859-1")
-    encoded.select(F.col("ids").cast("string")).write.option("lineSep", separator).option(
-        "encoding", "ISO-8859-1"
-    ).text(path)
-    return path
+        tokens = WordTokenizer(tokenizer, special=False)
+        store, folder = fs.FileSystem.from_uri(path)
+        name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
+        first = 0
+        file = None
+        try:
+            for batch in batches:
+                if file is None:
+                    store.create_dir(folder, recursive=True)
+                    file = store.open_output_stream(f"{folder}/{name}")
+                for value in batch.column(1):
+                    wide = np.frombuffer(tokens.ids(value.as_py() or b""), "<u4")
+                    file.write(wide.astype(KINDS[width]).tobytes() + separator)
+                n = batch.num_rows
+                places = pa.array(np.arange(first, first + n))
+                first += n
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n), places, batch.column(0)], ["file", "document", "id"])
+        finally:
+            if file is not None:
+                file.close()
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return staged(rows.mapInArrow(encode, f"file string, document long, id {kind}"), "token-index")
 
 
 def scan_blocks(files: DataFrame, end: int, width: int, block_bytes: int) -> DataFrame:
@@ -91,9 +111,9 @@ def scan_blocks(files: DataFrame, end: int, width: int, block_bytes: int) -> Dat
 
 
 def count_tokens(
-    spark: SparkSession, path: str, *, end: int = END_OF_DOCUMENT, width: int = 2, block_bytes: int = BLOCK_BYTES
+    files: DataFrame, *, end: int = END_OF_DOCUMENT, width: int = 2, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """A row per document of the token files below ``path``: ``path``, ``document`` (from 0), ``start``, ``n_tokens``, ``closed``.
+    """A row per document of the token files (path, length): ``path``, ``document`` (from 0), ``start``, ``n_tokens``, ``closed``.
 
     ``start`` is the place of its first token in the file, ``n_tokens`` does not count the separator.
 
@@ -101,18 +121,19 @@ def count_tokens(
       that is not ``closed``; every file is closed by itself, and an empty one has no documents.
     * A file whose length is no multiple of ``width`` is an error.
     """
-    prepare_workers(spark)
-    files = spark.read.format("binaryFile").load(path).select("path", "length")  # contents are not read here
+    prepare_workers(files.sparkSession)
     blocks = staged(scan_blocks(files, end, width, block_bytes), "token-blocks")
+    # The prefix scan sees four numbers a block, however many separators the block holds.
     before = Window.partitionBy("path").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
-    last_end = F.col("first") + F.element_at("ends", -1)
-    scanned = blocks.withColumn("last_end", F.when(F.size("ends") > 0, last_end)).select(
+    last_end = F.when(F.size("ends") > 0, F.col("first") + F.element_at("ends", -1))
+    totals = blocks.select("path", "first", "tokens", F.size("ends").cast("long").alias("n_ends"), last_end.alias("last_end"))
+    carried = totals.select(
         "path",
         "first",
-        "ends",
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("documents"),
+        F.coalesce(F.sum("n_ends").over(before), F.lit(0)).alias("documents"),
         F.coalesce(F.max("last_end").over(before) + 1, F.lit(0)).alias("open_since"),
     )
+    scanned = blocks.where(F.size("ends") > 0).select("path", "first", "ends").join(carried, ["path", "first"])
     # Each separator with the start of its document: the place after the one before it.
     closed = F.transform(
         "ends",
@@ -129,18 +150,34 @@ def count_tokens(
         (F.col("d.stop") - F.col("d.start")).alias("n_tokens"),
         F.lit(True).alias("closed"),
     )
-    totals = blocks.groupBy("path").agg(
-        F.sum(F.size("ends").cast("long")).alias("document"),
-        F.coalesce(F.max(F.when(F.size("ends") > 0, last_end)) + 1, F.lit(0)).cast("long").alias("start"),
+    by_file = totals.groupBy("path").agg(
+        F.sum("n_ends").alias("document"),
+        F.coalesce(F.max("last_end") + 1, F.lit(0)).cast("long").alias("start"),
         F.sum("tokens").alias("tokens"),
     )
-    rest = totals.select(
+    rest = by_file.select(
         "path", "document", "start", (F.col("tokens") - F.col("start")).alias("n_tokens"), F.lit(False).alias("closed")
     ).where("n_tokens > 0")
     return found.unionByName(rest)
 
 
-def count_document_tokens(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """Write the documents to token files in the shared folder, and count those."""
-    path = write_token_files(docs, stage_path(docs.sparkSession, "token-files"), text=text)
-    return count_tokens(docs.sparkSession, path)
+def token_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the files below ``path``; their contents are not read."""
+    return spark.read.format("binaryFile").load(path).select("path", "length")
+
+
+def count_document_tokens(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """(id, n_tokens, file, start) of every document: its tokens as a scan of token files in the shared folder finds them.
+
+    ``start`` is the place of the document's first token in its ``file``. A null or empty text has no tokens. Rows that come
+    again, or share an id, are documents of their own; an empty table gives an empty one. Other columns do not matter.
+    """
+    spark = docs.sparkSession
+    path = stage_path(spark, "token-files")
+    index = write_token_files(docs, path, id=id, text=text)
+    if index.isEmpty():
+        return index.select(quoted("id").alias(id), F.col("document").alias("n_tokens"), "file", F.col("document").alias("start"))
+    name = F.element_at(F.split("path", "/"), -1).alias("file")
+    files = token_files(spark, path).join(index.select("file").distinct(), name == F.col("file"), "left_semi")
+    counted = count_tokens(files, **options).select(name, "document", "start", "n_tokens")
+    return index.join(counted, ["file", "document"]).select(F.col("id").alias(id), "n_tokens", "file", "start")
