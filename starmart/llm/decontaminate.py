@@ -3,16 +3,19 @@
 Of every six neighbouring 8-word hashes of a document the least is kept as a fingerprint with
 its place. A span of 13 words has six 8-word hashes, so each 13-word window of a document
 holds at least one fingerprint; the benchmark side keeps all of its 8-word hashes, so every shared
-window is met by a join of fingerprints. Each meeting is then extended word by word to both
-sides, at most the five words by which a window can reach beyond its seed, and counts only if the
-words agree over a whole window.
+window is met by a join of fingerprints. Each meeting is then extended to both sides: the up to six
+13-word windows around it are looked up among the benchmark's, by 128 bits of their words, and count only
+if they are there. Neighbouring windows make longer spans.
 
 An item of fewer than 13 words is one window as a whole. It is met by its first 8, 4, 2 or 1
 words; the documents then give all their hashes of that many words, and only if such items exist.
 
 Documents meet the benchmark as (document, place, hash), without their text; if the benchmark's
 fingerprints are small by Spark's measure of the staged table they are broadcast, else the join
-shuffles, with hot hashes split. Only documents with a meeting are read again for the extension.
+shuffles, with hot hashes split. Only documents with a meeting are read again for the extension. A document's
+meetings are places of its own text, and its windows are looked up without the items that hold them; items come to
+a document last, by its distinct windows. So a passage that stands many times in a document and in many
+items makes no rows of its own for each pair of the two.
 """
 
 from __future__ import annotations
@@ -95,61 +98,55 @@ def low_bits(tagged: Column, j: Column) -> Column:
     return F.pmod(own - F.pmod(j, F.lit(8)), F.lit(8))
 
 
+def seed_words(n: Column) -> Column:
+    """How many words an item of ``n`` words is met by."""
+    return F.when(n >= 8, 8).when(n >= 4, 4).when(n >= 2, 2).otherwise(1)
+
+
 def item_seeds(items: DataFrame) -> DataFrame:
-    """(k, hash, seed): all 8-word hashes of long items, the first 8, 4, 2 or 1 words of short ones, in their context."""
+    """(k, hash): all 8-word hashes of long items, the first 8, 4, 2 or 1 words of short ones."""
     n = F.size("words")
-    power = F.when(n >= 8, 8).when(n >= 4, 4).when(n >= 2, 2).otherwise(1)
-    items = gram_hashes(items, "words").withColumn("n", n).withColumn("k", F.when(n >= WINDOW, SEED).otherwise(power))
-    reach = WINDOW - SEED
+    items = gram_hashes(items, "words").withColumn("n", n).withColumn("k", seed_words(n))
     grams = F.when(F.col("n") >= WINDOW, F.col(f"_llm_g{SEED}"))
     for k in (8, 4, 2, 1):
         grams = grams.when(F.col("k") == k, F.slice(f"_llm_g{k}", 1, 1))
-    items = items.withColumn("grams", grams).select(
-        "i1", "i2", "n", "k", "words", F.posexplode("grams").alias("q", "gram")
-    )
-    ahead = F.when(F.col("n") >= WINDOW, F.lit(reach)).otherwise(F.col("n"))
-    behind = F.least(F.col("q"), F.lit(reach))
-    return items.select(
-        "k",
-        seed_hash(F.col("gram")).alias("hash"),
-        F.struct(
-            "i1",
-            "i2",
-            F.least("n", F.lit(WINDOW)).alias("enough"),
-            F.reverse(F.slice("words", F.col("q") - behind + 1, behind)).alias("before"),
-            F.slice("words", F.col("q") + 1, F.col("k")).alias("inner"),
-            F.slice("words", F.col("q") + F.col("k") + 1, ahead).alias("after"),
-        ).alias("seed"),
+    gram = F.explode(grams).alias("gram")
+    return items.select("k", gram).select("k", seed_hash(F.col("gram")).alias("hash")).distinct()
+
+
+def window_struct(words: str, start: Column, n: Column) -> Column:
+    """A window of ``n`` words from place ``start``, with 128 bits of it. Words hold no blank, so joined ones are told apart."""
+    text = F.array_join(F.slice(words, start + 1, n), " ")
+    again = F.array_join(F.slice(words, start + 1, n), " ")
+    return F.struct(
+        start.alias("start"), n.alias("n"), F.xxhash64(text).alias("w1"), F.xxhash64(F.lit(13), again).alias("w2")
     )
 
 
-def agreeing(words: str, first: Column, step: int, context: Column) -> Column:
-    """How many words of ``context`` in a row are those of the text, from place ``first`` on."""
-    flags = F.transform(context, lambda w, i: F.coalesce(F.get(words, first + i * step) == w, F.lit(False)))
-    until = F.array_position(flags, F.lit(False))
-    return F.when(until == 0, F.size(context)).otherwise(until - 1).cast("int")
-
-
-def spans_of(words: str, hits: str) -> Column:
-    """The meetings that hold over a whole window, extended, as (start, stop, item)."""
-
-    def extended(hit: Column) -> Column:
-        place, seed = hit["place"], hit["seed"]
-        inner = agreeing(words, place, 1, seed["inner"])
-        before = agreeing(words, place - 1, -1, seed["before"])
-        after = agreeing(words, place + F.size(seed["inner"]), 1, seed["after"])
-        whole = (inner == F.size(seed["inner"])) & (before + inner + after >= seed["enough"])
-        return F.when(
-            whole,
-            F.struct(
-                (place - before).alias("start"),
-                (place + inner + after).alias("stop"),
-                seed["i1"].alias("i1"),
-                seed["i2"].alias("i2"),
-            ),
-        )
+def item_windows(items: DataFrame) -> DataFrame:
+    """(n, w1, w2, i1, i2): every window of every item."""
+    n = F.least(F.size("words"), F.lit(WINDOW))
+    starts = F.sequence(F.lit(0), F.size("words") - n)
+    found = items.select("i1", "i2", F.explode(F.transform(starts, lambda s: window_struct("words", s, n))).alias("w"))
+    return found.select("w.n", "w.w1", "w.w2", "i1", "i2").distinct()
 
-    return F.filter(F.transform(hits, extended), lambda s: s.isNotNull())
+
+def windows_around(words: str, hits: str, lengths: Sequence[int]) -> Column:
+    """The distinct windows of a text that its meetings may belong to; ``lengths`` are those of the benchmark's windows."""
+    nothing = F.array().cast("array<struct<start:int,n:int>>")
+
+    def around(hit: Column) -> Column:
+        found = nothing
+        for n in lengths:
+            k = max(x for x in (1, 2, 4, 8) if x <= min(n, SEED))
+            behind = range(WINNOW) if n == WINDOW else (0,)
+            pairs = [F.struct((hit["place"] - j).alias("start"), F.lit(n).alias("n")) for j in behind]
+            found = F.concat(found, F.when(hit["k"] == k, F.array(*pairs)).otherwise(nothing))
+        return found
+
+    all_ = F.array_distinct(F.flatten(F.transform(hits, around)))
+    inside = F.filter(all_, lambda w: (w["start"] >= 0) & (w["start"] + w["n"] <= F.size(words)))
+    return F.transform(inside, lambda w: window_struct(words, w["start"], w["n"]))
 
 
 RESULT = ("n_words", "n_hit", "n_items", "item_ids", "spans", "contaminated")
@@ -168,7 +165,7 @@ def find_contamination(
     """Mark the words of documents that stand in a 13-word window of a benchmark item.
 
     Result: the input and ``n_words``; ``n_hit``, the words inside any occurrence; ``n_items`` and
-    ``item_ids``, the items met (ids as texts, sorted); ``spans`` of words met, by start;
+    ``item_ids``, the items met (ids as texts, sorted); ``spans``, the runs of words hit, by start;
     ``contaminated``: some word is hit, and at least one in ``part``.
 
     * A null text has no words. A null item has no window; an item without an id is counted in ``n_items``
@@ -183,43 +180,52 @@ def find_contamination(
         "item_id", "words", F.xxhash64("words").alias("i1"), F.xxhash64(F.lit(5), "words").alias("i2")
     )
     named = staged(named, "bench-items")
-    seeds = staged(item_seeds(named.select("i1", "i2", "words").dropDuplicates(["i1", "i2"])), "bench-seeds")
-    # Four values at most.
-    short = sorted(r[0] for r in seeds.where(F.col("seed.enough") < WINDOW).select("k").distinct().collect())
+    distinct = named.select("i1", "i2", "words").dropDuplicates(["i1", "i2"])
+    windows = staged(item_windows(distinct), "bench-windows")
+    window_keys = staged(windows.select("n", "w1", "w2").distinct(), "bench-window-keys")
+    hashes = staged(item_seeds(distinct), "bench-hashes")
+    # Thirteen values and four at most.
+    lengths = sorted(r[0] for r in window_keys.select("n").distinct().collect())
+    short = sorted({max(x for x in (1, 2, 4, 8) if x <= n) for n in lengths if n < WINDOW})
 
     k1, k2 = row_key(id, text)
     keyed = docs.select(k1.alias("_llm_k1"), k2.alias("_llm_k2"), whole_text(text).alias("_llm_text"))
     keys = ["_llm_k1", "_llm_k2"]
     worded = keyed.select(*keys, word_list(F.col("_llm_text")).alias("_llm_words"))
-    # The hashes alone are a small table; the words around them are joined to what has met only.
-    hashes = staged(seeds.select("k", "hash").distinct(), "bench-hashes")
     met = (
         fingerprints(worded, keys, "_llm_words", short)
         .join(hashes, ["k", "hash"], "left_semi")
-        .join(seeds, ["k", "hash"])
         .groupBy(*keys)
-        .agg(F.collect_set(F.struct("place", "seed")).alias("_llm_hits"))
+        .agg(F.collect_set(F.struct("k", "place")).alias("_llm_hits"))
     )
     met = staged(met, "bench-meetings")
-    spans = (
+    around = (
         keyed.join(met, keys)
+        .dropDuplicates(keys)
         .select(*keys, "_llm_hits", word_list(F.col("_llm_text")).alias("_llm_words"))
-        .select(*keys, spans_of("_llm_words", "_llm_hits").alias("_llm_all"))
+        .select(*keys, F.explode(windows_around("_llm_words", "_llm_hits", lengths)).alias("w"))
     )
-    # Staged before it is filtered: pushed below, the filter would split the text anew for every word it compares.
-    spans = staged(spans, "bench-spans").where(F.size("_llm_all") > 0).dropDuplicates(keys)
-    ranges = F.array_distinct(
-        F.transform("_llm_all", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    held = staged(around.select(*keys, "w.*").join(window_keys, ["n", "w1", "w2"], "left_semi"), "bench-held")
+    ranges = held.groupBy(*keys).agg(F.collect_set(F.struct("start", "n")).alias("_llm_ranges"))
+    places = F.array_sort(
+        F.array_distinct(
+            F.flatten(F.transform("_llm_ranges", lambda r: F.sequence(r["start"], r["start"] + r["n"] - 1)))
+        )
+    )
+    # Runs of places: where one begins, and where it ends.
+    at = lambda i: F.get("_llm_places", i)
+    first = F.filter("_llm_places", lambda p, i: (i == 0) | (at(i - 1) != p - 1))
+    last = F.filter("_llm_places", lambda p, i: (i == F.size("_llm_places") - 1) | (at(i + 1) != p + 1))
+    spans = F.zip_with(first, last, lambda a, b: F.struct(a.alias("start"), (b + 1).alias("stop")))
+    ranges = staged(ranges.select(*keys, places.alias("_llm_places")), "bench-places").select(
+        *keys, F.size("_llm_places").cast("long").alias("_llm_n_hit"), spans.alias("_llm_spans")
     )
-    places = F.array_distinct(F.flatten(F.transform(ranges, lambda s: F.sequence(s["start"], s["stop"] - 1))))
     items = (
-        spans.select(
-            *keys,
-            F.explode(
-                F.array_distinct(F.transform("_llm_all", lambda s: F.struct(s["i1"].alias("i1"), s["i2"].alias("i2"))))
-            ).alias("item"),
-        )
-        .select(*keys, "item.*")
+        held.select(*keys, "n", "w1", "w2")
+        .distinct()
+        .join(windows, ["n", "w1", "w2"])
+        .select(*keys, "i1", "i2")
+        .distinct()
         .join(named.select("i1", "i2", "item_id").distinct(), ["i1", "i2"])
         .groupBy(*keys)
         .agg(
@@ -227,9 +233,7 @@ def find_contamination(
             F.max(F.col("item_id").isNull().cast("int")).alias("_llm_unnamed"),
         )
     )
-    found = spans.select(
-        *keys, F.size(places).cast("long").alias("_llm_n_hit"), F.array_sort(ranges).alias("_llm_spans")
-    ).join(items, keys)
+    found = ranges.join(items, keys)
     names = other_columns(docs, RESULT)
     hit = F.coalesce("_llm_n_hit", F.lit(0)).cast("long")
     return (

@@ -76,3 +76,32 @@ def test_empty_tables(spark):
     df, items = documents(spark, [(1, "a b")]), benchmark(spark, [(1, "a b")])
     assert find_contamination(df.limit(0), items).count() == 0
     assert found(find_contamination(df, items.limit(0))) == [(1, 2, 0, 0, [], False)]
+
+
+def test_a_passage_many_times_in_a_document_and_in_many_items(spark, monkeypatch):
+    """Repeated 300 times in one text and shared by 300 items: no row for each pair of the two."""
+    from starmart.llm import decontaminate
+
+    passage = " ".join(f"p{i}" for i in range(20))
+    items = [(i, f"a{i} b{i} {passage} c{i} d{i}") for i in range(300)]
+    rows = [(1, " x ".join([passage] * 300)), (2, f"a7 b7 {passage} c7"), (3, "nothing of it")]
+    sizes = {}
+    staged = decontaminate.staged
+
+    def counted(df, name, **options):
+        out = staged(df, name, **options)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(decontaminate, "staged", counted)
+    result = find_contamination(documents(spark, rows), benchmark(spark, items))
+    assert found(result) == plain(rows, items)
+    assert {r.doc_id: len(r.spans) for r in result.collect()} == {1: 300, 2: 1, 3: 0}
+    assert sizes["bench-meetings"] == 2 and sizes["bench-held"] < 300 * 20 + 30
+
+
+def test_spans_are_runs_of_words_hit(spark):
+    text = " ".join(f"p{i}" for i in range(40))
+    items = [(1, " ".join(f"p{i}" for i in range(5, 30))), (2, "p33 p34")]
+    row = find_contamination(documents(spark, [(1, text)]), benchmark(spark, items)).first()
+    assert [(s.start, s.stop) for s in row.spans] == [(5, 30), (33, 35)] and row.n_hit == 27
