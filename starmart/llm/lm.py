@@ -38,7 +38,7 @@ CLASSES = 1 + OWN + SHARED
 FREQUENT = 1 << 17
 STATES = 6
 ROUNDS = 4
-RUN = 1 << 17  # training counts longer documents in runs of so many tokens, the state passed on
+RUN = 1 << 17  # training holds the messages of so many tokens of a longer document at a time
 SIDE_BY_SIDE = 1 << 18  # tokens of all documents worked on at a time
 COUNTED_AT_ONCE = 300_000  # distinct words that a task gathers before it sends their counts
 LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -267,11 +267,19 @@ def as_grid(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def expected_counts(
-    model: HiddenMarkov, rows: list[np.ndarray], firsts: np.ndarray, counts: dict[str, np.ndarray]
+    model: HiddenMarkov,
+    rows: list[np.ndarray],
+    firsts: np.ndarray,
+    counts: dict[str, np.ndarray],
+    *,
+    beta: np.ndarray | None = None,
+    begins: bool = True,
 ) -> np.ndarray:
-    """Add one lot's expected counts, by the forward and backward recursions; the last forward messages.
+    """Add one lot's expected counts, by the forward and backward recursions.
 
     ``rows``: sequences by ascending length; ``firsts``: for each the state probabilities before its first token.
+    ``beta``: what each state after the last token is worth by what follows, where something does; ``begins``: the first
+    tokens are those of documents. Gives what each state of the first tokens is worth, by them and all that follows.
     """
     grid, lengths, began = as_grid(rows)
     longest, n = grid.shape
@@ -283,7 +291,7 @@ def expected_counts(
         now = (alpha[t - 1, a:] @ model.move if t else firsts) * seen[t, a:]
         scale[t, a:] = now.sum(axis=1)
         alpha[t, a:] = now / scale[t, a:, None]
-    beta = np.ones((n, STATES))
+    beta = np.ones((n, STATES)) if beta is None else beta.copy()
     back = np.zeros_like(seen)  # what a state is worth by all that follows, and by its own token
     gamma = np.zeros_like(seen)
     for t in range(longest - 1, -1, -1):
@@ -299,9 +307,33 @@ def expected_counts(
     if longest > 1:
         both = inside[1:]
         counts["move"] += model.move * (alpha[:-1][both].T @ back[1:][both])
-    first = gamma[0] / gamma[0].sum(axis=1, keepdims=True)
-    counts["start"] += first.sum(axis=0)
-    return alpha[lengths - 1, np.arange(n)]
+    if begins:
+        first = gamma[0] / gamma[0].sum(axis=1, keepdims=True)
+        counts["start"] += first.sum(axis=0)
+    return back[0]
+
+
+def add_long_document(model: HiddenMarkov, row: np.ndarray, counts: dict[str, np.ndarray], run: int) -> None:
+    """Add the expected counts of one document, exactly, holding the messages of ``run`` tokens at a time.
+
+    A first walk keeps the forward message at each border between runs; the second goes through the runs from the last to
+    the first and hands the backward message on.
+    """
+    runs = [row[at : at + run] for at in range(0, len(row), run)]
+    firsts, lasts = [model.start], []
+    for part in runs:
+        alpha = firsts[-1]
+        for t, token in enumerate(part.tolist()):
+            alpha = (alpha @ model.move if t else alpha) * model.emit[token]
+            alpha = alpha / alpha.sum()
+        lasts.append(alpha)
+        firsts.append(alpha @ model.move)
+    beta = np.ones((1, STATES))
+    for i in range(len(runs) - 1, -1, -1):
+        back = expected_counts(model, [runs[i]], firsts[i][None, :], counts, beta=beta, begins=i == 0)
+        beta = back @ model.move.T
+        if i:  # the move over the border
+            counts["move"] += model.move * np.outer(lasts[i - 1], back[0])
 
 
 def baum_welch_round(encoded: DataFrame, model: HiddenMarkov, known: Vocabulary) -> HiddenMarkov:
@@ -319,13 +351,7 @@ def baum_welch_round(encoded: DataFrame, model: HiddenMarkov, known: Vocabulary)
                 expected_counts(m, [short[i] for i in lot], np.tile(m.start, (len(lot), 1)), counts)
             for row in rows:
                 if len(row) > RUN:
-                    first, started = m.start[None, :], counts["start"].copy()
-                    for at in range(0, len(row), RUN):
-                        last = expected_counts(m, [row[at : at + RUN]], first, counts)
-                        if at == 0:
-                            started = counts["start"].copy()
-                        first = last @ m.move
-                    counts["start"] = started  # a run within a document is no beginning
+                    add_long_document(m, row, counts, RUN)
         # Classes, then moves from each state, then starts.
         table = np.vstack([counts["emit"], counts["move"], counts["start"]])
         used = np.flatnonzero(table.any(axis=1))

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_helpers import documents
+from pyspark.sql import functions as F
 
 from starmart.llm import lm
 from starmart.llm.queries import QUERIES
@@ -133,3 +134,65 @@ def test_ties_do_not_empty_the_vocabulary(spark, monkeypatch, limit):
     assert taken == sorted((n for w, n in rows if w), reverse=True)[:limit]
     again = lm.vocabulary(spark.createDataFrame(rows[::-1], "word string, count long").repartition(5))
     assert again.words == known.words
+
+
+def plain_expected(model, row):
+    """Expected counts of one sequence by unscaled-by-run recursion over the whole of it."""
+    n, k = len(row), len(model.start)
+    alpha, scale = np.zeros((n, k)), np.zeros(n)
+    for t in range(n):
+        now = (alpha[t - 1] @ model.move if t else model.start) * model.emit[row[t]]
+        scale[t] = now.sum()
+        alpha[t] = now / scale[t]
+    beta = np.ones((n, k))
+    for t in range(n - 2, -1, -1):
+        beta[t] = model.move @ (model.emit[row[t + 1]] * beta[t + 1]) / scale[t + 1]
+    gamma = alpha * beta
+    emit, move = np.zeros_like(model.emit), np.zeros_like(model.move)
+    np.add.at(emit, row, gamma)
+    for t in range(1, n):
+        move += model.move * np.outer(alpha[t - 1], model.emit[row[t]] * beta[t] / scale[t])
+    return {"emit": emit, "move": move, "start": gamma[0]}
+
+
+@pytest.mark.parametrize(("length", "run"), [(1, 4), (4, 4), (5, 4), (23, 7), (23, 1), (2000, 64), (300_000, 1 << 17)])
+def test_long_documents_are_counted_exactly(length, run):
+    rng = np.random.default_rng(length)
+    known = lm.Vocabulary([], np.zeros(0, np.int64), 0, 0, 0, rng.integers(1, 50, lm.CLASSES), np.ones(lm.CLASSES, np.int64))
+    first = lm.first_model(known)
+    move = rng.dirichlet(np.ones(len(first.start)), len(first.start))
+    model = lm.HiddenMarkov(first.start, move, first.emit)
+    row = rng.integers(0, lm.CLASSES, length).astype(np.uint16)
+    counts = {k: np.zeros_like(getattr(model, k)) for k in ("emit", "move", "start")}
+    lm.add_long_document(model, row, counts, run)
+    want = plain_expected(model, row)
+    for name, found in counts.items():
+        assert np.allclose(found, want[name], rtol=1e-9, atol=1e-9), name
+
+
+def test_scores_against_plain_computation(spark):
+    """The whole score: the likelihood of the classes, and each word's share of its class, by plain loops."""
+    rng = np.random.default_rng(3)
+    words = [f"wort{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 40)))) for i in range(60)] + [(100, None), (101, "neu wort1 Neu")]
+    docs = documents(spark, rows)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    counts = lm.count_words(docs.where(~held), "text")
+    known = lm.vocabulary(counts)
+    encoded = lm.sequences(docs, "doc_id", "text", held, known)
+    model = lm.first_model(known)
+    for _ in range(lm.ROUNDS):
+        model = lm.baum_welch_round(encoded, model, known)
+    by_word = {r["word"]: r["count"] for r in counts.collect()}
+    own = {w.decode(): i for i, w in enumerate(known.words[: lm.OWN])}
+    for r in lm.score_documents(docs).collect():
+        text = dict(rows)[r.doc_id]
+        tokens, total, alpha = [*plain_words(text), None], 0.0, None
+        for token in tokens:
+            c = lm.END if token is None else 1 + own[token] if token in own else lm.shared_class(token.encode())
+            now = (model.start if alpha is None else alpha @ model.move) * model.emit[c]
+            total += math.log10(now.sum())
+            alpha = now / now.sum()
+            if token is not None and token not in own:
+                total += math.log10((by_word.get(token, 0) + 1) / (known.class_tokens[c] + known.class_words[c] + 1))
+        assert abs(total - r.score) < 1e-6 * max(1, abs(total)), r
