@@ -9,7 +9,8 @@ Loopy message passing over the document's graph decides which label fits all of
 The potentials are trained by pseudo-likelihood on the patterns' own finds, over all documents: what is trained on is
 the number of times each local situation occurs, a table that is bounded by the features' values. Half the weight lies on
 copies of the situations in which the plain form is hidden, so the model learns how far kin alone tells a label. Places in
-another form that are kin to a find are what is asked for; they are not trained on.
+another form that are kin to a find are what is asked for; they are not trained on. What the field believes decides alone:
+a place counts if a kind is its likeliest label, whether or not the document holds a plain find.
 """
 
 from __future__ import annotations
@@ -40,10 +41,11 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Other forms.
-NUMBER = re.compile(r"(?<![\w.+])\(?[0-9](?:[ ()./_,:\[\]-]{0,3}[0-9])++")
+NUMBER = re.compile(r"(?<![\w.+])\(?[0-9](?:[ ()./_,:\[\]-]{0,3}[0-9])++(?!\w)")
 AT = re.compile(r"[ ]?(?:\[at\]|\(at\))[ ]?", re.IGNORECASE)
 DOT = re.compile(r"[ ]?(?:\[dot\]|\(dot\))[ ]?", re.IGNORECASE)
 AFTER_AT = re.compile(r"[A-Za-z0-9-]++(?:(?:\.|[ ]?(?:\[dot\]|\(dot\))[ ]?)[A-Za-z0-9-]++)++", re.IGNORECASE)
+BETWEEN_NUMBERS = re.compile(r"(?:,|:| /) +")
 DIGITS = re.compile(r"[0-9]+")
 BEFORE = re.compile(r"([^\W\d_]+)[^\w]*\Z")
 
@@ -51,6 +53,7 @@ CONTEXTS = 64  # buckets for the word before
 FORM_OTHER, FORM_PLAIN, FORM_HIDDEN = 0, 1, 2
 ROUNDS = 12  # of message passing
 AGREEMENT = 6.0  # log potential of equal labels along a skip edge, before training
+LEAST_DIGITS = 7  # of a number that stands by itself in a list
 TAIL = 8  # numbers with so many last digits in common are kin
 
 
@@ -126,15 +129,24 @@ def other_forms(text: str) -> Iterator[Place]:
         if start < m.start() and after:
             yield Place(start, after.end(), None, 0, kin_of(0, text[start : after.end()]))
     for m in NUMBER.finditer(text):
-        start = m.start() + (m[0].startswith("(") and ")" not in m[0])
-        groups = DIGITS.findall(m[0])
-        size = sum(map(len, groups))
-        if len(groups) == 4 and all(len(g) < 4 and int(g) <= 255 for g in groups):
-            yield Place(start, m.end(), None, 1, kin_of(1, m[0]) + kin_of(3, m[0]))
-        elif 16 <= size <= 19:
-            yield Place(start, m.end(), None, 2, kin_of(2, m[0]))
-        elif 7 <= size <= 15:
-            yield Place(start, m.end(), None, 3, kin_of(3, m[0]))
+        for start, stop in listed_numbers(text, m.start(), m.end()):
+            number = text[start:stop]
+            start += number.startswith("(") and ")" not in number
+            groups = DIGITS.findall(number)
+            size = sum(map(len, groups))
+            if len(groups) == 4 and all(len(g) < 4 and int(g) <= 255 for g in groups):
+                yield Place(start, stop, None, 1, kin_of(1, number) + kin_of(3, number))
+            elif 16 <= size <= 19:
+                yield Place(start, stop, None, 2, kin_of(2, number))
+            elif 7 <= size <= 15:
+                yield Place(start, stop, None, 3, kin_of(3, number))
+
+
+def listed_numbers(text: str, start: int, stop: int) -> list[tuple[int, int]]:
+    """The numbers of a list that is written with commas or slashes; one, if what stands between them is part of a number."""
+    cuts = [m.span() for m in BETWEEN_NUMBERS.finditer(text, start, stop)]
+    spans = list(zip([start, *(b for _, b in cuts)], [*(a for a, _ in cuts), stop], strict=True))
+    return spans if all(len(digits_of(text[a:b])) >= LEAST_DIGITS for a, b in spans) else [(start, stop)]
 
 
 def places_of(text: str) -> tuple[list[tuple[int, int, int]], list[Place]]:
@@ -302,11 +314,10 @@ def find_spans(model: SkipChain, text: str) -> list[tuple[int, int, int, bool]]:
     """(kind, start, stop, plain) in order; places in another form count if the model gives them a kind."""
     finds, nodes = places_of(text)
     spans = [(*f, True) for f in finds]
-    if any(n.label is not None for n in nodes) and any(n.label is None for n in nodes):
-        tied = kin_to_finds(nodes, skip_edges(nodes))
-        for node, belief, kin in zip(nodes, beliefs(model, text, nodes), tied, strict=True):
+    if any(n.label is None for n in nodes):
+        for node, belief in zip(nodes, beliefs(model, text, nodes), strict=True):
             kind = int(belief.argmax())
-            if node.label is None and kin and kind != OTHER:
+            if node.label is None and kind != OTHER:
                 spans.append((kind, node.start, node.stop, False))
     return sorted(set(spans))
 

@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from llm_helpers import documents
 
@@ -110,3 +111,61 @@ def test_nulls_repeated_rows_and_empty_table(spark, model):
     assert sorted(len(r.spans) for r in found.collect()) == [0, 0, 1, 1, 1]
     assert found.columns == documents(spark, rows).columns + ["spans"]
     assert pii.find_personal_data(df.limit(0)).count() == 0
+
+
+def test_numbers_of_a_list_are_places_of_their_own(model):
+    text = "+49 170 7654321, then 0170 7654321, 0170 765 4321 / 0170-7654321 and 0049 (170) 7654321"
+    assert spans(model, text) == {
+        ("phone", "0170 7654321"), ("phone", "0170 765 4321"), ("phone", "0170-7654321"), ("phone", "0049 (170) 7654321"),
+    }
+    assert pii.listed_numbers("12, 34, 5678901", 0, 15) == [(0, 15)]
+
+
+def exact_beliefs(model, text, nodes):
+    """Label probabilities by adding up all labellings."""
+    import itertools
+
+    edges = [(i, i + 1, model.chain) for i in range(len(nodes) - 1)]
+    edges += [(a, b, model.skip) for a, b in pii.skip_edges(nodes)]
+    total = np.zeros((len(nodes), pii.LABELS))
+    for labels in itertools.product(*([n.label] if n.label is not None else range(pii.LABELS) for n in nodes)):
+        score = sum(
+            model.shape[n.shape][y] + model.context[pii.context(text, n)][y] + model.form[pii.FORM_OTHER][y]
+            for n, y in zip(nodes, labels, strict=True)
+            if n.label is None
+        )
+        weight = np.exp(score + sum(p[labels[a], labels[b]] for a, b, p in edges))
+        for i, y in enumerate(labels):
+            total[i, y] += weight
+    return total / total.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("scale", [0.3, 1.0])
+def test_messages_against_all_labellings(model, scale):
+    """Exact on graphs without a circle; near enough to give the same labels on those with one."""
+    rng = np.random.default_rng(2)
+    sizes = {k: getattr(model, k).shape for k in ("shape", "context", "form", "chain", "skip")}
+    parts = {k: rng.normal(0, scale, v) for k, v in sizes.items()}
+    parts["chain"], parts["skip"] = ((parts[k] + parts[k].T) / 2 for k in ("chain", "skip"))
+    random_model = pii.SkipChain(**parts)
+    trees = ["0170 7654321 and 0171 1234567", "+49 170 7654321 or 0170 7654321", "10-0-0-7 x 12345678 y 88 99 77 66"]
+    for text in trees:
+        nodes = pii.places_of(text)[1]
+        assert np.abs(pii.beliefs(random_model, text, nodes) - exact_beliefs(random_model, text, nodes)).max() < 2e-2
+    loops = ["+49 170 7654321 a 0170 7654321 b 0170-7654321 c 12345678", "0170 7654321 a 55555555 b 0170 7654321"]
+    for text in loops:
+        nodes = pii.places_of(text)[1]
+        found, exact = pii.beliefs(random_model, text, nodes), exact_beliefs(random_model, text, nodes)
+        assert np.abs(found - exact).max() < 0.15
+        found, exact = pii.beliefs(model, text, nodes), exact_beliefs(model, text, nodes)
+        assert (found.argmax(axis=1) == exact.argmax(axis=1)).all()
+
+
+def test_the_field_decides(model):
+    """The same places, with and without what ties them to a plain find: belief alone tells."""
+    text = "Call +49 170 7654321 or 0170 7654321"
+    assert spans(model, text) == {("phone", "0170 7654321")}
+    untied = pii.SkipChain(model.shape, model.context, model.form, model.chain, np.zeros_like(model.skip))
+    assert spans(untied, text) == set()
+    against = pii.SkipChain(model.shape, model.context, model.form, model.chain, -model.skip)
+    assert spans(against, text) == set()
