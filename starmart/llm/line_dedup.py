@@ -8,9 +8,9 @@ The store holds what is known of all lines so far, as in a log-structured merge
   runs, and every later batch is merge-anti-joined with them, so that the lines found
   most often are neither kept nor counted again.
 
-Every run is cut into the same buckets of line hashes, sorted in each. So runs are merged bucket by bucket where they
-lie, and only a new batch is shuffled. A manifest beside the runs, put down anew after every batch, names those that
-count: a store can be opened again by another job, which finds it as the last batch left it.
+A manifest beside the runs, put down anew after every batch, names those that count: a store can be opened again by
+another job, which finds it as the last batch left it, and a batch is taken once. (Runs as bucketed tables, merged
+without a shuffle, took more memory than the check tool grants an executor: see the README.)
 
 A line is told by 128 bits of its key, the line stripped of white space at both ends and
 with A-Z lower-cased. Nothing but hashes and counts is shuffled until the last step, where
@@ -31,7 +31,7 @@ from starmart.sources.publish import rename_new
 from starmart.sources.writers import read_text_file, remove_folder, subfolders, write_text_file
 
 LINE = ["h1", "h2"]
-COMMON_RUNS = 4  # more of them are merged
+RUN = "h1 bigint, h2 bigint, n_docs bigint"
 
 
 def line_key(line: Column) -> Column:
@@ -41,23 +41,18 @@ def line_key(line: Column) -> Column:
 class LineStore:
     """Sorted runs below ``path``; ``min_docs`` documents make a line common.
 
-    Runs have as many ``buckets`` as the session has shuffle partitions, unless it is said. A store that is there is opened as it is, with the settings it was made with. One job at a time may add to it.
+    A store that is there is opened as it is, with the settings it was made with. One job at a time may add to it.
     """
 
-    def __init__(
-        self, spark: SparkSession, path: str, min_docs: int = 10, fanout: int = 2, buckets: int | None = None
-    ) -> None:
+    def __init__(self, spark: SparkSession, path: str, min_docs: int = 10, fanout: int = 2) -> None:
         self.spark, self.path = spark, path
-        self.name = f"starmart_lines_{uuid.uuid4().hex}"  # of its tables in this session
-        self.tables: dict[int, str] = {}
         numbers = sorted(int(n.removesuffix(".json")) for n in subfolders(spark, f"{path}/manifest", "*.json"))
         if numbers:
             state = json.loads(read_text_file(spark, f"{path}/manifest/{numbers[-1]:09d}.json"))
         else:
-            buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-            state = {"min_docs": min_docs, "fanout": fanout, "buckets": buckets, "levels": [], "common": [], "batches": []}
+            state = {"min_docs": min_docs, "fanout": fanout, "levels": [], "common": [], "batches": []}
         self.number = numbers[-1] if numbers else 0
-        self.min_docs, self.fanout, self.buckets = state["min_docs"], state["fanout"], state["buckets"]
+        self.min_docs, self.fanout = state["min_docs"], state["fanout"]
         self.levels: list[list[int]] = state["levels"]
         self.common_runs: list[int] = state["common"]
         self.batches: list[str] = state["batches"]
@@ -75,54 +70,29 @@ class LineStore:
         if batch in self.batches:
             return
         if self.common_runs:
-            for run in self.common_runs:
-                counts = counts.join(self._read(run).select(*LINE).hint("merge"), LINE, "left_anti")
-        else:
-            counts = counts.repartition(self.buckets, *LINE)
+            counts = counts.join(self._read(self.common_runs).select(*LINE).hint("merge"), LINE, "left_anti")
         self._push(0, self._write(counts))
         level = 0
         while len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
             self._push(level + 1, self._compact(runs))
             level += 1
-        while len(self.common_runs) > COMMON_RUNS:
-            one, other, *rest = self.common_runs
-            self.common_runs = [*rest, self._write(self._merged(one, other))]
-            self.replaced += [one, other]
         self.batches.append(batch)
         self._put_down()
 
     def common(self) -> DataFrame:
         """(h1, h2) of all lines in ``min_docs`` documents or more, once each."""
         rest = [run for level in self.levels for run in level]
-        # As files: Spark 4.1 takes a union of bucketed tables for one dealt by their buckets, and would add up the lines of
-        # each table by itself.
-        found = self._files(rest).groupBy(*LINE).agg(F.sum("n_docs").alias("n_docs"))
-        found = found.where(F.col("n_docs") >= self.min_docs).select(*LINE)
+        found = self._merged(rest).where(F.col("n_docs") >= self.min_docs).select(*LINE)
         # A line that became common left its level, and later batches leave it out: no overlap.
-        return self._files(self.common_runs).select(*LINE).unionByName(found)
-
-    def _files(self, runs: list[int]) -> DataFrame:
-        if not runs:
-            return self.spark.createDataFrame([], "h1 bigint, h2 bigint, n_docs bigint")
-        reader = self.spark.read.schema("h1 bigint, h2 bigint, n_docs bigint")
-        return reader.parquet(*(f"{self.path}/run={run:06d}" for run in runs))
-
-    def close(self) -> None:
-        """Forget the runs' tables; the runs and the manifest stay."""
-        for table in self.tables.values():
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.tables.clear()
+        return self._read(self.common_runs).select(*LINE).unionByName(found) if self.common_runs else found
 
     def _compact(self, runs: list[int]) -> int:
         """One run of what several hold, without the lines that are common now; those make a common run."""
-        while len(runs) > 1:
-            one, other, *rest = runs
-            runs = [self._write(self._merged(one, other)), *rest]
-            self.replaced += [one, other]
-        merged, enough = self._read(runs[0]), F.col("n_docs") >= self.min_docs
+        whole = self._write(self._merged(runs))
+        merged, enough = self._read([whole]), F.col("n_docs") >= self.min_docs
         self.common_runs.append(self._write(merged.where(enough)))
-        self.replaced.append(runs[0])
+        self.replaced += [*runs, whole]
         return self._write(merged.where(~enough))
 
     def _push(self, level: int, run: int) -> None:
@@ -130,42 +100,31 @@ class LineStore:
             self.levels.append([])
         self.levels[level].append(run)
 
-    def _merged(self, one: int, other: int) -> DataFrame:
-        """Two runs as one, bucket by bucket."""
-        a, b = self._read(one).withColumnRenamed("n_docs", "a"), self._read(other).withColumnRenamed("n_docs", "b")
-        both = a.hint("merge").join(b, LINE, "full_outer")
-        return both.select(*LINE, (F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))).cast("long").alias("n_docs"))
-
-    def _read(self, run: int) -> DataFrame:
-        if run not in self.tables:
-            self.spark.sql(
-                f"CREATE TABLE {self.name}_{run} (h1 BIGINT, h2 BIGINT, n_docs BIGINT) USING parquet CLUSTERED BY (h1, h2)"
-                f" SORTED BY (h1, h2) INTO {self.buckets} BUCKETS LOCATION '{self.path}/run={run:06d}'"
-            )
-            self.tables[run] = f"{self.name}_{run}"
-        return self.spark.table(self.tables[run])
+    def _merged(self, runs: list[int]) -> DataFrame:
+        return self._read(runs).groupBy(*LINE).agg(F.sum("n_docs").alias("n_docs"))
+
+    def _read(self, runs: list[int]) -> DataFrame:
+        if not runs:
+            return self.spark.createDataFrame([], RUN)
+        return self.spark.read.schema(RUN).parquet(*(f"{self.path}/run={run:06d}" for run in runs))
 
     def _write(self, df: DataFrame) -> int:
         run = self.written
         self.written += 1
-        writer = df.select(*LINE, "n_docs").write.bucketBy(self.buckets, *LINE).sortBy(*LINE)
-        writer.option("path", f"{self.path}/run={run:06d}").saveAsTable(f"{self.name}_{run}")
-        self.tables[run] = f"{self.name}_{run}"
+        df.select(*LINE, "n_docs").sortWithinPartitions(*LINE).write.parquet(f"{self.path}/run={run:06d}")
         return run
 
     def _put_down(self) -> None:
         """Name the runs that count; then those that were merged go."""
         self.number += 1
         state = {
-            "min_docs": self.min_docs, "fanout": self.fanout, "buckets": self.buckets,
+            "min_docs": self.min_docs, "fanout": self.fanout,
             "levels": self.levels, "common": self.common_runs, "batches": self.batches,
         }
         draft = f"{self.path}/manifest/.{uuid.uuid4().hex}.draft"
         write_text_file(self.spark, draft, json.dumps(state))
         rename_new(self.spark, draft, f"{self.path}/manifest/{self.number:09d}.json")
         for run in self.replaced:
-            if run in self.tables:
-                self.spark.sql(f"DROP TABLE {self.tables.pop(run)}")
             remove_folder(self.spark, f"{self.path}/run={run:06d}")
         self.replaced = []
 
@@ -208,7 +167,6 @@ def dedup_lines(
     for b in range(batches):
         store.add(counts.where(F.col("batch") == b), str(b))
     common = staged(store.common(), "common-lines")
-    store.close()
 
     places = (
         found.select("k1", "k2", F.posexplode("lines").alias("place", "line"))
