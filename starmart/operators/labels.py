@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import strip
@@ -69,6 +70,45 @@ def parse_sections(
     return pairs.groupBy("list", *by, "code").agg(F.max_by("name", F.struct("_line", "name")).alias("name"))
 
 
+def parse_section_lines(lines: DataFrame, sections: Mapping[str, str]) -> DataFrame:
+    """As ``parse_sections``, of one text that is given by its lines and may be larger than a row or a task.
+
+    ``lines`` is what ``read_dictionary_lines`` gives, written and read again. No line is shuffled or ordered: where each
+    section begins is a minimum over all lines, and so is where the first semicolon after that stands; what lies between
+    the two is then read by itself. The places, one a section, come to the driver.
+    """
+    text = F.replace(F.col("value"), F.lit("\t"), F.lit(""))
+    lines = lines.select(F.struct("block", "row").alias("_at"), text.alias("_text"))
+    names = list(sections)
+    first = lines.agg(*(F.min(F.when(F.position(F.lit(sections[n]), "_text") > 0, F.col("_at"))).alias(n) for n in names)).first()
+    for name in names:
+        if first[name] is None:
+            raise ValueError(f"no section {sections[name]} in the dictionary text")
+    at = {n: F.struct(F.lit(first[n].block).alias("block"), F.lit(first[n].row).alias("row")) for n in names}
+
+    def closed(name: str) -> Column:
+        """Whether a semicolon stands in the line, after the section's mention if it is in this one."""
+        rest = F.substr("_text", F.position(F.lit(sections[name]), F.col("_text")))
+        return F.when(F.col("_at") == at[name], F.instr(rest, ";") > 0).otherwise(
+            (F.col("_at") > at[name]) & (F.instr("_text", ";") > 0)
+        )
+
+    last = lines.agg(*(F.min(F.when(closed(n), F.col("_at"))).alias(n) for n in names)).first()
+    parts = []
+    for name in names:
+        if last[name] is None:
+            raise ValueError(f"section {sections[name]} has no closing semicolon")
+        end = F.struct(F.lit(last[name].block).alias("block"), F.lit(last[name].row).alias("row"))
+        inside = (F.col("_at") > at[name]) & (F.col("_at") <= end)
+        body = F.when(F.col("_at") == end, F.substring_index("_text", ";", 1)).otherwise(F.col("_text"))
+        parts.append(lines.filter(inside).select(F.lit(name).alias("list"), "_at", F.replace(body, F.lit("'"), F.lit("")).alias("_body")))
+    sides = reduce(DataFrame.unionAll, parts).select("list", "_at", F.split("_body", "=").alias("_sides"))
+    pairs = sides.filter(F.size("_sides") == 2).select(
+        "list", strip(F.get("_sides", F.lit(0))).alias("code"), strip(F.get("_sides", F.lit(1))).alias("name"), "_at"
+    )
+    return pairs.groupBy("list", "code").agg(F.max_by("name", "_at").alias("name"))
+
+
 def extract_code_list(
     texts: DataFrame,
     section: str,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators import labels
 from starmart.queries.registry import query, table, work_path
-from starmart.sources import read_dictionary
+from starmart.sources import read_dictionary, read_dictionary_lines, read_table, write_table
 
 RECORD_SEPARATOR = "\x1e"
 
@@ -80,3 +83,35 @@ def dictionary_scan(spark, sf_dir):
     texts = read_dictionary(spark, path, RECORD_SEPARATOR).withColumn("text_id", F.md5("value"))
     ports = labels.extract_code_list(texts, "i94prtl", by=["text_id"])
     return ports.groupBy("code", "name").agg(F.count(F.lit(1)).alias("texts"))
+
+
+@query(
+    "large_dictionary",
+    """
+    select 'countries' as list, cast(p_partkey as varchar) as code, case when p_partkey % 10 = 0 then p_brand else p_name end as name
+    from part
+    union all
+    select 'ports', cast(-p_partkey as varchar), concat(p_type, ', PORT') from part
+    """,
+)
+def large_dictionary(spark, sf_dir):
+    """One text whose sections hold a line for each part, some codes twice; read by its lines and not as a row."""
+    root = work_path(spark, "large_dictionary")
+    parts = table(spark, sf_dir, "part")
+    line = "concat('\\t', {code}, ' =  \\'', {name}, '  \\'')"
+    sections = [
+        spark.range(1).selectExpr("0 as section", "0L as place", "'/* value of\\t */ value i94cntyl' as value"),
+        parts.selectExpr("1 as section", "p_partkey as place", f"{line.format(code='p_partkey', name='p_name')} as value"),
+        parts.filter("p_partkey % 10 = 0").selectExpr(
+            "2 as section", "p_partkey as place", f"{line.format(code='p_partkey', name='p_brand')} as value"
+        ),
+        spark.range(1).selectExpr("3 as section", "0L as place", "'two = a = b ; x = y\nvalue $i94prtl' as value"),
+        parts.selectExpr(
+            "4 as section", "p_partkey as place", f"""{line.format(code='-p_partkey', name="p_type, ', PORT'")} as value"""
+        ),
+        spark.range(1).selectExpr("5 as section", "0L as place", "';\nz = lost' as value"),
+    ]
+    text = reduce(DataFrame.unionAll, sections).orderBy("section", "place").coalesce(1)
+    text.select("value").write.mode("overwrite").text(f"{root}/text")
+    write_table(read_dictionary_lines(spark, f"{root}/text"), f"{root}/lines")
+    return labels.parse_section_lines(read_table(spark, f"{root}/lines"), {"countries": "i94cntyl", "ports": "i94prtl"})

@@ -17,6 +17,7 @@ from starmart.sources.readers import (
     read_by_name,
     read_delimited,
     read_dictionary,
+    read_dictionary_lines,
     read_fact,
     read_table,
 )
@@ -39,6 +40,7 @@ __all__ = [
     "read_by_name",
     "read_delimited",
     "read_dictionary",
+    "read_dictionary_lines",
     "read_fact",
     "read_manifest",
     "read_published",

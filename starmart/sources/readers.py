@@ -113,6 +113,17 @@ def read_dictionary(
     return texts.select(F.col("_metadata.file_path").alias("source"), "value")
 
 
+def read_dictionary_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One dictionary text, a file of any size, as its lines ``(block, row, value)``, split among tasks.
+
+    ``block`` is where in the file the task's split begins and ``row`` rises within it, so both together tell the lines'
+    order. Write the result before it is used twice: ``row`` also depends on how splits are dealt to tasks.
+    """
+    return spark.read.text(path).select(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value"
+    )
+
+
 def read_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Scan a Parquet table."""
     return spark.read.parquet(path)

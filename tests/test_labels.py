@@ -1,8 +1,9 @@
 import pytest
 from helpers import DICTIONARY, rows_of
 
-from starmart.operators.labels import build_code_lists, extract_code_list
-from starmart.sources import read_dictionary
+from starmart.operators.labels import build_code_lists, extract_code_list, parse_section_lines, parse_sections
+from starmart.schemas import CODE_LISTS
+from starmart.sources import read_dictionary, read_dictionary_lines
 
 
 def texts(spark, *values):
@@ -85,3 +86,50 @@ def test_many_texts_in_a_file(spark, tmp_path):
     assert rows_of(extract_code_list(df, "x", text_column="text", by=["text"]).select("name")) == [
         ("1",), ("2",), ("3",),
     ]
+
+
+LISTS = {item.table: item.section for item in CODE_LISTS}
+
+
+def lines_of(spark, tmp_path, text, split="1k"):
+    """The text as lines, read in small splits and staged."""
+    path = tmp_path / f"text-{split}"
+    path.write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        staged = str(tmp_path / f"lines-{split}")
+        read_dictionary_lines(spark, str(path)).write.parquet(staged)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    return spark.read.parquet(staged)
+
+
+@pytest.mark.parametrize("split", ["64b", "100b", "1k", "1m"])
+def test_lines_give_the_lists_of_the_whole_text(spark, tmp_path, split):
+    whole = spark.createDataFrame([(DICTIONARY,)], "value string")
+    lines = lines_of(spark, tmp_path, DICTIONARY, split)
+    assert split == "1m" or lines.select("block").distinct().count() > 1
+    assert rows_of(parse_section_lines(lines, LISTS)) == rows_of(parse_sections(whole, LISTS))
+
+
+def test_a_text_of_many_tasks(spark, tmp_path):
+    """Sections begin, end and repeat codes in different splits."""
+    body = "".join(f"   {n % 30_000} =  'NAME {n}'\r\n" for n in range(60_000))
+    text = f"x=y;\n/* i94cntyl */ value i94cntyl\n{body};\nvalue $i94prtl 'A'='no' ; 'B'='no'\n{body}"
+    lines = lines_of(spark, tmp_path, text, "100k")
+    assert lines.select("block").distinct().count() > 20
+    found = parse_section_lines(lines, {"a": "i94cntyl", "b": "i94prtl"})
+    assert found.count() == 30_000 and found.where("name <> concat('NAME ', 30000 + code)").count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "rangepartitioning" not in plan
+
+
+def test_lines_without_a_section_or_its_end(spark, tmp_path):
+    lines = lines_of(spark, tmp_path, "value a\n1='x'\n")
+    with pytest.raises(ValueError, match="no section b"):
+        parse_section_lines(lines, {"b": "b"})
+    with pytest.raises(ValueError, match="no closing semicolon"):
+        parse_section_lines(lines, {"a": "value a"})
