@@ -149,13 +149,11 @@ def unmatched_references(df: DataFrame, references: Sequence[Lookup]) -> DataFra
 
     Codes are counted before they meet the lists, all columns in one pass (``unmatched_codes``).
     """
-    lost = unmatched_codes(df, references).where("code IS NOT NULL")
-    counts = lost.groupBy("column_name").agg(F.sum("rows").alias("_rows"))
+    lost = unmatched_codes(df, references).where("code IS NOT NULL").select(F.col("column_name").alias("column"), "rows")
+    # A row of none for each column, so that those without a loss are told as well.
     columns = F.explode(F.array(*(F.lit(item.column) for item in references))).alias("column")
-    named = df.sparkSession.range(1).select(columns)
-    return named.join(counts, F.col("column") == F.col("column_name"), "left").select(
-        "column", F.coalesce("_rows", F.lit(0)).cast("long").alias("observed")
-    )
+    none = df.sparkSession.range(1).select(columns, F.lit(0).cast("long").alias("rows"))
+    return lost.unionAll(none).groupBy("column").agg(F.sum("rows").alias("observed"))
 
 
 def integrity_report(tables: Mapping[str, DataFrame], rules: Mapping[str, Integrity]) -> DataFrame:

@@ -112,7 +112,9 @@ def integrity(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "nullif(l_suppkey, 5) as l_suppkey", "l_returnflag"
     )
-    again = lines.filter("l_orderkey % 40 = 0").selectExpr("l_orderkey", "l_linenumber", "null as l_suppkey", "null as l_returnflag")
+    again = lines.filter("l_orderkey % 40 = 0").selectExpr(
+        "l_orderkey", "l_linenumber", "nullif(l_suppkey, l_suppkey) as l_suppkey", "nullif(l_returnflag, l_returnflag) as l_returnflag"
+    )
     suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey % 10 <> 3")
     flags = table(spark, sf_dir, "lineitem").select("l_returnflag").distinct().selectExpr("l_returnflag as flag", "1 as one")
     references = [
