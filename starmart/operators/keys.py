@@ -33,7 +33,9 @@ def with_surrogate_id(
 
     ``distinct=True`` says that ``df`` holds no two equal rows and saves the step that
     makes equal rows safe: they would share a bucket, so they are counted, placed once,
-    and written out again in slices spread over all tasks.
+    and written out again in slices spread over all tasks. The copies come after the last
+    shuffle, so Spark takes the result for as small as the slices: a hint keeps joins from
+    broadcasting it. Smaller tables that are to be broadcast to it need ``F.broadcast``.
     """
     columns = df.columns
     low = 63 - bits
@@ -64,6 +66,7 @@ def with_surrogate_id(
         slices.repartition(tasks, "_first", "_from")
         .withColumn("_copy", F.explode(F.sequence("_from", upto)))
         .select(*order, (F.col("_first") + F.col("_copy")).alias(id_column))
+        .hint("merge")
     )
 
 

@@ -5,7 +5,7 @@ The tables hold no NULL and no bad value, so both are put in by rules on the val
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ARRIVAL_DAY = "datediff(o_orderdate, DATE'1960-01-01')"
@@ -97,15 +97,24 @@ def country_codes(nation: DataFrame) -> DataFrame:
 
 
 def with_id_contract(df: DataFrame, again: DataFrame, id_column: str) -> DataFrame:
-    """The other columns, and ``id_ok``: the id is there, not negative, of this row only, and the same in ``again``."""
+    """The other columns, and ``id_ok``: the id is there, not negative, of this row only, and the same in ``again``.
+
+    Both tables are dealt by id once and counted in windows, in a stated number of partitions: ids shrink well in a
+    shuffle, and adaptive execution would size tasks by what is shuffled.
+    """
     others = [c for c in df.columns if c != id_column]
     row = F.xxhash64(*(F.col(f"`{c}`") for c in others)).alias("_row")
-    twins = again.select(F.col(id_column), row).groupBy(id_column, "_row").agg(F.count(F.lit(1)).alias("_twins"))
-    owners = df.groupBy(id_column).agg(F.count(F.lit(1)).alias("_owners"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = df.select("*", row, F.lit(1).alias("_own")).unionByName(
+        again.select(F.col(id_column), row, F.lit(0).alias("_own")), allowMissingColumns=True
+    )
+    twins = F.sum(1 - F.col("_own")).over(Window.partitionBy(id_column, "_row"))
+    owners = F.sum("_own").over(Window.partitionBy(id_column))
     return (
-        df.withColumn("_row", row)
-        .join(twins, [id_column, "_row"], "left")
-        .join(owners, id_column, "left")
+        both.repartition(tasks, id_column)
+        .withColumn("_twins", twins)
+        .withColumn("_owners", owners)
+        .where("_own = 1")
         .select(
             *others,
             F.coalesce(

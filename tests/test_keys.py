@@ -1,4 +1,5 @@
 import random
+import re
 import uuid
 from collections import Counter
 
@@ -6,6 +7,8 @@ import pytest
 
 from starmart.operators import keys
 from starmart.operators.keys import with_surrogate_id
+from starmart.queries import shapes
+from starmart.queries.keys import kept_ids_copies
 
 
 def distinct_frame(spark, seed, partitions):
