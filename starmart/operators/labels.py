@@ -14,6 +14,17 @@ from starmart.schemas import CODE_LISTS, VISA_LIST, VISA_ROWS, CodeList
 from starmart.sources.readers import literal_table
 
 
+def _last_names(pairs: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """The last name of each key.
+
+    A maximum of texts is found by sorting, first within each task, and the pairs of a task that reads texts are many
+    times what it reads. So they are rebalanced before: a task sorts what Spark's advisory size allows. It is done by the
+    name as well, so that the pairs of a frequent key may be split and still meet as one row a task.
+    """
+    spread = pairs.hint("rebalance", *keys, "name")
+    return spread.groupBy(*keys).agg(F.max_by("name", order).alias("name"))
+
+
 def parse_sections(
     texts: DataFrame,
     sections: Mapping[str, str],
@@ -67,7 +78,7 @@ def parse_sections(
         )
     )
     # The name breaks ties between texts that are not told apart by ``by``.
-    return pairs.groupBy("list", *by, "code").agg(F.max_by("name", F.struct("_line", "name")).alias("name"))
+    return _last_names(pairs, ["list", *by, "code"], F.struct("_line", "name"))
 
 
 def parse_section_lines(lines: DataFrame, sections: Mapping[str, str]) -> DataFrame:
@@ -106,7 +117,7 @@ def parse_section_lines(lines: DataFrame, sections: Mapping[str, str]) -> DataFr
     pairs = sides.filter(F.size("_sides") == 2).select(
         "list", strip(F.get("_sides", F.lit(0))).alias("code"), strip(F.get("_sides", F.lit(1))).alias("name"), "_at"
     )
-    return pairs.groupBy("list", "code").agg(F.max_by("name", "_at").alias("name"))
+    return _last_names(pairs, ["list", "code"], F.col("_at"))
 
 
 def extract_code_list(

@@ -1,5 +1,6 @@
 import pytest
 from helpers import DICTIONARY, rows_of
+from pyspark.sql import functions as F
 
 from starmart.operators.labels import build_code_lists, extract_code_list, parse_section_lines, parse_sections
 from starmart.schemas import CODE_LISTS
@@ -71,6 +72,18 @@ def test_lists_are_kept_apart_by_text(spark):
     assert rows_of(df) == [("0", "a", "2"), ("1", "a", "3")]
 
 
+def test_pairs_are_spread_before_they_are_sorted(spark):
+    """A task that reads many texts does not sort all of their pairs; equal codes still meet."""
+    text = F.concat(F.lit("x\n a="), F.col("id").cast("string"), F.lit("\n b=1\n a=last "), F.col("id") % 2, F.lit(";"))
+    many = spark.range(0, 1000, 1, 1).select(text.alias("value"), (F.col("id") % 10).alias("source"))
+    df = extract_code_list(many, "x", by=["source"])
+    assert rows_of(df) == rows_of(
+        spark.createDataFrame([(i, c, n) for i in range(10) for c, n in (("a", f"last {i % 2}"), ("b", "1"))], df.schema)
+    )
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.rindex("SortAggregate") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+
+
 def test_dictionary_files(spark, tmp_path):
     (tmp_path / "one.sas").write_text(DICTIONARY)
     (tmp_path / "two.sas").write_text(DICTIONARY.replace("DENMARK", "NORWAY"))
