@@ -131,7 +131,10 @@ ASSIGNED = ("_h1", "_h2", "_wanted", "_more", "_first", "_kept")
 
 
 def rows_with_kept_ids(assigned: DataFrame, id_column: str = "id", *, distinct: bool = False) -> DataFrame:
-    """All rows of ``assign_kept_ids``, copies included, with their ids."""
+    """All rows of ``assign_kept_ids``, copies included, with their ids.
+
+    With copies, joins do not broadcast the result, as in ``with_surrogate_id``.
+    """
     columns = [quoted(c) for c in assigned.columns if c not in ASSIGNED]
     if distinct:
         return assigned.select(*columns, F.coalesce(F.get("_kept", F.lit(0))["first"], F.col("_first")).alias(id_column))
@@ -152,6 +155,7 @@ def rows_with_kept_ids(assigned: DataFrame, id_column: str = "id", *, distinct:
         slices.repartition(tasks, "_first", "_from")
         .withColumn("_copy", F.explode(F.sequence("_from", upto)))
         .select(*columns, (F.col("_first") + F.col("_copy")).alias(id_column))
+        .hint("merge")
     )
 
 

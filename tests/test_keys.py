@@ -67,6 +67,31 @@ def test_copies_are_spread_over_tasks(spark, monkeypatch):
     assert len(sizes) == 8 and largest < 90_000 / 8 * 1.5
 
 
+def joined_plan(left, right):
+    """How Spark joined the two by id in the end."""
+    joined = left.join(right.withColumnRenamed("v", "w"), "id")
+    assert joined.collect()
+    return joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_copies_are_not_broadcast(spark):
+    """Spark takes rows that are exploded after a shuffle for as small as what was shuffled."""
+    df = spark.range(200_000).selectExpr("id % 3 as v")
+    plan = joined_plan(with_surrogate_id(df), with_surrogate_id(df.repartition(3)))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_the_contract_of_ids_is_checked_without_a_join(spark):
+    rows = [(1, "a"), (1, "a"), (2, None), (3, "c"), (None, "d"), (-1, "e"), (7, "f")]
+    df = spark.createDataFrame(rows, "id long, v string")
+    again = spark.createDataFrame([*rows[:3], (3, "other"), (None, "d"), (-1, "e"), (7, "f"), (7, "f")], df.schema)
+    checked = shapes.with_id_contract(df, again, "id")
+    assert Counter(map(tuple, checked.collect())) == Counter(
+        {("a", False): 2, (None, True): 1, ("c", False): 1, ("d", False): 1, ("e", False): 1, ("f", False): 1}
+    )
+    assert "Join" not in checked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_values_do_not_fill_a_bucket(spark):
     """Distinct rows that share a value in every key-like column still spread evenly."""
     df = spark.range(20_000).selectExpr("'CA' as state", "null as note", "id as v")
@@ -148,3 +173,25 @@ def test_kept_ids_take_one_shuffle(spark, tmp_path):
     more = spark.range(100).selectExpr("cast(id as int) as a", "string(id) as b", "double(id) as c")
     plan = keys.assign_kept_ids(more, spark.read.parquet(path), distinct=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and "Join" not in plan and "Python" not in plan
+
+
+def test_kept_copies_are_not_broadcast(spark, tmp_path):
+    df = spark.range(200_000).selectExpr("id % 3 as v")
+    first, known = refresh(spark, tmp_path, None, df)
+    rows, _ = refresh(spark, tmp_path, known, df)
+    plan = joined_plan(first, rows)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_kept_copies_are_checked_in_a_stated_number_of_tasks(spark, tmp_path):
+    """By what is shuffled, adaptive execution would put them into a few tasks of many rows."""
+    rows = [(i % 4, "AR"[i % 2], f"199{4 + i % 3}-05-06") for i in range(600)]
+    lines = spark.createDataFrame(rows, "l_suppkey long, l_returnflag string, day string")
+    lines = lines.selectExpr("l_suppkey", "l_returnflag", "cast(day as date) as l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = kept_ids_copies(spark, str(tmp_path))
+    assert {tuple(r) for r in found.select("l_suppkey", "rows", "ids", "known_before", "kept").collect()} == {
+        (k, 150, 150, 100, 100) for k in range(4)
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"hashpartitioning\(l_suppkey#\d+L, l_returnflag#\d+, id#\d+L, 8\), REPARTITION_BY_NUM", plan)) == 2
