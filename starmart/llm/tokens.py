@@ -7,7 +7,7 @@ import re
 import struct
 
 TOKENIZER = "word_bpe_49k.json"
-WORD_BYTES, PIECE_BYTES = 72 << 20, 36 << 20  # what a task keeps of words and of their pieces
+WORD_BYTES = 36 << 20  # what a task keeps of words and of their pieces; as much of those before
 ENTRY_BYTES = 170  # of a dictionary entry, besides key and value
 
 # The tokenizer's own pieces of a lower-case word, here for ASCII and Latin letters.
@@ -33,7 +33,9 @@ class WordTokenizer:
 
     Such a tokenizer never merges across white space, so a text's ids are those of its words in a row.
     Words met before are looked up; of new ones the pieces are. A word with other than ASCII and Latin letters
-    is given to the tokenizer as it is. What is kept is bounded by bytes. With ``special`` false the texts of
+    is given to the tokenizer as it is. A piece has the ids of the word that it would be alone, and is kept
+    with the words. What is kept is bounded by bytes: there are words of now and those before, and what is met
+    again moves from these to those. So frequent ones stay when the others go. With ``special`` false the texts of
     special tokens are plain text.
     """
 
@@ -45,9 +47,8 @@ class WordTokenizer:
         self.whole.encode_special_tokens = not special
         self.model = self.whole.model
         self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.word_bytes = self.piece_bytes = 0
+        self.older: dict[bytes, bytes] = {}
+        self.word_bytes = 0
 
     def ids(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text as little-endian unsigned 32-bit numbers."""
@@ -57,35 +58,35 @@ class WordTokenizer:
         new = set(words).difference(self.words)
         if new:
             if self.word_bytes > WORD_BYTES:
-                self.words.clear()
-                self.word_bytes = 0
+                self.words, self.older, self.word_bytes = {}, self.words, 0
                 new = set(words)
             for word in new:
-                self.words[word] = value = self._word(word)
-                self.word_bytes += len(word) + len(value) + ENTRY_BYTES
+                if word not in self.words:  # as a piece of another
+                    self._keep(word, self.older.get(word) or self._word(word))
         return b"".join(map(self.words.__getitem__, words))
 
     def _word(self, word: bytes) -> bytes:
         if word.isalpha():
-            return self._piece(word.lower().decode())
+            return self._piece(word)
         text = word.decode()
         if LATIN.fullmatch(text) and "<|" not in text:
-            return b"".join([self._piece(p) for p in PIECES.findall(text.lower())])
-        return self._known(text) or self._keep(text, self.whole.encode(text, add_special_tokens=False).ids)
-
-    def _piece(self, piece: str) -> bytes:
-        known = self._known(piece)
-        if known is None:
-            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(AS_CHARACTER)
-            known = self._keep(piece, [t.id for t in self.model.tokenize(shown)])
-        return known
-
-    def _known(self, piece: str) -> bytes | None:
-        return self.pieces.get(piece) or self.older.get(piece)
-
-    def _keep(self, piece: str, ids: list[int]) -> bytes:
-        if self.piece_bytes > PIECE_BYTES:
-            self.pieces, self.older, self.piece_bytes = {}, self.pieces, 0
-        self.pieces[piece] = value = struct.pack(f"<{len(ids)}I", *ids)
-        self.piece_bytes += len(piece) + len(value) + ENTRY_BYTES
+            return b"".join([self._known(p.encode()) for p in PIECES.findall(text.lower())])
+        return self._packed(self.whole.encode(text, add_special_tokens=False).ids)
+
+    def _known(self, piece: bytes) -> bytes:
+        """Ids of a piece, which are those of the word that it would be alone."""
+        value = self.words.get(piece)
+        return self._keep(piece, self.older.get(piece) or self._piece(piece)) if value is None else value
+
+    def _piece(self, piece: bytes) -> bytes:
+        piece = piece.lower()
+        shown = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(AS_CHARACTER)
+        return self._packed([t.id for t in self.model.tokenize(shown)])
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _keep(self, word: bytes, value: bytes) -> bytes:
+        self.words[word] = value
+        self.word_bytes += len(word) + len(value) + ENTRY_BYTES
         return value

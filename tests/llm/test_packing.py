@@ -9,7 +9,7 @@ import pytest
 from llm_helpers import documents
 from tokenizers import Tokenizer
 
-from starmart.llm import packing
+from starmart.llm import packing, tokens
 from starmart.llm.queries import QUERIES
 from starmart.llm.tokens import WordTokenizer
 
@@ -98,3 +98,19 @@ def test_a_child_has_every_piece_once():
     child = packing.cross(a, b, lengths, 1000, rng)
     assert sorted(p for x in child for p in x) == list(range(300))
     assert all(sum(lengths[p] for p in x) <= 1000 for x in child)
+
+
+def test_a_task_keeps_few_words_and_the_frequent_ones(monkeypatch):
+    """What is kept of words and their pieces, of now and before, stays within twice its bound; the ids are the same."""
+    monkeypatch.setattr(tokens, "WORD_BYTES", 20_000)
+    words, plain = WordTokenizer(), WordTokenizer()
+    found = []
+    for i in range(400):
+        text = f"the frequent word {i:x}q and z{i * i:x} again".encode()
+        found.append(words.ids(text))
+        kept = [*words.words.items(), *words.older.items()]
+        assert sum(len(k) + len(v) + tokens.ENTRY_BYTES for k, v in kept) < 2 * 20_000 + 16 * 300
+        assert b"frequent" in words.words
+        plain.words, plain.older = {}, {}
+        assert plain.ids(text) == found[-1]
+    assert words.older
