@@ -210,8 +210,9 @@ def tokenized(docs: DataFrame, id: str, text: str, capacity: int, tokenizer: str
         tokens = WordTokenizer(tokenizer)
         for batch in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, value in enumerate(batch.column("text")):
-                all_ids = tokens.ids(value.as_py() or b"") + b"\0\0\0\0"
+            texts = (value.as_py() or b"" for value in batch.column("text"))
+            for i, text_ids in enumerate(tokens.all_ids(texts)):
+                all_ids = text_ids + b"\0\0\0\0"
                 for n, at in enumerate(range(0, len(all_ids), 4 * capacity)):
                     own_ids = all_ids[at : at + 4 * capacity]
                     row.append(i)

@@ -63,8 +63,8 @@ def write_token_files(
                 if file is None:
                     store.create_dir(folder, recursive=True)
                     file = store.open_output_stream(f"{folder}/{name}")
-                for value in batch.column(1):
-                    wide = np.frombuffer(tokens.ids(value.as_py() or b""), "<u4")
+                for ids in tokens.all_ids(value.as_py() or b"" for value in batch.column(1)):
+                    wide = np.frombuffer(ids, "<u4")
                     file.write(wide.astype(KINDS[width]).tobytes() + separator)
                 n = batch.num_rows
                 places = pa.array(np.arange(first, first + n))

@@ -114,3 +114,25 @@ def test_a_task_keeps_few_words_and_the_frequent_ones(monkeypatch):
         plain.words, plain.older = {}, {}
         assert plain.ids(text) == found[-1]
     assert words.older
+
+
+def test_words_that_share_pieces_are_kept_once():
+    """A word with other signs behind it costs no new entry: only its pieces are looked up and kept."""
+    words = WordTokenizer()
+    text = " ".join(f"{a}{b}on{sign}" for a in "abcdefgh" for b in "aeiou" for sign in (".", ",", "%%%", ",###", "'s", "!?"))
+    words.ids(text.encode())
+    assert len(words.words) == 8 * 5 + 6
+
+
+def test_texts_at_once_have_the_ids_of_each(monkeypatch, plain):
+    """Short forms, signs, digits and texts that are not plain, in slices of any size."""
+    rng = np.random.default_rng(3)
+    parts = ["'s", "'", "'t", "'re", "'r", "'ll", "'l", "'ve", "'d", "''", " ", "\n", "a", "street", "É", "ß", "!", "&&&", "23"]
+    rare = ["’", "<|endoftext|>", "日本", "×", "İ", "\x00", "\x1c"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(600)]
+    texts = [t + str(rng.choice(rare)) if i % 7 == 0 else t for i, t in enumerate(texts)] + ODD + ["", ""]
+    for size in (1, 300, 1 << 20):
+        monkeypatch.setattr(tokens, "SLICE_BYTES", size)
+        found = list(WordTokenizer().all_ids(t.encode() for t in texts))
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [plain(t) for t in texts]
+    assert list(WordTokenizer().all_ids([])) == []
