@@ -6,7 +6,7 @@ the right, and the successors are doubled, all tokens at once, until each points
 
 Neither tokenizer has a token across a space between two other characters that are not white space, so such spaces
 always part groups. Texts are cut there, and equal pieces are tokenized and grouped once, as long as a worker
-keeps them.
+keeps them; frequent ones it keeps on. New pieces go to the byte tokenizer many at a time, as one text.
 
 The documents of a task are dealt into chunks of bounded size. A chunk tells once how many of its documents hold each
 pair of ids linked; the corpus-wide counts are joined back to the chunks' pairs, and then meet the documents of the chunk,
@@ -19,7 +19,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +36,11 @@ BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 LONG_PIECE = 80  # characters; longer pieces of a text are not kept
-KEPT_BYTES = 80 << 20  # of pieces a worker keeps
+KEPT_BYTES = 40 << 20  # of pieces a worker keeps; as much of those before
 PIECE_COST = 380  # of a kept piece, besides its texts
 CHUNK_PAIRS = 1 << 19  # pairs of the documents of a chunk
 CROSS_AT_ONCE = 1 << 12  # links of a group that are written out one by one
+TOGETHER = 64  # pieces that are given to a tokenizer as one text
 
 
 def farthest_tokens(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
@@ -76,9 +77,10 @@ class Vocabulary:
             as_byte |= {chr(c): bytes([b]) for b, c in AS_CHARACTER.items()}
             shown = sorted((i, t) for t, i in tokenizer.get_vocab().items())
             self.bytes = {i: b"".join(as_byte.get(c, c.encode()) for c in t) for i, t in shown}
-            self.encode = lambda pieces: [
+            self._ids = lambda pieces: [
                 e.ids for e in tokenizer.encode_batch_fast([f" {p}" for p in pieces], add_special_tokens=False)
             ]
+            self.together = TOGETHER
         else:
             from sentencepiece import SentencePieceProcessor
 
@@ -89,65 +91,153 @@ class Vocabulary:
                 byte = BYTE_PIECE.fullmatch(piece) if processor.is_byte(i) else None
                 self.bytes[i] = bytes([int(byte[1], 16)]) if byte else piece.replace(SPACE_MARK, " ").encode()
             # It puts the space before a text by itself.
-            self.encode = lambda pieces: processor.encode(pieces, num_threads=1)
-        self.lengths = np.zeros(max(self.bytes, default=-1) + 1, np.int64)
+            self._ids = lambda pieces: processor.encode(pieces, num_threads=1)
+            self.together = 1  # many short texts cost it no more than a few long ones
+        size = max(self.bytes, default=-1) + 1
+        self.lengths = np.zeros(size, np.int64)
         self.lengths[list(self.bytes)] = [len(v) for v in self.bytes.values()]
+        self.by_id = pa.array([self.bytes.get(i) for i in range(size)], pa.large_binary())
+
+    def encode(self, pieces: list[str], n_firm: int, whole: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row and how many each has; none for a piece whose tokens do not give its bytes.
+
+        The first ``n_firm`` pieces neither begin nor end with white space. ``whole`` is all pieces' bytes in a row, each
+        with its space, and ``ends`` where each ends.
+        """
+        if self.together > 1:
+            # Firm pieces stand side by side as they do in a text, so they have the same tokens.
+            texts = [" ".join(pieces[i : min(i + self.together, n_firm)]) for i in range(0, n_firm, self.together)]
+            ids, _ = _in_a_row(self._ids(texts + pieces[n_firm:]))
+            token_ends = np.cumsum(self.lengths[ids])
+            until = np.searchsorted(token_ends, ends) + 1
+            if (
+                len(ids)
+                and until[-1] == len(ids)
+                and (token_ends[until - 1] == ends).all()
+                and self.lengths[ids].all()
+                and self.joined(ids) == whole
+            ):
+                return ids, np.diff(until, prepend=0)
+        ids, counts = _in_a_row(self._ids(pieces))
+        token_ends = np.append(0, np.cumsum(self.lengths[ids]))[np.cumsum(counts)]
+        if (token_ends == ends).all() and self.joined(ids) == whole:
+            return ids, counts
+        until, texts = np.cumsum(counts), np.append(0, ends).tolist()
+        sound = np.array(
+            [
+                self.joined(ids[i : i + n]) == whole[start:end]
+                for i, n, start, end in zip((until - counts).tolist(), counts.tolist(), texts, texts[1:], strict=False)
+            ]
+        )
+        return ids[np.repeat(sound, counts)], np.where(sound, counts, 0)
 
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def joined(self, ids: np.ndarray) -> bytes:
+        data = self.by_id.take(pa.array(ids)).buffers()[2]
+        return data.to_pybytes()[: self.lengths[ids].sum()] if data else b""
 
 
-class Pieces:
-    """What is known of every piece met: groups as text, counts, pairs of linked ids. Bounded by bytes."""
+def _in_a_row(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the lists, and how many each list has."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, counts.sum()), counts
+
+
+def _is_loose(piece: str) -> bool:
+    """Whether a piece begins or ends with white space."""
+    return piece[0].isspace() or piece[-1].isspace()
 
-    def __init__(self, first: str, second: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
-        self.a, self.b = Vocabulary(first), Vocabulary(second)
-        # Ids as text, with each sign that may follow.
-        self.shown_a = {end: np.array([f"{i}{end}" for i in range(len(self.a.lengths))], object) for end in ",|"}
-        self.shown_b = {end: np.array([f"{i}{end}" for i in range(len(self.b.lengths))], object) for end in ",;"}
-        self.places: dict[str, int] = {}
-        self._clear()
 
-    def _clear(self) -> None:
-        self.places.clear()
+class Kept:
+    """What is known of pieces: groups as text, counts, pairs of linked ids."""
+
+    def __init__(self) -> None:
+        self.places: dict[str, int] = {}
         self.groups: list[str | None] = []  # each with a ; at its end; None: the bytes differ
         self.counts = _Rows(np.zeros((0, 4), np.int64))  # tokens of A, of B, groups, links
         self.spans = _Rows(np.zeros((0, 2), np.int64))  # where a piece's pairs stand
         self.pairs = _Rows(np.zeros((0, 2), np.int64))  # packed ids, each pair once, and how often it is linked
         self.size = 0
 
-    def of(self, texts: list[list[str]]) -> list[list[int]]:
-        """For the pieces of each text, their places in the lists of this object; valid until the next call."""
-        if self.size > KEPT_BYTES:
-            self._clear()
-        new = list({p for pieces in texts for p in pieces}.difference(self.places))
-        long = {}
-        if new:
-            at = len(self.groups)
-            self._align(new)
-            if max(map(len, new)) <= LONG_PIECE:
-                self.places.update(zip(new, range(at, at + len(new)), strict=True))
-            else:
-                for i, piece in enumerate(new, at):
-                    (long if len(piece) > LONG_PIECE else self.places)[piece] = i
-        if not long:
-            return [list(map(self.places.__getitem__, pieces)) for pieces in texts]
-        return [[long[p] if p in long else self.places[p] for p in pieces] for pieces in texts]
-
-    def _align(self, pieces: list[str]) -> None:
-        """Tokenize and group new pieces, all at once, as if they were one text."""
-        ids_a, ids_b = self.a.encode(pieces), self.b.encode(pieces)
-        texts = [b" " + p.encode() for p in pieces]
-        if not (self._give_back(self.a, ids_a, texts) and self._give_back(self.b, ids_b, texts)):
-            sound = [
-                self.a.joined(a) == text == self.b.joined(b) for text, a, b in zip(texts, ids_a, ids_b, strict=True)
-            ]
-            ids_a = [a if s else [] for a, s in zip(ids_a, sound, strict=True)]
-            ids_b = [b if s else [] for b, s in zip(ids_b, sound, strict=True)]
-        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
-        flat_a = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum())
-        flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64, n_b.sum())
+    def add(self, pieces: list[str], groups: list[str | None], counts, n_pairs, pairs) -> None:  # noqa: ANN001
+        """Pieces with their groups and counts, how many pairs each has, and these in a row."""
+        self.groups += groups
+        self.counts.add(counts)
+        ends = self.pairs.n + np.cumsum(n_pairs)
+        self.spans.add(np.stack([ends - n_pairs, ends], axis=1))
+        self.pairs.add(pairs)
+        self.size += PIECE_COST * len(pieces) + sum(map(len, pieces)) + 7 * int(counts[:, :2].sum())
+
+    def pairs_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many pairs the pieces at the places have, and these in a row."""
+        start, stop = self.spans.held[places].T
+        size = stop - start
+        return size, self.pairs.held[np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)]
+
+
+class Pieces:
+    """What is known of the pieces of now and those before; what is met again moves from these to those.
+
+    So frequent pieces stay when the others go. Both are bounded by bytes.
+    """
+
+    def __init__(self, first: str, second: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
+        self.a, self.b = Vocabulary(first), Vocabulary(second)
+        # Ids as text, with each sign that may follow.
+        self.shown_a = {end: np.array([f"{i}{end}" for i in range(len(self.a.lengths))], object) for end in ",|"}
+        self.shown_b = {end: np.array([f"{i}{end}" for i in range(len(self.b.lengths))], object) for end in ",;"}
+        self.now, self.before = Kept(), Kept()
+
+    def of(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """For the pieces of each text, their places in ``now``; valid until the next call."""
+        if self.now.size > KEPT_BYTES:
+            self.now, self.before = Kept(), self.now
+        places, long = self.now.places, {}
+        pieces = list(chain.from_iterable(texts))
+        found = np.fromiter(map(places.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            unknown = [pieces[i] for i in missing]
+            new = set(unknown)
+            again = new.intersection(self.before.places)
+            if again:
+                self._move(list(again))
+                new -= again
+            if new:
+                # Only the first and the last piece of a text can begin or end with white space.
+                loose = new.intersection(p for text in texts for p in text[:1] + text[-1:] if _is_loose(p))
+                new = [*(new - loose), *loose]
+                at = len(self.now.groups)
+                self._align(new, len(new) - len(loose))
+                if max(map(len, new)) <= LONG_PIECE:
+                    places.update(zip(new, range(at, at + len(new)), strict=True))
+                else:
+                    for i, piece in enumerate(new, at):
+                        (long if len(piece) > LONG_PIECE else places)[piece] = i
+            found[missing] = [long[p] if p in long else places[p] for p in unknown]
+        until = [0, *accumulate(map(len, texts))]
+        return [found[i:j] for i, j in pairwise(until)]
+
+    def _move(self, pieces: list[str]) -> None:
+        """Take over pieces from those before."""
+        before, at = self.before, len(self.now.groups)
+        places = list(map(before.places.__getitem__, pieces))
+        n_pairs, pairs = before.pairs_of(np.array(places))
+        self.now.add(pieces, [before.groups[p] for p in places], before.counts.held[places], n_pairs, pairs)
+        self.now.places.update(zip(pieces, range(at, at + len(pieces)), strict=True))
+
+    def _align(self, pieces: list[str], n_firm: int) -> None:
+        """Tokenize and group new pieces, all at once, as if they were one text.
+
+        The first ``n_firm`` neither begin nor end with white space.
+        """
+        texts = [f" {p}".encode() for p in pieces]
+        whole, ends = b"".join(texts), np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        (flat_a, n_a), (flat_b, n_b) = (v.encode(pieces, n_firm, whole, ends) for v in (self.a, self.b))
+        sound = (n_a > 0) & (n_b > 0)
+        if not sound.all():
+            flat_a, flat_b = flat_a[np.repeat(sound, n_a)], flat_b[np.repeat(sound, n_b)]
+            n_a, n_b = np.where(sound, n_a, 0), np.where(sound, n_b, 0)
         label = farthest_tokens(np.cumsum(self.a.lengths[flat_a]), np.cumsum(self.b.lengths[flat_b]))
         # Tokens lie in order, so groups are runs; the label is the last token of A in each.
         last, group = np.unique(label, return_inverse=True)
@@ -155,20 +245,12 @@ class Pieces:
         in_a, in_b = np.bincount(group_a, minlength=len(last)), np.bincount(group_b, minlength=len(last))
         piece_of = np.repeat(np.arange(len(pieces)), n_a)[last] if len(last) else np.zeros(0, np.int64)
 
-        self._keep_groups(flat_a, flat_b, group_a, group_b, in_a, in_b, n_a, n_b)
+        groups = self._groups(flat_a, flat_b, group_a, group_b, in_a, in_b, n_a, n_b)
         links = np.bincount(piece_of, in_a * in_b, len(pieces)).astype(np.int64)
-        self.counts.add(np.stack([n_a, n_b, np.bincount(piece_of, minlength=len(pieces)), links], axis=1))
-        self._keep_pairs(flat_a, flat_b, in_a, in_b, piece_of, len(pieces))
-        self.size += PIECE_COST * len(pieces) + sum(map(len, texts)) + 7 * (len(flat_a) + len(flat_b))
+        counts = np.stack([n_a, n_b, np.bincount(piece_of, minlength=len(pieces)), links], axis=1)
+        self.now.add(pieces, groups, counts, *self._pairs(flat_a, flat_b, in_a, in_b, piece_of, len(pieces)))
 
-    @staticmethod
-    def _give_back(vocabulary: Vocabulary, ids: list[list[int]], texts: list[bytes]) -> bool:
-        """Whether every piece's tokens give its bytes."""
-        flat = list(chain.from_iterable(ids))
-        ends = np.append(0, np.cumsum(vocabulary.lengths[flat]))[np.cumsum(list(map(len, ids)))]
-        return vocabulary.joined(flat) == b"".join(texts) and bool((ends == np.cumsum(list(map(len, texts)))).all())
-
-    def _keep_groups(self, flat_a, flat_b, group_a, group_b, in_a, in_b, n_a, n_b) -> None:  # noqa: ANN001
+    def _groups(self, flat_a, flat_b, group_a, group_b, in_a, in_b, n_a, n_b) -> list[str | None]:  # noqa: ANN001
         """The text of every piece's groups: ids of A in a group, then of B, each with the sign that follows it."""
         shown = np.empty(len(flat_a) + len(flat_b), object)
         both = np.cumsum(in_a + in_b) - in_a - in_b  # tokens of the groups before
@@ -179,13 +261,12 @@ class Pieces:
             nth = np.arange(len(flat)) - (np.cumsum(inside) - inside)[group]
             between, after = signs.values()
             shown[start[group] + nth] = np.where(nth == inside[group] - 1, after[flat], between[flat])
-        parts, at = shown.tolist(), 0
-        for n in (n_a + n_b).tolist():
-            self.groups.append("".join(parts[at : at + n]) if n else None)
-            at += n
+        parts, until = shown.tolist(), [0, *np.cumsum(n_a + n_b).tolist()]
+        return ["".join(parts[i:j]) or None for i, j in pairwise(until)]
 
-    def _keep_pairs(self, flat_a, flat_b, in_a, in_b, piece_of, n_pieces) -> None:  # noqa: ANN001
-        """Every piece's distinct pairs and how often they are linked."""
+    @staticmethod
+    def _pairs(flat_a, flat_b, in_a, in_b, piece_of, n_pieces) -> tuple[np.ndarray, np.ndarray]:  # noqa: ANN001
+        """How many distinct pairs every piece has; these in a row, and how often they are linked."""
         start_a, start_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
         links = in_a * in_b
         usual = links <= CROSS_AT_ONCE
@@ -207,9 +288,7 @@ class Pieces:
         new[1:] = (pairs[1:] != pairs[:-1]) | (piece[1:] != piece[:-1])
         first = np.flatnonzero(new)
         total = np.add.reduceat(times, first) if len(first) else times
-        at = self.pairs.n + np.searchsorted(piece[first], np.arange(n_pieces + 1))
-        self.spans.add(np.stack([at[:-1], at[1:]], axis=1))
-        self.pairs.add(np.stack([pairs[first], total], axis=1))
+        return np.bincount(piece[first], minlength=n_pieces), np.stack([pairs[first], total], axis=1)
 
 
 @lru_cache(maxsize=1)
@@ -289,7 +368,7 @@ def aligned_documents(
                 ids = batch.column(0).slice(at, 256).to_pylist()
                 pieces = [_pieces_of(v.as_py()) for v in batch.column(1).slice(at, 256)]
                 for doc, places in zip(ids, known.of(pieces), strict=True):
-                    row, pairs, times = _document(known, places)
+                    row, pairs, times = _document(known.now, places)
                     held.append((doc, *row, pairs, times))
                     held_pairs += len(pairs)
                     if held_pairs >= CHUNK_PAIRS:
@@ -311,21 +390,19 @@ def _pieces_of(text: bytes | None) -> list[str]:
     return BETWEEN_WORDS.split(shown) if shown else []
 
 
-def _document(known: Pieces, places: list[int]) -> tuple[tuple, np.ndarray, np.ndarray]:
+def _document(known: Kept, places: np.ndarray) -> tuple[tuple, np.ndarray, np.ndarray]:
     """Counts and groups of a text by its pieces; its distinct pairs and how often each is linked."""
-    groups = [known.groups[p] for p in places]
-    if not groups or None in groups:
+    distinct, often = np.unique(places, return_counts=True)
+    counts = known.counts.held[distinct]
+    if not len(places) or not counts[:, 0].all():  # a piece's bytes differ
         return (0, 0, 0, 0, ""), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    distinct, often = np.unique(np.array(places, np.int64), return_counts=True)
-    counts = often @ known.counts.held[distinct]
-    start, stop = known.spans.held[distinct].T
-    size = stop - start
-    rows = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
-    pairs, times = known.pairs.held[rows].T
-    order = np.argsort(pairs, kind="stable")
+    groups = "".join(map(known.groups.__getitem__, places.tolist()))
+    size, linked = known.pairs_of(distinct)
+    pairs, times = linked.T
+    order = np.argsort(pairs)
     pairs, times = pairs[order], (times * np.repeat(often, size))[order]
     first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
-    return (*counts.tolist(), "".join(groups)[:-1]), pairs[first], np.add.reduceat(times, first)
+    return (*(often @ counts).tolist(), groups[:-1]), pairs[first], np.add.reduceat(times, first)
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:

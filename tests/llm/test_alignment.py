@@ -11,7 +11,9 @@ from llm_helpers import documents
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from starmart.llm.alignment import _distinct_links, align_tokenizers, farthest_tokens
+from starmart.llm.alignment import (
+    BYTE_TOKENIZER, PIECE_TOKENIZER, Pieces, Vocabulary, _distinct_links, align_tokenizers, farthest_tokens,
+)
 from starmart.llm.queries import QUERIES
 from starmart.llm.tokens import AS_CHARACTER
 
@@ -157,3 +159,40 @@ def test_links_of_a_wide_group():
     assert dict(zip(pairs.tolist(), times.tolist(), strict=True)) == {
         1 << 32 | 7: 4, 1 << 32 | 8: 2, 2 << 32 | 7: 2, 2 << 32 | 8: 1,
     }
+
+
+def test_frequent_pieces_are_aligned_once(monkeypatch):
+    import starmart.llm.alignment as alignment
+
+    monkeypatch.setattr(alignment, "KEPT_BYTES", 20_000)
+    known, aligned = Pieces(BYTE_TOKENIZER, PIECE_TOKENIZER), Counter()
+    align = known._align
+    monkeypatch.setattr(known, "_align", lambda pieces, *more: (aligned.update(pieces), align(pieces, *more)))
+    shown = set()
+    for i in range(40):
+        (places,) = known.of([["the", *(f"rare{i}x{j}" for j in range(20))]])
+        shown.add((known.now.groups[places[0]], *known.now.counts.held[places[0]].tolist()))
+    assert aligned["the"] == 1 and len(shown) == 1 and len(aligned) == 801
+    assert len(known.now.places) + len(known.before.places) < 200
+
+
+def test_pieces_given_together_have_the_tokens_of_each(monkeypatch):
+    rng = random.Random(5)
+    firm = ["the", "don't", "a\tb", "naïve", "日本語", "<|endoftext|>", "1\n2", "x" * 90, "fi", "\x00", "▁", "a\u200bb"]
+    firm += ["".join(rng.choices("abcdez'.,(ñ", k=rng.randint(1, 9))) for _ in range(500)]
+    loose = [" a", "b ", "\n", "  ", "c\n\n"]
+    pieces = [*dict.fromkeys(firm), *loose]
+    texts = [f" {p}".encode() for p in pieces]
+    for name in (BYTE_TOKENIZER, PIECE_TOKENIZER):
+        vocabulary, given = Vocabulary(name), []
+        tokenize = vocabulary._ids
+        monkeypatch.setattr(vocabulary, "_ids", lambda some, f=tokenize, g=given: (g.append(len(some)), f(some))[1])
+        ids, counts = vocabulary.encode(pieces, len(pieces) - 5, b"".join(texts), np.cumsum(list(map(len, texts))))
+        until = np.cumsum(counts).tolist()
+        found = [ids[i:j].tolist() for i, j in zip([0, *until], until, strict=False)]
+        each = [ids if b"".join(vocabulary.bytes[i] for i in ids) == t else [] for ids, t in zip(tokenize(pieces), texts)]
+        assert found == each
+        if name == BYTE_TOKENIZER:
+            assert given == [-(-(len(pieces) - 5) // 64) + 5]
+        else:
+            assert [] in found  # what this tokenizer changes has no tokens
